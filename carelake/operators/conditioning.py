@@ -108,8 +108,8 @@ def silver_patients(bronze: DataFrame, as_of: datetime) -> DataFrame:
     df = bronze
     dob = first_available(df, BIRTH_DATE_CANDIDATES)
     if dob is not None:
-        parsed = as_date(df, dob)
-        df = df.drop(*[c for c in BIRTH_DATE_CANDIDATES if c in df.columns]).withColumn("date_of_birth", parsed)
+        parsed = as_date(df, dob).alias("date_of_birth")
+        df = df.select(*[c for c in df.columns if c not in BIRTH_DATE_CANDIDATES], parsed)
     df = df.withColumn("patient_id", as_long(df, "patient_id"))
     order = ["dt"] if "dt" in df.columns else []
     df = latest_per_key(df, ["patient_id"], order)
@@ -123,8 +123,8 @@ def silver_admissions(bronze: DataFrame, as_of: datetime) -> DataFrame:
         if name in df.columns:
             df = df.withColumn(name, as_long(df, name))
     t = _first_ts(df, ADMISSION_TIME_CANDIDATES)
-    df = df.drop(*[c for c in ADMISSION_TIME_CANDIDATES if c in df.columns])
-    df = df.withColumn("admission_time", t if t is not None else F.lit(None).cast("timestamp_ntz"))
+    t = t if t is not None else F.lit(None).cast("timestamp_ntz")
+    df = df.select(*[c for c in df.columns if c not in ADMISSION_TIME_CANDIDATES], t.alias("admission_time"))
     if "admission_id" in df.columns:
         df = latest_per_key(df, ["admission_id"], ["dt"] if "dt" in df.columns else [])
     return df.withColumn("silver_load_timestamp", ts_lit(as_of))
@@ -136,8 +136,8 @@ def silver_discharges(bronze: DataFrame, as_of: datetime) -> DataFrame:
         if name in df.columns:
             df = df.withColumn(name, as_long(df, name))
     t = _first_ts(df, DISCHARGE_TIME_CANDIDATES)
-    df = df.drop(*[c for c in DISCHARGE_TIME_CANDIDATES if c in df.columns])
-    df = df.withColumn("discharge_time", t if t is not None else F.lit(None).cast("timestamp_ntz"))
+    t = t if t is not None else F.lit(None).cast("timestamp_ntz")
+    df = df.select(*[c for c in df.columns if c not in DISCHARGE_TIME_CANDIDATES], t.alias("discharge_time"))
     key = "discharge_id" if "discharge_id" in df.columns else "admission_id"
     df = latest_per_key(df, [key], ["dt"] if "dt" in df.columns else [])
     return df.withColumn("silver_load_timestamp", ts_lit(as_of))

@@ -134,6 +134,9 @@ def _closure(names: list[str]) -> list[str]:
 
 def with_views(names: list[str], body: str) -> str:
     ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in _closure(names))
+    stripped = body.lstrip()
+    if stripped.upper().startswith("WITH "):
+        return f"WITH {ctes},\n{stripped[5:]}"
     return f"WITH {ctes}\n{body}"
 
 

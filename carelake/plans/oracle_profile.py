@@ -496,3 +496,25 @@ ORACLE["vs_19_rollup"] = with_views(
     ", " + _results_sql() + """
 SELECT coalesce(min(CAST(passed AS INTEGER)) = 1, true) AS all_passed, CAST(count(*) AS BIGINT) AS tables_checked FROM r""",
 )
+
+# ---------------------------------------------------------------- sources and sinks (round trips)
+
+ORACLE["src_04_snapshot_scan"] = ORACLE["tb_03_silver_patients"]
+ORACLE["src_05_multi_csv"] = with_views(
+    ["silver_labs_dirty"],
+    """SELECT lab_result_id, patient_id, test_type, test_date, result_value, collected_time, completed_time,
+       sample_datetime, completed_datetime, turnaround_hours, silver_load_timestamp, true AS has_source
+FROM silver_labs_dirty""",
+)
+ORACLE["src_07_nested_json"] = ORACLE["tb_02_silver_pharmacy"]
+ORACLE["snk_04_results_json"] = ORACLE["vs_09_suite_results"] + "\nWHERE table_name = 'pharmacy'"
+ORACLE["snk_07_publish_twice"] = ORACLE["tb_13_fact_pharmacy"]
+ORACLE["snk_08_table_builds"] = with_views(
+    ["wards", "patients", "fact_admissions"],
+    """SELECT 'dim_ward' AS "table", CAST(count(*) AS BIGINT) AS rows, 'ok' AS status FROM wards
+UNION ALL SELECT 'dim_patient', CAST(count(*) AS BIGINT), 'ok' FROM patients
+UNION ALL SELECT 'fact_admissions', CAST(count(*) AS BIGINT), 'ok' FROM fact_admissions
+UNION ALL SELECT 'dim_drug', CAST(NULL AS BIGINT), 'skipped'
+UNION ALL SELECT 'fact_labs', CAST(NULL AS BIGINT), 'failed'""",
+)
+ORACLE["snk_05_external_tables"] = ORACLE["agg_04_daily_admissions_by_ward"]

@@ -102,3 +102,4 @@ def q_jn_01(spark, d):
 
 from . import catalog_profile  # noqa: E402,F401
 from . import catalog_io  # noqa: E402,F401
+from . import catalog_doc  # noqa: E402,F401

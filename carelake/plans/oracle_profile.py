@@ -518,3 +518,4 @@ UNION ALL SELECT 'dim_drug', CAST(NULL AS BIGINT), 'skipped'
 UNION ALL SELECT 'fact_labs', CAST(NULL AS BIGINT), 'failed'""",
 )
 ORACLE["snk_05_external_tables"] = ORACLE["agg_04_daily_admissions_by_ward"]
+from . import oracle_doc  # noqa: E402,F401

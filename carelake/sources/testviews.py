@@ -254,3 +254,20 @@ def bronze_discharges(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_mod("discharge_id", 97) == 3, F.lit("??")).otherwise(_iso_ts(F.col("discharge_time"))).alias("discharge_date"),
         F.lit("2001-08-01").alias("dt"),
     )
+
+
+def vital_signs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vital-sign readings derived from events (one reading per event)."""
+    e = table(spark, sf_dir, "events")
+    k = "event_id"
+    return e.select(
+        F.col(k).alias("reading_id"),
+        F.col("user_id").alias("patient_id"),
+        F.col("ts").alias("measurement_time"),
+        (F.lit(35) + F.pmod(F.floor(F.col("value") * 7), F.lit(110))).cast("int").alias("heart_rate"),
+        (F.lit(85) + F.pmod(F.floor(F.col("value")), F.lit(140))).cast("int").alias("blood_pressure_systolic"),
+        (F.lit(45) + _mod(k, 60)).cast("int").alias("blood_pressure_diastolic"),
+        (F.lit(35.0) + _mod(k, 60).cast("double") / F.lit(10.0)).alias("temperature"),
+        (F.lit(88) + _mod(k, 13)).cast("int").alias("oxygen_saturation"),
+        (F.lit(8) + _mod(k, 23)).cast("int").alias("respiratory_rate"),
+    )

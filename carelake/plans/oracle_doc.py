@@ -96,7 +96,7 @@ FROM pharmacy_inventory"""
 
 VIEWS["dim_std"] = f"""
 SELECT patient_id AS patient_key, patient_id, first_name, last_name, date_of_birth AS birth_date,
-       CASE WHEN date_of_birth IS NOT NULL THEN 2001 - year(date_of_birth) END AS age,
+       CAST(CASE WHEN date_of_birth IS NOT NULL THEN 2001 - year(date_of_birth) END AS INTEGER) AS age,
        CASE WHEN upper(trim(gender)) IN ('M', 'MALE') THEN 'M' WHEN upper(trim(gender)) IN ('F', 'FEMALE') THEN 'F' ELSE 'O' END
          AS gender_standardized,
        (2001 - year(date_of_birth)) BETWEEN 0 AND 120 AS age_valid
@@ -276,7 +276,7 @@ ORACLE["doc_15_pseudonymised"] = with_views(
     ["patients"],
     f"""SELECT sha256('carelake-test-salt' || CAST(patient_id AS VARCHAR)) AS patient_token,
        CAST(year(date_of_birth) AS INTEGER) AS birth_year,
-       CASE WHEN date_of_birth IS NOT NULL THEN 2001 - year(date_of_birth) END AS age,
+       CAST(CASE WHEN date_of_birth IS NOT NULL THEN 2001 - year(date_of_birth) END AS INTEGER) AS age,
        CASE WHEN upper(trim(gender)) IN ('M', 'MALE') THEN 'M' WHEN upper(trim(gender)) IN ('F', 'FEMALE') THEN 'F' ELSE 'O' END
          AS gender_standardized
 FROM patients""",

@@ -486,8 +486,8 @@ ORACLE["vs_09_suite_results"] = with_views(
     _SUITE_VIEWS,
     ", " + _results_sql() + """
 SELECT table_name, row_count, issue_count, warning_count, passed,
-       CASE WHEN row_count = 0 THEN 0.0 ELSE greatest(0.0, least(100.0,
-            100.0 - least(50.0, issue_count * 10.0) - least(20.0, warning_count * 2.0))) END AS quality_score
+       CAST(CASE WHEN row_count = 0 THEN 0.0 ELSE greatest(0.0, least(100.0,
+            100.0 - least(50.0, issue_count * 10.0) - least(20.0, warning_count * 2.0))) END AS DOUBLE) AS quality_score
 FROM r""",
 )
 

@@ -86,7 +86,7 @@ SELECT ward_id AS ward_key, ward_id, ward_name, {ADM_AS_OF} AS created_at FROM w
 
 VIEWS["dim_patient"] = f"""
 SELECT patient_id AS patient_key, patient_id, first_name, last_name, date_of_birth AS birth_date,
-       CASE WHEN date_of_birth IS NOT NULL THEN 2001 - year(date_of_birth) END AS age, gender,
+       CAST(CASE WHEN date_of_birth IS NOT NULL THEN 2001 - year(date_of_birth) END AS INTEGER) AS age, gender,
        {ADM_AS_OF} AS created_at
 FROM patients"""
 

@@ -17,7 +17,7 @@ from ..sources import testviews as tv
 from . import gold_build as gb
 from .catalog import register
 
-CSV_OPTS = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+CSV_OPTS = publish.CSV_WRITE_OPTIONS
 
 
 @register("src_04_snapshot_scan")
@@ -26,7 +26,7 @@ def q_src_04(spark, d):
     bronze = tv.bronze_patients(spark, d)
     for run in ("2001-07-01", "2001-08-01"):
         publish.land_snapshot(bronze.filter(F.col("dt") == run).drop("dt"), root, run)
-    landed = files.read_snapshots(spark, root)
+    landed = files.read_snapshots(spark, root, null_value=publish.CSV_NULL)
     return cond.silver_patients(landed, gb.ADM_AS_OF)
 
 
@@ -35,7 +35,7 @@ def q_src_05(spark, d):
     folder = scratch_path(spark, "lab-csv")
     tv.bronze_lab_results(spark, d).write.options(**CSV_OPTS).csv(folder)
     paths = files.list_files(spark, folder, ".csv") + [f"{folder}/absent.csv"]
-    labs = files.read_multi_csv(spark, paths, fallback_paths=[f"{folder}-fallback/x.csv"])
+    labs = files.read_multi_csv(spark, paths, fallback_paths=[f"{folder}-fallback/x.csv"], null_value=publish.CSV_NULL)
     out = cond.silver_lab_results(labs, gb.LAB_AS_OF)
     return out.withColumn("has_source", F.col("source_file").startswith("part-")).drop("source_file")
 
@@ -105,3 +105,12 @@ def q_snk_05(spark, d):
         view,
     )
     return spark.table(view)
+
+
+@register("pln_01_pipeline_run")
+def q_pln_01(spark, d):
+    from .pipeline import Lake, run
+
+    lake = Lake(scratch_path(spark, "lake"))
+    status = run(spark, d, lake, "20240201T000000Z", gb.LAB_AS_OF)
+    return status.select("layer", "table", "rows", "status")

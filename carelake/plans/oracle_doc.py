@@ -281,3 +281,34 @@ ORACLE["doc_15_pseudonymised"] = with_views(
          AS gender_standardized
 FROM patients""",
 )
+
+_N = "CAST(count(*) AS BIGINT)"
+ORACLE["pln_01_pipeline_run"] = with_views(
+    ["bronze_lab_results", "bronze_pharmacy", "silver_patients_dirty", "silver_admissions_dirty",
+     "silver_discharges_dirty", "silver_wards_dirty", "silver_labs_dirty", "silver_pharmacy_dirty"],
+    f"""SELECT 'silver' AS layer, 'lab_results' AS "table", (SELECT {_N} FROM bronze_lab_results) AS rows, 'ok' AS status
+UNION ALL SELECT 'silver', 'pharmacy_inventory', (SELECT {_N} FROM bronze_pharmacy), 'ok'
+UNION ALL SELECT 'silver', 'patients', (SELECT {_N} FROM silver_patients_dirty), 'ok'
+UNION ALL SELECT 'silver', 'admissions', (SELECT {_N} FROM silver_admissions_dirty), 'ok'
+UNION ALL SELECT 'silver', 'discharges', (SELECT {_N} FROM silver_discharges_dirty), 'ok'
+UNION ALL SELECT 'silver', 'wards', (SELECT {_N} FROM silver_wards_dirty), 'ok'
+UNION ALL SELECT 'silver', 'patient_admissions', (SELECT {_N} FROM silver_admissions_dirty), 'ok'
+UNION ALL SELECT 'gold', 'dim_patient', (SELECT {_N} FROM silver_patients_dirty), 'ok'
+UNION ALL SELECT 'gold', 'dim_ward', (SELECT {_N} FROM silver_wards_dirty), 'ok'
+UNION ALL SELECT 'gold', 'dim_date', CAST(2922 AS BIGINT), 'ok'
+UNION ALL SELECT 'gold', 'dim_drug', (SELECT {_N} FROM (SELECT DISTINCT drug_name FROM bronze_pharmacy)), 'ok'
+UNION ALL SELECT 'gold', 'fact_admissions', (SELECT {_N} FROM (SELECT DISTINCT admission_id, patient_id, ward_id,
+    coalesce(admission_time, {LAB_AS_OF}) FROM silver_admissions_dirty)), 'ok'
+UNION ALL SELECT 'gold', 'fact_labs', (SELECT {_N} FROM (SELECT DISTINCT patient_id, coalesce(collected_time, {LAB_AS_OF})
+    FROM silver_labs_dirty)), 'ok'
+UNION ALL SELECT 'gold', 'fact_lab_turnaround', (SELECT {_N} FROM (SELECT DISTINCT patient_id, coalesce(sample_datetime, {LAB_AS_OF}),
+    coalesce(completed_datetime, {LAB_AS_OF}) FROM silver_labs_dirty)), 'ok'
+UNION ALL SELECT 'gold', 'fact_pharmacy', (SELECT {_N} FROM (SELECT DISTINCT drug_name, coalesce(current_stock, 0),
+    coalesce(threshold, 10) FROM silver_pharmacy_dirty)), 'ok'
+UNION ALL SELECT 'gold', 'fact_icu_alerts', CAST(0 AS BIGINT), 'ok'
+UNION ALL SELECT 'gold', 'fact_pharmacy_stock', (SELECT {_N} FROM (SELECT DISTINCT drug_name, coalesce(current_stock, 0),
+    coalesce(threshold, 10) FROM silver_pharmacy_dirty)), 'ok'
+UNION ALL SELECT 'gold', 'patient_summary', (SELECT {_N} FROM silver_patients_dirty), 'ok'
+UNION ALL SELECT 'gold', 'daily_admissions_summary', (SELECT {_N} FROM (SELECT DISTINCT
+    strftime(coalesce(admission_time, {LAB_AS_OF}), '%Y-%m-%d') FROM silver_admissions_dirty)), 'ok'""",
+)

@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 
 from .contracts import check_contract
 
+# Null marker of landed CSV files, so that NULL and the empty string stay distinct.
+CSV_NULL = "\\N"
+CSV_WRITE_OPTIONS = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "nullValue": CSV_NULL}
+
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet", partition_by: list[str] | None = None) -> int:
     """SNK-01: write and return the row count observed during the write."""
@@ -28,17 +32,20 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
     return int(obs.get["rows"])
 
 
-def land_snapshot(df: DataFrame, table_root: str, run_id: str, fmt: str = "csv") -> int:
-    """SNK-02: write one run under ``dt=<run_id>``; only that partition is replaced."""
+def land_snapshot(df: DataFrame, table_root: str, run_id: str | None, fmt: str = "csv") -> int:
+    """SNK-02: write one run under ``dt=<run_id>``; only that partition is replaced.
+
+    With ``run_id=None`` the frame's own ``dt`` column names the snapshots.
+    """
     spark = df.sparkSession
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        obs = Observation(f"land_{run_id}")
-        out = df.withColumn("dt", F.lit(run_id)).observe(obs, F.count(F.lit(1)).alias("rows"))
+        obs = Observation(f"land_{run_id or 'dt'}_{abs(hash(table_root))}")
+        out = (df if run_id is None else df.withColumn("dt", F.lit(run_id))).observe(obs, F.count(F.lit(1)).alias("rows"))
         w = out.write.mode("overwrite").partitionBy("dt").format(fmt)
         if fmt == "csv":
-            w = w.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            w = w.options(**CSV_WRITE_OPTIONS)
         w.save(table_root)
         return int(obs.get["rows"])
     finally:

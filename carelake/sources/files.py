@@ -14,9 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | str | None = None) -> DataFrame:
-    """SRC-01: header CSV; explicit schema or all-text columns."""
+def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | str | None = None, null_value: str | None = None) -> DataFrame:
+    """SRC-01: header CSV; explicit schema or all-text columns.
+
+    ``null_value`` is the marker written for NULL (then an empty field stays
+    an empty string); without it empty fields read as NULL.
+    """
     r = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    if null_value is not None:
+        r = r.option("nullValue", null_value)
     if schema is not None:
         r = r.schema(schema)
     return r.csv(path if isinstance(path, str) else list(path))
@@ -32,7 +38,9 @@ def read_layer_table(spark: SparkSession, base: str, layer: str, table: str) ->
     return spark.read.parquet(f"{base.rstrip('/')}/{layer}/{table}")
 
 
-def read_snapshots(spark: SparkSession, table_root: str, fmt: str = "csv", schema: StructType | str | None = None) -> DataFrame:
+def read_snapshots(
+    spark: SparkSession, table_root: str, fmt: str = "csv", schema: StructType | str | None = None, null_value: str | None = None
+) -> DataFrame:
     """SRC-04: every ``dt=<run>`` snapshot under ``table_root`` with its ``dt``.
 
     ``basePath`` makes ``dt`` a partition column, so a filter on it prunes
@@ -41,6 +49,8 @@ def read_snapshots(spark: SparkSession, table_root: str, fmt: str = "csv", schem
     r = spark.read.option("basePath", table_root)
     if fmt == "csv":
         r = r.option("header", True)
+        if null_value is not None:
+            r = r.option("nullValue", null_value)
     if schema is not None:
         r = r.schema(schema)
     df = r.format(fmt).load(f"{table_root.rstrip('/')}/dt=*")
@@ -64,6 +74,7 @@ def read_multi_csv(
     paths: Sequence[str],
     fallback_paths: Sequence[str] | None = None,
     schema: StructType | str | None = None,
+    null_value: str | None = None,
 ) -> DataFrame:
     """SRC-05: combine same-shaped CSV files, tagging each row with its file.
 
@@ -77,7 +88,7 @@ def read_multi_csv(
         found = existing_paths(spark, fallback_paths)
     if not found:
         raise FileNotFoundError("No input files found")
-    df = read_csv(spark, found, schema)
+    df = read_csv(spark, found, schema, null_value)
     return df.withColumn("source_file", F.col("_metadata.file_name"))
 
 

@@ -114,3 +114,20 @@ def q_pln_01(spark, d):
     lake = Lake(scratch_path(spark, "lake"))
     status = run(spark, d, lake, "20240201T000000Z", gb.LAB_AS_OF)
     return status.select("layer", "table", "rows", "status")
+
+
+@register("str_01_incremental_labs")
+def q_str_01(spark, d):
+    """Two landings ingested by two incremental runs of one streaming job."""
+    from ..streaming.incremental import ingest_labs_to_silver
+
+    root = scratch_path(spark, "stream-labs")
+    raw = tv.bronze_lab_results(spark, d)
+    # two landing folders, one per run: lab rows of the first 15 days, then the rest
+    day = F.dayofmonth(F.to_date(F.substring("collected_time", 1, 10)))
+    raw.filter(day <= 15).write.parquet(f"{root}/landing/2024/01/15")
+    ck, silver = f"{root}/_checkpoint", f"{root}/silver"
+    ingest_labs_to_silver(spark, f"{root}/landing/*/*/*", raw.schema, silver, ck, gb.LAB_AS_OF).awaitTermination()
+    raw.filter(~(day <= 15)).write.parquet(f"{root}/landing/2024/01/31")
+    ingest_labs_to_silver(spark, f"{root}/landing/*/*/*", raw.schema, silver, ck, gb.LAB_AS_OF).awaitTermination()
+    return spark.read.parquet(silver)

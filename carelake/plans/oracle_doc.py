@@ -312,3 +312,5 @@ UNION ALL SELECT 'gold', 'patient_summary', (SELECT {_N} FROM silver_patients_di
 UNION ALL SELECT 'gold', 'daily_admissions_summary', (SELECT {_N} FROM (SELECT DISTINCT
     strftime(coalesce(admission_time, {LAB_AS_OF}), '%Y-%m-%d') FROM silver_admissions_dirty)), 'ok'""",
 )
+
+ORACLE["str_01_incremental_labs"] = ORACLE["tb_01_silver_labs"]

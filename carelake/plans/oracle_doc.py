@@ -252,10 +252,19 @@ def _rule(suite: str, table: str, name: str, pred: str, msg: str) -> str:
     )
 
 
+def _rows(suite: str, table: str) -> str:
+    return (f"SELECT '{suite}' AS suite, 'row_count' AS \"check\", 'metric' AS severity, CAST(count(*) AS BIGINT) AS failed, "
+            f"false AS fired, CAST(NULL AS VARCHAR) AS message FROM {table}")
+
+
 ORACLE["doc_14_rules"] = with_views(
     ["adm_facts", "pharmacy_inventory", "vital_facts", "dim_std"],
     "\nUNION ALL\n".join(
         [
+            _rows("rules_admissions", "adm_facts"),
+            _rows("rules_pharmacy", "pharmacy_inventory"),
+            _rows("rules_vitals", "vital_facts"),
+            _rows("rules_patients", "dim_std"),
             _rule("rules_admissions", "adm_facts", "discharge_before_admission", "discharge_timestamp < admission_timestamp", "%d discharges before admission"),
             _rule("rules_admissions", "adm_facts", "triage_out_of_range", "NOT (triage_level BETWEEN 1 AND 5)", "%d triage levels outside 1-5"),
             _rule("rules_admissions", "adm_facts", "active_without_ward", "admission_status = 'Active' AND ward_id IS NULL", "%d active admissions without ward"),

@@ -193,8 +193,15 @@ def metric(suite: str, name: str, severity: str, value_sql: str, msg_sql: str, t
     )
 
 
+def rowcount(suite: str, table: str) -> str:
+    return metric(suite, "row_count", "metric", f"SELECT CAST(count(*) AS BIGINT) AS failed FROM {table}", "NULL", tol=2**62)
+
+
 def empty(suite: str, table: str, msg: str) -> str:
-    return metric(suite, "empty", "issue", f"SELECT CAST(count(*) = 0 AS BIGINT) AS failed FROM {table}", f"'{msg}'")
+    return union([
+        metric(suite, "empty", "issue", f"SELECT CAST(count(*) = 0 AS BIGINT) AS failed FROM {table}", f"'{msg}'"),
+        rowcount(suite, table),
+    ])
 
 
 def static(suite: str, failed: int, msg: str) -> str:
@@ -398,6 +405,10 @@ ORACLE["vs_08_labs"] = with_views(["bronze_lab_results"], labs_suite())
 
 def silver_suites() -> str:
     return union([
+        rowcount("silver_patients", "silver_patients_dirty"),
+        rowcount("silver_admissions", "silver_admissions_dirty"),
+        rowcount("silver_pharmacy_inventory", "silver_pharmacy_dirty"),
+        rowcount("silver_lab_results", "silver_labs_dirty"),
         row_check("silver_patients", "silver_patients_dirty", "null_patient_id", "issue", "patient_id IS NULL", "%d null patient_ids"),
         row_check("silver_patients", "silver_patients_dirty", "future_birth", "issue", "date_of_birth > DATE '2001-08-01'", "%d future birth dates"),
         metric("silver_patients", "duplicate_patient_id", "issue",
@@ -433,6 +444,11 @@ def gold_suites() -> str:
             "AS failed, count(*) AS total, count(DISTINCT patient_key) + coalesce(max(CASE WHEN patient_key IS NULL THEN 1 ELSE 0 END), 0) AS uniq "
             "FROM g_dim_patient")
     return union([
+        rowcount("gold_dim_patient", "g_dim_patient"),
+        rowcount("gold_fact_admissions", "g_fact_adm"),
+        rowcount("gold_fact_pharmacy", "g_fact_pharm"),
+        rowcount("gold_patient_summary", "g_summary"),
+        rowcount("gold_daily_admissions_summary", "g_daily"),
         row_check("gold_dim_patient", "g_dim_patient", "null_key", "issue", "patient_key IS NULL", "%d null values in dimension key"),
         metric("gold_dim_patient", "duplicate_key", "issue",
                "SELECT CAST(count(*) AS BIGINT) AS failed FROM (SELECT patient_key FROM g_dim_patient GROUP BY 1 HAVING count(*) > 1)",

@@ -49,12 +49,31 @@ def _finish(df: DataFrame, suite: str) -> DataFrame:
     )
 
 
-def run_row_checks(df: DataFrame, suite: str, checks: list[RowCheck]) -> DataFrame:
-    """All row checks of a suite in one aggregate (one scan of ``df``)."""
-    if not checks:
-        return empty_results(df.sparkSession)
-    agg = df.agg(*[F.count_if(c.predicate).alias(f"_c{i}") for i, c in enumerate(checks)])
+ROW_COUNT = "row_count"
+METRIC = "metric"
+NEVER = 2**62
+
+
+def run_row_checks(
+    df: DataFrame, suite: str, checks: list[RowCheck], empty_message: str | None = None, counts: DataFrame | None = None
+) -> DataFrame:
+    """All row checks of a suite in one aggregate (one scan of ``df``).
+
+    The same aggregate also yields the ``row_count`` metric row and, when
+    ``empty_message`` is given, the ``empty`` check, so neither needs a scan
+    of its own.  ``counts`` may supply the aggregate pre-computed (columns
+    ``_n`` and ``_c<i>``), e.g. summed from a grouped pass.
+    """
+    if counts is None:
+        counts = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(c.predicate).alias(f"_c{i}") for i, c in enumerate(checks)])
+    agg = counts
+    extra = [F.struct(F.lit(ROW_COUNT).alias("check"), F.lit(METRIC).alias("severity"), F.col("_n").alias("failed"),
+                      F.lit(False).alias("fired"), F.lit(None).cast("string").alias("message"))]
+    if empty_message is not None:
+        extra.append(F.struct(F.lit("empty").alias("check"), F.lit(ISSUE).alias("severity"), (F.col("_n") == 0).cast("bigint").alias("failed"),
+                              (F.col("_n") == 0).alias("fired"), F.lit(empty_message).alias("message")))
     rows = F.array(
+        *extra,
         *[
             F.struct(
                 F.lit(c.name).alias("check"),
@@ -64,7 +83,7 @@ def run_row_checks(df: DataFrame, suite: str, checks: list[RowCheck]) -> DataFra
                 F.format_string(c.message, F.col(f"_c{i}")).alias("message"),
             )
             for i, c in enumerate(checks)
-        ]
+        ],
     )
     return _finish(agg.select(F.inline(rows)), suite)
 

@@ -1,7 +1,8 @@
 """Validation suites (VS-01..17) as check lists over DataFrames.
 
 Each suite returns the check rows of ``carelake.quality.checks``.  Row-level
-rules of a suite share one scan; each keyed rule adds one grouped pass.
+rules of a suite, its row count and its empty check share one aggregate;
+each keyed rule adds one grouped pass.
 Thresholds are configurable; a given config is merged over the defaults.
 Message texts follow the reference's wording.
 """
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import age_years_365, shift_days, shift_years, ts_lit
-from ..functions.lab_ranges import must_be_positive
+from ..functions.lab_ranges import REFERENCE_RANGES, classify, must_be_positive
 from ..functions.parse import lenient_double, lenient_timestamp
 from ..functions.text import has_unusual_chars, has_valid_id_format, is_blank, is_digits_only, text_length
 from ..operators import profile
@@ -71,12 +72,6 @@ def _schema_check(df: DataFrame, suite: str, table: str):
     return static_check(df.sparkSession, suite, "missing_columns", ISSUE, len(missing), msg), missing
 
 
-def _empty_check(df: DataFrame, suite: str, message: str):
-    one = df.agg(F.count(F.lit(1)).alias("n"))
-    v = (F.col("n") == 0).cast("bigint")
-    return metric_check(one, suite, "empty", ISSUE, v, F.lit(message))
-
-
 def _pk_checks(key: str, prefix: str = "") -> list[RowCheck]:
     return [RowCheck("pk_null", ISSUE, F.col(key).isNull(), f"%d null values in primary key {key}")]
 
@@ -92,9 +87,8 @@ def validate_patients(df: DataFrame, as_of: datetime, config: dict | None = None
     """VS-01."""
     cfg = _cfg(RECORDS_DEFAULTS, config)
     suite = "patients"
-    frames = [_empty_check(df, suite, "Table is empty")]
     schema, _missing = _schema_check(df, suite, "patients")
-    frames.append(schema)
+    frames = [schema]
     checks: list[RowCheck] = []
     if "patient_id" in df.columns:
         checks += _pk_checks("patient_id")
@@ -122,16 +116,15 @@ def validate_patients(df: DataFrame, as_of: datetime, config: dict | None = None
                 RowCheck(f"{col}_empty", WARNING, is_blank(col), f"%d empty {col} values"),
                 RowCheck(f"{col}_unusual", WARNING, has_unusual_chars(col), f"%d {col} values with unusual characters"),
             ]
-    frames.insert(1, run_row_checks(df, suite, checks))
+    frames.insert(0, run_row_checks(df, suite, checks, "Table is empty"))
     return union_all(frames)
 
 
 def validate_admissions(df: DataFrame, as_of: datetime, config: dict | None = None) -> DataFrame:
     """VS-02."""
     suite = "admissions"
-    frames = [_empty_check(df, suite, "Table is empty")]
     schema, _ = _schema_check(df, suite, "admissions")
-    frames.append(schema)
+    frames = [schema]
     checks: list[RowCheck] = []
     if "admission_id" in df.columns:
         checks += _pk_checks("admission_id")
@@ -145,23 +138,22 @@ def validate_admissions(df: DataFrame, as_of: datetime, config: dict | None = No
             RowCheck("date_future", WARNING, t > ts_lit(as_of), "%d future admission dates"),
             RowCheck("date_old", WARNING, t < ts_lit(shift_years(as_of, -2)), "%d admissions older than 2 years"),
         ]
-    frames.insert(1, run_row_checks(df, suite, checks))
+    frames.insert(0, run_row_checks(df, suite, checks, "Table is empty"))
     return union_all(frames)
 
 
 def validate_discharges(df: DataFrame, as_of: datetime, config: dict | None = None) -> DataFrame:
     """VS-03."""
     suite = "discharges"
-    frames = [_empty_check(df, suite, "Table is empty")]
     schema, _ = _schema_check(df, suite, "discharges")
-    frames.append(schema)
+    frames = [schema]
     checks: list[RowCheck] = []
     if "discharge_id" in df.columns:
         checks += _pk_checks("discharge_id")
         frames.append(_pk_duplicates(df, suite, "discharge_id", "%d duplicate values in primary key discharge_id"))
     if "discharge_date" in df.columns:
         checks.append(RowCheck("date_invalid", ISSUE, lenient_timestamp("discharge_date").isNull(), "%d invalid discharge dates"))
-    frames.insert(1, run_row_checks(df, suite, checks))
+    frames.insert(0, run_row_checks(df, suite, checks, "Table is empty"))
     return union_all(frames)
 
 
@@ -169,9 +161,8 @@ def validate_wards(df: DataFrame, as_of: datetime, config: dict | None = None) -
     """VS-04: negative capacities count as negative and as unrealistic."""
     cfg = _cfg(RECORDS_DEFAULTS, config)
     suite = "wards"
-    frames = [_empty_check(df, suite, "Table is empty")]
     schema, _ = _schema_check(df, suite, "wards")
-    frames.append(schema)
+    frames = [schema]
     checks: list[RowCheck] = []
     if "ward_id" in df.columns:
         checks += _pk_checks("ward_id")
@@ -183,21 +174,39 @@ def validate_wards(df: DataFrame, as_of: datetime, config: dict | None = None) -
             RowCheck("capacity_negative", ISSUE, cap < 0, "%d wards with negative capacity"),
             RowCheck("capacity_unrealistic", ISSUE, (cap < lo) | (cap > hi), "%d wards with unrealistic capacity"),
         ]
-    frames.insert(1, run_row_checks(df, suite, checks))
+    frames.insert(0, run_row_checks(df, suite, checks, "Table is empty"))
     return union_all(frames)
 
 
 # ------------------------------------------------------------------ pharmacy (VS-06)
 
+def _grouped_counts(df: DataFrame, key: str, checks: list[RowCheck], extra: list) -> DataFrame:
+    """One grouped pass: per ``key`` value, the row count, every row-check
+    count and ``extra`` aggregates.  Partial aggregation happens map-side, so
+    the shuffle carries one row per key value and map task."""
+    return df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.count_if(c.predicate).alias(f"_c{i}") for i, c in enumerate(checks)], *extra
+    )
+
+
+def _totals(g: DataFrame, checks: list[RowCheck]) -> DataFrame:
+    return g.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("_n"),
+        *[F.coalesce(F.sum(f"_c{i}"), F.lit(0)).cast("bigint").alias(f"_c{i}") for i in range(len(checks))],
+    )
+
+
 def validate_pharmacy(df: DataFrame, as_of: datetime, config: dict | None = None) -> DataFrame:
-    """VS-06: a missing required column stops the suite."""
+    """VS-06: a missing required column stops the suite.
+
+    Row checks, the empty check and the category checks come from one
+    pass grouped by category; duplicate ids add one keyed pass.
+    """
     cfg = _cfg(PHARMACY_DEFAULTS, config)
     suite = "pharmacy"
-    frames = [_empty_check(df, suite, "Drug inventory data is empty")]
     schema, missing = _schema_check(df, suite, "pharmacy")
-    frames.append(schema)
     if missing:
-        return union_all(frames)
+        return union_all([run_row_checks(df, suite, [], "Drug inventory data is empty"), schema])
     q = lenient_double("quantity")
     e = lenient_timestamp("expiry_date")
     now = ts_lit(as_of)
@@ -221,13 +230,18 @@ def validate_pharmacy(df: DataFrame, as_of: datetime, config: dict | None = None
         RowCheck("expiry_far_future", WARNING, e > ts_lit(as_of + timedelta(days=365 * 5)), "Found %d drugs with expiry dates >5 years in future"),
         RowCheck("expiry_before_2000", ISSUE, e < ts_lit(datetime(2000, 1, 1)), "Found %d drugs with expiry dates before 2000"),
     ]
-    if "category" in df.columns:
+    has_cat = "category" in df.columns
+    if has_cat:
         checks.append(RowCheck("category_missing", WARNING, is_blank("category"), "Found %d drugs without category"))
-    frames.append(run_row_checks(df, suite, checks))
+        g = _grouped_counts(df, "category", checks, [])
+        counts = _totals(g, checks)
+    else:
+        counts = None
+    frames = [run_row_checks(df, suite, checks, "Drug inventory data is empty", counts=counts), schema]
     frames.append(_pk_duplicates(df, suite, "drug_id", "Found %d duplicate drug IDs"))
-    if "category" in df.columns:
-        unknown = profile.unknown_values(df, "category", KNOWN_DRUG_CATEGORIES)
-        sample = profile.distinct_sample(unknown, "value", 5).agg(F.sort_array(F.collect_list("value")).alias("s"))
+    if has_cat:
+        unknown = g.filter(F.col("category").isNotNull() & ~F.col("category").isin(KNOWN_DRUG_CATEGORIES))
+        sample = profile.distinct_sample(unknown, "category", 5).agg(F.sort_array(F.collect_list("value")).alias("s"))
         counted = profile.attach_scalar(unknown.agg(F.count(F.lit(1)).alias("n")), sample)
         msg = F.concat(F.lit("Found unknown drug categories: ['"), F.array_join("s", "', '"), F.lit("']"))
         frames.append(metric_check(counted, suite, "category_unknown", WARNING, F.col("n"), msg))
@@ -237,14 +251,18 @@ def validate_pharmacy(df: DataFrame, as_of: datetime, config: dict | None = None
 # ------------------------------------------------------------------ labs (VS-08)
 
 def validate_lab_results(df: DataFrame, as_of: datetime, config: dict | None = None) -> DataFrame:
-    """VS-08: a missing required column stops the suite."""
+    """VS-08: a missing required column stops the suite.
+
+    One pass grouped by test type yields the row checks, the empty check,
+    rare types, non-numeric results and the per-class statistics (merged
+    from per-type count, mean and variance); outliers, same-time tests and
+    test intervals add one pass each.
+    """
     cfg = _cfg(LAB_DEFAULTS, config)
     suite = "lab_results"
-    frames = [_empty_check(df, suite, "Lab results data is empty")]
     schema, missing = _schema_check(df, suite, "lab_results")
-    frames.append(schema)
     if missing:
-        return union_all(frames)
+        return union_all([run_row_checks(df, suite, [], "Lab results data is empty"), schema])
     d = lenient_timestamp("test_date")
     x = lenient_double("result_value")
     now = ts_lit(as_of)
@@ -266,16 +284,29 @@ def validate_lab_results(df: DataFrame, as_of: datetime, config: dict | None = N
         RowCheck("result_negative", ISSUE, x.isNotNull() & must_be_positive("test_type") & (x < cfg["min_result_value"]),
                  "Found %d tests with negative values (should be positive)"),
     ]
-    frames.append(run_row_checks(df, suite, checks))
+    cls = classify("test_type")
+    lo = F.element_at(_range_bound(1), cls)
+    hi = F.element_at(_range_bound(2), cls)
+    g = _grouped_counts(df, "test_type", checks, [
+        F.count_if(x.isNull() & F.col("result_value").isNotNull()).alias("_nonnum"),
+        F.count(x).alias("_xn"),
+        F.avg(x).alias("_xmean"),
+        F.var_samp(x).alias("_xvar"),
+        F.count_if(x < lo).alias("_below"),
+        F.count_if(x > hi).alias("_above"),
+    ])
+    totals = profile.attach_scalar(_totals(g, checks), g.agg(F.coalesce(F.sum("_nonnum"), F.lit(0)).cast("bigint").alias("_nonnum")))
+    frames = [run_row_checks(df, suite, checks, "Lab results data is empty", counts=totals.drop("_nonnum")), schema]
 
     # non-numeric results, with up to five of their test types
-    nonnum = df.filter(x.isNull() & F.col("result_value").isNotNull())
-    types = profile.distinct_sample(nonnum, "test_type", 5).agg(F.sort_array(F.collect_list("value")).alias("s"))
-    counted = profile.attach_scalar(nonnum.agg(F.count(F.lit(1)).alias("n")), types)
+    types = profile.distinct_sample(g.filter(F.col("_nonnum") > 0), "test_type", 5).agg(F.sort_array(F.collect_list("value")).alias("s"))
+    counted = profile.attach_scalar(totals.select(F.col("_nonnum").alias("n")), types)
     msg = F.concat(F.lit("Found "), F.col("n").cast("string"), F.lit(" non-numeric results for test types: ['"), F.array_join("s", "', '"), F.lit("']"))
     frames.append(metric_check(counted, suite, "result_non_numeric", WARNING, F.col("n"), msg))
 
-    rare = profile.rare_values(df, "test_type").agg(F.count(F.lit(1)).alias("n"))
+    # rare test types: count below max(1, rows * 0.1 %)
+    rare = profile.attach_scalar(g.filter(F.col("test_type").isNotNull()), totals.select(F.col("_n").alias("_rows")))
+    rare = rare.agg(F.count_if(F.col("_n") < F.greatest(F.lit(1.0), F.col("_rows") * F.lit(0.001))).alias("n"))
     frames.append(metric_check(rare, suite, "test_type_rare", WARNING, F.col("n"), F.format_string("Found %d very rare test types (potential typos)", F.col("n"))))
 
     timed = df.select("patient_id", d.alias("_t"))
@@ -286,17 +317,22 @@ def validate_lab_results(df: DataFrame, as_of: datetime, config: dict | None = N
     frames.append(metric_check(freq, suite, "frequent_tests", WARNING, F.col("frequent_tests"),
                                F.format_string("Found %d tests with <1 day interval", F.col("frequent_tests"))))
 
-    numeric = df.select("test_type", x.alias("_x"))
-    stats = profile.class_statistics(numeric, "test_type", "_x")
+    stats = _merge_class_stats(g.withColumn("range_name", classify("test_type")))
     abnormal = stats.select(
         F.concat(F.lit("abnormal_"), F.col("range_name")).alias("check"),
-        F.coalesce(F.col("severity"), F.lit(WARNING)).alias("severity"),
+        F.when(F.col("total_abnormal") / F.col("count") > 0.5, F.lit(ISSUE)).otherwise(F.lit(WARNING)).alias("severity"),
         F.col("total_abnormal").alias("failed"),
         (F.col("total_abnormal") > 0).alias("fired"),
-        F.format_string("%s: %d abnormal results (%.1f%%)", F.col("range_name"), F.col("total_abnormal"), F.col("abnormal_pct") * 100).alias("message"),
+        F.format_string("%s: %d abnormal results (%.1f%%)", F.col("range_name"), F.col("total_abnormal"),
+                        F.col("total_abnormal") / F.col("count") * 100).alias("message"),
     )
     frames.append(abnormal.select(F.lit(suite).alias("suite"), "*").withColumn("message", F.when(F.col("fired"), F.col("message"))))
-    outl = profile.class_outliers(numeric, "test_type", "_x", sd=cfg["outlier_sd_threshold"]).select(
+
+    sd = cfg["outlier_sd_threshold"]
+    rows = df.select(classify("test_type").alias("range_name"), x.alias("_x")).filter(F.col("_x").isNotNull() & F.col("range_name").isNotNull())
+    joined = rows.join(F.broadcast(stats.select("range_name", "count", "mean", "std")), "range_name")
+    flagged = (F.col("count") > 10) & (F.col("std") > 0) & (F.abs(F.col("_x") - F.col("mean")) > F.lit(sd) * F.col("std"))
+    outl = joined.groupBy("range_name").agg(F.count_if(flagged).alias("outliers")).select(
         F.concat(F.lit("outliers_"), F.col("range_name")).alias("check"),
         F.lit(WARNING).alias("severity"),
         F.col("outliers").cast("bigint").alias("failed"),
@@ -307,6 +343,36 @@ def validate_lab_results(df: DataFrame, as_of: datetime, config: dict | None = N
     return union_all(frames)
 
 
+def _range_bound(idx: int):
+    """Map expression range name -> bound (1 = min, 2 = max)."""
+    return F.create_map(*[x for r in REFERENCE_RANGES for x in (F.lit(r[0]), F.lit(r[idx]))])
+
+
+def _merge_class_stats(g: DataFrame) -> DataFrame:
+    """Class-level count, mean, sample std, below/above from per-type partials.
+
+    Sample variance is merged exactly: M2 = sum(M2_i) + sum(n_i (mean_i - mean)^2).
+    At most one row per class (12) results.
+    """
+    per = g.filter(F.col("range_name").isNotNull() & (F.col("_xn") > 0))
+    c1 = per.groupBy("range_name").agg(
+        F.sum("_xn").alias("count"),
+        (F.sum(F.col("_xmean") * F.col("_xn")) / F.sum("_xn")).alias("mean"),
+        F.sum(F.coalesce(F.col("_xvar"), F.lit(0.0)) * (F.col("_xn") - 1)).alias("_m2w"),
+        F.sum("_below").alias("below"),
+        F.sum("_above").alias("above"),
+    )
+    spread = per.join(c1.select("range_name", F.col("mean").alias("_cm")), "range_name").groupBy("range_name").agg(
+        F.sum(F.col("_xn") * (F.col("_xmean") - F.col("_cm")) * (F.col("_xmean") - F.col("_cm"))).alias("_m2b")
+    )
+    out = c1.join(spread, "range_name")
+    std = F.when(F.col("count") > 1, F.sqrt((F.col("_m2w") + F.col("_m2b")) / (F.col("count") - 1)))
+    return out.select(
+        "range_name", F.col("count").cast("bigint").alias("count"), "mean", std.alias("std"),
+        (F.col("below") + F.col("above")).cast("bigint").alias("total_abnormal"),
+    )
+
+
 # ------------------------------------------------------------------ silver (VS-11..14)
 
 def validate_silver(table: str, df: DataFrame, as_of: datetime) -> DataFrame:

@@ -45,12 +45,15 @@ def shift_days(value: datetime | date | str, days: int) -> datetime:
 
 
 def date_key(c: Column | str) -> Column:
-    """Integer ``yyyyMMdd`` key (FN-03)."""
-    return F.date_format(c, "yyyyMMdd").cast("int")
+    """Integer ``yyyyMMdd`` key (FN-03), computed arithmetically (no string
+    formatting per row)."""
+    v = F.col(c) if isinstance(c, str) else c
+    return (F.year(v) * 10000 + F.month(v) * 100 + F.dayofmonth(v)).cast("int")
 
 
 def date_key_str(c: Column | str) -> Column:
-    return F.date_format(c, "yyyyMMdd")
+    """Text ``yyyyMMdd`` key."""
+    return F.lpad(date_key(c).cast("string"), 8, "0")
 
 
 def iso_day(c: Column | str) -> Column:

@@ -164,7 +164,9 @@ def bed_occupancy(adm_facts: DataFrame, open_until: datetime | None = None) -> D
     """DOC-09: one row per admission and calendar day of its stay.
 
     The day rows come from ``explode(sequence(...))`` on each stay, a narrow
-    per-row expansion bounded by the stay's length.  Open stays are included
+    per-row expansion bounded by the stay's length.  The row key is
+    ``xxhash64(admission_id, day)``: deterministic and cheap enough for the
+    fact's row volume (one row per stay-day).  Open stays are included
     up to ``open_until`` when it is given, else left out until discharged.
     The source data has no bed numbers, so the admission stands for the bed.
     """
@@ -173,18 +175,31 @@ def bed_occupancy(adm_facts: DataFrame, open_until: datetime | None = None) -> D
         end = F.coalesce(end, ts_lit(open_until))
     stays = adm_facts.select("admission_id", "ward_id", F.col("admission_timestamp").alias("_s"), end.alias("_e"))
     stays = stays.filter(F.col("_s").isNotNull() & F.col("_e").isNotNull() & (F.col("_e") >= F.col("_s")))
-    days = stays.select("*", F.explode(F.sequence(F.to_date("_s"), F.to_date("_e"))).alias("day"))
-    day_start = F.col("day").cast("timestamp_ntz")
-    day_end = F.date_add("day", 1).cast("timestamp_ntz")
-    lo = F.greatest(F.col("_s"), day_start)
-    hi = F.least(F.col("_e"), day_end)
+    # partial first/last-day hours are computed once per stay; middle days are 24
+    d0, d1 = F.to_date("_s"), F.to_date("_e")
+    stays = stays.select(
+        "*",
+        d0.alias("_d0"),
+        d1.alias("_d1"),
+        elapsed_hours("_s", F.date_add(d0, 1).cast("timestamp_ntz")).alias("_h_first"),
+        elapsed_hours(d1.cast("timestamp_ntz"), "_e").alias("_h_last"),
+        elapsed_hours("_s", "_e").alias("_h_same"),
+    )
+    days = stays.select("*", F.explode(F.sequence("_d0", "_d1")).alias("day"))
+    day = F.col("day")
+    hours = (
+        F.when((day == F.col("_d0")) & (day == F.col("_d1")), F.col("_h_same"))
+        .when(day == F.col("_d0"), F.col("_h_first"))
+        .when(day == F.col("_d1"), F.col("_h_last"))
+        .otherwise(F.lit(24.0))
+    )
     return days.select(
-        surrogate_key("admission_id", "day").alias("occupancy_key"),
+        F.xxhash64("admission_id", "day").alias("occupancy_key"),
         "admission_id",
         "ward_id",
         date_key("day").alias("occupancy_date_key"),
         F.lit("Occupied").alias("status"),
-        elapsed_hours(lo, hi).alias("occupancy_hours"),
+        hours.alias("occupancy_hours"),
         F.lit(1).alias("is_occupied"),
     )
 
@@ -199,8 +214,10 @@ def daily_operations(adm_facts: DataFrame, occupancy: DataFrame, wards: DataFram
     dis = adm_facts.filter(F.col("discharge_timestamp").isNotNull()).groupBy(
         date_key("discharge_timestamp").alias("date_key"), "ward_id"
     ).agg(F.count(F.lit(1)).alias("discharge_count"))
+    # one occupancy row per admission and day: a row count is the number of
+    # occupied beds, and it combines map-side (no distinct needed)
     occ = occupancy.groupBy(F.col("occupancy_date_key").alias("date_key"), "ward_id").agg(
-        F.countDistinct("admission_id").alias("occupied_beds"), F.sum("occupancy_hours").alias("total_occupancy_hours")
+        F.count(F.lit(1)).alias("occupied_beds"), F.sum("occupancy_hours").alias("total_occupancy_hours")
     )
     keys = ["date_key", "ward_id"]
     j = adm.join(dis, keys, "full").join(occ, keys, "full")

@@ -60,7 +60,7 @@ FROM admissions a LEFT JOIN (
   ON a.admission_id = d.admission_id"""
 
 VIEWS["occupancy"] = f"""
-SELECT {skey('admission_id', 'day')} AS occupancy_key, admission_id, ward_id,
+SELECT admission_id, ward_id,
        CAST(strftime(day, '%Y%m%d') AS INTEGER) AS occupancy_date_key, 'Occupied' AS status,
        (floor(epoch(least(e, CAST(day + 1 AS TIMESTAMP)))) - floor(epoch(greatest(s, CAST(day AS TIMESTAMP))))) / 3600.0 AS occupancy_hours,
        1 AS is_occupied
@@ -183,8 +183,7 @@ ORACLE["doc_08_admission_facts"] = with_views(["adm_facts"], "SELECT * FROM adm_
 ORACLE["doc_09_bed_occupancy"] = with_views(
     ["occupancy"],
     """SELECT admission_id, ward_id, CAST(count(*) AS BIGINT) AS bed_days, min(occupancy_date_key) AS first_date_key,
-       max(occupancy_date_key) AS last_date_key, round(sum(occupancy_hours), 6) AS occupancy_hours,
-       CAST(sum(occupancy_key % 1000) AS BIGINT) AS key_checksum
+       max(occupancy_date_key) AS last_date_key, round(sum(occupancy_hours), 6) AS occupancy_hours
 FROM occupancy GROUP BY 1, 2""",
 )
 

@@ -107,9 +107,9 @@ def q_snk_05(spark, d):
     return spark.table(view)
 
 
-@register("pln_01_pipeline_run")
-def q_pln_01(spark, d):
-    from .pipeline import Lake, run
+@register("run_01_medallion_build")
+def q_run_01(spark, d):
+    from .medallion import Lake, run
 
     lake = Lake(scratch_path(spark, "lake"))
     status = run(spark, d, lake, "20240201T000000Z", gb.LAB_AS_OF)

@@ -291,7 +291,7 @@ FROM patients""",
 )
 
 _N = "CAST(count(*) AS BIGINT)"
-ORACLE["pln_01_pipeline_run"] = with_views(
+ORACLE["run_01_medallion_build"] = with_views(
     ["bronze_lab_results", "bronze_pharmacy", "silver_patients_dirty", "silver_admissions_dirty",
      "silver_discharges_dirty", "silver_wards_dirty", "silver_labs_dirty", "silver_pharmacy_dirty"],
     f"""SELECT 'silver' AS layer, 'lab_results' AS "table", (SELECT {_N} FROM bronze_lab_results) AS rows, 'ok' AS status

@@ -6,7 +6,7 @@ from conftest import SF_SMALL
 
 from carelake.operators import kpi
 from carelake.plans import gold_build as gb
-from carelake.plans.pipeline import Lake, run, validate_layers
+from carelake.plans.medallion import Lake, run, validate_layers
 from carelake.session import scratch_path
 from carelake.sources import testviews as tv
 from carelake.streaming.incremental import ingest_labs_to_silver, run_daily_turnaround
@@ -14,7 +14,7 @@ from carelake.streaming.incremental import ingest_labs_to_silver, run_daily_turn
 AS_OF = datetime(2024, 2, 1)
 
 
-def test_pipeline_end_to_end(spark):
+def test_medallion_end_to_end(spark):
     lake = Lake(scratch_path(spark, "lake-test"))
     status = {r.table: r for r in run(spark, SF_SMALL, lake, "20240201T000000Z", AS_OF).collect()}
     assert all(r.status == "ok" for r in status.values()), [r for r in status.values() if r.status != "ok"]

@@ -67,7 +67,7 @@ def test_pharmacy_quantities_and_expiry(spark):
 def test_pharmacy_missing_column_stops_suite(spark):
     df = spark.createDataFrame([("1", "a")], "drug_id string, drug_name string")
     checks = {r.check for r in suites.validate_pharmacy(df, AS_OF).collect()}
-    assert checks == {"empty", "missing_columns"}
+    assert checks == {"empty", "missing_columns", "row_count"}
 
 
 def test_labs_reference_range_messages(spark):

@@ -239,3 +239,34 @@ def q_vs_09(spark, d):
 @register("vs_19_rollup")
 def q_vs_19(spark, d):
     return results.rollup(_suite_results(spark, d)).select("all_passed", "tables_checked")
+
+
+# ---------------------------------------------------------------- suite metrics
+
+
+@register("vs_01_metrics")
+def q_vs_01_metrics(spark, d):
+    from ..quality import metrics
+
+    return metrics.patient_metrics(tv.bronze_patients(spark, d), gb.ADM_AS_OF)
+
+
+@register("vs_02_metrics")
+def q_vs_02_metrics(spark, d):
+    from ..quality import metrics
+
+    return metrics.admission_metrics(tv.bronze_admissions(spark, d))
+
+
+@register("vs_06_metrics")
+def q_vs_06_metrics(spark, d):
+    from ..quality import metrics
+
+    return metrics.pharmacy_metrics(tv.bronze_pharmacy(spark, d), gb.LAB_AS_OF)
+
+
+@register("vs_08_summary")
+def q_vs_08_summary(spark, d):
+    from ..quality import metrics
+
+    return metrics.lab_summary(tv.bronze_lab_results(spark, d))

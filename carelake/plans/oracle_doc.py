@@ -322,3 +322,76 @@ UNION ALL SELECT 'gold', 'daily_admissions_summary', (SELECT {_N} FROM (SELECT D
 )
 
 ORACLE["str_01_incremental_labs"] = ORACLE["tb_01_silver_labs"]
+
+# ---------------------------------------------------------------- suite metrics
+
+from .oracle_more import ldouble, lts  # noqa: E402
+
+
+def _m(suite: str, metric: str, item: str, value: str, text: str, src: str) -> str:
+    return (f"SELECT '{suite}' AS suite, '{metric}' AS metric, CAST({item} AS VARCHAR) AS item, "
+            f"CAST({value} AS DOUBLE) AS value, CAST({text} AS VARCHAR) AS text FROM {src}")
+
+
+def _dist(suite: str, metric: str, col: str, table: str, top: int | None = None) -> str:
+    lim = f" ORDER BY n DESC, v ASC LIMIT {top}" if top else ""
+    return _m(suite, metric, "v", "n", "NULL", f"(SELECT {col} AS v, count(*) AS n FROM {table} WHERE {col} IS NOT NULL GROUP BY 1{lim})")
+
+
+_ISO = "'%Y-%m-%dT%H:%M:%S'"
+
+ORACLE["vs_01_metrics"] = with_views(
+    ["bronze_patients"],
+    "\nUNION ALL\n".join([
+        _m("patients", "total_patients", "NULL", "count(*)", "NULL", "bronze_patients"),
+        _m("patients", "average_age", "NULL",
+           f"round(avg(floor((epoch({ADM_AS_OF}) - epoch({lts('date_of_birth')})) / 86400)) / 365.25, 2)", "NULL", "bronze_patients"),
+        _dist("patients", "gender_distribution", "gender", "bronze_patients"),
+    ]),
+)
+
+ORACLE["vs_02_metrics"] = with_views(
+    ["bronze_admissions"],
+    "\nUNION ALL\n".join([
+        _m("admissions", "total_admissions", "NULL", "count(*)", "NULL", "bronze_admissions"),
+        _m("admissions", "latest_admission", "NULL", "NULL", f"strftime(max({lts('admission_date')}), {_ISO})", "bronze_admissions"),
+        _m("admissions", "earliest_admission", "NULL", "NULL", f"strftime(min({lts('admission_date')}), {_ISO})", "bronze_admissions"),
+        _dist("admissions", "top_wards", "ward_id", "bronze_admissions", top=10),
+    ]),
+)
+
+ORACLE["vs_06_metrics"] = with_views(
+    ["bronze_pharmacy"],
+    "\nUNION ALL\n".join([
+        _m("pharmacy", "total_drugs", "NULL", "count(*)", "NULL", "bronze_pharmacy"),
+        _m("pharmacy", "expired_drugs", "NULL", f"count_if({lts('expiry_date')} < {LAB_AS_OF})", "NULL", "bronze_pharmacy"),
+        _m("pharmacy", "total_quantity", "NULL", f"sum({ldouble('quantity')})", "NULL", "bronze_pharmacy"),
+        _m("pharmacy", "avg_quantity", "NULL", f"avg({ldouble('quantity')})", "NULL", "bronze_pharmacy"),
+        _dist("pharmacy", "drug_categories", "category", "bronze_pharmacy"),
+        _dist("pharmacy", "top_suppliers", "supplier", "bronze_pharmacy", top=5),
+    ]),
+)
+
+_LB = f"""(SELECT patient_id, test_type, {lts('test_date')} AS t, {ldouble('result_value')} AS x,
+          lower(trim(test_type)) AS std FROM bronze_lab_results)"""
+
+ORACLE["vs_08_summary"] = with_views(
+    ["bronze_lab_results"],
+    "\nUNION ALL\n".join([
+        _m("lab_results", "total_tests", "NULL", "count(*)", "NULL", _LB),
+        _m("lab_results", "unique_patients", "NULL", "count(DISTINCT patient_id)", "NULL", _LB),
+        _m("lab_results", "unique_test_types", "NULL", "count(DISTINCT test_type)", "NULL", _LB),
+        _m("lab_results", "unique_standardised_test_types", "NULL", "count(DISTINCT std)", "NULL", _LB),
+        _m("lab_results", "date_range_start", "NULL", "NULL", f"strftime(min(t), {_ISO})", _LB),
+        _m("lab_results", "date_range_end", "NULL", "NULL", f"strftime(max(t), {_ISO})", _LB),
+        _m("lab_results", "avg_tests_per_day", "NULL", "CAST(count(t) AS DOUBLE) / count(DISTINCT CAST(t AS DATE))", "NULL", _LB),
+        _m("lab_results", "result_mean", "NULL", "avg(x)", "NULL", _LB),
+        _m("lab_results", "result_median", "NULL", "median(x)", "NULL", _LB),
+        _m("lab_results", "result_std", "NULL", "stddev_samp(x)", "NULL", _LB),
+        _m("lab_results", "result_min", "NULL", "min(x)", "NULL", _LB),
+        _m("lab_results", "result_max", "NULL", "max(x)", "NULL", _LB),
+        _dist("lab_results", "test_type_distribution", "std", _LB, top=20),
+        _m("lab_results", "unclassified_test_types", "v", "NULL", "NULL",
+           f"(SELECT DISTINCT std AS v FROM {_LB} WHERE x IS NOT NULL AND std IS NOT NULL AND {classify_sql('std')} IS NULL ORDER BY 1 LIMIT 10)"),
+    ]),
+)

@@ -65,6 +65,14 @@ def epoch_seconds(c: Column | str) -> Column:
     return F.unix_timestamp(F.col(c) if isinstance(c, str) else c)
 
 
+def epoch_micros(c: Column | str) -> Column:
+    """Microseconds since the epoch of a wall-clock (NTZ) timestamp,
+    independent of the session time zone (no cast to a zoned timestamp)."""
+    v = F.col(c) if isinstance(c, str) else c
+    frac = (F.date_part(F.lit("SECOND"), v) * F.lit(1_000_000)).cast("bigint") % F.lit(1_000_000)
+    return F.unix_timestamp(v) * F.lit(1_000_000) + frac
+
+
 def elapsed_minutes(start: Column | str, end: Column | str) -> Column:
     return (epoch_seconds(end) - epoch_seconds(start)) / F.lit(60.0)
 

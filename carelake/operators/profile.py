@@ -16,7 +16,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import age_years_365, whole_days_between
+from ..functions.dates import age_years_365, epoch_micros, whole_days_between
 from ..functions.lab_ranges import REFERENCE_RANGES, classify
 
 
@@ -240,7 +240,7 @@ def test_intervals(df: DataFrame, patient: str, ts: str, bucket_seconds: int = 3
     times give an interval of 0.
     """
     base = df.filter(F.col(ts).isNotNull() & F.col(patient).isNotNull()).select(
-        *df.columns, F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(bucket_seconds * 1_000_000)).alias("_b")
+        *df.columns, F.floor(epoch_micros(ts) / F.lit(bucket_seconds * 1_000_000)).alias("_b")
     )
     per_bucket = base.groupBy(patient, "_b").agg(F.max(ts).alias("_bmax"))
     per_bucket = per_bucket.withColumn("_prev_bucket_max", F.lag("_bmax").over(Window.partitionBy(patient).orderBy("_b")))
@@ -248,7 +248,7 @@ def test_intervals(df: DataFrame, patient: str, ts: str, bucket_seconds: int = 3
     rows = base.withColumn("_prev_in_bucket", F.lag(ts).over(w))
     rows = rows.join(per_bucket.select(patient, "_b", "_prev_bucket_max"), [patient, "_b"], "left")
     prev = F.coalesce(F.col("_prev_in_bucket"), F.col("_prev_bucket_max"))
-    micros = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(prev.cast("timestamp"))
+    micros = epoch_micros(ts) - epoch_micros(prev)
     return rows.select(
         *df.columns,
         prev.alias("previous_test_time"),
@@ -268,7 +268,7 @@ def frequent_tests(df: DataFrame, patient: str, ts: str) -> DataFrame:
     finishes the count.  A patient holding a third of all rows is reduced
     map-side to one row per day before any shuffle.
     """
-    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    us = epoch_micros(ts)
     base = df.filter(F.col(ts).isNotNull() & F.col(patient).isNotNull()).select(
         F.col(patient).alias("_p"), us.alias("_us"), F.floor(us / F.lit(86_400_000_000)).alias("_b")
     )

@@ -66,8 +66,20 @@ def q_agg_02(spark, d):
     return gold.patient_summary(dim, gold.fallback_admission_counts(dim), gb.ADM_AS_OF)
 
 
+def _utc(fn: Query) -> Query:
+    """Run a query in a UTC session (PRJ-11): all source times are wall-clock."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def all_queries() -> dict[str, Query]:
     # import side modules that register more queries
     from . import catalog_more  # noqa: F401
 
-    return dict(QUERIES)
+    return {name: _utc(fn) for name, fn in QUERIES.items()}

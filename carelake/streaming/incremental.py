@@ -47,7 +47,9 @@ def daily_turnaround_stream(silver_rows: DataFrame, lateness: str = "2 days") ->
     """Daily tests, mean turnaround and tests over 120 minutes, per sample day.
 
     A watermark on the sample time bounds the state: a day's row is emitted
-    once samples ``lateness`` newer than the day's end have been seen.
+    once samples ``lateness`` newer than the day's end have been seen.  Run in
+    a UTC session (as every job of the library): the wall-clock sample time
+    is read as UTC for the event-time window.
     """
     tat = elapsed_minutes("sample_datetime", "completed_datetime")
     withts = silver_rows.withColumn("_sample_ts", F.col("sample_datetime").cast("timestamp")).withWatermark("_sample_ts", lateness)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import calendar_age, date_key, elapsed_hours, elapsed_minutes, ts_lit
 from ..functions.keys import surrogate_key
 from ..functions.lab_ranges import classify
+from ..functions.numeric import stable
 from ..quality.checks import ISSUE, RowCheck, run_row_checks, union_all
 from .dedupe import latest_per_key
 from .gold import dim_date
@@ -232,7 +233,7 @@ def daily_operations(adm_facts: DataFrame, occupancy: DataFrame, wards: DataFram
         F.coalesce(F.col("admission_count"), F.lit(0)).cast("bigint").alias("admission_count"),
         F.coalesce(F.col("discharge_count"), F.lit(0)).cast("bigint").alias("discharge_count"),
         occupied.alias("occupied_beds"),
-        F.coalesce(F.col("total_occupancy_hours"), F.lit(0.0)).alias("total_occupancy_hours"),
+        stable(F.coalesce(F.col("total_occupancy_hours"), F.lit(0.0))).alias("total_occupancy_hours"),
         F.round(F.try_divide(occupied.cast("double") * 100.0, F.col("total_beds").cast("double")), 2).alias("occupancy_rate"),
     )
 
@@ -376,11 +377,11 @@ def patient_care_daily(vital_facts: DataFrame, lab_facts: DataFrame) -> DataFram
     v = vital_facts.groupBy(F.col("measurement_date_key").alias("date_key")).agg(
         F.count_if("is_critical").alias("critical_vitals_count"),
         F.countDistinct(F.when(F.col("is_critical"), F.col("patient_id"))).alias("patients_with_critical_vitals"),
-        F.avg("ews_score").alias("avg_ews_score"),
+        stable(F.avg("ews_score")).alias("avg_ews_score"),
     )
     lab = lab_facts.groupBy(F.col("sample_date_key").alias("date_key")).agg(
         F.sum("is_completed").cast("bigint").alias("completed_tests"),
-        F.avg("turnaround_minutes").alias("avg_turnaround_minutes"),
+        stable(F.avg("turnaround_minutes")).alias("avg_turnaround_minutes"),
         F.count_if("is_delayed").alias("delayed_tests_count"),
     )
     return v.join(lab, "date_key", "full")
@@ -390,10 +391,10 @@ def pharmacy_kpi(inv_facts: DataFrame) -> DataFrame:
     """DOC-12: one row per snapshot."""
     return inv_facts.groupBy("snapshot_date_key").agg(
         F.count(F.lit(1)).alias("total_drugs"),
-        F.sum("stock_value").alias("total_inventory_value"),
+        stable(F.sum("stock_value")).alias("total_inventory_value"),
         F.count_if("low_stock").alias("low_stock_items"),
         F.count_if("expiring_soon").alias("expiring_soon_items"),
-        F.avg("days_until_expiry").alias("avg_days_until_expiry"),
+        stable(F.avg("days_until_expiry")).alias("avg_days_until_expiry"),
         F.round(F.try_divide(F.count_if("low_stock").cast("double") * 100.0, F.count(F.lit(1)).cast("double")), 2).alias("low_stock_percentage"),
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_key, date_key_str
+from ..functions.numeric import stable
 
 
 def daily_admissions_by_ward(fact_adm: DataFrame, dim_w: DataFrame) -> DataFrame:
@@ -33,7 +34,7 @@ def daily_lab_turnaround(fact_tat: DataFrame) -> DataFrame:
     """AGG-05: tests, mean turnaround and tests over 120 minutes per day."""
     return fact_tat.groupBy(date_key("sample_time").alias("date_key")).agg(
         F.count(F.lit(1)).alias("tests_count"),
-        F.avg("turnaround_minutes").alias("avg_turnaround_minutes"),
+        stable(F.avg("turnaround_minutes")).alias("avg_turnaround_minutes"),
         F.sum(F.when(F.col("turnaround_minutes") > 120, 1).otherwise(0)).cast("bigint").alias("delayed_tests_over_120m"),
     )
 

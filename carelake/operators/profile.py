@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import age_years_365, epoch_micros, whole_days_between
 from ..functions.lab_ranges import REFERENCE_RANGES, classify
+from ..functions.numeric import stable
 
 
 def _c(c: Column | str) -> Column:
@@ -147,12 +148,13 @@ def exact_median(values: DataFrame, col: str) -> DataFrame:
 def result_statistics(df: DataFrame, col: str) -> DataFrame:
     """AGG-15: mean, median, sample std, min and max of the non-NULL values."""
     base = df.agg(
-        F.avg(col).alias("mean"),
-        F.stddev_samp(col).alias("std"),
+        stable(F.avg(col)).alias("mean"),
+        stable(F.stddev_samp(col)).alias("std"),
         F.min(col).cast("double").alias("min"),
         F.max(col).cast("double").alias("max"),
     )
-    return attach_scalar(base, exact_median(df, col)).select("mean", "median", "std", "min", "max")
+    med = exact_median(df, col).select(stable(F.col("median")).alias("median"))
+    return attach_scalar(base, med).select("mean", "median", "std", "min", "max")
 
 
 def tests_per_day(df: DataFrame, ts: Column | str) -> DataFrame:
@@ -196,13 +198,13 @@ def class_statistics(df: DataFrame, test_type: str, value: str) -> DataFrame:
     hi = F.element_at(bounds_hi, F.col("range_name"))
     stats = rows.groupBy("range_name").agg(
         F.count(F.lit(1)).alias("count"),
-        F.avg("x").alias("mean"),
-        F.stddev_samp("x").alias("std"),
+        stable(F.avg("x")).alias("mean"),
+        stable(F.stddev_samp("x")).alias("std"),
         F.count_if(F.col("x") < lo).alias("below_range"),
         F.count_if(F.col("x") > hi).alias("above_range"),
     )
     stats = stats.withColumn("total_abnormal", F.col("below_range") + F.col("above_range"))
-    stats = stats.withColumn("abnormal_pct", F.col("total_abnormal").cast("double") / F.col("count"))
+    stats = stats.withColumn("abnormal_pct", stable(F.col("total_abnormal").cast("double") / F.col("count")))
     return stats.withColumn(
         "severity",
         F.when(F.col("total_abnormal") == 0, F.lit(None)).when(F.col("abnormal_pct") > 0.5, F.lit("issue")).otherwise(F.lit("warning")),

@@ -193,7 +193,7 @@ ORACLE["doc_10_daily_operations"] = with_views(
        CAST(coalesce(admission_count, 0) AS BIGINT) AS admission_count,
        CAST(coalesce(discharge_count, 0) AS BIGINT) AS discharge_count,
        CAST(coalesce(occupied_beds, 0) AS BIGINT) AS occupied_beds,
-       coalesce(total_occupancy_hours, 0.0) AS total_occupancy_hours,
+       round(coalesce(total_occupancy_hours, 0.0), 6) AS total_occupancy_hours,
        CASE WHEN w.capacity = 0 THEN NULL
             ELSE round(CAST(coalesce(occupied_beds, 0) AS DOUBLE) * 100.0 / w.capacity, 2) END AS occupancy_rate
 FROM (SELECT admission_date_key AS date_key, ward_id, count(*) AS admission_count FROM adm_facts GROUP BY 1, 2) a
@@ -210,17 +210,17 @@ ORACLE["doc_11_patient_care"] = with_views(
        completed_tests, avg_turnaround_minutes, delayed_tests_count
 FROM (SELECT measurement_date_key AS date_key, CAST(count_if(is_critical) AS BIGINT) AS critical_vitals_count,
              CAST(count(DISTINCT CASE WHEN is_critical THEN patient_id END) AS BIGINT) AS patients_with_critical_vitals,
-             avg(ews_score) AS avg_ews_score FROM vital_facts GROUP BY 1) v
+             round(avg(ews_score), 6) AS avg_ews_score FROM vital_facts GROUP BY 1) v
 FULL OUTER JOIN (SELECT sample_date_key AS date_key, CAST(sum(is_completed) AS BIGINT) AS completed_tests,
-             avg(turnaround_minutes) AS avg_turnaround_minutes, CAST(count_if(is_delayed) AS BIGINT) AS delayed_tests_count
+             round(avg(turnaround_minutes), 6) AS avg_turnaround_minutes, CAST(count_if(is_delayed) AS BIGINT) AS delayed_tests_count
              FROM lab_facts GROUP BY 1) l USING (date_key)""",
 )
 
 ORACLE["doc_12_pharmacy_kpi"] = with_views(
     ["pharm_facts"],
-    """SELECT snapshot_date_key, CAST(count(*) AS BIGINT) AS total_drugs, sum(stock_value) AS total_inventory_value,
+    """SELECT snapshot_date_key, CAST(count(*) AS BIGINT) AS total_drugs, round(sum(stock_value), 6) AS total_inventory_value,
        CAST(count_if(low_stock) AS BIGINT) AS low_stock_items, CAST(count_if(expiring_soon) AS BIGINT) AS expiring_soon_items,
-       avg(days_until_expiry) AS avg_days_until_expiry,
+       round(avg(days_until_expiry), 6) AS avg_days_until_expiry,
        round(CAST(count_if(low_stock) AS DOUBLE) * 100.0 / count(*), 2) AS low_stock_percentage
 FROM pharm_facts GROUP BY 1""",
 )
@@ -385,9 +385,9 @@ ORACLE["vs_08_summary"] = with_views(
         _m("lab_results", "date_range_start", "NULL", "NULL", f"strftime(min(t), {_ISO})", _LB),
         _m("lab_results", "date_range_end", "NULL", "NULL", f"strftime(max(t), {_ISO})", _LB),
         _m("lab_results", "avg_tests_per_day", "NULL", "CAST(count(t) AS DOUBLE) / count(DISTINCT CAST(t AS DATE))", "NULL", _LB),
-        _m("lab_results", "result_mean", "NULL", "avg(x)", "NULL", _LB),
-        _m("lab_results", "result_median", "NULL", "median(x)", "NULL", _LB),
-        _m("lab_results", "result_std", "NULL", "stddev_samp(x)", "NULL", _LB),
+        _m("lab_results", "result_mean", "NULL", "round(avg(x), 6)", "NULL", _LB),
+        _m("lab_results", "result_median", "NULL", "round(median(x), 6)", "NULL", _LB),
+        _m("lab_results", "result_std", "NULL", "round(stddev_samp(x), 6)", "NULL", _LB),
         _m("lab_results", "result_min", "NULL", "min(x)", "NULL", _LB),
         _m("lab_results", "result_max", "NULL", "max(x)", "NULL", _LB),
         _dist("lab_results", "test_type_distribution", "std", _LB, top=20),

@@ -84,7 +84,8 @@ ORACLE["agg_14_quantity"] = with_views(
 
 ORACLE["agg_15_result_statistics"] = with_views(
     ["lab_results"],
-    """SELECT avg(result_value) AS mean, median(result_value) AS median, stddev_samp(result_value) AS std,
+    """SELECT round(avg(result_value), 6) AS mean, round(median(result_value), 6) AS median,
+       round(stddev_samp(result_value), 6) AS std,
        CAST(min(result_value) AS DOUBLE) AS min, CAST(max(result_value) AS DOUBLE) AS max FROM lab_results""",
 )
 
@@ -107,7 +108,7 @@ FROM patients""",
 )
 
 _CLASS_STATS = f"""
-SELECT range_name, CAST(count(*) AS BIGINT) AS count, avg(x) AS mean, stddev_samp(x) AS std,
+SELECT range_name, CAST(count(*) AS BIGINT) AS count, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std,
        CAST(count_if(x < {bound_sql('range_name', 1)}) AS BIGINT) AS below_range,
        CAST(count_if(x > {bound_sql('range_name', 2)}) AS BIGINT) AS above_range
 FROM (SELECT {classify_sql('test_type')} AS range_name, result_value AS x FROM lab_results WHERE result_value IS NOT NULL)
@@ -116,7 +117,7 @@ WHERE range_name IS NOT NULL GROUP BY 1"""
 ORACLE["agg_18_reference_ranges"] = with_views(
     ["lab_results"],
     f"""SELECT *, below_range + above_range AS total_abnormal,
-       CAST(below_range + above_range AS DOUBLE) / count AS abnormal_pct,
+       round(CAST(below_range + above_range AS DOUBLE) / count, 6) AS abnormal_pct,
        CASE WHEN below_range + above_range = 0 THEN NULL
             WHEN CAST(below_range + above_range AS DOUBLE) / count > 0.5 THEN 'issue' ELSE 'warning' END AS severity
 FROM ({_CLASS_STATS})""",

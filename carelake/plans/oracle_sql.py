@@ -155,7 +155,7 @@ ORACLE["agg_05_daily_lab_turnaround"] = with_views(
     ["fact_lab_turnaround"],
     """SELECT CAST(strftime(sample_time, '%Y%m%d') AS INTEGER) AS date_key,
        CAST(count(*) AS BIGINT) AS tests_count,
-       avg(turnaround_minutes) AS avg_turnaround_minutes,
+       round(avg(turnaround_minutes), 6) AS avg_turnaround_minutes,
        CAST(sum(CASE WHEN turnaround_minutes > 120 THEN 1 ELSE 0 END) AS BIGINT) AS delayed_tests_over_120m
 FROM fact_lab_turnaround GROUP BY 1""",
 )

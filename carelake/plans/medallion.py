@@ -43,18 +43,36 @@ class Lake:
 
 
 def land_test_bronze(spark: SparkSession, sf_dir: str, lake: Lake, run_id: str, run_day: datetime) -> None:
-    """Land the faulty bronze views in the reference's bronze layout (SNK-02)."""
-    tv.bronze_lab_results(spark, sf_dir).write.mode("overwrite").parquet(publish.dated_path(lake.bronze(), "lab_results", run_day))
-    tv.bronze_pharmacy(spark, sf_dir).write.mode("overwrite").options(**CSV_OPTS).csv(lake.bronze("pharmacy"))
-    for name, view in (
-        ("patients", tv.bronze_patients),
-        ("admissions", tv.bronze_admissions),
-        ("discharges", tv.bronze_discharges),
-        ("wards", tv.bronze_wards),
-    ):
-        df = view(spark, sf_dir)
-        # views that carry their own snapshots keep them; the others land as this run
-        publish.land_snapshot(df, lake.bronze("postgres", name), None if "dt" in df.columns else run_id)
+    """Land the faulty bronze views in the reference's bronze layout (SNK-02);
+    the six landings are independent and run as concurrent jobs."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def labs():
+        tv.bronze_lab_results(spark, sf_dir).write.mode("overwrite").parquet(publish.dated_path(lake.bronze(), "lab_results", run_day))
+
+    def pharmacy():
+        tv.bronze_pharmacy(spark, sf_dir).write.mode("overwrite").options(**CSV_OPTS).csv(lake.bronze("pharmacy"))
+
+    def snapshot(name, view):
+        def go():
+            df = view(spark, sf_dir)
+            # views that carry their own snapshots keep them; the others land as this run
+            publish.land_snapshot(df, lake.bronze("postgres", name), None if "dt" in df.columns else run_id)
+
+        return go
+
+    jobs = [labs, pharmacy] + [
+        snapshot(n, v)
+        for n, v in (
+            ("patients", tv.bronze_patients),
+            ("admissions", tv.bronze_admissions),
+            ("discharges", tv.bronze_discharges),
+            ("wards", tv.bronze_wards),
+        )
+    ]
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for f in [pool.submit(j) for j in jobs]:
+            f.result()
 
 
 def bronze_to_silver(spark: SparkSession, lake: Lake, as_of: datetime) -> DataFrame:

@@ -9,6 +9,7 @@ a failed job rewrites the same output.
 from __future__ import annotations
 
 import traceback
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -24,7 +25,7 @@ CSV_WRITE_OPTIONS = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTr
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet", partition_by: list[str] | None = None) -> int:
     """SNK-01: write and return the row count observed during the write."""
-    obs = Observation(f"rows_{abs(hash(path))}")
+    obs = Observation(f"rows_{uuid.uuid4().hex}")
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -37,19 +38,14 @@ def land_snapshot(df: DataFrame, table_root: str, run_id: str | None, fmt: str =
 
     With ``run_id=None`` the frame's own ``dt`` column names the snapshots.
     """
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        obs = Observation(f"land_{run_id or 'dt'}_{abs(hash(table_root))}")
-        out = (df if run_id is None else df.withColumn("dt", F.lit(run_id))).observe(obs, F.count(F.lit(1)).alias("rows"))
-        w = out.write.mode("overwrite").partitionBy("dt").format(fmt)
-        if fmt == "csv":
-            w = w.options(**CSV_WRITE_OPTIONS)
-        w.save(table_root)
-        return int(obs.get["rows"])
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    obs = Observation(f"land_{uuid.uuid4().hex}")
+    out = (df if run_id is None else df.withColumn("dt", F.lit(run_id))).observe(obs, F.count(F.lit(1)).alias("rows"))
+    # per-write option: only the partitions present in this write are replaced
+    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").format(fmt)
+    if fmt == "csv":
+        w = w.options(**CSV_WRITE_OPTIONS)
+    w.save(table_root)
+    return int(obs.get["rows"])
 
 
 def dated_path(root: str, table: str, when: datetime) -> str:
@@ -102,22 +98,28 @@ def build_tables(
     spark: SparkSession,
     builders: dict[str, Callable[[], DataFrame | None]],
     root: str,
+    parallelism: int = 4,
 ) -> DataFrame:
     """SNK-08: build each table in isolation; one failure does not stop the rest.
 
-    Returns ``(table, rows, status, error)`` — status ``ok``, ``skipped``
-    (builder returned None) or ``failed`` — so the caller sees failures
-    instead of them being only logged.
+    Independent tables are written as concurrent Spark jobs (``parallelism``
+    driver threads), so many small tables do not leave the cluster idle.
+    Returns ``(table, rows, status, error)`` in builder order — status
+    ``ok``, ``skipped`` (builder returned None) or ``failed`` — so the caller
+    sees failures instead of them being only logged.
     """
-    report = []
-    for name, build in builders.items():
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(item):
+        name, build = item
         try:
             df = build()
             if df is None:
-                report.append((name, None, "skipped", None))
-                continue
-            rows = write_table(df, f"{root.rstrip('/')}/{name}")
-            report.append((name, rows, "ok", None))
+                return (name, None, "skipped", None)
+            return (name, write_table(df, f"{root.rstrip('/')}/{name}"), "ok", None)
         except Exception as e:  # noqa: BLE001 - reported per table
-            report.append((name, None, "failed", f"{type(e).__name__}: {e}"[:500] or traceback.format_exc()[-500:]))
+            return (name, None, "failed", (f"{type(e).__name__}: {e}" or traceback.format_exc())[:500])
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        report = list(pool.map(one, builders.items()))
     return spark.createDataFrame(report, "table string, rows bigint, status string, error string")

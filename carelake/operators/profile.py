@@ -3,9 +3,8 @@ SET-02, LIM-01, JN-06).
 
 Every operator returns a DataFrame.  Aggregates combine map-side before the
 shuffle, so a value holding a third of all rows is reduced in every map task.
-Totals needed next to per-group rows are attached with an equi-join on a
-constant key against a one-row aggregate (a broadcast of one row), never with
-a global window.
+Totals needed next to per-group rows are attached as scalar subqueries of a
+one-row aggregate, never with a global window or a join.
 """
 
 from __future__ import annotations
@@ -26,8 +25,12 @@ def _c(c: Column | str) -> Column:
 
 
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Join a one-row aggregate onto every row (equi-join on a constant)."""
-    return df.withColumn("_one", F.lit(1)).join(F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one").drop("_one")
+    """Add the columns of a one-row aggregate to every row.
+
+    Each value is a scalar subquery: computed once, then used as a constant
+    by every task — no join, no cross product.
+    """
+    return df.withColumns({c: one_row.select(c).scalar() for c in one_row.columns})
 
 
 # ---------------------------------------------------------------- duplicates and keys

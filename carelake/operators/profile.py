@@ -27,10 +27,13 @@ def _c(c: Column | str) -> Column:
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Add the columns of a one-row aggregate to every row.
 
-    Each value is a scalar subquery: computed once, then used as a constant
-    by every task — no join, no cross product.
+    All values travel in one struct-valued scalar subquery: the aggregate is
+    computed once, then used as a constant by every task — no join, no cross
+    product.
     """
-    return df.withColumns({c: one_row.select(c).scalar() for c in one_row.columns})
+    cols = one_row.columns
+    packed = one_row.select(F.struct(*cols).alias("_v")).scalar()
+    return df.withColumn("_scalar", packed).select(*df.columns, *[F.col(f"_scalar.{c}").alias(c) for c in cols])
 
 
 # ---------------------------------------------------------------- duplicates and keys

@@ -189,10 +189,11 @@ def _grouped_counts(df: DataFrame, key: str, checks: list[RowCheck], extra: list
     )
 
 
-def _totals(g: DataFrame, checks: list[RowCheck]) -> DataFrame:
+def _totals(g: DataFrame, checks: list[RowCheck], extra: tuple[str, ...] = ()) -> DataFrame:
     return g.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("_n"),
         *[F.coalesce(F.sum(f"_c{i}"), F.lit(0)).cast("bigint").alias(f"_c{i}") for i in range(len(checks))],
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in extra],
     )
 
 
@@ -295,7 +296,7 @@ def validate_lab_results(df: DataFrame, as_of: datetime, config: dict | None = N
         F.count_if(x < lo).alias("_below"),
         F.count_if(x > hi).alias("_above"),
     ])
-    totals = profile.attach_scalar(_totals(g, checks), g.agg(F.coalesce(F.sum("_nonnum"), F.lit(0)).cast("bigint").alias("_nonnum")))
+    totals = _totals(g, checks, ("_nonnum",))
     frames = [run_row_checks(df, suite, checks, "Lab results data is empty", counts=totals.drop("_nonnum")), schema]
 
     # non-numeric results, with up to five of their test types

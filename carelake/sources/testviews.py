@@ -15,6 +15,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import needs_spread
+
 # Fixed run dates of the test views.
 ORDERS_AS_OF = datetime(2001, 8, 1)
 EVENTS_AS_OF = datetime(2024, 2, 1)
@@ -38,8 +40,24 @@ STATUS_BY_ORDER_STATUS = [("O", "Active"), ("F", "Discharged"), ("P", "Transferr
 ALERT_TYPES = ["HEART_RATE", "SPO2", "BLOOD_PRESSURE"]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# (application id, path) -> partitions to spread to; the test tables are read-only
+_SPREAD: dict[tuple[str, str], int] = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """One test table.  ``spread`` (used by the bronze views, whose per-row
+    text work is heavy) applies the scan-parallelism floor: each test table is
+    one file with one row group, read by a single task.  Views that aggregate
+    right after the scan read it as is, since there a spread costs more than
+    it saves."""
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
+    if not spread:
+        return df
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SPREAD:
+        _SPREAD[key] = needs_spread(df)
+    return df.repartition(_SPREAD[key]) if _SPREAD[key] else df
 
 
 def _case(col: Column, pairs) -> Column:
@@ -78,8 +96,8 @@ def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+def admissions(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    o = table(spark, sf_dir, "orders", spread)
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     return o.join(c, o.o_custkey == c.c_custkey, "inner").select(
         F.col("o_orderkey").alias("admission_id"),
@@ -151,7 +169,7 @@ def _iso_ts(c: Column) -> Column:
 
 def bronze_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two snapshots (``dt``) of raw patient rows; the later one changes every 50th."""
-    c = table(spark, sf_dir, "customer")
+    c = table(spark, sf_dir, "customer", spread=True)
     key = F.col("c_custkey")
     dob = F.date_add(F.lit("1930-01-01").cast("date"), F.pmod(key * 37, F.lit(36500)).cast("int"))
     base = c.select(
@@ -168,7 +186,7 @@ def bronze_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = admissions(spark, sf_dir)
+    a = admissions(spark, sf_dir, spread=True)
     raw = a.select(
         F.col("admission_id").cast("string").alias("admission_id"),
         F.when(_mod("admission_id", 101) == 1, F.lit(None)).otherwise(F.col("patient_id").cast("string")).alias("patient_id"),
@@ -182,7 +200,7 @@ def bronze_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_lab_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    e = table(spark, sf_dir, "events", spread=True)
     k = "event_id"
     test_type = _case(F.col("event_type"), TEST_TYPE_BY_EVENT)
     return e.select(
@@ -205,7 +223,7 @@ def bronze_lab_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_pharmacy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part")
+    p = table(spark, sf_dir, "part", spread=True)
     k = "p_partkey"
     expiry = F.date_add(F.lit("2024-02-01").cast("date"), (F.pmod(F.col(k), F.lit(800)) - 100).cast("int"))
     raw = p.select(

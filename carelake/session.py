@@ -18,7 +18,8 @@ def build_session(
     """Create (or reuse) a session with the settings the library relies on.
 
     UTC session time zone (all timestamps are wall-clock NTZ at the source),
-    AQE with partition coalescing and skew-join splitting, UI off.  On a
+    AQE with partition coalescing and skew-join splitting, UI off, no
+    per-call Python call-site capture.  On a
     cluster leave ``master`` None so the launcher's master is used.
     """
     b = SparkSession.builder.appName(app_name)
@@ -32,6 +33,10 @@ def build_session(
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # no Python call-site capture per DataFrame function call: it costs
+        # several JVM round-trips each and dominated plan construction of the
+        # large suite plans; pass it as ``extra`` to get call sites in errors
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import token_count, token_output, url_filter
+from . import decontaminate, simhash, token_count, token_output, url_filter
 from .common import small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,3 +78,41 @@ m AS (
 SELECT page_id, u.host, u.path, rule, coalesce(verdict, 'allow') AS verdict
 FROM u LEFT JOIN m ON u.host = m.host AND u.path = m.path
 """
+
+
+@register("op8_decontamination")
+def op8(spark: SparkSession, d: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+ORACLES["op8_decontamination"] = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+win AS (
+  SELECT DISTINCT item, w[i : i + least(10, len(w)) - 1] AS words, least(10, len(w)) AS n
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+spots AS (
+  SELECT r, i, n, w[i : i + n - 1] AS words
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+hit AS (SELECT r, i, spots.n, item FROM spots JOIN win ON spots.words = win.words),
+n_hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT r, i, n FROM hit)) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n_hit USING (r) LEFT JOIN items USING (r)
+"""
+
+
+@register("op10_simhash")
+def op10(spark: SparkSession, d: str) -> DataFrame:
+    small_batches(spark)
+    found = simhash.near_duplicates(table(spark, d, "documents"))
+    return found.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")

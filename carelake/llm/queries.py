@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, mixing, quality_rules, simhash, token_count, token_output, url_filter
-from .common import small_batches, table
+from . import decontaminate, mixing, quality_rules, simhash, token_count, token_output, toxicity, url_filter, warc_revisit
+from .common import fold, small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -169,3 +169,89 @@ SELECT doc_id, source, lang, topic, tokens::BIGINT AS tokens, round(p, 6) AS pro
 
 
 ORACLES["op5_mixing"] = _mixing_sql()
+
+
+@register("op7_toxicity")
+def op7(spark: SparkSession, d: str) -> DataFrame:
+    small_batches(spark)
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    scorer = toxicity.fit(docs, table(spark, d, "labels"))
+    found, _ = toxicity.score(docs, scorer, keep=["doc_id"])
+    held_out = fold(F.col("doc_id"), toxicity.FOLDS) == toxicity.HELD_OUT
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted", F.transform("evidence", lambda e: e["id"]).alias("evidence"))
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """Web captures made from ``pages``: each page's full response, checks of it by 304 under other spellings of
+    its url, and for some pages a changed response, checks without or with stale validators, and one too early."""
+    k, day = F.col("page_id"), 86400
+    begin = F.lit(1_704_067_200) + F.pmod(k, F.lit(1000)) * 3600
+    tag = lambda version: F.concat(F.lit('"'), F.md5(F.concat("html", F.lit(version)).cast("binary")), F.lit('"'))
+    when = lambda days: F.concat(F.lit("day "), (F.floor(begin / day) + days).cast("string"))
+    bare = F.regexp_replace("url", "#.*$", "")
+    tracked = F.concat(bare, F.when(bare.contains("?"), "&").otherwise("?"), F.lit("utm_source=recrawl#checked"))
+
+    def capture(name: str, days: int, status: int, url, headers: dict, only=None):
+        entries = F.map_from_entries(F.array_compact(F.array(*[F.when(v.isNotNull(), F.struct(F.lit(n).alias("key"), v.cast("string").alias("value"))) for n, v in headers.items()])))
+        row = F.struct(F.concat(k.cast("string"), F.lit("-" + name)).alias("record_id"), url.alias("url"), (begin + days * day).alias("time"), F.lit(status).alias("status"), entries.alias("headers"))
+        return row if only is None else F.when(only, row)
+
+    size = F.length("html")
+    answers = F.array_compact(F.array(
+        capture("a", 0, 200, F.col("url"), {"ETag": tag(""), "Last-Modified": when(0), "Content-Type": F.lit("text/html"), "Content-Length": size, "Cache-Control": F.lit("max-age=60"), "Date": when(0)}),
+        capture("b", 1, 304, tracked, {"etag": F.concat(F.lit("W/"), F.when(k % 7 == 3, tag("stale")).otherwise(tag(""))), "Cache-Control": F.lit("max-age=120"), "Content-Length": F.lit(0), "Date": when(1)}),
+        capture("c", 2, 200, F.col("url"), {"ETag": tag("2"), "Last-Modified": when(2), "Content-Type": F.lit("text/html"), "Content-Length": size + 1, "Date": when(2)}, k % 3 == 0),
+        capture("d", 3, 304, bare, {"Last-Modified": F.when(k % 5 != 0, F.when(k % 3 == 0, when(2)).otherwise(when(0))), "Expires": when(9), "Transfer-Encoding": F.lit("chunked"), "Date": when(3)}),
+        capture("e", -1, 304, F.col("url"), {"ETag": tag(""), "Date": when(-1)}, k % 11 == 0),
+    ))
+    return pages.select(F.explode(answers).alias("r")).select("r.*")
+
+
+@register("op4_warc_revisits")
+def op4(spark: SparkSession, d: str) -> DataFrame:
+    found = warc_revisit.resolve_revisits(captures(table(spark, d, "pages").select("page_id", "url", "html")))
+    pairs = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return found.select("record_id", "canonical_url", "response_id", "outcome", F.array_join(pairs, ";").alias("headers"))
+
+
+ORACLES["op4_warc_revisits"] = r"""
+WITH p AS (
+  SELECT page_id AS k, url, 1704067200 + (page_id % 1000) * 3600 AS t0, html, length(html) AS size,
+    regexp_replace(url, '#.*$', '') AS bare FROM pages),
+q AS (
+  SELECT *, '"' || md5(html) || '"' AS tag, '"' || md5(html || '2') || '"' AS tag2, '"' || md5(html || 'stale') || '"' AS stale,
+    t0 // 86400 AS day, bare || CASE WHEN contains(bare, '?') THEN '&' ELSE '?' END || 'utm_source=recrawl#checked' AS tracked FROM p),
+c AS (
+  SELECT k || '-a' AS id, url, t0 AS t, true AS is_full, [{'k': 'etag', 'v': tag}, {'k': 'last-modified', 'v': 'day ' || day}, {'k': 'content-type', 'v': 'text/html'},
+    {'k': 'content-length', 'v': size::VARCHAR}, {'k': 'cache-control', 'v': 'max-age=60'}, {'k': 'date', 'v': 'day ' || day}] AS h FROM q
+  UNION ALL SELECT k || '-b', tracked, t0 + 86400, false, [{'k': 'etag', 'v': 'W/' || CASE WHEN k % 7 = 3 THEN stale ELSE tag END}, {'k': 'cache-control', 'v': 'max-age=120'},
+    {'k': 'content-length', 'v': '0'}, {'k': 'date', 'v': 'day ' || (day + 1)}] FROM q
+  UNION ALL SELECT k || '-c', url, t0 + 2 * 86400, true, [{'k': 'etag', 'v': tag2}, {'k': 'last-modified', 'v': 'day ' || (day + 2)}, {'k': 'content-type', 'v': 'text/html'},
+    {'k': 'content-length', 'v': (size + 1)::VARCHAR}, {'k': 'date', 'v': 'day ' || (day + 2)}] FROM q WHERE k % 3 = 0
+  UNION ALL SELECT k || '-d', bare, t0 + 3 * 86400, false, list_filter([{'k': 'last-modified', 'v': CASE WHEN k % 5 = 0 THEN NULL WHEN k % 3 = 0 THEN 'day ' || (day + 2) ELSE 'day ' || day END},
+    {'k': 'expires', 'v': 'day ' || (day + 9)}, {'k': 'transfer-encoding', 'v': 'chunked'}, {'k': 'date', 'v': 'day ' || (day + 3)}], lambda x: x.v IS NOT NULL) FROM q
+  UNION ALL SELECT k || '-e', url, t0 - 86400, false, [{'k': 'etag', 'v': tag}, {'k': 'date', 'v': 'day ' || (day - 1)}] FROM q WHERE k % 11 = 0),
+u AS (
+  SELECT *, regexp_extract(url, '^[^:/?#]*://(?:[^/?#@]*@)?([^/?#]*)([^?#]*)(?:\?([^#]*))?', ['host', 'path', 'query']) AS x, regexp_matches(url, '^[^:/?#]*://') AS has FROM c),
+v AS (
+  SELECT id, t, is_full, h, CASE WHEN has THEN
+    regexp_replace(translate(x.host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '^www\.|:(80|443)$', '', 'g')
+    || CASE WHEN x.path = '' THEN '/' ELSE x.path END
+    || coalesce('?' || nullif(array_to_string(list_sort(list_filter(string_split(x.query, '&'),
+      lambda y: y <> '' AND split_part(y, '=', 1) NOT IN ('fbclid', 'gclid', 'ref') AND NOT starts_with(split_part(y, '=', 1), 'utm_'))), '&'), ''), '') END AS canon
+  FROM u),
+f AS (SELECT canon, t, max(id) AS id, arg_max(h, id) AS h FROM v WHERE is_full AND canon IS NOT NULL GROUP BY canon, t),
+j AS (SELECT v.id, v.canon, v.h, f.id AS rid, f.h AS rh FROM (SELECT * FROM v WHERE NOT is_full) v ASOF LEFT JOIN f ON v.canon = f.canon AND v.t > f.t),
+o AS (
+  SELECT *, replace(list_filter(h, lambda x: x.k = 'etag')[1].v, 'W/', '') AS et, list_filter(h, lambda x: x.k = 'last-modified')[1].v AS lm,
+    list_filter(rh, lambda x: x.k = 'etag')[1].v AS ret, list_filter(rh, lambda x: x.k = 'last-modified')[1].v AS rlm,
+    list_filter(h, lambda x: x.k NOT IN ('content-length', 'transfer-encoding')) AS allowed FROM j),
+z AS (
+  SELECT *, CASE WHEN canon IS NULL THEN 'no_url' WHEN rid IS NULL THEN 'no_response'
+    WHEN et IS NOT NULL THEN CASE WHEN et = ret THEN 'resolved' ELSE 'mismatch' END
+    WHEN lm IS NOT NULL THEN CASE WHEN lm = rlm THEN 'resolved' ELSE 'mismatch' END ELSE 'no_validator' END AS outcome FROM o)
+SELECT id AS record_id, canon AS canonical_url, CASE WHEN outcome = 'resolved' THEN rid END AS response_id, outcome,
+  CASE WHEN outcome = 'resolved' THEN array_to_string(list_sort(list_transform(list_concat(
+    list_filter(rh, lambda x: NOT list_contains(list_transform(allowed, lambda y: y.k), x.k)), allowed), lambda y: y.k || '=' || y.v)), ';') END AS headers
+FROM z
+"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,8 +42,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the Arrow batches that the session hands to Python: whole documents may be long."""
+def prepare(spark: SparkSession, rows: int = 1000) -> None:
+    """Bound the Arrow batches handed to Python, as whole documents may be long, and let workers that start from
+    another folder find this package (on a cluster it is installed or sent with ``--py-files``)."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key, "10000")) > rows or int(spark.conf.get(key, "10000")) <= 0:
+    if not 0 < int(spark.conf.get(key, "10000")) <= rows:
         spark.conf.set(key, str(rows))
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))

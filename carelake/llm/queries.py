@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, mixing, quality_rules, simhash, token_count, token_output, toxicity, url_filter, warc_revisit
-from .common import fold, small_batches, table
+from . import decontaminate, lm_score, mixing, quality_rules, simhash, token_count, token_output, toxicity, url_filter, warc_revisit
+from .common import fold, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,7 +34,7 @@ def vocabulary(name: str) -> str:
 
 @register("op2_token_output")
 def op2(spark: SparkSession, d: str) -> DataFrame:
-    small_batches(spark)
+    prepare(spark)
     path = scratch_path(spark, "token-ids")
     token_output.write_token_ids(table(spark, d, "documents"), path, vocabulary("byte_bpe_50k.json"))
     return token_output.read_token_ids(spark, path)
@@ -42,7 +42,7 @@ def op2(spark: SparkSession, d: str) -> DataFrame:
 
 @register("op3_token_counts")
 def op3(spark: SparkSession, d: str) -> DataFrame:
-    small_batches(spark)
+    prepare(spark)
     return token_count.token_counts(table(spark, d, "documents"), vocabulary("word_bpe_49k.json"))
 
 
@@ -58,7 +58,7 @@ URL_RULES = [
 
 @register("op6_url_filter")
 def op6(spark: SparkSession, d: str) -> DataFrame:
-    small_batches(spark)
+    prepare(spark)
     pages = table(spark, d, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages, URL_RULES).drop("url")
 
@@ -113,7 +113,7 @@ FROM d LEFT JOIN n_hit USING (r) LEFT JOIN items USING (r)
 
 @register("op10_simhash")
 def op10(spark: SparkSession, d: str) -> DataFrame:
-    small_batches(spark)
+    prepare(spark)
     found = simhash.near_duplicates(table(spark, d, "documents"))
     return found.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
 
@@ -173,7 +173,7 @@ ORACLES["op5_mixing"] = _mixing_sql()
 
 @register("op7_toxicity")
 def op7(spark: SparkSession, d: str) -> DataFrame:
-    small_batches(spark)
+    prepare(spark)
     docs = table(spark, d, "documents").select("doc_id", "text")
     scorer = toxicity.fit(docs, table(spark, d, "labels"))
     found, _ = toxicity.score(docs, scorer, keep=["doc_id"])
@@ -255,3 +255,9 @@ SELECT id AS record_id, canon AS canonical_url, CASE WHEN outcome = 'resolved' T
     list_filter(rh, lambda x: NOT list_contains(list_transform(allowed, lambda y: y.k), x.k)), allowed), lambda y: y.k || '=' || y.v)), ';') END AS headers
 FROM z
 """
+
+
+@register("op1_lm_score")
+def op1(spark: SparkSession, d: str) -> DataFrame:
+    prepare(spark)
+    return lm_score.lm_scores(table(spark, d, "documents"), vocabulary("piece_bpe_32k.model"))

@@ -1,9 +1,9 @@
 """Exact piecewise encoding with a public tokenizer of the ``tokenizers`` library.
 
-A text may be cut before a run of white space that follows a character that is no white space: no
-pre-token, normalisation step or special token of the two supported kinds reaches over such a place
-(byte-level: a run of white space belongs to what comes after it; word-level: white space is dropped).
-The pieces of such cuts repeat from text to text, so each distinct piece is encoded once per batch
+A text may be cut before a run of white space that follows a character that is no white space, and between
+a letter and a mark: no pre-token, normalisation step or special token of the two supported kinds reaches
+over such a place (byte-level: a run of white space belongs to what comes after it; word-level: white
+space is dropped).  The pieces of such cuts repeat from text to text, so each distinct piece is encoded once per batch
 and kept in a bounded cache of the worker process.
 """
 
@@ -12,18 +12,27 @@ from __future__ import annotations
 import functools
 import os
 import re
+import sys
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 
-import numpy as np
-
-CACHE_ENTRIES = 400_000  # pieces kept per worker process; beyond it the cache starts anew
+GENERATION = 350_000  # pieces kept per worker process in each of two generations
 CACHED_BYTES = 256  # a longer piece is encoded, but not kept
 BATCH_BYTES = 1 << 18  # bytes of text handed to the encoder at once
 SLICE_BYTES = 1 << 20  # bytes of a text cut at once
 
-_PIECE = re.compile(rb"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
+# Letters that every definition takes as such (ASCII and Latin-1), and ASCII marks without the apostrophe, which
+# may join the letters after it, and without "<", which may begin a special token.
+_LETTERS = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])++"
+_MARKS = rb"[!-&(-/:;=-@\[-`{-~]"
+_PIECE = re.compile(
+    rb"[\t-\r ]*+" + _LETTERS + rb"(?=[\t-\r ]|" + _MARKS + rb"|\Z)"  # a word before white space or a mark
+    rb"|[\t-\r ]*+" + _MARKS + rb"++(?=[\t-\r A-Za-z]|\Z)"  # marks before white space or a letter
+    rb"|[\t-\r ]*[^\t-\r ]+|[\t-\r ]+"  # anything else up to white space
+)
 _WHITE = re.compile(rb"[\t-\r ]")
 # Other characters that one or another definition takes as white space: a cut beside them may not be safe.
+_MAYBE_ODD = re.compile(rb"[\x1c-\x1f\xc2\xe1\xe2\xe3\xef]")
 _ODD = re.compile(
     rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8f\xa8-\xaf]|\xe2\x81[\x9f\xa0]|\xe3\x80\x80|\xef\xbb\xbf"
 )
@@ -62,11 +71,12 @@ def slices(text: bytes) -> Iterator[bytes]:
 
 def pieces(text: bytes, keep_white: bool) -> Iterator[list[bytes]]:
     """The safe pieces of a text, slice by slice; with ``keep_white``, white space stays before its piece."""
-    if _ODD.search(text):
+    if _MAYBE_ODD.search(text) and _ODD.search(text):
         yield [text]
         return
     for part in slices(text):
-        yield _PIECE.findall(part) if keep_white else part.split()
+        found = _PIECE.findall(part)
+        yield found if keep_white else [x.strip() for x in found]
 
 
 def balanced(items: Iterable[bytes], target: int = BATCH_BYTES) -> Iterator[list[bytes]]:
@@ -83,26 +93,40 @@ def balanced(items: Iterable[bytes], target: int = BATCH_BYTES) -> Iterator[list
 
 
 class PieceCache:
-    """What ``value`` makes of the encoding of each piece, for the texts of one batch after another."""
+    """What ``value`` makes of the ids of each piece, for the texts of one batch after another.
+
+    Two generations bound it: when the younger one is full it becomes the older one, and what is looked up
+    in the older one moves back to the younger, so pieces in use stay.
+    """
 
     def __init__(self, path: str, value: Callable) -> None:
-        self.path, self.value, self.kept = path, value, {}
+        self.path, self.value, self.young, self.old = path, value, {}, {}
 
     def lookup(self, wanted: Iterable[bytes]) -> dict[bytes, object]:
         """Values of the wanted distinct pieces, the unknown ones encoded in batches balanced by bytes."""
-        if len(self.kept) > CACHE_ENTRIES:
-            self.kept = {}
-        kept, extra = self.kept, {}
-        t = tokenizer(self.path)
-        for batch in balanced(x for x in wanted if x not in kept):
-            encoded = t.encode_batch([x.decode("utf-8", "replace") for x in batch], add_special_tokens=False)
+        if len(self.young) > GENERATION:
+            self.young, self.old = {}, self.young
+        young, old, new, extra = self.young, self.old, [], {}
+        for x in wanted:
+            if x not in young:
+                v = old.get(x)
+                if v is None:
+                    new.append(x)
+                else:
+                    young[x] = v
+        t, value = tokenizer(self.path), self.value
+        for batch in balanced(new):
+            encoded = t.encode_batch_fast([x.decode("utf-8", "replace") for x in batch], add_special_tokens=False)
             for x, e in zip(batch, encoded, strict=True):
-                (kept if len(x) <= CACHED_BYTES else extra)[x] = self.value(e)
-        return kept if not extra else {**kept, **extra}
+                (young if len(x) <= CACHED_BYTES else extra)[x] = value(e)
+        return young if not extra else {**young, **extra}
 
 
 def _ids(encoding) -> bytes:
-    return np.array(encoding.ids, dtype="<u4").tobytes()
+    ids = array("I", encoding.ids)
+    if sys.byteorder == "big":
+        ids.byteswap()
+    return ids.tobytes()
 
 
 @functools.lru_cache(maxsize=4)

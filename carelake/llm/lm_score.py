@@ -6,10 +6,10 @@ a word is either one whole entry or a path of pieces through the lattice (:mod:`
 recursion in log space gives the sum.  Training counts words by class (a column such as the language),
 discounts them as Kneser and Ney do, and gives what the discounts free to the next wider model:
 
-    P(w | class) = max(c(w, class) - D, 0) / N(class) + D V(class) / N(class) * P(w)
-    P(w)         = max(c(w) - d, 0) / N + d V / N * lattice(w)
+    P(w | class) = (max(c(w, class) - D, 0) + (D V(class) + 1) P(w)) / (N(class) + 1)
+    P(w)         = (max(c(w) - d, 0) + (d V + 1) lattice(w)) / (N + 2)
 
-with the end of a text as one more token, never discounted.  The piece probabilities start from the scores of
+with the end of a text as one more token, never discounted and counted once more.  The piece probabilities start from the scores of
 the existing vocabulary and are re-estimated by expected counts over the distinct training words.  A
 text's probability sums over the classes as well, so every step is a proper distribution.
 """
@@ -57,24 +57,23 @@ class Model:
 
     def class_columns(self, count, by_class: list, lattice):
         """Log10 probability of a word in each class from its counts and its lattice log probability (columns)."""
-        if not self.tokens:
-            return [lattice / F.lit(math.log(10.0)) for _ in self.classes]
-        whole = F.greatest(count - self.discount, F.lit(0.0)) / float(self.tokens) + self.discount * (self.types - 1) / self.tokens * F.exp(lattice)
+        n, free = self.tokens + 2, self.discount * max(0, self.types - 1) + 1
+        whole = (F.greatest(count - self.discount, F.lit(0.0)) + free * F.exp(lattice)) / float(n)
         out = []
         for k, c in enumerate(by_class):
-            n = self.class_tokens[k]
-            p = whole if not n else F.greatest(c - self.class_discount[k], F.lit(0.0)) / float(n) + self.class_discount[k] * self.class_types[k] / n * whole
-            # below the smallest number the two terms are far apart: the lattice's share alone, in logs
-            weight = (self.discount * (self.types - 1) / self.tokens) * ((self.class_discount[k] * self.class_types[k] / n) if n else 1.0)
-            tail = F.lit(math.log10(weight)) + lattice / math.log(10.0) if weight > 0 else F.lit(-math.inf)
+            own_n, own_free = self.class_tokens[k] + 1, self.class_discount[k] * self.class_types[k] + 1
+            p = (F.greatest(c - self.class_discount[k], F.lit(0.0)) + own_free * whole) / float(own_n)
+            # a word too unlikely for a double was never counted: its lattice share alone, in logs
+            tail = math.log10(free / n * own_free / own_n) + lattice / math.log(10.0)
             out.append(F.when(p > 1e-290, F.log10(p)).otherwise(tail))
         return out
 
     def end_log10(self) -> list[float]:
-        if not self.tokens:
-            return [0.0 for _ in self.classes]
-        whole = self.ends / self.tokens
-        return [math.log10(t / n) if t else math.log10(whole) for t, n in zip(self.texts, self.class_tokens, strict=True)]
+        whole = (self.ends + 1) / (self.tokens + 2)
+        return [
+            math.log10((t + (d * v + 1) * whole) / (n + 1))
+            for t, n, v, d in zip(self.texts, self.class_tokens, self.class_types, self.class_discount, strict=True)
+        ]
 
 
 def _split(text: bytes) -> list[bytes]:
@@ -187,7 +186,7 @@ def _with_lattice(words: DataFrame, lattice: PieceLattice) -> DataFrame:
     return words.mapInArrow(run, schema)
 
 
-def lm_scores(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", class_col: str = "lang") -> DataFrame:
+def lm_scores(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", class_col: str = "lang", rounds: int = ROUNDS) -> DataFrame:
     """One row per row of ``docs``: ``id_col, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     Tokens are words (runs of other characters than the six ASCII white-space ones, A-Z lower-cased) and one
@@ -195,7 +194,7 @@ def lm_scores(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col
     never held out.  ``score`` is the log10 probability of the whole text, summed over segmentations and
     classes; ``base_score`` sums log10((c+1)/(N+V+1)) over the tokens, with c, N and V of the training tokens.  A
     null or blank text is its end alone.  Null classes are one class; repeated rows score alike; without
-    training rows the score is the lattice's with the existing scores.  An empty table gives none.
+    training rows words come from the lattice with the existing scores, and every other token is an end.  An empty table gives none.
     """
     spark = docs.sparkSession
     own = docs.select(
@@ -209,7 +208,7 @@ def lm_scores(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col
     texts = [r["n"] for r in top] + [n_train - sum(r["n"] for r in top)]
     words = written(count_words(own, classes), "words")
     model = train(words, classes, texts)
-    lattice = fit_pieces(words, model_file, len(classes))
+    lattice = fit_pieces(words, model_file, len(classes), rounds)
     cs = [F.col(f"c{k}").cast("double") for k in range(len(classes))]
     total = sum(cs[1:], cs[0])
     scored = _with_lattice(words, lattice).select("word", total.alias("c"), *[x.alias(f"s{k}") for k, x in enumerate(model.class_columns(total, cs, F.col("lattice")))])

@@ -144,5 +144,7 @@ def mix(
     weight = F.coalesce(F.col("w.weight"), F.lit(0.0))
     weight = F.when(F.col(f"d.{names['tokens']}") > 0, weight).otherwise(0.0)
     p = F.when(weight == 0, 1.0).otherwise(F.least(F.lit(1.0), weight * F.lit(found.scale)))
-    out = joined.select("d.*", weight.alias(names["weight"]), p.alias(names["probability"])).drop(names["_source"], names["_lang"])
+    out = joined.select(
+        *[F.col(f"d.`{c}`") for c in [*docs.columns, names["topic"], names["tokens"]]], weight.alias(names["weight"]), p.alias(names["probability"])
+    )
     return out.withColumn(names["sampled"], uniform(F.col(id_col), seed) < F.col(names["probability"]))

@@ -9,6 +9,7 @@ feature and bin only.  The list is emitted as one ordered conditional expression
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -29,6 +30,30 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACE), "")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value computed once.  A column that a lambda refers to may be inlined there by the optimizer
+    and computed for each element; a lambda's own variable is not."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def n_repeat_words(words: Column) -> Column:
+    """Words inside windows of ``REPEATED`` words that the array holds twice or more."""
+
+    def windows(w: Column) -> Column:
+        whole = F.slice(w, F.lit(1), F.greatest(F.size(w) - (REPEATED - 1), F.lit(0)))
+        return F.transform(whole, lambda x, i: F.struct(F.concat_ws(" ", x, *[F.get(w, i + j) for j in range(1, REPEATED)]).alias("g"), i.alias("i")))
+
+    def repeated(s: Column) -> Column:  # equal windows stand side by side once the windows are sorted
+        return F.array_compact(F.transform(s, lambda x, i: F.when((F.get(s, i - 1)["g"] == x["g"]) | (F.get(s, i + 1)["g"] == x["g"]), x["i"])))
+
+    def covered(at: Column) -> Column:
+        each = F.transform(at, lambda p, i: F.least(F.coalesce(F.get(at, i + 1) - p, F.lit(REPEATED)), F.lit(REPEATED)))
+        return F.aggregate(each, F.lit(0), lambda a, x: a + x, lambda a: a.cast("long"))
+
+    at = _let(words, lambda w: _let(F.sort_array(windows(w)), repeated))
+    return _let(F.sort_array(at), covered)
+
+
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_distinct`` of every whole text.
 
@@ -45,25 +70,10 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.length(F.translate("t", " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
         (F.length("t") - F.length(F.translate("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
     )
-    # equal windows stand side by side once the windows are sorted
-    windows = F.transform(
-        F.slice("w", F.lit(1), F.greatest(F.size("w") - (REPEATED - 1), F.lit(0))),
-        lambda x, i: F.struct(F.concat_ws(" ", x, *[F.get(F.col("w"), i + j) for j in range(1, REPEATED)]).alias("g"), i.alias("i")),
-    )
-    own = own.withColumn("s", F.sort_array(windows))
-    same = F.transform(
-        "s",
-        lambda x, i: F.when((F.get(F.col("s"), i - 1)["g"] == x["g"]) | (F.get(F.col("s"), i + 1)["g"] == x["g"]), x["i"]),
-    )
-    own = own.withColumn("at", F.sort_array(F.array_compact(same)))
-    covered = F.aggregate(
-        F.transform("at", lambda p, i: F.least(F.coalesce(F.get(F.col("at"), i + 1) - p, F.lit(REPEATED)), F.lit(REPEATED))),
-        F.lit(0), lambda a, x: a + x, lambda a: a.cast("long"),
-    )
     return own.select(
         id_col, "n_words", "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        covered.alias("n_repeat_words"),
+        n_repeat_words(F.col("w")).alias("n_repeat_words"),
         F.size("lines").cast("long").alias("n_lines"),
         F.size(F.array_distinct("w")).cast("long").alias("n_distinct"),
     )

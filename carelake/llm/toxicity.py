@@ -1,6 +1,6 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Texts are bags of byte 5-grams of their words (with word boundaries).  A bounded sample of labelled rows gives
+Texts are bags of byte n-grams (5, 7 and 9) of their words, with word boundaries.  A bounded sample of labelled rows gives
 document frequencies, the terms that tell the labels apart, and the examples.  Examples stand in an
 inverted index cut into blocks with the largest weight of each term in each block: a block whose bound lies below
 the k-th best similarity so far holds no nearer example and is skipped, so the neighbours are exact.
@@ -22,11 +22,11 @@ from pyspark.sql import types as T
 
 from .common import fold, fresh, written
 
-GRAM = 5
-MAX_EXAMPLES = 20_000  # labelled training rows, by hash of the id, that the classifier is fitted on
+GRAMS = (5, 7, 9)
+MAX_EXAMPLES = 12_000  # labelled training rows, by hash of the id, that the classifier is fitted on
 MAX_TERMS = 2048  # terms of the vector space: those whose frequency differs most between the labels
-MIN_Z, MIN_DF = 4.0, 5
-NEIGHBOURS, BLOCK, FIRST_BLOCKS = 15, 64, 4
+MIN_Z, MIN_DF, MIN_LIFT = 5.0, 5, 6.0  # surely different, and several times as frequent under one label
+NEIGHBOURS, BLOCK = 15, 64
 SOFTEN, PRIOR_WEIGHT, BINS = 0.05, 1.0, 20
 THRESHOLD, FOLDS, HELD_OUT = 0.3, 4, 2
 CACHE_WORDS, COUNTED = 400_000, 200_000
@@ -35,8 +35,9 @@ _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
 def grams(word: bytes) -> list[bytes]:
+    """Stretches of ``GRAMS`` bytes of the word with its boundaries; of a shorter one the whole."""
     w = b"<" + word + b">"
-    return [w[i : i + GRAM] for i in range(max(1, len(w) - GRAM + 1))]
+    return [w[i : i + n] for n in GRAMS if n <= len(w) or n == GRAMS[0] for i in range(max(1, len(w) - n + 1))]
 
 
 def word_counts(text: bytes) -> Counter:
@@ -115,17 +116,19 @@ class BlockMaxIndex:
             return np.zeros(0, np.int64), np.zeros(0)
         bound = self.bounds[:, terms] @ weights
         at, sims, order = [], [], np.argsort(-bound, kind="stable")
-        least, seen = 0.0, 0
-        for n, b in enumerate(order.tolist()):
-            if bound[b] <= 0 or (seen >= k and bound[b] < least - 1e-9):
+        least, best = 0.0, np.zeros(0)  # the (k+1)-th best so far: one may be left out
+        for b in order.tolist():
+            if bound[b] <= 0 or bound[b] < least - 1e-9:
                 break
             s = self.block(b, terms, weights)
             use = np.flatnonzero((s > 0) & (s >= least - 1e-9))
-            at.append(use + b * BLOCK)
-            sims.append(s[use])
-            seen += len(use)
-            if n % FIRST_BLOCKS == FIRST_BLOCKS - 1 and seen > k:
-                least = float(np.partition(np.concatenate(sims), -k - 1)[-k - 1])  # one more, as one may be left out
+            if len(use):
+                at.append(use + b * BLOCK)
+                sims.append(s[use])
+                best = np.concatenate([best, s[use]])
+                if len(best) > k:
+                    best = np.partition(best, -k - 1)[-k - 1 :]
+                    least = float(best[0])
         if not at:
             return np.zeros(0, np.int64), np.zeros(0)
         a, s = np.concatenate(at), np.round(np.concatenate(sims), 9)
@@ -206,7 +209,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     )
     p = F.col("df") / F.lit(float(n))
     z = F.abs(F.col("a") / F.lit(float(n1)) - (F.col("df") - F.col("a")) / F.lit(float(n0))) / F.sqrt(p * (1 - p) * (1.0 / n1 + 1.0 / n0))
-    chosen = df.filter((F.col("df") >= MIN_DF) & (F.col("df") < n)).withColumn("z", z).filter(F.col("z") >= MIN_Z)
+    lift = ((F.col("a") + 0.5) / float(n1 + 1)) / ((F.col("df") - F.col("a") + 0.5) / float(n0 + 1))
+    chosen = df.filter((F.col("df") >= MIN_DF) & (F.col("df") < n) & ((lift >= MIN_LIFT) | (lift <= 1 / MIN_LIFT)))
+    chosen = chosen.withColumn("z", z).filter(F.col("z") >= MIN_Z)
     chosen = chosen.orderBy(F.desc("z"), "term").limit(MAX_TERMS).collect()
     terms = [bytes(r["term"]) for r in chosen]
     idf = np.array([math.log((1.0 + n) / (1.0 + r["df"])) + 1.0 for r in chosen])

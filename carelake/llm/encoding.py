@@ -102,18 +102,17 @@ class PieceCache:
     def __init__(self, path: str, value: Callable) -> None:
         self.path, self.value, self.young, self.old = path, value, {}, {}
 
-    def lookup(self, wanted: Iterable[bytes]) -> dict[bytes, object]:
+    def lookup(self, wanted: set[bytes]) -> dict[bytes, object]:
         """Values of the wanted distinct pieces, the unknown ones encoded in batches balanced by bytes."""
         if len(self.young) > GENERATION:
             self.young, self.old = {}, self.young
         young, old, new, extra = self.young, self.old, [], {}
-        for x in wanted:
-            if x not in young:
-                v = old.get(x)
-                if v is None:
-                    new.append(x)
-                else:
-                    young[x] = v
+        for x in wanted.difference(young):
+            v = old.get(x)
+            if v is None:
+                new.append(x)
+            else:
+                young[x] = v
         t, value = tokenizer(self.path), self.value
         for batch in balanced(new):
             encoded = t.encode_batch_fast([x.decode("utf-8", "replace") for x in batch], add_special_tokens=False)
@@ -144,7 +143,7 @@ def encode_lengths(texts: list[bytes], path: str) -> list[int]:
     cache, out = length_cache(path), []
     for group in _grouped(texts):
         cut = [[p for p in pieces(x, False)] for x in group]
-        known = cache.lookup({p for parts in cut for part in parts for p in part})
+        known = cache.lookup(set().union(*[part for parts in cut for part in parts]))
         out += [sum(sum(map(known.__getitem__, part)) for part in parts) for parts in cut]
     return out
 
@@ -154,8 +153,8 @@ def encode_ids(texts: list[bytes], path: str) -> list[bytes]:
     cache, out = id_cache(path), []
     for group in _grouped(texts):
         cut = [[p for p in pieces(x, True)] for x in group]
-        known = cache.lookup({p for parts in cut for part in parts for p in part})
-        out += [b"".join([known[p] for part in parts for p in part]) for parts in cut]
+        known = cache.lookup(set().union(*[part for parts in cut for part in parts])).__getitem__
+        out += [b"".join([b"".join(map(known, part)) for part in parts]) for parts in cut]
     return out
 
 

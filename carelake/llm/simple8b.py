@@ -76,19 +76,20 @@ def pack(values: np.ndarray) -> bytes:
     in_block = used.sum(axis=1)
     s = chosen[:, :step][used].astype(np.int64)
     block = np.repeat(np.arange(blocks), in_block)
-    start = firsts[:, :step][used] + block * BLOCK
-    stop = np.minimum((block + 1) * BLOCK, n)
     words = s.astype(np.uint64) << np.uint64(60)
-    grid = np.concatenate([grid, np.zeros(240, np.uint64)])
-    for k in np.unique(s):
-        if BITS[k] == 0:
-            continue
-        own = np.flatnonzero(s == k)
-        begin, close, acc = start[own], stop[own], np.zeros(len(own), np.uint64)
-        for j in range(int(COUNTS[k])):
-            pos = begin + j
-            acc |= np.where(pos < close, grid[pos], np.uint64(0)) << np.uint64(j * int(BITS[k]))
-        words[own] |= acc
+    kinds = np.flatnonzero(np.bincount(s, minlength=16))
+    pad = int(COUNTS[kinds].max()) if len(kinds) else 0  # a block's last word may reach past its end, into zeros
+    wide = np.zeros((blocks, BLOCK + pad), np.uint64)
+    wide[:, :BLOCK] = grid.reshape(blocks, BLOCK)
+    wide, start = wide.reshape(-1), firsts[:, :step][used] + block * (BLOCK + pad)
+    for k in kinds:
+        if BITS[k]:
+            own = np.flatnonzero(s == k)
+            begin = start[own]
+            acc = wide[begin]
+            for j in range(1, int(COUNTS[k])):
+                acc |= wide[begin + j] << np.uint64(j * int(BITS[k]))
+            words[own] |= acc
     offsets = np.concatenate([[0], np.cumsum(in_block)]).astype("<u4")
     return b"".join((HEAD.pack(MAGIC, BLOCK, n, len(at)), offsets.tobytes(), at.astype("<u8").tobytes(), escaped.astype("<u8").tobytes(), words.astype("<u8").tobytes()))
 
@@ -114,19 +115,19 @@ def unpack(data: bytes, first_block: int = 0, last_block: int | None = None) ->
     block = np.repeat(np.arange(first_block, last), np.diff(offsets[first_block : last + 1]))
     taken = np.cumsum(COUNTS[s]) - COUNTS[s]
     opens = np.searchsorted(block, np.arange(first_block, last))
-    start = taken - taken[opens][block - first_block] + (block - first_block) * size
+    first = taken - taken[opens][block - first_block]
     total = min(last * size, n) - first_block * size
-    stop = np.minimum((block + 1 - first_block) * size, total)
-    out = np.zeros(total + 240, dtype=np.uint64)
-    for k in np.unique(s):
-        if BITS[k] == 0:
-            continue
-        own = np.flatnonzero(s == k)
-        mask = (np.uint64(1) << np.uint64(BITS[k])) - np.uint64(1)
-        for j in range(int(COUNTS[k])):
-            pos = start[own] + j
-            fits = pos < stop[own]
-            out[pos[fits]] = ((words[own[fits]] >> np.uint64(j * int(BITS[k]))) & mask)
+    kinds = np.flatnonzero(np.bincount(s, minlength=16))
+    pad = int(COUNTS[kinds].max())
+    wide = np.zeros((last - first_block) * (size + pad), dtype=np.uint64)
+    start = first + (block - first_block) * (size + pad)
+    for k in kinds:
+        if BITS[k]:
+            own = np.flatnonzero(s == k)
+            begin, held, mask = start[own], words[own], (np.uint64(1) << np.uint64(BITS[k])) - np.uint64(1)
+            for j in range(int(COUNTS[k])):
+                wide[begin + j] = (held >> np.uint64(j * int(BITS[k]))) & mask
+    out = np.ascontiguousarray(wide.reshape(last - first_block, size + pad)[:, :size]).reshape(-1)[:total]
     inside = (where >= first_block * size) & (where < first_block * size + total)
     out[where[inside] - first_block * size] = full[inside]
-    return out[:total]
+    return out

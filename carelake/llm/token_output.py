@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SECTION_IDS = 1 << 16  # a section is closed at the document that reaches so many ids
+SECTION_IDS = 1 << 17  # a section is closed at the document that reaches so many ids
 
 
 def _sections_schema(id_type: T.DataType) -> T.StructType:

@@ -25,12 +25,13 @@ def lenient_double(c: Column | str) -> Column:
 
 
 def lenient_long(c: Column | str) -> Column:
-    """Integer parse through double so that '12.0' is 12; fractions truncate."""
-    return lenient_double(c).try_cast("bigint")
+    """Integer parse; '12.0' is 12 and fractions truncate.  Never through double, which merges ids beyond 2^53."""
+    s = F.trim(_c(c).cast("string"))
+    return F.coalesce(s.try_cast("bigint"), s.try_cast("decimal(38,10)").try_cast("bigint"))
 
 
 def lenient_int(c: Column | str) -> Column:
-    return lenient_double(c).try_cast("int")
+    return lenient_long(c).try_cast("int")
 
 
 def lenient_timestamp(c: Column | str) -> Column:

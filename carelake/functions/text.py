@@ -15,15 +15,24 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# What the reference's text functions take as white space.
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def strip(c: Column | str) -> Column:
+    """White space of any kind taken off both ends."""
+    return F.trim(_c(c).cast("string"), F.lit(WHITE_SPACE))
+
+
 def standardise(c: Column | str) -> Column:
-    """lower + trim (FN-09)."""
-    return F.trim(F.lower(_c(c)))
+    """lower + strip (FN-09)."""
+    return strip(F.lower(_c(c)))
 
 
 def is_blank(c: Column | str) -> Column:
     """NULL, empty or whitespace only (FLT-05); never NULL itself."""
     v = _c(c)
-    return v.isNull() | (F.trim(v.cast("string")) == F.lit(""))
+    return v.isNull() | (strip(v) == F.lit(""))
 
 
 def has_valid_id_format(c: Column | str) -> Column:

@@ -46,11 +46,11 @@ def as_date(df: DataFrame, name: str) -> Column:
 
 
 def as_long(df: DataFrame, name: str) -> Column:
-    return F.col(name).cast("bigint") if isinstance(_dtype(df, name), NumericType) else lenient_long(name)
+    return F.col(name).try_cast("bigint") if isinstance(_dtype(df, name), NumericType) else lenient_long(name)
 
 
 def as_int(df: DataFrame, name: str) -> Column:
-    return F.col(name).cast("int") if isinstance(_dtype(df, name), NumericType) else lenient_int(name)
+    return F.col(name).try_cast("int") if isinstance(_dtype(df, name), NumericType) else lenient_int(name)
 
 
 def _first_ts(df: DataFrame, candidates) -> Column | None:
@@ -174,7 +174,8 @@ def patient_admissions(
         slim = df.select(*keep)
         if not dedupe:  # silver wards/patients are already one row per key
             return slim
-        return latest_per_key(slim, [key], [c for c in ("discharge_time",) if c in slim.columns])
+        # rows without the key match nothing, so they are left out before the reduction
+        return latest_per_key(slim.filter(F.col(key).isNotNull()), [key], [c for c in ("discharge_time",) if c in slim.columns])
 
     out = admissions.drop(*[c for c in housekeeping if c in admissions.columns])
     if "admission_id" in discharges.columns:

@@ -241,11 +241,11 @@ def daily_operations(adm_facts: DataFrame, occupancy: DataFrame, wards: DataFram
 # ------------------------------------------------------------------ DOC-05 vital signs
 
 def _band(x: Column, edges: list[tuple[float, int]], top: int) -> Column:
-    """Score of the first ``x <= edge`` band, ``top`` above the last edge."""
+    """Score of the first ``x <= edge`` band, ``top`` above the last edge; a missing reading has no score."""
     expr = None
     for edge, score in edges:
         expr = F.when(x <= edge, score) if expr is None else expr.when(x <= edge, score)
-    return expr.otherwise(top)
+    return expr.when(x.isNotNull(), top)
 
 
 # Published NEWS2 bands (scale 1 for SpO2), as (upper edge, score).
@@ -258,7 +258,9 @@ NEWS2_TEMP = ([(35.0, 3), (36.0, 1), (38.0, 0), (39.0, 1)], 2)
 
 def vital_sign_facts(vitals: DataFrame) -> DataFrame:
     """DOC-05: range flags, NEWS2 early-warning score, ◇ critical flag
-    (score >= 7 or any single parameter scoring 3), blood-pressure category."""
+    (score >= 7 or any single parameter scoring 3), blood-pressure category.
+    A missing reading scores nothing and is counted in ``missing_readings``;
+    values are in range only if all readings are there."""
     comps = {
         "resp_score": _band(F.col("respiratory_rate"), *NEWS2_RESP),
         "spo2_score": _band(F.col("oxygen_saturation"), *NEWS2_SPO2),
@@ -267,7 +269,9 @@ def vital_sign_facts(vitals: DataFrame) -> DataFrame:
         "temp_score": _band(F.col("temperature"), *NEWS2_TEMP),
     }
     v = vitals.select("*", *[c.alias(n) for n, c in comps.items()])
-    ews = sum((F.col(n) for n in comps), F.lit(0))
+    missing = sum((F.col(n).isNull().cast("int") for n in comps), F.lit(0))
+    # the score of the readings that are there; none at all has no score and raises no alert
+    ews = F.when(missing < len(comps), sum((F.coalesce(F.col(n), F.lit(0)) for n in comps), F.lit(0)))
     any3 = F.greatest(*[F.col(n) for n in comps]) >= 3
     s, d = F.col("blood_pressure_systolic"), F.col("blood_pressure_diastolic")
     bp = (
@@ -281,6 +285,9 @@ def vital_sign_facts(vitals: DataFrame) -> DataFrame:
         F.col("heart_rate").between(30, 250)
         & F.col("oxygen_saturation").between(70, 100)
         & F.col("temperature").between(30, 45)
+        & s.between(70, 250)
+        & d.between(40, 150)
+        & F.col("respiratory_rate").between(5, 60)
         & (s > d)
     )
     return v.select(
@@ -297,9 +304,10 @@ def vital_sign_facts(vitals: DataFrame) -> DataFrame:
         "oxygen_saturation",
         "respiratory_rate",
         ews.alias("ews_score"),
-        ((ews >= 7) | any3).alias("is_critical"),
+        missing.alias("missing_readings"),
+        F.coalesce((ews >= 7) | any3, F.lit(False)).alias("is_critical"),
         bp.alias("bp_category"),
-        valid.alias("in_valid_range"),
+        F.coalesce(valid, F.lit(False)).alias("in_valid_range"),
     )
 
 

@@ -31,6 +31,15 @@ ICU_ALERT_SCHEMA = StructType(
 )
 
 
+# Columns that tell rows of equal content apart: part of a fact's key where the source has them.
+LAB_GRAIN = ["lab_result_id", "source_file"]
+STOCK_GRAIN = ["drug_id"]
+
+
+def _own_ids(df: DataFrame, names: list[str]) -> list[str]:
+    return [n for n in names if n in df.columns]
+
+
 def _fill(c, as_of: datetime, fill: bool):
     return F.coalesce(c, ts_lit(as_of)) if fill else c
 
@@ -91,14 +100,14 @@ def dim_drug(pharmacy: DataFrame, as_of: datetime) -> DataFrame | None:
 # ------------------------------------------------------------------ facts
 
 def fact_admissions(admissions: DataFrame, as_of: datetime, fill_missing_times: bool = True) -> DataFrame:
-    """TB-10: one row per distinct admission record."""
+    """TB-10: one row per admission record (silver has one per ``admission_id``)."""
     t = as_timestamp(admissions, "admission_time") if "admission_time" in admissions.columns else F.lit(None).cast("timestamp_ntz")
     rows = admissions.select(
         "admission_id",
         "patient_id",
         "ward_id",
         _fill(t, as_of, fill_missing_times).alias("admission_time"),
-    ).distinct()
+    )
     return rows.select(
         surrogate_key("admission_id", "patient_id", "ward_id", "admission_time").alias("admission_key"),
         "admission_id",
@@ -110,11 +119,12 @@ def fact_admissions(admissions: DataFrame, as_of: datetime, fill_missing_times:
 
 
 def fact_labs(labs: DataFrame, as_of: datetime, fill_missing_times: bool = True) -> DataFrame:
-    """TB-11: distinct (patient, sample time) rows."""
+    """TB-11: one row per test; tests drawn together differ in their own id."""
     t = as_timestamp(labs, "collected_time") if "collected_time" in labs.columns else F.lit(None).cast("timestamp_ntz")
-    rows = labs.select("patient_id", _fill(t, as_of, fill_missing_times).alias("sample_time")).distinct()
+    ids = _own_ids(labs, LAB_GRAIN)
+    rows = labs.select(*ids, "patient_id", _fill(t, as_of, fill_missing_times).alias("sample_time"))
     return rows.select(
-        surrogate_key("patient_id", "sample_time").alias("lab_key"),
+        surrogate_key(*ids, "patient_id", "sample_time").alias("lab_key"),
         "patient_id",
         "sample_time",
         ts_lit(as_of).alias("created_at"),
@@ -122,20 +132,22 @@ def fact_labs(labs: DataFrame, as_of: datetime, fill_missing_times: bool = True)
 
 
 def fact_lab_turnaround(labs: DataFrame, as_of: datetime, fill_missing_times: bool = True) -> DataFrame:
-    """TB-12: sample/completed times over their fallback chains and minutes between."""
+    """TB-12: one row per test: sample/completed times over their fallback chains and minutes between."""
     def chain(names):
         cols = [as_timestamp(labs, n) for n in names if n in labs.columns]
         return F.coalesce(*cols) if len(cols) > 1 else (cols[0] if cols else F.lit(None).cast("timestamp_ntz"))
 
     sample = _fill(chain(["sample_datetime", "sample_time", "collected_time"]), as_of, fill_missing_times)
     completed = _fill(chain(["completed_datetime", "completed_time"]), as_of, fill_missing_times)
+    ids = _own_ids(labs, LAB_GRAIN)
     rows = labs.select(
+        *ids,
         "patient_id",
         sample.alias("sample_time"),
         completed.alias("completed_time"),
-    ).distinct()
+    )
     return rows.select(
-        surrogate_key("patient_id", "sample_time", "completed_time").alias("lab_turnaround_key"),
+        surrogate_key(*ids, "patient_id", "sample_time", "completed_time").alias("lab_turnaround_key"),
         "patient_id",
         "sample_time",
         "completed_time",
@@ -145,14 +157,16 @@ def fact_lab_turnaround(labs: DataFrame, as_of: datetime, fill_missing_times: bo
 
 
 def fact_pharmacy(pharmacy: DataFrame, as_of: datetime) -> DataFrame:
-    """TB-13: stock facts; stock defaults to 0, reorder level to 10 (PRJ-08)."""
+    """TB-13: one row per stock item; stock defaults to 0, reorder level to 10 (PRJ-08)."""
+    ids = _own_ids(pharmacy, STOCK_GRAIN)
     rows = pharmacy.select(
+        *ids,
         col_or_null(pharmacy, "drug_name", "string").alias("drug_name"),
         F.coalesce(col_or_null(pharmacy, "current_stock", "int"), F.lit(0)).cast("int").alias("stock_on_hand"),
         F.coalesce(col_or_null(pharmacy, "threshold", "int"), F.lit(10)).cast("int").alias("reorder_level"),
-    ).distinct()
+    )
     return rows.select(
-        surrogate_key("drug_name", "stock_on_hand", "reorder_level").alias("inventory_key"),
+        surrogate_key(*ids, "drug_name", "stock_on_hand", "reorder_level").alias("inventory_key"),
         "drug_name",
         "stock_on_hand",
         "reorder_level",

@@ -8,18 +8,18 @@ from .oracle_sql import ADM_AS_OF, DEPENDS, LAB_AS_OF, ORACLE, VIEWS, skey, with
 
 VIEWS["vital_signs"] = """
 SELECT event_id AS reading_id, user_id AS patient_id, ts AS measurement_time,
-       CAST(35 + floor(value * 7) % 110 AS INTEGER) AS heart_rate,
-       CAST(85 + floor(value) % 140 AS INTEGER) AS blood_pressure_systolic,
+       CASE WHEN event_id % 211 = 9 THEN NULL ELSE CAST(35 + floor(value * 7) % 110 AS INTEGER) END AS heart_rate,
+       CASE WHEN event_id % 37 = 5 OR event_id % 211 = 9 THEN NULL ELSE CAST(85 + floor(value) % 140 AS INTEGER) END AS blood_pressure_systolic,
        CAST(45 + event_id % 60 AS INTEGER) AS blood_pressure_diastolic,
-       CAST(35.0 AS DOUBLE) + CAST(event_id % 60 AS DOUBLE) / CAST(10.0 AS DOUBLE) AS temperature,
-       CAST(88 + event_id % 13 AS INTEGER) AS oxygen_saturation,
-       CAST(8 + event_id % 23 AS INTEGER) AS respiratory_rate
+       CASE WHEN event_id % 211 = 9 THEN NULL ELSE CAST(35.0 AS DOUBLE) + CAST(event_id % 60 AS DOUBLE) / CAST(10.0 AS DOUBLE) END AS temperature,
+       CASE WHEN event_id % 211 = 9 THEN NULL ELSE CAST(88 + event_id % 13 AS INTEGER) END AS oxygen_saturation,
+       CASE WHEN event_id % 31 = 4 OR event_id % 211 = 9 THEN NULL ELSE CAST(8 + event_id % 23 AS INTEGER) END AS respiratory_rate
 FROM events"""
 
 
 def band(x: str, edges: list[tuple[float, int]], top: int) -> str:
     whens = " ".join(f"WHEN {x} <= {e} THEN {s}" for e, s in edges)
-    return f"(CASE {whens} ELSE {top} END)"
+    return f"(CASE {whens} WHEN {x} IS NOT NULL THEN {top} END)"
 
 
 RESP = ([(8, 3), (11, 1), (20, 0), (24, 2)], 3)
@@ -33,14 +33,16 @@ SELECT {skey('reading_id')} AS vital_key, reading_id, patient_id, measurement_ti
        CAST(strftime(measurement_time, '%Y%m%d') AS INTEGER) AS measurement_date_key,
        CAST(hour(measurement_time) AS INTEGER) AS measurement_time_key,
        heart_rate, blood_pressure_systolic, blood_pressure_diastolic, temperature, oxygen_saturation, respiratory_rate,
-       CAST(r + o + s + p + t AS INTEGER) AS ews_score,
-       (r + o + s + p + t >= 7) OR greatest(r, o, s, p, t) >= 3 AS is_critical,
+       CAST(list_sum([r, o, s, p, t]) AS INTEGER) AS ews_score,
+       CAST(5 - list_count([r, o, s, p, t]) AS INTEGER) AS missing_readings,
+       coalesce(list_sum([r, o, s, p, t]) >= 7 OR list_max([r, o, s, p, t]) >= 3, false) AS is_critical,
        CASE WHEN blood_pressure_systolic IS NULL OR blood_pressure_diastolic IS NULL THEN 'Unknown'
             WHEN blood_pressure_systolic >= 140 OR blood_pressure_diastolic >= 90 THEN 'Stage 2 Hypertension'
             WHEN blood_pressure_systolic >= 130 OR blood_pressure_diastolic >= 80 THEN 'Stage 1 Hypertension'
             WHEN blood_pressure_systolic >= 120 THEN 'Elevated' ELSE 'Normal' END AS bp_category,
-       heart_rate BETWEEN 30 AND 250 AND oxygen_saturation BETWEEN 70 AND 100 AND temperature BETWEEN 30 AND 45
-         AND blood_pressure_systolic > blood_pressure_diastolic AS in_valid_range
+       coalesce(heart_rate BETWEEN 30 AND 250 AND oxygen_saturation BETWEEN 70 AND 100 AND temperature BETWEEN 30 AND 45
+         AND blood_pressure_systolic BETWEEN 70 AND 250 AND blood_pressure_diastolic BETWEEN 40 AND 150 AND respiratory_rate BETWEEN 5 AND 60
+         AND blood_pressure_systolic > blood_pressure_diastolic, false) AS in_valid_range
 FROM (SELECT *, {band('respiratory_rate', *RESP)} AS r, {band('oxygen_saturation', *SPO2)} AS o,
              {band('blood_pressure_systolic', *SYS)} AS s, {band('heart_rate', *PULSE)} AS p,
              {band('temperature', *TEMP)} AS t FROM vital_signs)"""
@@ -305,17 +307,12 @@ UNION ALL SELECT 'gold', 'dim_patient', (SELECT {_N} FROM silver_patients_dirty)
 UNION ALL SELECT 'gold', 'dim_ward', (SELECT {_N} FROM silver_wards_dirty), 'ok'
 UNION ALL SELECT 'gold', 'dim_date', CAST(2922 AS BIGINT), 'ok'
 UNION ALL SELECT 'gold', 'dim_drug', (SELECT {_N} FROM (SELECT DISTINCT drug_name FROM bronze_pharmacy)), 'ok'
-UNION ALL SELECT 'gold', 'fact_admissions', (SELECT {_N} FROM (SELECT DISTINCT admission_id, patient_id, ward_id,
-    coalesce(admission_time, {LAB_AS_OF}) FROM silver_admissions_dirty)), 'ok'
-UNION ALL SELECT 'gold', 'fact_labs', (SELECT {_N} FROM (SELECT DISTINCT patient_id, coalesce(collected_time, {LAB_AS_OF})
-    FROM silver_labs_dirty)), 'ok'
-UNION ALL SELECT 'gold', 'fact_lab_turnaround', (SELECT {_N} FROM (SELECT DISTINCT patient_id, coalesce(sample_datetime, {LAB_AS_OF}),
-    coalesce(completed_datetime, {LAB_AS_OF}) FROM silver_labs_dirty)), 'ok'
-UNION ALL SELECT 'gold', 'fact_pharmacy', (SELECT {_N} FROM (SELECT DISTINCT drug_name, coalesce(current_stock, 0),
-    coalesce(threshold, 10) FROM silver_pharmacy_dirty)), 'ok'
+UNION ALL SELECT 'gold', 'fact_admissions', (SELECT {_N} FROM silver_admissions_dirty), 'ok'
+UNION ALL SELECT 'gold', 'fact_labs', (SELECT {_N} FROM silver_labs_dirty), 'ok'
+UNION ALL SELECT 'gold', 'fact_lab_turnaround', (SELECT {_N} FROM silver_labs_dirty), 'ok'
+UNION ALL SELECT 'gold', 'fact_pharmacy', (SELECT {_N} FROM silver_pharmacy_dirty), 'ok'
 UNION ALL SELECT 'gold', 'fact_icu_alerts', CAST(0 AS BIGINT), 'ok'
-UNION ALL SELECT 'gold', 'fact_pharmacy_stock', (SELECT {_N} FROM (SELECT DISTINCT drug_name, coalesce(current_stock, 0),
-    coalesce(threshold, 10) FROM silver_pharmacy_dirty)), 'ok'
+UNION ALL SELECT 'gold', 'fact_pharmacy_stock', (SELECT {_N} FROM silver_pharmacy_dirty), 'ok'
 UNION ALL SELECT 'gold', 'patient_summary', (SELECT {_N} FROM silver_patients_dirty), 'ok'
 UNION ALL SELECT 'gold', 'daily_admissions_summary', (SELECT {_N} FROM (SELECT DISTINCT
     strftime(coalesce(admission_time, {LAB_AS_OF}), '%Y-%m-%d') FROM silver_admissions_dirty)), 'ok'""",

@@ -18,11 +18,13 @@ def ldouble(e: str) -> str:
 
 
 def llong(e: str) -> str:
-    return f"TRY_CAST(trunc({ldouble(e)}) AS BIGINT)"
+    """Digits as they stand; a decimal form is truncated, never rounded through double."""
+    s = f"trim(CAST({e} AS VARCHAR))"
+    return f"(CASE WHEN regexp_full_match({s}, '[+-]?[0-9]+') THEN TRY_CAST({s} AS BIGINT) ELSE TRY_CAST(trunc(TRY_CAST({s} AS DECIMAL(38, 10))) AS BIGINT) END)"
 
 
 def lint(e: str) -> str:
-    return f"TRY_CAST(trunc({ldouble(e)}) AS INTEGER)"
+    return f"TRY_CAST({llong(e)} AS INTEGER)"
 
 
 def lts(e: str) -> str:
@@ -49,7 +51,7 @@ SELECT patient_id, first_name, coalesce(last_name, '') || '-v2', date_of_birth,
 FROM ({_BRONZE_PATIENT_BASE}) WHERE _k % 50 = 0"""
 
 _BRONZE_ADM_BASE = f"""
-SELECT CAST(admission_id AS VARCHAR) AS admission_id,
+SELECT CASE WHEN admission_id % 107 = 9 THEN NULL ELSE CAST(admission_id AS VARCHAR) END AS admission_id,
        CASE WHEN admission_id % 101 = 1 THEN NULL ELSE CAST(patient_id AS VARCHAR) END AS patient_id,
        CASE WHEN admission_id % 83 = 4 THEN 'n/a' ELSE strftime(admission_time, {ISO_TS}) END AS admission_date,
        CAST(ward_id AS VARCHAR) AS ward_id, '2001-08-01' AS dt, admission_id AS _k
@@ -61,7 +63,8 @@ UNION ALL
 SELECT admission_id, patient_id, admission_date, ward_id, dt FROM ({_BRONZE_ADM_BASE}) WHERE _k % 50 = 0"""
 
 VIEWS["bronze_lab_results"] = f"""
-SELECT CAST(event_id AS VARCHAR) AS lab_result_id,
+SELECT CASE WHEN event_id % 103 = 7 THEN CAST(event_id + 9007199254740993 AS VARCHAR)
+            WHEN event_id % 109 = 8 THEN CAST(event_id AS VARCHAR) || '.0' ELSE CAST(event_id AS VARCHAR) END AS lab_result_id,
        CASE WHEN event_id % 101 = 3 THEN NULL WHEN event_id % 97 = 1 THEN 'P#' || CAST(user_id AS VARCHAR)
             ELSE CAST(user_id AS VARCHAR) END AS patient_id,
        CASE WHEN event_id % 89 = 2 THEN NULL WHEN event_id % 83 = 5 THEN '  ' ELSE {TEST_CASE} END AS test_type,
@@ -125,21 +128,21 @@ VIEWS["silver_patients_dirty"] = f"""
 SELECT patient_id, first_name, last_name, gender, dt, date_of_birth, {ADM_AS_OF} AS silver_load_timestamp
 FROM (SELECT {llong('patient_id')} AS patient_id, first_name, last_name, gender, dt, {ldate('date_of_birth')} AS date_of_birth
       FROM bronze_patients)
-QUALIFY row_number() OVER (PARTITION BY patient_id ORDER BY dt DESC NULLS LAST, first_name DESC NULLS LAST,
+QUALIFY patient_id IS NULL OR row_number() OVER (PARTITION BY patient_id ORDER BY dt DESC NULLS LAST, first_name DESC NULLS LAST,
         last_name DESC NULLS LAST, gender DESC NULLS LAST, date_of_birth DESC NULLS LAST) = 1"""
 
 VIEWS["silver_admissions_dirty"] = f"""
 SELECT admission_id, patient_id, ward_id, dt, admission_time, {ADM_AS_OF} AS silver_load_timestamp
 FROM (SELECT {llong('admission_id')} AS admission_id, {llong('patient_id')} AS patient_id, {llong('ward_id')} AS ward_id,
              dt, {lts('admission_date')} AS admission_time FROM bronze_admissions)
-QUALIFY row_number() OVER (PARTITION BY admission_id ORDER BY dt DESC NULLS LAST, patient_id DESC NULLS LAST,
+QUALIFY admission_id IS NULL OR row_number() OVER (PARTITION BY admission_id ORDER BY dt DESC NULLS LAST, patient_id DESC NULLS LAST,
         ward_id DESC NULLS LAST, admission_time DESC NULLS LAST) = 1"""
 
 VIEWS["silver_discharges_dirty"] = f"""
 SELECT discharge_id, admission_id, patient_id, dt, discharge_time, {ADM_AS_OF} AS silver_load_timestamp
 FROM (SELECT {llong('discharge_id')} AS discharge_id, {llong('admission_id')} AS admission_id,
              {llong('patient_id')} AS patient_id, dt, {lts('discharge_date')} AS discharge_time FROM bronze_discharges)
-QUALIFY row_number() OVER (PARTITION BY discharge_id ORDER BY dt DESC NULLS LAST, admission_id DESC NULLS LAST,
+QUALIFY discharge_id IS NULL OR row_number() OVER (PARTITION BY discharge_id ORDER BY dt DESC NULLS LAST, admission_id DESC NULLS LAST,
         patient_id DESC NULLS LAST, discharge_time DESC NULLS LAST) = 1"""
 
 VIEWS["silver_wards_dirty"] = f"""
@@ -186,9 +189,9 @@ ORACLE["tb_10_fact_admissions"] = with_views(["fact_admissions"], "SELECT * FROM
 
 ORACLE["tb_11_fact_labs"] = with_views(
     ["lab_results"],
-    f"""SELECT {skey('patient_id', ts_text('sample_time'))} AS lab_key,
+    f"""SELECT {skey('lab_result_id', 'patient_id', ts_text('sample_time'))} AS lab_key,
        patient_id, sample_time, {LAB_AS_OF} AS created_at
-FROM (SELECT DISTINCT patient_id, coalesce(collected_time, {LAB_AS_OF}) AS sample_time FROM lab_results)""",
+FROM (SELECT lab_result_id, patient_id, coalesce(collected_time, {LAB_AS_OF}) AS sample_time FROM lab_results)""",
 )
 
 ORACLE["tb_12_fact_lab_turnaround"] = with_views(["fact_lab_turnaround"], "SELECT * FROM fact_lab_turnaround")

@@ -160,7 +160,7 @@ ORACLE["win_01_frequent_tests"] = with_views(
 
 # ---------------------------------------------------------------- integrity
 
-_DIRTY_FACT_ADM = f"""(SELECT DISTINCT admission_id, patient_id, ward_id, coalesce(admission_time, {ADM_AS_OF}) AS admission_time
+_DIRTY_FACT_ADM = f"""(SELECT admission_id, patient_id, ward_id, coalesce(admission_time, {ADM_AS_OF}) AS admission_time
  FROM silver_admissions_dirty)"""
 
 ORACLE["jn_06_referential_integrity"] = with_views(
@@ -432,7 +432,7 @@ ORACLE["vs_11_14_silver"] = with_views(
 _GOLD_CTES = f"""g_dim_patient AS (SELECT patient_id AS patient_key, patient_id,
        CASE WHEN date_of_birth IS NOT NULL THEN 2001 - year(date_of_birth) END AS age FROM silver_patients_dirty),
 g_fact_adm AS {_DIRTY_FACT_ADM},
-g_fact_pharm AS (SELECT DISTINCT drug_name, CAST(coalesce(current_stock, 0) AS INTEGER) AS stock_on_hand,
+g_fact_pharm AS (SELECT drug_name, CAST(coalesce(current_stock, 0) AS INTEGER) AS stock_on_hand,
        CAST(coalesce(threshold, 10) AS INTEGER) AS reorder_level FROM silver_pharmacy_dirty),
 g_summary AS (SELECT p.patient_id, p.age, coalesce(c.n, 0) AS total_admissions FROM g_dim_patient p
        LEFT JOIN (SELECT patient_id, count(*) AS n FROM g_fact_adm GROUP BY 1) c ON p.patient_id = c.patient_id),

@@ -79,7 +79,7 @@ def ts_text(expr: str) -> str:
 VIEWS["fact_admissions"] = f"""
 SELECT {skey('admission_id', 'patient_id', 'ward_id', ts_text('admission_time'))} AS admission_key,
        admission_id, patient_id, ward_id, admission_time, {ADM_AS_OF} AS created_at
-FROM (SELECT DISTINCT admission_id, patient_id, ward_id, coalesce(admission_time, {ADM_AS_OF}) AS admission_time FROM admissions)"""
+FROM (SELECT admission_id, patient_id, ward_id, coalesce(admission_time, {ADM_AS_OF}) AS admission_time FROM admissions)"""
 
 VIEWS["dim_ward"] = f"""
 SELECT ward_id AS ward_key, ward_id, ward_name, {ADM_AS_OF} AS created_at FROM wards"""
@@ -91,17 +91,17 @@ SELECT patient_id AS patient_key, patient_id, first_name, last_name, date_of_bir
 FROM patients"""
 
 VIEWS["fact_lab_turnaround"] = f"""
-SELECT {skey('patient_id', ts_text('sample_time'), ts_text('completed_time'))} AS lab_turnaround_key,
+SELECT {skey('lab_result_id', 'patient_id', ts_text('sample_time'), ts_text('completed_time'))} AS lab_turnaround_key,
        patient_id, sample_time, completed_time,
        (floor(epoch(completed_time)) - floor(epoch(sample_time))) / 60.0 AS turnaround_minutes,
        {LAB_AS_OF} AS created_at
-FROM (SELECT DISTINCT patient_id, coalesce(collected_time, {LAB_AS_OF}) AS sample_time,
+FROM (SELECT lab_result_id, patient_id, coalesce(collected_time, {LAB_AS_OF}) AS sample_time,
              coalesce(completed_time, {LAB_AS_OF}) AS completed_time FROM lab_results)"""
 
 VIEWS["fact_pharmacy"] = f"""
-SELECT {skey('drug_name', 'stock_on_hand', 'reorder_level')} AS inventory_key,
+SELECT {skey('drug_id', 'drug_name', 'stock_on_hand', 'reorder_level')} AS inventory_key,
        drug_name, stock_on_hand, reorder_level, {LAB_AS_OF} AS created_at
-FROM (SELECT DISTINCT drug_name, CAST(coalesce(current_stock, 0) AS INTEGER) AS stock_on_hand,
+FROM (SELECT drug_id, drug_name, CAST(coalesce(current_stock, 0) AS INTEGER) AS stock_on_hand,
              CAST(coalesce(threshold, 10) AS INTEGER) AS reorder_level FROM pharmacy_inventory)"""
 
 VIEWS["fact_icu_alerts"] = f"""

@@ -25,7 +25,7 @@ RESULT_SCHEMA = (
 
 def suite_result(
     checks: DataFrame,
-    table: DataFrame,
+    table: DataFrame | None,
     table_name: str,
     as_of: datetime,
     rule: str = "records",
@@ -39,7 +39,8 @@ def suite_result(
     added when issues / rows exceeds the ratio.  ``pharmacy`` (VS-07): with
     issues, fail when issues / rows exceeds the ratio or expired / rows
     exceeds the tolerance / 100.  ``labs`` (VS-10): fail when issues / rows
-    exceeds the ratio.  The quality score (VS-09) is reported for all.
+    exceeds the ratio.  ``plain``: passed when there is no issue, and no
+    message of its own.  A missing required column or an empty table fails under every rule.  The quality score (VS-09) is reported for all.
     """
     fired = F.col("fired")
     # one aggregate over the check rows; the suite's own aggregate already
@@ -49,6 +50,7 @@ def suite_result(
         F.sort_array(F.collect_list(F.when(fired & (F.col("severity") == "warning"), F.col("message")))).alias("warnings"),
         F.coalesce(F.sum(F.when(F.col("check") == "expired", F.col("failed"))), F.lit(0)).alias("expired"),
         F.coalesce(F.max(F.when(F.col("check") == "row_count", F.col("failed"))), F.lit(0)).alias("row_count"),
+        F.coalesce(F.max(fired & F.col("check").isin("missing_columns", "empty")), F.lit(False)).alias("halted"),
     )
     n_issues = F.size("issues")
     ratio = n_issues / F.greatest(F.col("row_count"), F.lit(1))
@@ -64,9 +66,12 @@ def suite_result(
         passed = (n_issues == 0) | ~(
             (ratio > issue_ratio) | (F.col("expired") / F.greatest(F.col("row_count"), F.lit(1)) > expired_tolerance / 100)
         )
+    elif rule == "plain":
+        passed = n_issues == 0
     else:
         passed = (n_issues == 0) | ~(ratio > issue_ratio)
-    one = one.withColumn("passed", passed)
+    # a suite that could not look at its rows never passes, whatever the ratio
+    one = one.withColumn("passed", passed & ~F.col("halted"))
     n_i, n_w = F.size("issues"), F.size("warnings")
     score = F.when(F.col("row_count") == 0, F.lit(0.0)).otherwise(
         F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.lit(100.0) - F.least(F.lit(50.0), n_i * 10.0) - F.least(F.lit(20.0), n_w * 2.0)))
@@ -85,9 +90,13 @@ def suite_result(
 
 
 def guarded(build, table_name: str, spark, as_of: datetime) -> DataFrame:
-    """VS-20: a validator that fails becomes a failed result with the message."""
+    """VS-20: a validator that fails becomes a failed result with the message.
+
+    The result is one row; it is computed here, so that what fails only when
+    Spark runs the checks is caught as well.
+    """
     try:
-        return build()
+        return spark.createDataFrame(build().collect(), RESULT_SCHEMA)
     except Exception as e:  # noqa: BLE001 - reported, not swallowed
         return spark.createDataFrame(
             [(table_name, as_of, 0, [f"Validation error: {e}"], [], 1, 0, False, 0.0)], RESULT_SCHEMA

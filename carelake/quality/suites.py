@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import age_years_365, shift_days, shift_years, ts_lit
 from ..functions.lab_ranges import REFERENCE_RANGES, classify, must_be_positive
 from ..functions.parse import lenient_double, lenient_timestamp
-from ..functions.text import has_unusual_chars, has_valid_id_format, is_blank, is_digits_only, text_length
+from ..functions.text import has_unusual_chars, has_valid_id_format, is_blank, is_digits_only, strip, text_length
 from ..operators import profile
 from .checks import ISSUE, WARNING, RowCheck, metric_check, run_row_checks, static_check, union_all
 
@@ -276,7 +276,7 @@ def validate_lab_results(df: DataFrame, as_of: datetime, config: dict | None = N
         RowCheck("patient_format", WARNING, ~has_valid_id_format("patient_id"), "Found %d tests with unusual patient ID format"),
         RowCheck("patient_length", WARNING, (pid_len < 3) | (pid_len > 20), "Found %d tests with unusual patient ID length"),
         RowCheck("test_type_null", ISSUE, F.col("test_type").isNull(), "Found %d tests without test type"),
-        RowCheck("test_type_empty", ISSUE, F.trim(F.col("test_type")) == "", "Found %d tests with empty test type"),
+        RowCheck("test_type_empty", ISSUE, strip("test_type") == "", "Found %d tests with empty test type"),
         RowCheck("date_invalid", ISSUE, d.isNull(), "Found %d tests with invalid date format"),
         RowCheck("date_future_far", ISSUE, d > cutoff, f"Found %d tests with dates >{days} days in future"),
         RowCheck("date_future_near", WARNING, (d > now) & (d <= cutoff), f"Found %d tests with dates up to {days} days in future"),

@@ -53,14 +53,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when nothing is configured (tests, local runs) a fresh local
-    folder is created.
+    is.  Only when nothing is configured and Spark runs in local mode (tests,
+    local runs) a fresh local folder is created; on a cluster that would be a
+    different folder on every machine, so there it is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
         return spark.sparkContext.getCheckpointDir() or configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
     local = tempfile.mkdtemp(prefix="carelake-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

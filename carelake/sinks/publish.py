@@ -8,7 +8,6 @@ a failed job rewrites the same output.
 
 from __future__ import annotations
 
-import traceback
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -118,7 +117,7 @@ def build_tables(
                 return (name, None, "skipped", None)
             return (name, write_table(df, f"{root.rstrip('/')}/{name}"), "ok", None)
         except Exception as e:  # noqa: BLE001 - reported per table
-            return (name, None, "failed", (f"{type(e).__name__}: {e}" or traceback.format_exc())[:500])
+            return (name, None, "failed", f"{type(e).__name__}: {e}")
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         report = list(pool.map(one, builders.items()))

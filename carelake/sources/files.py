@@ -11,7 +11,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | str | None = None, null_value: str | None = None) -> DataFrame:
@@ -108,20 +108,37 @@ def read_multi_csv(
     schema: StructType | str | None = None,
     null_value: str | None = None,
 ) -> DataFrame:
-    """SRC-05: combine same-shaped CSV files, tagging each row with its file.
+    """SRC-05: combine CSV files by column name, tagging each row with its file.
 
     Absent files are skipped; when none of ``paths`` exists the fallback list
-    is tried; when nothing exists a ``FileNotFoundError`` is raised.  All
-    files are read by one distributed scan; ``source_file`` comes from the
-    file metadata column.
+    is tried; when nothing exists a ``FileNotFoundError`` is raised.  Files of
+    one header are read by one distributed scan; files whose columns differ in
+    order or set are joined by name, with NULL where a file lacks a column.
+    ``source_file`` comes from the file metadata column.
     """
     found = existing_paths(spark, paths)
     if not found and fallback_paths:
         found = existing_paths(spark, fallback_paths)
     if not found:
         raise FileNotFoundError("No input files found")
-    df = read_csv(spark, found, schema, null_value)
-    return df.withColumn("source_file", F.col("_metadata.file_name"))
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for p in found:  # a header is one line: nothing else of the file is read here
+        by_header.setdefault(tuple(spark.read.option("header", True).option("inferSchema", False).csv(p).columns), []).append(p)
+    parts = []
+    for names, group in by_header.items():
+        own = schema if schema is None else _of_header(spark, schema, names)
+        parts.append(read_csv(spark, group, own, null_value).withColumn("source_file", F.col("_metadata.file_name")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out.select(*[c for c in out.columns if c != "source_file"], "source_file")
+
+
+def _of_header(spark: SparkSession, schema: StructType | str, names: tuple[str, ...]) -> StructType:
+    """``schema`` in a file's column order; a column that the schema lacks is text."""
+    full = schema if isinstance(schema, StructType) else spark.createDataFrame([], schema).schema
+    known = {f.name: f for f in full.fields}
+    return StructType([known.get(n, StructField(n, StringType())) for n in names])
 
 
 def jdbc_reader_options(url: str, table: str, properties: dict[str, str] | None = None, partition: dict | None = None) -> dict[str, str]:
@@ -152,22 +169,31 @@ def read_jdbc_tables(
 
     Each table is read by range-partitioned parallel queries when a
     partition spec is given for it; ``limit`` is pushed into the source query.
+    The two exclude each other: every partition query would apply an unordered
+    limit of its own, so rows would repeat or go missing.
     """
     out = {}
     for t in tables:
+        if limit and (partitions or {}).get(t):
+            raise ValueError(f"{t}: a row limit and a partition spec cannot be combined")
         src = f"(SELECT * FROM {t} LIMIT {int(limit)}) AS q" if limit else t
         opts = jdbc_reader_options(url, src, properties, (partitions or {}).get(t))
         out[t] = spark.read.format("jdbc").options(**opts).load()
     return out
 
 
-def read_nested_json(spark: SparkSession, path: str, key: str = "drugs", multi_line: bool = True) -> DataFrame:
+def read_nested_json(
+    spark: SparkSession, path: str, key: str = "drugs", multi_line: bool = True, schema: StructType | str | None = None
+) -> DataFrame:
     """SRC-07: documents holding an array of flat objects under ``key``.
 
     ``multi_line`` reads one (possibly pretty-printed) document per file;
     False reads JSON lines.  A missing key is an error, as in the reference.
+    With ``schema`` (of a whole document) the files are read once; without it
+    Spark infers one in a pass of its own.
     """
-    docs = spark.read.option("multiLine", multi_line).json(path)
+    reader = spark.read.option("multiLine", multi_line)
+    docs = (reader.schema(schema) if schema else reader).json(path)
     if key not in docs.columns:
         raise KeyError(f"'{key}' key not found in response")
     return docs.select(F.explode(key).alias("_d")).select("_d.*")

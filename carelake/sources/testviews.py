@@ -188,7 +188,7 @@ def bronze_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = admissions(spark, sf_dir, spread=True)
     raw = a.select(
-        F.col("admission_id").cast("string").alias("admission_id"),
+        F.when(_mod("admission_id", 107) == 9, F.lit(None)).otherwise(F.col("admission_id").cast("string")).alias("admission_id"),
         F.when(_mod("admission_id", 101) == 1, F.lit(None)).otherwise(F.col("patient_id").cast("string")).alias("patient_id"),
         F.when(_mod("admission_id", 83) == 4, F.lit("n/a")).otherwise(_iso_ts(F.col("admission_time"))).alias("admission_date"),
         F.col("ward_id").cast("string").alias("ward_id"),
@@ -204,7 +204,9 @@ def bronze_lab_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = "event_id"
     test_type = _case(F.col("event_type"), TEST_TYPE_BY_EVENT)
     return e.select(
-        F.col(k).cast("string").alias("lab_result_id"),
+        F.when(_mod(k, 103) == 7, (F.col(k) + F.lit(9007199254740993)).cast("string"))
+        .when(_mod(k, 109) == 8, F.concat(F.col(k).cast("string"), F.lit(".0")))
+        .otherwise(F.col(k).cast("string")).alias("lab_result_id"),
         F.when(_mod(k, 101) == 3, F.lit(None))
         .when(_mod(k, 97) == 1, F.concat(F.lit("P#"), F.col("user_id").cast("string")))
         .otherwise(F.col("user_id").cast("string")).alias("patient_id"),
@@ -275,17 +277,24 @@ def bronze_discharges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vital_signs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vital-sign readings derived from events (one reading per event)."""
+    """Vital-sign readings derived from events (one reading per event); some readings are missing."""
     e = table(spark, sf_dir, "events")
     k = "event_id"
+
+    def there(c: Column, *gaps: tuple[int, int]) -> Column:
+        lost = F.lit(False)
+        for n, r in (*gaps, (211, 9)):
+            lost = lost | (_mod(k, n) == r)
+        return F.when(~lost, c)
+
     return e.select(
         F.col(k).alias("reading_id"),
         F.col("user_id").alias("patient_id"),
         F.col("ts").alias("measurement_time"),
-        (F.lit(35) + F.pmod(F.floor(F.col("value") * 7), F.lit(110))).cast("int").alias("heart_rate"),
-        (F.lit(85) + F.pmod(F.floor(F.col("value")), F.lit(140))).cast("int").alias("blood_pressure_systolic"),
+        there((F.lit(35) + F.pmod(F.floor(F.col("value") * 7), F.lit(110))).cast("int")).alias("heart_rate"),
+        there((F.lit(85) + F.pmod(F.floor(F.col("value")), F.lit(140))).cast("int"), (37, 5)).alias("blood_pressure_systolic"),
         (F.lit(45) + _mod(k, 60)).cast("int").alias("blood_pressure_diastolic"),
-        (F.lit(35.0) + _mod(k, 60).cast("double") / F.lit(10.0)).alias("temperature"),
-        (F.lit(88) + _mod(k, 13)).cast("int").alias("oxygen_saturation"),
-        (F.lit(8) + _mod(k, 23)).cast("int").alias("respiratory_rate"),
+        there(F.lit(35.0) + _mod(k, 60).cast("double") / F.lit(10.0)).alias("temperature"),
+        there((F.lit(88) + _mod(k, 13)).cast("int")).alias("oxygen_saturation"),
+        there((F.lit(8) + _mod(k, 23)).cast("int"), (31, 4)).alias("respiratory_rate"),
     )

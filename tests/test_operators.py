@@ -8,13 +8,13 @@ from carelake.operators import dedupe, gold, kpi, profile
 AS_OF = datetime(2024, 2, 1)
 
 
-def test_latest_per_key_picks_latest_snapshot_and_keeps_null_group(spark):
+def test_latest_per_key_picks_latest_snapshot_and_keeps_all_rows_without_key(spark):
     df = spark.createDataFrame(
         [(1, "a", "2024-01-01"), (1, "b", "2024-01-02"), (None, "x", "2024-01-01"), (None, "y", "2024-01-01"), (2, "c", "2024-01-01")],
         "k long, v string, dt string",
     )
-    out = {r.k: r.v for r in dedupe.latest_per_key(df, ["k"], ["dt"]).collect()}
-    assert out == {1: "b", 2: "c", None: "y"}
+    out = sorted(((r.k or 0), r.v) for r in dedupe.latest_per_key(df, ["k"], ["dt"]).collect())
+    assert out == [(0, "x"), (0, "y"), (1, "b"), (2, "c")]
 
 
 def test_silver_labs_uses_collected_time_when_no_sample_time(spark):

@@ -27,11 +27,11 @@ def test_g3_expiry_checks_all_run(spark):
     assert {"expired", "expiring_soon", "expiry_far_future", "expiry_before_2000", "expiry_invalid"} <= names
 
 
-def test_g5_facts_deduplicated_with_stable_keys(spark):
+def test_g5_facts_keep_every_row_with_stable_keys(spark):
     adm = spark.createDataFrame([(1, 2, 3, datetime(2024, 1, 1))] * 3, "admission_id long, patient_id long, ward_id long, admission_time timestamp_ntz")
     a = gold.fact_admissions(adm, AS_OF).collect()
     b = gold.fact_admissions(adm.repartition(3), AS_OF).collect()
-    assert len(a) == 1 and a[0].admission_key == b[0].admission_key
+    assert len(a) == 3 and {r.admission_key for r in a} == {r.admission_key for r in b} and len({r.admission_key for r in a}) == 1
 
 
 def test_g6_snapshots_keep_dt_and_latest_wins(spark):
@@ -159,3 +159,63 @@ def test_write_with_fallback_and_contract(spark):
         fh.write("x")
     used = publish.write_with_fallback(df, f"{bad_primary}/t", f"{root}/fallback/t")
     assert used.endswith("fallback/t") and spark.read.parquet(used).count() == 2922
+
+
+def test_csv_files_are_combined_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("lab_result_id,patient_id,test_type\n1,7,Glucose\n")
+    (tmp_path / "b.csv").write_text("test_type,lab_result_id,patient_id,unit\nSodium,2,8,mg\n")
+    (tmp_path / "c.csv").write_text("patient_id,lab_result_id\n9,3\n")
+    df = files.read_multi_csv(spark, [str(tmp_path / f"{n}.csv") for n in "abc"])
+    got = {r.lab_result_id: (r.patient_id, r.test_type, r.unit, r.source_file) for r in df.collect()}
+    assert got == {"1": ("7", "Glucose", None, "a.csv"), "2": ("8", "Sodium", "mg", "b.csv"), "3": ("9", None, None, "c.csv")}
+
+
+def test_suites_that_cannot_look_at_rows_never_pass(spark):
+    rows = [(str(i), "1", "5") for i in range(100)]
+    labs = spark.createDataFrame(rows, "lab_result_id string, patient_id string, result_value string")
+    for rule in ("labs", "pharmacy", "records", "plain"):
+        r = results.suite_result(suites.validate_lab_results(labs, AS_OF), None, "lab_results", AS_OF, rule=rule).collect()[0]
+        assert not r.passed and r.issue_count >= 1
+    empty = spark.createDataFrame([], "lab_result_id string, patient_id string, test_type string, test_date string, result_value string")
+    assert not results.suite_result(suites.validate_lab_results(empty, AS_OF), None, "lab_results", AS_OF, rule="labs").collect()[0].passed
+
+
+def test_run_time_errors_become_failed_results(spark):
+    from pyspark.sql import functions as F
+
+    def late():  # fails when it runs, not when it is built
+        checks = suites.validate_silver("patients", spark.createDataFrame([(1, "a")], "patient_id long, first_name string"), AS_OF)
+        return results.suite_result(checks.withColumn("failed", F.raise_error(F.lit("late failure")).cast("bigint")), None, "patients", AS_OF)
+
+    r = results.guarded(late, "patients", spark, AS_OF).collect()[0]
+    assert not r.passed and "late failure" in r.issues[0]
+
+
+def test_ids_keep_all_their_digits(spark):
+    from pyspark.sql import functions as F
+
+    from carelake.functions.parse import lenient_int, lenient_long
+
+    texts = ["9007199254740993", " 12 ", "12.0", "12.9", "-3.5", "9223372036854775808", "x", None, "3e9"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(lenient_long("t").alias("l"), lenient_int("t").alias("i"))
+    assert [tuple(r) for r in df.collect()] == [
+        (9007199254740993, None), (12, 12), (12, 12), (12, 12), (-3, -3), (None, None), (None, None), (None, None), (3000000000, None),
+    ]
+    assert spark.range(1).select(F.lit(1)).count() == 1
+
+
+def test_blank_is_any_white_space(spark):
+    from carelake.functions.text import is_blank
+
+    texts = ["\t", " ", " \n ", "", None, "x", "​x"]
+    assert [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(is_blank("t")).collect()] == [True] * 5 + [False] * 2
+
+
+def test_missing_vitals_raise_no_alert(spark):
+    from carelake.operators import extensions
+
+    cols = "reading_id long, patient_id long, measurement_time timestamp_ntz, heart_rate int, blood_pressure_systolic int, blood_pressure_diastolic int, temperature double, oxygen_saturation int, respiratory_rate int"
+    t = datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, 1, t, 70, None, 80, 37.0, 98, 15), (2, 1, t, 70, 120, 80, 37.0, 98, None), (3, 1, t, None, None, None, None, None, None), (4, 1, t, 70, 80, 70, 37.0, 98, None)], cols)
+    got = {r.reading_id: (r.ews_score, r.missing_readings, r.is_critical, r.in_valid_range) for r in extensions.vital_sign_facts(df).collect()}
+    assert got == {1: (0, 1, False, False), 2: (0, 1, False, False), 3: (None, 5, False, False), 4: (3, 1, True, False)}

@@ -60,24 +60,36 @@ class PieceLattice:
             for j in range(1, len(p) + 1):
                 node.setdefault(p[:j], len(node))
         edges = sorted((node[k[:-1]] * 256 + k[-1], n) for k, n in node.items() if k)
-        self._keys = np.array([k for k, _ in edges] + [np.iinfo(np.int64).max], dtype=np.int64)
-        self._to = np.array([n for _, n in edges] + [0], dtype=np.int64)
+        self._keys = np.array([k for k, _ in edges], dtype=np.int64)
+        self._to = np.array([n for _, n in edges], dtype=np.int32)
+        self._table: np.ndarray | None = None
         self._piece = np.full(len(node), -1, dtype=np.int64)
         for i, p in enumerate(pieces):
             self._piece[node[p]] = i
         self.end_log_p = float(self.log_p[pieces.index(END)])
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_table": None}
+
+    @property
+    def next(self) -> np.ndarray:
+        """The next node by node and byte, 0 for none: 1 KB a node, made where it is used and never sent."""
+        if self._table is None:
+            self._table = np.zeros(len(self._piece) * 256, dtype=np.int32)
+            self._table[self._keys] = self._to
+        return self._table
+
     def _edges(self, w: np.ndarray) -> list[list[tuple[np.ndarray, int, np.ndarray]]]:
         """Lattice edges of the equally long words in the rows of ``w``: for each start, (rows, length, pieces)."""
         n, size = w.shape
+        follow = self.next
         out: list[list[tuple[np.ndarray, int, np.ndarray]]] = []
         for start in range(size):
             rows, state, found = np.arange(n), np.zeros(n, dtype=np.int64), []
             for length in range(1, size - start + 1):
-                key = state * 256 + w[rows, start + length - 1]
-                at = np.searchsorted(self._keys, key)
-                ok = self._keys[at] == key
-                rows, state = rows[ok], self._to[at[ok]]
+                state = follow[state * 256 + w[rows, start + length - 1]].astype(np.int64)
+                ok = state > 0
+                rows, state = rows[ok], state[ok]
                 if not len(rows):
                     break
                 piece = self._piece[state]
@@ -111,10 +123,9 @@ class PieceLattice:
         out: list[list[tuple[int, int]]] = [[] for _ in range(n)]
         starts, state, length = np.arange(n), np.zeros(n, dtype=np.int64), 0
         while len(starts):
-            key = state * 256 + word[starts + length]
-            at = np.searchsorted(self._keys, key)
-            ok = self._keys[at] == key
-            starts, state, length = starts[ok], self._to[at[ok]], length + 1
+            state = self.next[state * 256 + word[starts + length]].astype(np.int64)
+            ok = state > 0
+            starts, state, length = starts[ok], state[ok], length + 1
             piece = self._piece[state]
             for s, p in zip(starts[piece >= 0].tolist(), piece[piece >= 0].tolist(), strict=True):
                 out[s].append((s + length, p))

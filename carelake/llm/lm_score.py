@@ -4,12 +4,14 @@ The model's vocabulary holds the pieces of an existing subword vocabulary and th
 with a unigram score.  A text's probability sums over all segmentations of its words into these entries:
 a word is either one whole entry or a path of pieces through the lattice (:mod:`.lattice`), whose forward
 recursion in log space gives the sum.  Training counts words by class (a column such as the language),
-discounts them as Kneser and Ney do, and gives what the discounts free to the next wider model:
+discounts them as Kneser and Ney do, and gives what the discounts free to a model of words new to a class,
+which counts not how often but in how many classes a word was seen:
 
     P(w | class) = (max(c(w, class) - D, 0) + (D V(class) + 1) P(w)) / (N(class) + 1)
-    P(w)         = (max(c(w) - d, 0) + (d V + 1) lattice(w)) / (N + 2)
+    P(w)         = (max(m(w) - d, 0) + (d V + 1) lattice(w)) / (M + 2)
 
-with the end of a text as one more token, never discounted and counted once more.  The piece probabilities start from the scores of
+with m(w) the number of classes that hold w, M its sum, V the distinct words, and the end of a text as one more
+token, never discounted and seen once in P.  The piece probabilities start from the scores of
 the existing vocabulary and are re-estimated by expected counts over the distinct training words.  A
 text's probability sums over the classes as well, so every step is a proper distribution.
 """
@@ -46,6 +48,7 @@ class Model:
     texts: list[int]  # training texts by class
     tokens: int  # N
     types: int  # V, with the end
+    spread: int  # M
     discount: float
     class_tokens: list[int]
     class_types: list[int]
@@ -55,10 +58,10 @@ class Model:
     def ends(self) -> int:
         return sum(self.texts)
 
-    def class_columns(self, count, by_class: list, lattice):
+    def class_columns(self, by_class: list, lattice):
         """Log10 probability of a word in each class from its counts and its lattice log probability (columns)."""
-        n, free = self.tokens + 2, self.discount * max(0, self.types - 1) + 1
-        whole = (F.greatest(count - self.discount, F.lit(0.0)) + free * F.exp(lattice)) / float(n)
+        n, free = self.spread + 2, self.discount * max(0, self.types - 1) + 1
+        whole = (F.greatest(_classes_with(by_class) - self.discount, F.lit(0.0)) + free * F.exp(lattice)) / float(n)
         out = []
         for k, c in enumerate(by_class):
             own_n, own_free = self.class_tokens[k] + 1, self.class_discount[k] * self.class_types[k] + 1
@@ -69,13 +72,19 @@ class Model:
         return out
 
     def end_log10(self) -> list[float]:
-        whole = (self.ends + 1) / (self.tokens + 2)
+        whole = 1 / (self.spread + 2)
         return [
             math.log10((t + (d * v + 1) * whole) / (n + 1))
             for t, n, v, d in zip(self.texts, self.class_tokens, self.class_types, self.class_discount, strict=True)
         ]
 
 
+def _classes_with(by_class: list):
+    """In how many classes a word was counted."""
+    seen = [(c > 0).cast("double") for c in by_class]
+    return sum(seen[1:], seen[0])
+
+
 def _split(text: bytes) -> list[bytes]:
     return text.lower().split()  # of bytes: A-Z alone, and the six ASCII white-space characters
 
@@ -111,22 +120,37 @@ def train(words: DataFrame, classes: list[str], texts: list[int]) -> Model:
     """Totals and discounts in one aggregate over the distinct words."""
     cs = [F.col(f"c{k}") for k in range(len(classes))]
     total = sum(cs[1:], cs[0])
-    cols = []
-    for c in [total, *cs]:
+    m = _classes_with(cs)
+    cols = [F.sum(total), F.count_if(total > 0), F.count_if(m == 1), F.count_if(m == 2)]
+    for c in cs:
         cols += [F.sum(c), F.count_if(c > 0), F.count_if(c == 1), F.count_if(c == 2)]
-    r = [x or 0 for x in words.agg(*cols).first()]
+    *r, spread = [x or 0 for x in words.agg(*cols, F.sum(m)).first()]
 
     def discount(n1: int, n2: int) -> float:
-        return n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
+        return n1 / (n1 + 2 * n2) if n1 else 0.5
 
     per = [r[4 * i : 4 * i + 4] for i in range(len(cs) + 1)]
     ends = sum(texts)
     return Model(
-        classes, texts, per[0][0] + ends, per[0][1] + (1 if ends else 0), discount(*per[0][2:]),
+        classes, texts, per[0][0] + ends, per[0][1] + (1 if ends else 0), int(spread), discount(*per[0][2:]),
         [p[0] + t for p, t in zip(per[1:], texts, strict=True)], [p[1] for p in per[1:]], [discount(*p[2:]) for p in per[1:]],
     )
 
 
+def _gathered(batches: Iterator, rows: int = 50_000, size: int = 8 << 20) -> Iterator:
+    """Record batches put together to about ``rows`` rows, so that work on arrays pays."""
+    import pyarrow as pa
+
+    held: list = []
+    for b in batches:
+        held.append(b)
+        if sum(x.num_rows for x in held) >= rows or sum(x.nbytes for x in held) >= size:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = []
+    if sum(x.num_rows for x in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def _normed(pieces: list[bytes], mass: np.ndarray) -> np.ndarray:
     """Log probabilities: word-start pieces sum to 1, and so do the others with the stop symbol."""
     start = np.array([p[:1] == b" " for p in pieces])
@@ -151,7 +175,7 @@ def fit_pieces(words: DataFrame, model_file: str, n_classes: int, rounds: int =
             import pyarrow as pa
 
             own, total, n = shared.value, np.zeros(len(shared.value.pieces)), 0
-            for b in batches:
+            for b in _gathered(batches):
                 found = b.column(0).to_pylist()
                 total += own.run(found, np.ones(len(found)))[1]
                 n += len(found)
@@ -179,7 +203,7 @@ def _with_lattice(words: DataFrame, lattice: PieceLattice) -> DataFrame:
         import pyarrow as pa
 
         own = shared.value
-        for b in batches:
+        for b in _gathered(batches):
             found, _ = own.run(b.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found + own.end_log_p)], names=[*b.schema.names, "lattice"])
 
@@ -211,7 +235,7 @@ def lm_scores(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col
     lattice = fit_pieces(words, model_file, len(classes), rounds)
     cs = [F.col(f"c{k}").cast("double") for k in range(len(classes))]
     total = sum(cs[1:], cs[0])
-    scored = _with_lattice(words, lattice).select("word", total.alias("c"), *[x.alias(f"s{k}") for k, x in enumerate(model.class_columns(total, cs, F.col("lattice")))])
+    scored = _with_lattice(words, lattice).select("word", total.alias("c"), *[x.alias(f"s{k}") for k, x in enumerate(model.class_columns(cs, F.col("lattice")))])
     scored = written(scored, "scored-words")
     names = [f"s{k}" for k in range(len(classes))]
     # at most COMMON_WORDS rows: what is left over is joined, so no word's rows are many

@@ -494,7 +494,7 @@ def test_lm_scores(request, which, monkeypatch):
 
     def discount(c):
         n1, n2 = sum(x == 1 for x in c.values()), sum(x == 2 for x in c.values())
-        return n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
+        return n1 / (n1 + 2 * n2) if n1 else 0.5
 
     pieces, prior = load_pieces(model_file)
     start = np.array([p[:1] == b" " for p in pieces])
@@ -505,18 +505,20 @@ def test_lm_scores(request, which, monkeypatch):
     lat = PieceLattice(pieces, lm_score._normed(pieces, np.where(start, p0 / p0[start].sum(), p0 / p0[~start].sum()) * lm_score.PRIOR_WEIGHT + c))
     vocabulary = sorted({w for _, t, _ in rows for w in words(t)})
     sub = dict(zip(vocabulary, lat.run(vocabulary)[0] + lat.end_log_p, strict=True))
-    d, ds = discount(count), {k: discount(x) for k, x in by_class.items()}
+    spread = Counter(w for x in by_class.values() for w in x)
+    m_all = spread.total()
+    d, ds = discount(spread), {k: discount(x) for k, x in by_class.items()}
     sizes = {k: x.total() + n_texts[k] for k, x in by_class.items()}
 
     free, own_free = d * len(count) + 1, {k: ds[k] * len(by_class[k]) + 1 for k in n_texts}
 
     def log10_p(w, k):
-        whole = (max(count[w] - d, 0) + free * math.exp(sub[w])) / (n + 2)
+        whole = (max(spread[w] - d, 0) + free * math.exp(sub[w])) / (m_all + 2)
         p = (max(by_class[k][w] - ds[k], 0) + own_free[k] * whole) / (sizes[k] + 1)
-        return math.log10(p) if p > 1e-290 else math.log10(free / (n + 2) * own_free[k] / (sizes[k] + 1)) + sub[w] / math.log(10)
+        return math.log10(p) if p > 1e-290 else math.log10(free / (m_all + 2) * own_free[k] / (sizes[k] + 1)) + sub[w] / math.log(10)
 
     def end(k):
-        return math.log10((n_texts[k] + own_free[k] * (ends + 1) / (n + 2)) / (sizes[k] + 1))
+        return math.log10((n_texts[k] + own_free[k] / (m_all + 2)) / (sizes[k] + 1))
 
     want = []
     for i, t, _ in rows:

@@ -205,36 +205,77 @@ def bed_occupancy(adm_facts: DataFrame, open_until: datetime | None = None) -> D
     )
 
 
-def daily_operations(adm_facts: DataFrame, occupancy: DataFrame, wards: DataFrame) -> DataFrame:
+def stay_status(adm_facts: DataFrame) -> DataFrame:
+    """Which stays the bed-day fact holds: ``closed``; ``open`` ones wait for a discharge or an
+    ``open_until``; ``invalid`` ones (no admission time, or a discharge before it) have no days."""
+    s, e = F.col("admission_timestamp"), F.col("discharge_timestamp")
+    status = F.when(s.isNull() | (e < s), "invalid").when(e.isNull(), "open").otherwise("closed")
+    return adm_facts.select("admission_id", "ward_id", status.alias("stay_status"))
+
+
+def daily_operations(adm_facts: DataFrame, wards: DataFrame, as_of: datetime) -> DataFrame:
     """DOC-10: per (day, ward) admissions, discharges, occupied beds and hours.
 
-    Three aggregates full-outer-joined on (date_key, ward_id); the ward
-    attributes come from a final left join on the small ward table.
+    A stay runs to its discharge or, while open, to ``as_of``.  It is not
+    expanded into its days: it gives at most five narrow rows of changes (bed
+    taken, bed free again, first and last whole day, discharge), which one
+    aggregate by (day, ward) adds up before a running sum over the days of each
+    ward; days without a change repeat the day before.  Stays whose end lies
+    before their begin count as admission and discharge and occupy no bed.  A
+    missing ward is a ward of its own.
     """
-    adm = adm_facts.groupBy(F.col("admission_date_key").alias("date_key"), "ward_id").agg(F.count(F.lit(1)).alias("admission_count"))
-    dis = adm_facts.filter(F.col("discharge_timestamp").isNotNull()).groupBy(
-        date_key("discharge_timestamp").alias("date_key"), "ward_id"
-    ).agg(F.count(F.lit(1)).alias("discharge_count"))
-    # one occupancy row per admission and day: a row count is the number of
-    # occupied beds, and it combines map-side (no distinct needed)
-    occ = occupancy.groupBy(F.col("occupancy_date_key").alias("date_key"), "ward_id").agg(
-        F.count(F.lit(1)).alias("occupied_beds"), F.sum("occupancy_hours").alias("total_occupancy_hours")
+    s, e = F.col("admission_timestamp"), F.coalesce(F.col("discharge_timestamp"), ts_lit(as_of))
+    d0, d1 = F.to_date(s), F.to_date(e)
+    stays = s.isNotNull() & (e >= s)
+    several = stays & (d1 > d0)
+
+    def change(day: Column, only: Column, **what) -> Column:
+        names = ("adm", "dis", "bed", "whole", "hours")
+        row = [F.coalesce(what[n], F.lit(0.0)).alias(n) if n == "hours" and n in what else F.lit(what.get(n, 0.0 if n == "hours" else 0)).alias(n) for n in names]
+        return F.when(only & day.isNotNull(), F.struct(day.alias("day"), *row))
+
+    first = F.when(several, elapsed_hours("_s", F.date_add(d0, 1).cast("timestamp_ntz"))).otherwise(elapsed_hours("_s", "_e"))
+    last = elapsed_hours(d1.cast("timestamp_ntz"), "_e")
+    rows = adm_facts.select("ward_id", "admission_timestamp", "discharge_timestamp", s.alias("_s"), e.alias("_e")).select(
+        "ward_id",
+        F.explode(F.array_compact(F.array(
+            change(d0, F.lit(True), adm=1),
+            change(d0, stays, bed=1, hours=first),
+            change(F.date_add(d1, 1), stays, bed=-1),
+            change(F.date_add(d0, 1), several, whole=1),
+            change(d1, several, whole=-1, hours=last),
+            change(F.to_date("discharge_timestamp"), F.col("discharge_timestamp").isNotNull(), dis=1),
+        ))).alias("c"),
     )
-    keys = ["date_key", "ward_id"]
-    j = adm.join(dis, keys, "full").join(occ, keys, "full")
-    j = j.join(wards.select("ward_id", "ward_name", "ward_type", F.col("capacity").alias("total_beds")), "ward_id", "left")
-    occupied = F.coalesce(F.col("occupied_beds"), F.lit(0)).cast("bigint")
+    daily = rows.groupBy("ward_id", "c.day").agg(*[F.sum(f"c.{n}").alias(n) for n in ("adm", "dis", "bed", "whole", "hours")])
+    days = Window.partitionBy("ward_id").orderBy("day")
+    daily = daily.select(
+        "ward_id", "day", "adm", "dis", "hours",
+        F.sum("bed").over(days).alias("beds"), F.sum("whole").over(days).alias("whole"), F.lead("day").over(days).alias("next"),
+    )
+    upto = F.when(F.col("next").isNotNull() & (F.col("beds") > 0), F.date_sub("next", 1)).otherwise(F.col("day"))
+    each = daily.select("*", F.explode(F.sequence("day", upto)).alias("_day"))
+    own = F.col("_day") == F.col("day")  # the day of the change; the days after it repeat its beds
+    each = each.select(
+        "ward_id",
+        date_key("_day").alias("date_key"),
+        F.when(own, F.col("adm")).otherwise(0).cast("bigint").alias("admission_count"),
+        F.when(own, F.col("dis")).otherwise(0).cast("bigint").alias("discharge_count"),
+        F.col("beds").cast("bigint").alias("occupied_beds"),
+        (F.col("whole") * 24.0 + F.when(own, F.col("hours")).otherwise(0.0)).alias("total_occupancy_hours"),
+    ).filter("admission_count > 0 OR discharge_count > 0 OR occupied_beds > 0")
+    j = each.join(wards.select("ward_id", "ward_name", "ward_type", F.col("capacity").alias("total_beds")), "ward_id", "left")
     return j.select(
         "date_key",
         "ward_id",
         "ward_name",
         "ward_type",
         "total_beds",
-        F.coalesce(F.col("admission_count"), F.lit(0)).cast("bigint").alias("admission_count"),
-        F.coalesce(F.col("discharge_count"), F.lit(0)).cast("bigint").alias("discharge_count"),
-        occupied.alias("occupied_beds"),
-        stable(F.coalesce(F.col("total_occupancy_hours"), F.lit(0.0))).alias("total_occupancy_hours"),
-        F.round(F.try_divide(occupied.cast("double") * 100.0, F.col("total_beds").cast("double")), 2).alias("occupancy_rate"),
+        "admission_count",
+        "discharge_count",
+        "occupied_beds",
+        stable(F.col("total_occupancy_hours")).alias("total_occupancy_hours"),
+        F.round(F.try_divide(F.col("occupied_beds").cast("double") * 100.0, F.col("total_beds").cast("double")), 2).alias("occupancy_rate"),
     )
 
 

@@ -82,20 +82,22 @@ def q_doc_08(spark, d):
 
 @register("doc_09_bed_occupancy")
 def q_doc_09(spark, d):
-    # every bed-day row is produced; the result rolls them up per stay
-    occ = ext.bed_occupancy(_adm_facts(spark, d))
-    return occ.groupBy("admission_id", "ward_id").agg(
+    # every bed-day row is produced; the result rolls them up per stay and
+    # names the stays that have none
+    facts = _adm_facts(spark, d)
+    days = ext.bed_occupancy(facts).groupBy("admission_id").agg(
         F.count(F.lit(1)).alias("bed_days"),
         F.min("occupancy_date_key").alias("first_date_key"),
         F.max("occupancy_date_key").alias("last_date_key"),
         F.round(F.sum("occupancy_hours"), 6).alias("occupancy_hours"),
     )
+    return ext.stay_status(facts).join(days, "admission_id", "left")
 
 
 @register("doc_10_daily_operations")
 def q_doc_10(spark, d):
     af = _adm_facts(spark, d)
-    return ext.daily_operations(af, ext.bed_occupancy(af), tv.wards(spark, d))
+    return ext.daily_operations(af, tv.wards(spark, d), gb.ADM_AS_OF)
 
 
 @register("doc_11_patient_care")

@@ -183,27 +183,36 @@ ORACLE["doc_06_lab_flags"] = with_views(["lab_facts"], "SELECT * FROM lab_facts"
 ORACLE["doc_07_pharmacy_flags"] = with_views(["pharm_facts"], "SELECT * FROM pharm_facts")
 ORACLE["doc_08_admission_facts"] = with_views(["adm_facts"], "SELECT * FROM adm_facts")
 ORACLE["doc_09_bed_occupancy"] = with_views(
-    ["occupancy"],
-    """SELECT admission_id, ward_id, CAST(count(*) AS BIGINT) AS bed_days, min(occupancy_date_key) AS first_date_key,
-       max(occupancy_date_key) AS last_date_key, round(sum(occupancy_hours), 6) AS occupancy_hours
-FROM occupancy GROUP BY 1, 2""",
+    ["adm_facts", "occupancy"],
+    """SELECT f.admission_id, f.ward_id,
+       CASE WHEN admission_timestamp IS NULL OR discharge_timestamp < admission_timestamp THEN 'invalid'
+            WHEN discharge_timestamp IS NULL THEN 'open' ELSE 'closed' END AS stay_status,
+       bed_days, first_date_key, last_date_key, o.occupancy_hours
+FROM adm_facts f LEFT JOIN (
+  SELECT admission_id, CAST(count(*) AS BIGINT) AS bed_days, min(occupancy_date_key) AS first_date_key,
+         max(occupancy_date_key) AS last_date_key, round(sum(occupancy_hours), 6) AS occupancy_hours
+  FROM occupancy GROUP BY 1) o ON f.admission_id = o.admission_id""",
 )
 
+# every bed-day, open stays up to the run date, added up by day and ward
+VIEWS["bed_days"] = f"""
+SELECT ward_id, CAST(strftime(day, '%Y%m%d') AS INTEGER) AS date_key,
+       (floor(epoch(least(e, CAST(day + 1 AS TIMESTAMP)))) - floor(epoch(greatest(s, CAST(day AS TIMESTAMP))))) / 3600.0 AS hours
+FROM (SELECT ward_id, s, e, CAST(unnest(generate_series(CAST(s AS DATE), CAST(e AS DATE), INTERVAL 1 DAY)) AS DATE) AS day
+      FROM (SELECT ward_id, admission_timestamp AS s, coalesce(discharge_timestamp, {ADM_AS_OF}) AS e FROM adm_facts) WHERE e >= s)"""
+DEPENDS["bed_days"] = ["adm_facts"]
+
 ORACLE["doc_10_daily_operations"] = with_views(
-    ["adm_facts", "occupancy", "wards"],
-    """SELECT date_key, ward_id, w.ward_name, w.ward_type, w.capacity AS total_beds,
-       CAST(coalesce(admission_count, 0) AS BIGINT) AS admission_count,
-       CAST(coalesce(discharge_count, 0) AS BIGINT) AS discharge_count,
-       CAST(coalesce(occupied_beds, 0) AS BIGINT) AS occupied_beds,
-       round(coalesce(total_occupancy_hours, 0.0), 6) AS total_occupancy_hours,
-       CASE WHEN w.capacity = 0 THEN NULL
-            ELSE round(CAST(coalesce(occupied_beds, 0) AS DOUBLE) * 100.0 / w.capacity, 2) END AS occupancy_rate
-FROM (SELECT admission_date_key AS date_key, ward_id, count(*) AS admission_count FROM adm_facts GROUP BY 1, 2) a
-FULL OUTER JOIN (SELECT CAST(strftime(discharge_timestamp, '%Y%m%d') AS INTEGER) AS date_key, ward_id, count(*) AS discharge_count
-                 FROM adm_facts WHERE discharge_timestamp IS NOT NULL GROUP BY 1, 2) d USING (date_key, ward_id)
-FULL OUTER JOIN (SELECT occupancy_date_key AS date_key, ward_id, count(DISTINCT admission_id) AS occupied_beds,
-                        sum(occupancy_hours) AS total_occupancy_hours FROM occupancy GROUP BY 1, 2) o USING (date_key, ward_id)
-LEFT JOIN wards w USING (ward_id)""",
+    ["adm_facts", "bed_days", "wards"],
+    """SELECT g.date_key, g.ward_id, w.ward_name, w.ward_type, w.capacity AS total_beds,
+       CAST(a AS BIGINT) AS admission_count, CAST(d AS BIGINT) AS discharge_count, CAST(o AS BIGINT) AS occupied_beds,
+       round(h, 6) AS total_occupancy_hours,
+       CASE WHEN w.capacity = 0 THEN NULL ELSE round(CAST(o AS DOUBLE) * 100.0 / w.capacity, 2) END AS occupancy_rate
+FROM (SELECT date_key, ward_id, sum(a) AS a, sum(d) AS d, sum(o) AS o, sum(h) AS h FROM (
+        SELECT admission_date_key AS date_key, ward_id, 1 AS a, 0 AS d, 0 AS o, 0.0 AS h FROM adm_facts WHERE admission_timestamp IS NOT NULL
+        UNION ALL SELECT CAST(strftime(discharge_timestamp, '%Y%m%d') AS INTEGER), ward_id, 0, 1, 0, 0.0 FROM adm_facts WHERE discharge_timestamp IS NOT NULL
+        UNION ALL SELECT date_key, ward_id, 0, 0, 1, hours FROM bed_days) GROUP BY 1, 2) g
+LEFT JOIN wards w ON g.ward_id = w.ward_id""",
 )
 
 ORACLE["doc_11_patient_care"] = with_views(

@@ -219,3 +219,22 @@ def test_missing_vitals_raise_no_alert(spark):
     df = spark.createDataFrame([(1, 1, t, 70, None, 80, 37.0, 98, 15), (2, 1, t, 70, 120, 80, 37.0, 98, None), (3, 1, t, None, None, None, None, None, None), (4, 1, t, 70, 80, 70, 37.0, 98, None)], cols)
     got = {r.reading_id: (r.ews_score, r.missing_readings, r.is_critical, r.in_valid_range) for r in extensions.vital_sign_facts(df).collect()}
     assert got == {1: (0, 1, False, False), 2: (0, 1, False, False), 3: (None, 5, False, False), 4: (3, 1, True, False)}
+
+
+def test_daily_operations_fill_days_open_stays_and_missing_wards(spark):
+    from carelake.operators import extensions
+
+    day = lambda d, h=0: datetime(2024, 1, d, h)
+    facts = spark.createDataFrame(
+        [(1, 1, day(1, 12), day(4, 6)), (2, 1, day(2), None), (3, None, day(1), day(1, 6)), (4, None, day(3), day(2)), (5, 2, None, day(5)), (6, 1, day(3), day(3, 1))],
+        "admission_id long, ward_id long, admission_timestamp timestamp_ntz, discharge_timestamp timestamp_ntz",
+    )
+    wards = spark.createDataFrame([(1, "A", "ICU", 4)], "ward_id long, ward_name string, ward_type string, capacity int")
+    got = {(r.date_key, r.ward_id): (r.admission_count, r.discharge_count, r.occupied_beds, r.total_occupancy_hours) for r in extensions.daily_operations(facts, wards, day(6)).collect()}
+    assert got == {
+        (20240101, 1): (1, 0, 1, 12.0), (20240102, 1): (1, 0, 2, 48.0), (20240103, 1): (1, 1, 3, 49.0), (20240104, 1): (0, 1, 2, 30.0),
+        (20240105, 1): (0, 0, 1, 24.0), (20240106, 1): (0, 0, 1, 0.0),
+        (20240101, None): (1, 1, 1, 6.0), (20240102, None): (0, 1, 0, 0.0), (20240103, None): (1, 0, 0, 0.0), (20240105, 2): (0, 1, 0, 0.0),
+    }
+    status = {r.admission_id: r.stay_status for r in extensions.stay_status(facts).collect()}
+    assert status == {1: "closed", 2: "open", 3: "closed", 4: "invalid", 5: "invalid", 6: "closed"}

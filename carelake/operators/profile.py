@@ -189,13 +189,8 @@ def age_band_counts(df: DataFrame, birth: Column | str, as_of: datetime, lo: flo
 
 # ---------------------------------------------------------------- lab classes
 
-def class_statistics(df: DataFrame, test_type: str, value: str) -> DataFrame:
-    """AGG-18: per reference-range class of the numeric results.
-
-    Rows are classified once (first substring match wins); one grouped pass
-    gives count, mean, sample std and the values below / above the range
-    (bounds are exclusive: a value equal to a bound is normal).
-    """
+def _class_statistics(df: DataFrame, test_type: str, value: str) -> DataFrame:
+    """The statistics of :func:`class_statistics` as computed, for decisions."""
     bounds_lo = F.create_map(*[x for n, lo, _ in REFERENCE_RANGES for x in (F.lit(n), F.lit(lo))])
     bounds_hi = F.create_map(*[x for n, _, hi in REFERENCE_RANGES for x in (F.lit(n), F.lit(hi))])
     rows = df.filter(F.col(value).isNotNull()).select(classify(test_type).alias("range_name"), F.col(value).alias("x"))
@@ -204,25 +199,36 @@ def class_statistics(df: DataFrame, test_type: str, value: str) -> DataFrame:
     hi = F.element_at(bounds_hi, F.col("range_name"))
     stats = rows.groupBy("range_name").agg(
         F.count(F.lit(1)).alias("count"),
-        stable(F.avg("x")).alias("mean"),
-        stable(F.stddev_samp("x")).alias("std"),
+        F.avg("x").alias("mean"),
+        F.stddev_samp("x").alias("std"),
         F.count_if(F.col("x") < lo).alias("below_range"),
         F.count_if(F.col("x") > hi).alias("above_range"),
     )
     stats = stats.withColumn("total_abnormal", F.col("below_range") + F.col("above_range"))
-    stats = stats.withColumn("abnormal_pct", stable(F.col("total_abnormal").cast("double") / F.col("count")))
+    stats = stats.withColumn("abnormal_pct", F.col("total_abnormal").cast("double") / F.col("count"))
+    more_than_half = F.col("total_abnormal") * 2 > F.col("count")
     return stats.withColumn(
-        "severity",
-        F.when(F.col("total_abnormal") == 0, F.lit(None)).when(F.col("abnormal_pct") > 0.5, F.lit("issue")).otherwise(F.lit("warning")),
+        "severity", F.when(F.col("total_abnormal") == 0, F.lit(None)).when(more_than_half, F.lit("issue")).otherwise(F.lit("warning"))
     )
 
 
+def class_statistics(df: DataFrame, test_type: str, value: str) -> DataFrame:
+    """AGG-18: per reference-range class of the numeric results.
+
+    Rows are classified once (first substring match wins); one grouped pass
+    gives count, mean, sample std and the values below / above the range
+    (bounds are exclusive: a value equal to a bound is normal).  Numbers are
+    rounded for the report alone: the severity is decided on the counts.
+    """
+    return _class_statistics(df, test_type, value).withColumns({c: stable(F.col(c)) for c in ("mean", "std", "abnormal_pct")})
+
+
 def class_outliers(df: DataFrame, test_type: str, value: str, sd: float = 4.0, min_count: int = 10) -> DataFrame:
     """AGG-19: |x - mean| > sd * std per class, when count > min_count and std > 0.
 
     Class statistics (at most 12 rows) are broadcast back onto the rows.
     """
-    stats = class_statistics(df, test_type, value).select("range_name", "count", "mean", "std")
+    stats = _class_statistics(df, test_type, value).select("range_name", "count", "mean", "std")
     rows = df.filter(F.col(value).isNotNull()).select(classify(test_type).alias("range_name"), F.col(value).alias("x"))
     joined = rows.join(F.broadcast(stats), "range_name")
     eligible = (F.col("count") > min_count) & (F.col("std") > 0)

@@ -33,36 +33,17 @@ def read_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.parquet(*([path] if isinstance(path, str) else list(path)))
 
 
-# Inputs below this size are never spread: their per-row work is too small to pay for a shuffle.
-SPREAD_MIN_BYTES = 1024 * 1024
-
-
-def spread_scan(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Scan-parallelism floor for inputs that arrive as too few splits.
-
-    A single unsplittable file (one Parquet row group, a gzip CSV) is read by
-    one task, and every per-row expression up to the first shuffle then runs
-    single-threaded.  When the scan yields fewer splits than the cluster has
-    cores and the input is not tiny, the rows are spread round-robin once
-    (deterministic on retry: Spark sorts before a round-robin repartition).
-    A partitioned lake already has at least as many splits as cores and is
-    returned unchanged, so at scale this adds no shuffle.  Filters and column
-    pruning still reach the scan below the repartition.
+def spread_scan(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal a scan's rows out round-robin to ``partitions`` (default: the cluster's cores).
+
+    For inputs known to arrive as too few splits: a single unsplittable file
+    (one Parquet row group, a gzip CSV) is read by one task, and every per-row
+    expression up to the first shuffle would run in it.  The caller decides; a
+    partitioned lake needs none of it.  Deterministic on retry (Spark sorts
+    before a round-robin repartition); filters and column pruning still reach
+    the scan below.
     """
-    cores = needs_spread(df, min_bytes)
-    return df.repartition(cores) if cores else df
-
-
-def needs_spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> int:
-    """The partition count ``spread_scan`` would spread ``df`` to, or 0 (planning only, no job)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    qe = df._jdf.queryExecution()
-    size = qe.optimizedPlan().stats().sizeInBytes()
-    size = size if isinstance(size, int) else int(size.toString())
-    if size < min_bytes:
-        return 0
-    splits = qe.executedPlan().execute().getNumPartitions()
-    return cores if splits < cores else 0
+    return df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)
 
 
 def read_layer_table(spark: SparkSession, base: str, layer: str, table: str) -> DataFrame:

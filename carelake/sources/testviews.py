@@ -15,7 +15,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import needs_spread
+from .files import spread_scan
 
 # Fixed run dates of the test views.
 ORDERS_AS_OF = datetime(2001, 8, 1)
@@ -40,24 +40,14 @@ STATUS_BY_ORDER_STATUS = [("O", "Active"), ("F", "Discharged"), ("P", "Transferr
 ALERT_TYPES = ["HEART_RATE", "SPO2", "BLOOD_PRESSURE"]
 
 
-# (application id, path) -> partitions to spread to; the test tables are read-only
-_SPREAD: dict[tuple[str, str], int] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """One test table.  ``spread`` (used by the bronze views, whose per-row
-    text work is heavy) applies the scan-parallelism floor: each test table is
+    text work is heavy) deals its rows out to all cores: each test table is
     one file with one row group, read by a single task.  Views that aggregate
     right after the scan read it as is, since there a spread costs more than
     it saves."""
-    path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if not spread:
-        return df
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _SPREAD:
-        _SPREAD[key] = needs_spread(df)
-    return df.repartition(_SPREAD[key]) if _SPREAD[key] else df
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_scan(df) if spread else df
 
 
 def _case(col: Column, pairs) -> Column:

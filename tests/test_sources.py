@@ -9,21 +9,17 @@ from carelake.sources import testviews as tv
 SF = "/root/testdata/sf0.001"
 
 
-def test_spread_scan_spreads_single_split_input_only(spark):
+def test_spread_scan_deals_rows_to_all_cores(spark):
     df = spark.read.parquet(f"{SF}/events.parquet")
-    assert df.rdd.getNumPartitions() == 1
     cores = spark.sparkContext.defaultParallelism
-    assert files.needs_spread(df, min_bytes=0) == cores
-    assert files.spread_scan(df, min_bytes=0).rdd.getNumPartitions() == cores
-    # tiny input: unchanged
-    assert files.needs_spread(df, min_bytes=1 << 40) == 0
-    # enough splits already: unchanged
-    wide = spark.range(0, 1000, numPartitions=cores)
-    assert files.needs_spread(wide, min_bytes=0) == 0
+    assert df.rdd.getNumPartitions() == 1
+    assert files.spread_scan(df).rdd.getNumPartitions() == cores
+    assert files.spread_scan(df, 3).rdd.getNumPartitions() == 3
+    assert files.spread_scan(df).count() == df.count()
 
 
 def test_spread_scan_keeps_filter_pushdown_and_pruning(spark):
-    df = files.spread_scan(spark.read.parquet(f"{SF}/events.parquet"), min_bytes=0)
+    df = files.spread_scan(spark.read.parquet(f"{SF}/events.parquet"))
     plan = df.filter(F.col("event_type") == "error").select("event_id")._jdf.queryExecution().executedPlan().toString()
     assert "RoundRobinPartitioning" in plan
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,error)]" in plan
@@ -32,10 +28,6 @@ def test_spread_scan_keeps_filter_pushdown_and_pruning(spark):
 
 def test_bronze_views_give_the_same_rows_when_spread(spark, monkeypatch):
     q = catalog.all_queries()["vs_08_labs"]
-    plain = sorted(map(tuple, q(spark, SF).collect()))
-    monkeypatch.setattr(files, "SPREAD_MIN_BYTES", 0)
-    monkeypatch.setattr(tv, "needs_spread", lambda df: files.needs_spread(df, 0))
-    monkeypatch.setattr(tv, "_SPREAD", {})
     spread = sorted(map(tuple, q(spark, SF).collect()))
-    assert plain == spread
-    assert tv._SPREAD and all(v > 0 for v in tv._SPREAD.values())
+    monkeypatch.setattr(tv, "spread_scan", lambda df: df)
+    assert sorted(map(tuple, q(spark, SF).collect())) == spread

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators import conditioning as cond
-from ..operators import gold
+from ..operators import gold, kpi
 from ..quality import results, suites
 from ..session import scratch_path
 from ..sinks import publish
@@ -107,6 +107,43 @@ def q_snk_05(spark, d):
     return spark.table(view)
 
 
+@register("snk_06_named_objects")
+def q_snk_06(spark, d):
+    """All eight gold tables as external tables that hold their contract, the four KPI
+    views over them, and the rows of each."""
+    root, tag = scratch_path(spark, "gold-named"), uuid.uuid4().hex[:8]
+    builders = {
+        "dim_patient": lambda: gb.gold_dim_patient(spark, d),
+        "dim_ward": lambda: gb.gold_dim_ward(spark, d),
+        "dim_date": lambda: gold.dim_date(spark, gb.LAB_AS_OF),
+        "dim_drug": lambda: gold.dim_drug(tv.pharmacy_inventory(spark, d), gb.LAB_AS_OF),
+        "fact_admissions": lambda: gb.gold_fact_admissions(spark, d),
+        "fact_lab_turnaround": lambda: gb.gold_fact_lab_turnaround(spark, d),
+        "fact_pharmacy": lambda: gb.gold_fact_pharmacy(spark, d),
+        "fact_icu_alerts": lambda: gb.gold_fact_icu_alerts(spark, d),
+    }
+    report = publish.build_tables(spark, builders, root)
+    failed = [r.error for r in report.filter("status <> 'ok'").collect()]
+    problems = [p for t in builders for p in publish.register_external_table(spark, f"{t}_{tag}", f"{root}/{t}", t)] if not failed else failed
+    if problems:
+        raise ValueError(f"gold tables: {problems}")
+    named = {t: spark.table(f"{t}_{tag}") for t in builders}
+    views = {
+        "kpi_daily_admissions_by_ward": kpi.daily_admissions_by_ward(named["fact_admissions"], named["dim_ward"]),
+        "kpi_daily_lab_turnaround": kpi.daily_lab_turnaround(named["fact_lab_turnaround"]),
+        "kpi_low_stock": kpi.pharmacy_low_stock(named["fact_pharmacy"]),
+        "kpi_daily_icu_alerts": kpi.daily_icu_alerts(named["fact_icu_alerts"]),
+    }
+    for v, df in views.items():
+        publish.publish_view(df, f"{v}_{tag}")
+    objects = [("table", t) for t in builders] + [("view", v) for v in views]
+    out = None
+    for kind, name in objects:
+        one = spark.table(f"{name}_{tag}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(kind).alias("kind"), F.lit(name).alias("object"), "rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @register("run_01_medallion_build")
 def q_run_01(spark, d):
     from .medallion import Lake, run

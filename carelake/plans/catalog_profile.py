@@ -248,7 +248,7 @@ def q_vs_09(spark, d):
 
 @register("vs_19_rollup")
 def q_vs_19(spark, d):
-    return results.rollup(_suite_results(spark, d)).select("all_passed", "tables_checked")
+    return results.rollup(_suite_results(spark, d)).select("all_passed", F.array_join("failed_tables", ",").alias("failed_tables"), "tables_checked")
 
 
 # ---------------------------------------------------------------- suite metrics

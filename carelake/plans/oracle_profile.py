@@ -511,7 +511,9 @@ FROM r""",
 ORACLE["vs_19_rollup"] = with_views(
     _SUITE_VIEWS,
     ", " + _results_sql() + """
-SELECT coalesce(min(CAST(passed AS INTEGER)) = 1, true) AS all_passed, CAST(count(*) AS BIGINT) AS tables_checked FROM r""",
+SELECT coalesce(min(CAST(passed AS INTEGER)) = 1, true) AS all_passed,
+       coalesce(string_agg(CASE WHEN NOT passed THEN table_name END, ',' ORDER BY table_name), '') AS failed_tables,
+       CAST(count(*) AS BIGINT) AS tables_checked FROM r""",
 )
 
 # ---------------------------------------------------------------- sources and sinks (round trips)
@@ -526,6 +528,21 @@ FROM silver_labs_dirty""",
 ORACLE["src_07_nested_json"] = ORACLE["tb_02_silver_pharmacy"]
 ORACLE["snk_04_results_json"] = ORACLE["vs_09_suite_results"] + "\nWHERE table_name = 'pharmacy'"
 ORACLE["snk_07_publish_twice"] = ORACLE["tb_13_fact_pharmacy"]
+ORACLE["snk_06_named_objects"] = with_views(
+    ["fact_admissions", "fact_lab_turnaround", "fact_pharmacy", "fact_icu_alerts", "dim_ward", "dim_patient", "pharmacy_inventory"],
+    """SELECT 'table' AS kind, 'dim_patient' AS object, count(*) AS rows FROM dim_patient
+UNION ALL SELECT 'table', 'dim_ward', count(*) FROM dim_ward
+UNION ALL SELECT 'table', 'dim_date', 2922
+UNION ALL SELECT 'table', 'dim_drug', count(*) FROM (SELECT DISTINCT drug_name FROM pharmacy_inventory)
+UNION ALL SELECT 'table', 'fact_admissions', count(*) FROM fact_admissions
+UNION ALL SELECT 'table', 'fact_lab_turnaround', count(*) FROM fact_lab_turnaround
+UNION ALL SELECT 'table', 'fact_pharmacy', count(*) FROM fact_pharmacy
+UNION ALL SELECT 'table', 'fact_icu_alerts', count(*) FROM fact_icu_alerts
+UNION ALL SELECT 'view', 'kpi_daily_admissions_by_ward', count(*) FROM (SELECT DISTINCT CAST(admission_time AS DATE), ward_id FROM fact_admissions)
+UNION ALL SELECT 'view', 'kpi_daily_lab_turnaround', count(*) FROM (SELECT DISTINCT CAST(sample_time AS DATE) FROM fact_lab_turnaround)
+UNION ALL SELECT 'view', 'kpi_low_stock', 1
+UNION ALL SELECT 'view', 'kpi_daily_icu_alerts', count(*) FROM (SELECT DISTINCT CAST(alert_time AS DATE), alert_type, severity FROM fact_icu_alerts)""",
+)
 ORACLE["snk_08_table_builds"] = with_views(
     ["wards", "patients", "fact_admissions"],
     """SELECT 'dim_ward' AS "table", CAST(count(*) AS BIGINT) AS rows, 'ok' AS status FROM wards

@@ -1,16 +1,18 @@
-"""Toxicity from the nearest labelled examples by exact TF-IDF cosine.
+"""Toxicity from the nearest labelled examples by exact cosine of TF-IDF vectors with label-weighted terms.
 
 Texts are bags of byte n-grams (5, 7 and 9) of their words, with word boundaries.  A bounded sample of labelled rows gives
-document frequencies, the terms that tell the labels apart, and the examples.  Examples stand in an
-inverted index cut into blocks with the largest weight of each term in each block: a block whose bound lies below
-the k-th best similarity so far holds no nearer example and is skipped, so the neighbours are exact.
+the examples, and every n-gram that any of them holds is a term: none is left out by frequency or by label.  A term
+weighs (1 + log tf) * idf * relevance, where the relevance is ``FLOOR`` and more the surer and the stronger the term's frequency
+differs between the labels; by plain TF-IDF the neighbours of a long text are mostly those of its common words.
+Similarities to all examples are taken at once: frequent terms by a dense product, the others by postings; those
+that rounding could place among the nearest are summed again in double precision, so the neighbours are exact.
 Neighbours vote with weights that fall with distance, and the share of votes is calibrated on the examples
 themselves, each with itself left out.
 """
 
 from __future__ import annotations
 
-import math
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -24,9 +26,9 @@ from .common import fold, fresh, written
 
 GRAMS = (5, 7, 9)
 MAX_EXAMPLES = 12_000  # labelled training rows, by hash of the id, that the classifier is fitted on
-MAX_TERMS = 2048  # terms of the vector space: those whose frequency differs most between the labels
-MIN_Z, MIN_DF, MIN_LIFT = 5.0, 5, 6.0  # surely different, and several times as frequent under one label
-NEIGHBOURS, BLOCK = 15, 64
+FLOOR, SURE_Z, MOST_LIFT = 0.1, 10.0, 3.0  # relevance of a term that tells nothing; where its growth with z and log lift ends
+NEIGHBOURS, BLOCK = 15, 64  # BLOCK texts are compared at once
+DENSE = 0.08  # share of the examples from which on a term is compared by the dense product
 SOFTEN, PRIOR_WEIGHT, BINS = 0.05, 1.0, 20
 THRESHOLD, FOLDS, HELD_OUT = 0.3, 4, 2
 CACHE_WORDS, COUNTED = 400_000, 200_000
@@ -45,93 +47,143 @@ def word_counts(text: bytes) -> Counter:
 
 
 class Vectors:
-    """Texts as TF-IDF vectors over the chosen terms; the terms of each word are kept from text to text."""
-
-    def __init__(self, terms: list[bytes], idf: np.ndarray) -> None:
-        self.number = {t: i for i, t in enumerate(terms)}
-        self.idf, self.kept = idf, {}
-
-    def of_word(self, word: bytes) -> tuple[int, ...]:
-        found = self.kept.get(word)
-        if found is None:
-            found = tuple(self.number[g] for g in grams(word) if g in self.number)
+    """Texts as counts of all terms, and these weighted; the terms of each word are kept from text to text."""
+
+    def __init__(self, terms: np.ndarray, number: np.ndarray, gain: np.ndarray) -> None:
+        # terms: sorted byte strings, which hold no zero byte; number: of each, the place of its gain
+        self.terms, self.number, self.gain, self.kept = terms, number, gain, {}
+
+    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The term numbers of each word, looked up together: sorted look-ups meet neighbouring terms."""
+        if not len(self.terms):
+            return dict.fromkeys(words, b"")
+        found = [grams(w) for w in words]
+        g = np.array([x for f in found for x in f], "S")
+        order = np.argsort(g, kind="stable")
+        at = np.zeros(len(g), np.int32)
+        at[order] = np.minimum(np.searchsorted(self.terms, g[order]), len(self.terms) - 1)
+        hit = self.terms[at] == g
+        at = self.number[at]
+        ends = np.cumsum([len(f) for f in found]).tolist()
+        return {w: at[i:j][hit[i:j]].tobytes() for w, i, j in zip(words, [0, *ends], ends, strict=False)}
+
+    def counts(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of each text the sorted term numbers and how often it holds each."""
+        for lo in range(0, len(texts), BLOCK):
+            held = [word_counts(x) for x in texts[lo : lo + BLOCK]]
             if len(self.kept) >= CACHE_WORDS:
                 self.kept = {}
-            if len(word) <= 64:
-                self.kept[word] = found
-        return found
-
-    def of_text(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted term numbers and weights (length 1, or no terms at all)."""
-        tf: dict[int, int] = {}
-        for word, n in word_counts(text).items():
-            for t in self.of_word(word):
-                tf[t] = tf.get(t, 0) + n
-        if not tf:
-            return np.zeros(0, np.int64), np.zeros(0)
-        t = np.array(sorted(tf), np.int64)
-        w = (1.0 + np.log(np.array([tf[i] for i in t.tolist()], float))) * self.idf[t]
-        return t, w / np.sqrt((w * w).sum())
-
-
-class BlockMaxIndex:
-    """Inverted index of the examples by block, with the largest weight of each term in each block."""
-
-    def __init__(self, ids: list, labels: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int) -> None:
-        # examples with the same leading term side by side: bounds of such blocks are tight
-        lead = [int(t[np.argmax(w)]) for t, w in vectors]
-        order = sorted(range(len(ids)), key=lambda i: (lead[i], str(ids[i])))
-        self.ids = [ids[i] for i in order]
-        self.labels = np.array([labels[i] for i in order], float)
-        self.rank = np.argsort(np.argsort(np.array([str(x) for x in self.ids], dtype=object), kind="stable"), kind="stable")
-        self.blocks = -(-len(order) // BLOCK)
-        self.bounds = np.zeros((self.blocks, n_terms))
-        self.postings: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-        for b in range(self.blocks):
-            rows = order[b * BLOCK : (b + 1) * BLOCK]
-            term = np.concatenate([vectors[i][0] for i in rows])
-            weight = np.concatenate([vectors[i][1] for i in rows])
-            row = np.repeat(np.arange(len(rows)), [len(vectors[i][0]) for i in rows])
-            at = np.argsort(term, kind="stable")
-            term, weight, row = term[at], weight[at], row[at]
-            np.maximum.at(self.bounds[b], term, weight)
-            own, first = np.unique(term, return_index=True)
-            self.postings.append((own, np.append(first, len(term)), row, weight))
-
-    def block(self, b: int, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Similarity of each example of a block."""
-        own, first, row, weight = self.postings[b]
-        at = np.searchsorted(own, terms)
-        at[at == len(own)] = 0
-        hit = own[at] == terms
-        out = np.zeros(min(BLOCK, len(self.ids) - b * BLOCK))
-        for i, q in zip(at[hit].tolist(), weights[hit].tolist(), strict=True):
-            lo, hi = first[i], first[i + 1]
-            out[row[lo:hi]] += q * weight[lo:hi]
-        return out
+            fresh_words = self.learn(list({w for words in held for w in words if w not in self.kept}))
+            self.kept.update(fresh_words)
+            for words in held:
+                found = [self.kept[w] for w in words]
+                t = np.frombuffer(b"".join(found), np.int32)
+                if not len(t):
+                    yield np.zeros(0, np.int32), np.zeros(0, np.int32)
+                    continue
+                n = np.repeat(np.fromiter(words.values(), np.int32, len(words)), [len(f) // 4 for f in found])
+                at = np.argsort(t, kind="stable")
+                t, n = t[at], n[at]
+                first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
+                yield t[first], np.add.reduceat(n, first).astype(np.int32)
+            for w in fresh_words:
+                if len(w) > 64:
+                    del self.kept[w]
+
+    def of_texts(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of each text the sorted term numbers and weights (length 1, or no terms at all)."""
+        for t, n in self.counts(texts):
+            w = (1.0 + np.log(n)) * self.gain[t]
+            yield t, w / np.sqrt(w @ w) if len(t) else w
+
+
+class NeighbourIndex:
+    """The examples' vectors, by example and by term, with the frequent terms as a dense matrix.
+
+    ``flat`` holds what ``vectors`` would as flat arrays, term counts in place of weights and the terms' gains: a
+    third of the memory.  The parts that searches use are made at the first one, in the task.
+    """
+
+    def __init__(self, ids: list, labels: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, flat: tuple | None = None) -> None:
+        self.ids, self.labels, self.n_terms, self.ready = ids, np.array(labels, float), n_terms, False
+        if flat is None:
+            self.starts = np.concatenate([[0], np.cumsum([len(t) for t, _ in vectors])]).astype(np.int64)
+            self.term = np.concatenate([np.zeros(0, np.int32), *[t for t, _ in vectors]]).astype(np.int32)
+            self.value, self.table, self.gain = np.concatenate([np.zeros(0), *[w for _, w in vectors]]), None, np.ones(n_terms)
+        else:
+            self.starts, self.term, self.value, self.gain = flat
+            self.table = np.log(np.maximum(np.arange(int(self.value.max(initial=0)) + 1), 1)) + 1.0
+
+    def _plain(self, lo: int, hi: int) -> np.ndarray:
+        return self.value[lo:hi] if self.table is None else self.table.take(self.value[lo:hi])
+
+    def prepare(self) -> None:
+        n = len(self.ids)
+        texts = np.array([str(x) for x in self.ids], dtype=object)
+        self.rank = np.argsort(np.argsort(texts, kind="stable"), kind="stable")
+        df = np.bincount(self.term, minlength=self.n_terms)
+        dense = df > DENSE * n
+        self.place = np.where(dense, np.cumsum(dense) - 1, -1).astype(np.int32)
+        self.dense = np.zeros((n, int(dense.sum())), np.float32)
+        self.first = np.concatenate([[0], np.cumsum(np.where(dense, 0, df))])
+        row, weight = np.zeros(self.first[-1], np.int32), np.zeros(self.first[-1], np.float32)
+        self.length, self.same = np.ones(n), np.zeros(n, np.int64)
+        fill, seen = self.first[:-1].copy(), {}
+        for i in range(n):
+            lo, hi = self.starts[i], self.starts[i + 1]
+            t, v = self.term[lo:hi], self._plain(lo, hi)
+            self.same[i] = seen.setdefault(hashlib.blake2b(t.tobytes() + self.value[lo:hi].tobytes(), digest_size=16).digest(), i)
+            w = v * self.gain[t]
+            if self.table is not None and len(t):
+                self.length[i] = np.sqrt(w @ w)
+            w = w / self.length[i]
+            p = self.place[t]
+            self.dense[i, p[p >= 0]] = w[p >= 0]
+            rare, w = t[p < 0], w[p < 0]
+            row[fill[rare]], weight[fill[rare]] = i, w
+            fill[rare] += 1
+        self.dense = np.ascontiguousarray(self.dense.T)
+        self.postings = np.stack([row, weight.view(np.int32)], axis=1).reshape(-1).view(np.int64)  # both of one in a number
+        # what rounding to single precision can move a similarity by
+        self.slack = 2 * (self.dense.shape[0] + 8) * float(np.finfo(np.float32).eps)
+        self.query, self.ready = np.zeros(self.n_terms), True
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without=None) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest similarity above 0; ties by the text of the id."""
-        if not len(terms) or not self.blocks:
-            return np.zeros(0, np.int64), np.zeros(0)
-        bound = self.bounds[:, terms] @ weights
-        at, sims, order = [], [], np.argsort(-bound, kind="stable")
-        least, best = 0.0, np.zeros(0)  # the (k+1)-th best so far: one may be left out
-        for b in order.tolist():
-            if bound[b] <= 0 or bound[b] < least - 1e-9:
-                break
-            s = self.block(b, terms, weights)
-            use = np.flatnonzero((s > 0) & (s >= least - 1e-9))
-            if len(use):
-                at.append(use + b * BLOCK)
-                sims.append(s[use])
-                best = np.concatenate([best, s[use]])
-                if len(best) > k:
-                    best = np.partition(best, -k - 1)[-k - 1 :]
-                    least = float(best[0])
-        if not at:
-            return np.zeros(0, np.int64), np.zeros(0)
-        a, s = np.concatenate(at), np.round(np.concatenate(sims), 9)
+        return self.nearest_of([(terms, weights)], k, [without])[0]
+
+    def nearest_of(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list) -> list[tuple[np.ndarray, np.ndarray]]:
+        if not self.ids:
+            return [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
+        if not self.ready:
+            self.prepare()
+        left = np.zeros((len(queries), self.dense.shape[0]), np.float32)
+        for q, (t, w) in enumerate(queries):
+            p = self.place[t]
+            left[q, p[p >= 0]] = w[p >= 0]
+        near = left @ self.dense
+        return [self._best(t, w, near[q], k, without[q]) for q, (t, w) in enumerate(queries)]
+
+    def _best(self, t: np.ndarray, w: np.ndarray, near: np.ndarray, k: int, without) -> tuple[np.ndarray, np.ndarray]:
+        first, end = self.first[t], self.first[t + 1]
+        some = np.flatnonzero(end > first)
+        if len(some):
+            parts = list(zip(first[some].tolist(), end[some].tolist(), strict=True))
+            met = np.concatenate([self.postings[i:j] for i, j in parts]).view(np.int32)
+            s = near + np.bincount(met[::2], met.view(np.float32)[1::2] * np.repeat(w[some].astype(np.float32), end[some] - first[some]), len(self.ids))
+        else:
+            s = near.astype(float)
+        # the (k+1)-th best, as one may be left out
+        least = np.partition(s, -k - 1)[-k - 1] - self.slack if len(s) > k else 0.0
+        a = np.flatnonzero((s > 0) & (s >= least))
+        self.query[t] = w * self.gain[t]
+        one, back = np.unique(self.same[a], return_inverse=True)
+        s = np.zeros(len(one))
+        for j, i in enumerate(one.tolist()):
+            lo, hi = self.starts[i], self.starts[i + 1]
+            s[j] = self.query.take(self.term[lo:hi]) @ self._plain(lo, hi) / self.length[i]
+        self.query[t] = 0.0
+        s = np.round(s, 9)[back]
         if without is not None:
             other = np.array([self.ids[i] != without for i in a.tolist()], bool)
             a, s = a[other], s[other]
@@ -139,18 +191,23 @@ class BlockMaxIndex:
         return a[best], s[best]
 
 
+BlockMaxIndex = NeighbourIndex  # the name from when bounds of blocks of examples were searched
+
+
 class Scorer:
     """All that a task needs: terms, index, the prior of texts that hold no term, and the calibration."""
 
-    def __init__(self, terms: list[bytes], idf: np.ndarray, index: BlockMaxIndex, prior: float) -> None:
-        self.vectors, self.index, self.prior = Vectors(terms, idf), index, prior
+    def __init__(self, vectors: Vectors, index: NeighbourIndex, prior: float) -> None:
+        self.vectors, self.index, self.prior = vectors, index, prior
         self.levels = np.linspace(0, 1, 2)
 
-    def votes(self, text: bytes, without=None) -> tuple[float, np.ndarray, np.ndarray]:
-        """Share of distance-weighted votes for label 1, and the voters with their similarities."""
-        at, sims = self.index.nearest(*self.vectors.of_text(text), NEIGHBOURS, without)
-        w = sims * sims / (1.0 - np.minimum(sims, 1.0) + SOFTEN)
-        return float((w @ self.index.labels[at] + PRIOR_WEIGHT * self.prior) / (w.sum() + PRIOR_WEIGHT)), at, sims
+    def votes(self, texts: list[bytes], without: list | None = None) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
+        """For each text the share of distance-weighted votes for label 1, and the voters with their similarities."""
+        for lo in range(0, len(texts), BLOCK):
+            queries = list(self.vectors.of_texts(texts[lo : lo + BLOCK]))
+            for at, sims in self.index.nearest_of(queries, NEIGHBOURS, without[lo : lo + BLOCK] if without else [None] * len(queries)):
+                w = sims * sims / (1.0 - np.minimum(sims, 1.0) + SOFTEN)
+                yield float((w @ self.index.labels[at] + PRIOR_WEIGHT * self.prior) / (w.sum() + PRIOR_WEIGHT)), at, sims
 
     def calibrated(self, share: float) -> float:
         return float(np.interp(share, np.linspace(0, 1, len(self.levels)), self.levels))
@@ -184,7 +241,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     n1, n0 = n1 or 0, n - (n1 or 0)
     prior = (n1 + 0.5) / (n + 1)
     if not n1 or not n0:
-        return _with_levels(Scorer([], np.zeros(0), BlockMaxIndex([], [], [], 0), prior), [0.0] * BINS, [0.0] * BINS)
+        return _with_levels(Scorer(Vectors(np.zeros(0, "S1"), np.zeros(0, np.int32), np.zeros(0)), NeighbourIndex([], [], [], 0), prior), [0.0] * BINS, [0.0] * BINS)
 
     def frequencies(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -207,37 +264,48 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     df = examples.select("y", "text").mapInArrow(frequencies, "term binary, y int, n long").groupBy("term").agg(
         F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum("n").alias("df")
     )
-    p = F.col("df") / F.lit(float(n))
-    z = F.abs(F.col("a") / F.lit(float(n1)) - (F.col("df") - F.col("a")) / F.lit(float(n0))) / F.sqrt(p * (1 - p) * (1.0 / n1 + 1.0 / n0))
-    lift = ((F.col("a") + 0.5) / float(n1 + 1)) / ((F.col("df") - F.col("a") + 0.5) / float(n0 + 1))
-    chosen = df.filter((F.col("df") >= MIN_DF) & (F.col("df") < n) & ((lift >= MIN_LIFT) | (lift <= 1 / MIN_LIFT)))
-    chosen = chosen.withColumn("z", z).filter(F.col("z") >= MIN_Z)
-    chosen = chosen.orderBy(F.desc("z"), "term").limit(MAX_TERMS).collect()
-    terms = [bytes(r["term"]) for r in chosen]
-    idf = np.array([math.log((1.0 + n) / (1.0 + r["df"])) + 1.0 for r in chosen])
+    found = df.toArrow()  # terms of MAX_EXAMPLES texts at most
+    terms = np.array(found.column("term").to_pylist(), "S")
+    a, both = (found.column(c).to_numpy().astype(float) for c in ("a", "df"))
+    order = np.lexsort((terms, -both))  # frequent terms get neighbouring numbers
+    terms, a, both = terms[order], a[order], both[order]
+    number = np.argsort(terms).astype(np.int32)
+    p = both / n
+    z = np.abs(a / n1 - (both - a) / n0) / np.sqrt(np.maximum(p * (1 - p), 0.25 / n) * (1 / n1 + 1 / n0))
+    lift = np.abs(np.log((a + 0.5) / (n1 + 1) / ((both - a + 0.5) / (n0 + 1))))
+    gain = (np.log((1.0 + n) / (1.0 + both)) + 1.0) * (FLOOR + np.minimum(z / SURE_Z, 1.0) * np.minimum(lift, MOST_LIFT))
+    spark = examples.sparkSession
+    known = spark.sparkContext.broadcast(Vectors(terms[number], number, gain))
 
     def vectors(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        make = Vectors(terms, idf)
         for b in batches:
-            found = [make.of_text(x) for x in b.column(2).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([t.tolist() for t, _ in found], pa.list_(pa.int64())), pa.array([w.tolist() for _, w in found], pa.list_(pa.float64()))], names=["id", "y", "t", "w"])
-
-    id_type = examples.schema["id"].dataType
-    schema = T.StructType([T.StructField("id", id_type), T.StructField("y", T.IntegerType()), T.StructField("t", T.ArrayType(T.LongType())), T.StructField("w", T.ArrayType(T.DoubleType()))])
-    rows = examples.select("id", "y", "text").mapInArrow(vectors, schema).orderBy("id").collect()  # MAX_EXAMPLES at most
-    own = [r for r in rows if r["t"]]
-    bare = [r["y"] for r in rows if not r["t"]]
-    index = BlockMaxIndex([r["id"] for r in own], [r["y"] for r in own], [(np.array(r["t"], np.int64), np.array(r["w"])) for r in own], len(terms))
-    scorer = Scorer(terms, idf, index, (sum(bare) + 0.5 * prior) / (len(bare) + 0.5))
-    shared = examples.sparkSession.sparkContext.broadcast(scorer)
+            found = list(known.value.counts(b.column(2).cast(pa.binary()).to_pylist()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array([x[i].tobytes() for x in found], pa.binary()) for i in (0, 1)]], names=["id", "y", "t", "n"])
+
+    schema = T.StructType([T.StructField("id", examples.schema["id"].dataType), T.StructField("y", T.IntegerType()), T.StructField("t", T.BinaryType()), T.StructField("n", T.BinaryType())])
+    rows = examples.select("id", "y", "text").mapInArrow(vectors, schema).toArrow().sort_by("id")  # MAX_EXAMPLES at most
+    known.unpersist()
+    ids, y, t, counts = (rows.column(i).to_pylist() for i in range(4))
+    del rows
+    own = [i for i in range(len(ids)) if t[i]]
+    bare = [y[i] for i in range(len(ids)) if not t[i]]
+    starts = np.concatenate([[0], np.cumsum([len(t[i]) // 4 for i in own])]).astype(np.int64)
+    term = np.frombuffer(b"".join([t[i] for i in own]), np.int32)
+    most = max((int(np.frombuffer(counts[i], np.int32).max()) for i in own), default=0)
+    kind = np.uint16 if most < 1 << 16 else np.int32
+    value = np.concatenate([np.zeros(0, kind), *[np.frombuffer(counts[i], np.int32).astype(kind) for i in own]])
+    index = NeighbourIndex([ids[i] for i in own], [y[i] for i in own], [], len(terms), (starts, term, value, gain))
+    del t, counts
+    scorer = Scorer(Vectors(terms[number], number, gain), index, (sum(bare) + 0.5 * prior) / (len(bare) + 0.5))
+    shared = spark.sparkContext.broadcast(scorer)
 
     def left_out(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for b in batches:
-            shares = [shared.value.votes(x, i)[0] for i, x in zip(b.column(0).to_pylist(), b.column(2).cast(pa.binary()).to_pylist(), strict=True)]
+            shares = [v[0] for v in shared.value.votes(b.column(2).cast(pa.binary()).to_pylist(), b.column(0).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array([min(BINS - 1, int(s * BINS)) for s in shares], pa.int32()), b.column(1)], names=["bin", "y"])
 
     by_bin = {r[0]: (r[1], r[2]) for r in examples.select("id", "y", "text").mapInArrow(left_out, "bin int, y int").groupBy("bin").agg(F.sum("y"), F.count(F.lit(1))).collect()}
@@ -268,7 +336,7 @@ def score(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str
         *kept, T.StructField(names["score"], T.DoubleType()), T.StructField(names["predicted"], T.IntegerType()),
         T.StructField(names["evidence"], T.ArrayType(T.StructType([T.StructField("id", T.StringType()), T.StructField("similarity", T.DoubleType()), T.StructField("label", T.IntegerType())]))),
     ])
-    shared = docs.sparkSession.sparkContext.broadcast(scorer)  # MAX_EXAMPLES short vectors at most
+    shared = docs.sparkSession.sparkContext.broadcast(scorer)  # MAX_EXAMPLES vectors at most
     text = fresh(docs, "text_to_score")
 
     def run(batches: Iterator) -> Iterator:
@@ -278,8 +346,7 @@ def score(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str
         arrow, s = to_arrow_schema(schema), shared.value
         for b in batches:
             shares, found = [], []
-            for x in b.column(b.num_columns - 1).cast(pa.binary()).to_pylist():
-                share, at, sims = s.votes(x)
+            for share, at, sims in s.votes(b.column(b.num_columns - 1).cast(pa.binary()).to_pylist()):
                 shares.append(s.calibrated(share))
                 found.append([{"id": str(s.index.ids[i]), "similarity": v, "label": int(s.index.labels[i])} for i, v in zip(at.tolist(), sims.tolist(), strict=True)])
             new = [pa.array(shares, pa.float64()), pa.array([int(v >= THRESHOLD) for v in shares], pa.int32()), pa.array(found, arrow.field(arrow.names[-1]).type)]

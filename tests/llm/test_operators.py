@@ -428,6 +428,34 @@ def test_toxicity(spark, docs):
     assert toxicity.drop_toxic(docs, labels.limit(0)).count() in (0, len(TEXTS))
 
 
+def test_toxicity_indexes_every_term_of_the_examples(spark):
+    common.prepare(spark)
+    rng = np.random.default_rng(7)
+    some = [bytes(rng.integers(97, 123, 6).astype(np.uint8)).decode() for _ in range(90)]
+    texts = [" ".join(rng.choice(some, 30)) + (" vileword" if i % 3 == 0 else "") + (f" lonely{i}only" if i % 5 == 0 else "") for i in range(120)]
+    given = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(120)], "doc_id long, toxic int")
+    scorer = toxicity.fit(given, labels)
+    train = [i for i in range(120) if zlib.crc32(str(i).encode()) % toxicity.FOLDS != toxicity.HELD_OUT]
+    count = {i: Counter(g for w in texts[i].encode().split() for g in toxicity.grams(w)) for i in range(120)}
+    terms = sorted({g for i in train for g in count[i]})
+    assert scorer.vectors.terms.tolist() == terms and sorted(scorer.index.ids) == train and (scorer.vectors.gain > 0).all()
+    gain = scorer.vectors.gain[scorer.vectors.number]
+    full = np.array([[(1 + math.log(count[i][g])) * x if count[i][g] else 0 for g, x in zip(terms, gain, strict=True)] for i in range(120)])
+    full /= np.sqrt((full * full).sum(axis=1))[:, None]
+    found, _ = toxicity.score(given, scorer)
+    for r in found.collect():
+        sims = full[train] @ full[r.doc_id]
+        assert len(r.evidence) == toxicity.NEIGHBOURS
+        assert np.allclose([e.similarity for e in r.evidence], np.sort(sims)[::-1][: toxicity.NEIGHBOURS], atol=2e-9)
+        assert all(math.isclose(e.similarity, sims[train.index(int(e.id))], abs_tol=2e-9) for e in r.evidence)
+    # a term of one example is enough for evidence, and one telling word does not make a long text equal to a short one
+    lone = next(i for i in train if i % 5 == 0)
+    asked = spark.createDataFrame([(0, f"lonely{lone}only"), (1, "vileword " + " ".join(some))], "doc_id long, text string")
+    lonely, long = sorted(toxicity.score(asked, scorer)[0].collect())
+    assert lonely.evidence[0].id == str(lone) and max(e.similarity for e in long.evidence) < 0.99
+
+
 def test_calibration_is_monotone():
     got = toxicity.monotone([0, 3, 1, 5, 5], [5, 5, 5, 5, 5])
     assert (np.diff(got) >= 0).all() and np.allclose(got, [0, 0.4, 0.4, 1, 1])

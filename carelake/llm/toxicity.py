@@ -228,7 +228,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Fit on at most ``MAX_EXAMPLES`` labelled rows outside the held-out fold, taken by the hash of the id.
 
     Several labels of one id count as the highest; null labels and ids are left out; a repeated document
-    is one example.  Without labels, or with labels of one kind, every text gets the prior.
+    is one example.  Without labels, or with labels of one kind, nothing tells texts apart: every text scores 0.
     """
     train = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (fold(F.col(id_col), FOLDS) != HELD_OUT))
     train = train.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("y"))
@@ -239,9 +239,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     examples = written(examples, "examples")
     n1, n = examples.agg(F.sum("y"), F.count(F.lit(1))).first()
     n1, n0 = n1 or 0, n - (n1 or 0)
-    prior = (n1 + 0.5) / (n + 1)
     if not n1 or not n0:
-        return _with_levels(Scorer(Vectors(np.zeros(0, "S1"), np.zeros(0, np.int32), np.zeros(0)), NeighbourIndex([], [], [], 0), prior), [0.0] * BINS, [0.0] * BINS)
+        return Scorer(Vectors(np.zeros(0, "S1"), np.zeros(0, np.int32), np.zeros(0)), NeighbourIndex([], [], [], 0), 0.0)
+    prior = (n1 + 0.5) / (n + 1)
 
     def frequencies(batches: Iterator) -> Iterator:
         import pyarrow as pa

@@ -428,6 +428,14 @@ def test_toxicity(spark, docs):
     assert toxicity.drop_toxic(docs, labels.limit(0)).count() in (0, len(TEXTS))
 
 
+@pytest.mark.parametrize("labelled", [[], [(1, None)], [(-5, 1)], [(1, 1), (6, 1), (7, 1), (8, 1)]])
+def test_no_document_is_toxic_without_evidence(spark, docs, labelled):
+    labels = spark.createDataFrame(labelled, "doc_id long, toxic int")
+    found, names = toxicity.score(docs, toxicity.fit(docs, labels))
+    assert {(r[names["score"]], r[names["predicted"]]) for r in found.collect()} == {(0.0, 0)}
+    assert toxicity.drop_toxic(docs, labels).count() == len(TEXTS)
+
+
 def test_toxicity_indexes_every_term_of_the_examples(spark):
     common.prepare(spark)
     rng = np.random.default_rng(7)

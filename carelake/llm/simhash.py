@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import fresh, written
 
 SHINGLE, DISTANCE, SEED = 3, 3, 42
 SHARD = 20_000  # fingerprints that a shard should hold
@@ -134,16 +134,22 @@ def near_duplicates(
     of the component is null).  Copies share one fingerprint and are compared once; ties and repeated rows
     need no further rule.  An empty table gives no rows; other columns are not read.
     """
+    each, of_fp = _components_of(docs, id_col, text_col, shingle, distance)
+    return each.join(of_fp, F.col("fp") == F.col("_fp")).select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def _components_of(docs: DataFrame, id_col: str, text_col: str, shingle: int, distance: int) -> tuple[DataFrame, DataFrame]:
+    """``id, fp`` of every row, and of each fingerprint ``_fp, root, component_id``: the root alone tells components
+    apart, as ids may repeat or be null."""
     each = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     distinct = written(each.groupBy("fp").agg(F.min("id").alias("first")), "distinct-fingerprints")
     count = distinct.count()
     if not count:
-        return each.select(F.col("id").alias(id_col), "fp", F.col("id").alias("component_id"))
+        return each, distinct.select(F.col("fp").alias("_fp"), F.col("fp").alias("root"), F.col("first").alias("component_id"))
     linked = components(near_links(distinct, count, distance))
     rooted = distinct.join(linked, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_fp = rooted.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
-    return each.join(of_fp, F.col("fp") == F.col("_fp")).select(F.col("id").alias(id_col), "fp", "component_id")
+    return each, rooted.join(least, "root").select(F.col("fp").alias("_fp"), "root", "component_id")
 
 
 def fingerprint_hex(fp: str):
@@ -151,13 +157,29 @@ def fingerprint_hex(fp: str):
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """The document of the smallest id of each component, with all its columns.
+    """One row of each component, with all its columns: that of the smallest id, null ids last.
 
-    Of rows that repeat this id, the one with the smallest text stays; rows whose component has only null
-    ids form one group per component id, that is one row with a null id stays in all.
+    Of a component's rows that repeat this id, the one with the smallest text stays.  Components are told apart by
+    their fingerprints, so rows of unrelated texts all stay, also if they share an id or have none.
     """
-    found = near_duplicates(docs, id_col, text_col, shingle, distance)
-    first = found.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_keep")).distinct()
-    kept = docs.join(first, docs[id_col].eqNullSafe(F.col("_keep")), "left_semi")
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    _, of_fp = _components_of(docs, id_col, text_col, shingle, distance)
+    fp, text = fresh(docs, "fp_of_row"), fresh(docs, "text_to_hash")
+    schema = T.StructType([*docs.schema.fields, T.StructField(fp, T.LongType())])
+
+    def make(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        arrow = to_arrow_schema(schema)
+        for b in batches:
+            found = np.array([fingerprint(x, shingle) for x in b.column(b.num_columns - 1).cast(pa.binary()).to_pylist()], np.uint64).view(np.int64)
+            old = [b.column(i).cast(arrow.field(i).type) for i in range(b.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays([*old, pa.array(found, pa.int64())], names=arrow.names)
+
+    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias(text)).mapInArrow(make, schema)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    return kept.groupBy(F.col(id_col).alias("_id")).agg(F.min_by(row, F.struct(F.coalesce(F.col(text_col), F.lit("")))).alias("_row")).select("_row.*")
+    rows = rows.select(F.col(fp).alias("_fp"), F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"), row.alias("_row"))
+    first = rows.join(of_fp, "_fp").filter(F.col("_id").eqNullSafe(F.col("component_id")))
+    return first.groupBy("root").agg(F.min_by("_row", F.struct("_text")).alias("_row")).select("_row.*")

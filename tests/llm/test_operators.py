@@ -254,6 +254,16 @@ def test_near_duplicates(request, which):
     assert len(one) == len(set(one)) and set(one) == {c for _, _, c in want}
 
 
+def test_keep_one_keeps_unrelated_texts_of_one_id(spark):
+    common.prepare(spark)
+    rng = np.random.default_rng(3)
+    text = [" ".join(bytes(rng.integers(97, 123, 5).astype(np.uint8)).decode() for _ in range(60)) for _ in range(6)]
+    rows = [(1, text[0]), (1, text[1]), (None, text[2]), (None, text[3]), (None, text[3]), (None, text[4]), (7, text[4]), (3, text[5]), (2, text[5]), (2, text[5].upper())]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(1, text[0]), (1, text[1]), (None, text[2]), (None, text[3]), (7, text[4]), (2, text[5].upper())]
+    assert Counter(map(tuple, got)) == Counter(want)
+
+
 def test_near_duplicates_of_nothing(docs):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0 and simhash.keep_one(docs.limit(0)).count() == 0
 

@@ -100,19 +100,24 @@ class Vectors:
 class NeighbourIndex:
     """The examples' vectors, by example and by term, with the frequent terms as a dense matrix.
 
-    ``flat`` holds what ``vectors`` would as flat arrays, term counts in place of weights and the terms' gains: a
-    third of the memory.  The parts that searches use are made at the first one, in the task.
+    Instead of ``vectors`` come, by ``hold``, the term counts of the examples and the terms' gains, which take a third of
+    the memory.  The parts that searches use are made at the first one, in the task.
     """
 
-    def __init__(self, ids: list, labels: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, flat: tuple | None = None) -> None:
+    def __init__(self, ids: list, labels: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int) -> None:
         self.ids, self.labels, self.n_terms, self.ready = ids, np.array(labels, float), n_terms, False
-        if flat is None:
-            self.starts = np.concatenate([[0], np.cumsum([len(t) for t, _ in vectors])]).astype(np.int64)
-            self.term = np.concatenate([np.zeros(0, np.int32), *[t for t, _ in vectors]]).astype(np.int32)
-            self.value, self.table, self.gain = np.concatenate([np.zeros(0), *[w for _, w in vectors]]), None, np.ones(n_terms)
-        else:
-            self.starts, self.term, self.value, self.gain = flat
-            self.table = np.log(np.maximum(np.arange(int(self.value.max(initial=0)) + 1), 1)) + 1.0
+        self._flat(vectors, np.float64)
+        self.table, self.gain = None, np.ones(n_terms)
+
+    def _flat(self, vectors: list[tuple[np.ndarray, np.ndarray]], kind: type) -> None:
+        self.starts = np.concatenate([[0], np.cumsum([len(t) for t, _ in vectors])]).astype(np.int64)
+        self.term = np.concatenate([np.zeros(0, np.int32), *[t for t, _ in vectors]], dtype=np.int32, casting="unsafe")
+        self.value = np.concatenate([np.zeros(0, kind), *[w for _, w in vectors]], dtype=kind, casting="unsafe")
+
+    def hold(self, counts: list[tuple[np.ndarray, np.ndarray]], gain: np.ndarray) -> None:
+        most = max((int(n.max()) for _, n in counts if len(n)), default=0)
+        self._flat(counts, np.uint16 if most < 1 << 16 else np.int32)
+        self.table, self.gain = np.log(np.maximum(np.arange(most + 1), 1)) + 1.0, gain
 
     def _plain(self, lo: int, hi: int) -> np.ndarray:
         return self.value[lo:hi] if self.table is None else self.table.take(self.value[lo:hi])
@@ -198,11 +203,14 @@ class Scorer:
     """All that a task needs: terms, index, the prior of texts that hold no term, and the calibration."""
 
     def __init__(self, vectors: Vectors, index: NeighbourIndex, prior: float) -> None:
-        self.vectors, self.index, self.prior = vectors, index, prior
+        self.vectors, self.index, self.prior, self.texts, self.shared = vectors, index, prior, None, None
         self.levels = np.linspace(0, 1, 2)
 
     def votes(self, texts: list[bytes], without: list | None = None) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
         """For each text the share of distance-weighted votes for label 1, and the voters with their similarities."""
+        if self.texts is not None:  # the examples' vectors are made in each worker once: they are far larger than the texts
+            self.index.hold(list(self.vectors.counts(self.texts)), self.vectors.gain)
+            self.texts = None
         for lo in range(0, len(texts), BLOCK):
             queries = list(self.vectors.of_texts(texts[lo : lo + BLOCK]))
             for at, sims in self.index.nearest_of(queries, NEIGHBOURS, without[lo : lo + BLOCK] if without else [None] * len(queries)):
@@ -275,30 +283,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     lift = np.abs(np.log((a + 0.5) / (n1 + 1) / ((both - a + 0.5) / (n0 + 1))))
     gain = (np.log((1.0 + n) / (1.0 + both)) + 1.0) * (FLOOR + np.minimum(z / SURE_Z, 1.0) * np.minimum(lift, MOST_LIFT))
     spark = examples.sparkSession
-    known = spark.sparkContext.broadcast(Vectors(terms[number], number, gain))
-
-    def vectors(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for b in batches:
-            found = list(known.value.counts(b.column(2).cast(pa.binary()).to_pylist()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array([x[i].tobytes() for x in found], pa.binary()) for i in (0, 1)]], names=["id", "y", "t", "n"])
-
-    schema = T.StructType([T.StructField("id", examples.schema["id"].dataType), T.StructField("y", T.IntegerType()), T.StructField("t", T.BinaryType()), T.StructField("n", T.BinaryType())])
-    rows = examples.select("id", "y", "text").mapInArrow(vectors, schema).toArrow().sort_by("id")  # MAX_EXAMPLES at most
-    known.unpersist()
-    ids, y, t, counts = (rows.column(i).to_pylist() for i in range(4))
-    del rows
-    own = [i for i in range(len(ids)) if t[i]]
-    bare = [y[i] for i in range(len(ids)) if not t[i]]
-    starts = np.concatenate([[0], np.cumsum([len(t[i]) // 4 for i in own])]).astype(np.int64)
-    term = np.frombuffer(b"".join([t[i] for i in own]), np.int32)
-    most = max((int(np.frombuffer(counts[i], np.int32).max()) for i in own), default=0)
-    kind = np.uint16 if most < 1 << 16 else np.int32
-    value = np.concatenate([np.zeros(0, kind), *[np.frombuffer(counts[i], np.int32).astype(kind) for i in own]])
-    index = NeighbourIndex([ids[i] for i in own], [y[i] for i in own], [], len(terms), (starts, term, value, gain))
-    del t, counts
+    rows = examples.orderBy("id").collect()  # MAX_EXAMPLES at most
+    own = [r for r in rows if _WORD.search(r["text"].encode().lower())]
+    bare = [r["y"] for r in rows if not _WORD.search(r["text"].encode().lower())]
+    index = NeighbourIndex([r["id"] for r in own], [r["y"] for r in own], [], len(terms))
     scorer = Scorer(Vectors(terms[number], number, gain), index, (sum(bare) + 0.5 * prior) / (len(bare) + 0.5))
+    scorer.texts = [r["text"].encode() for r in own]
+    del rows, own
     shared = spark.sparkContext.broadcast(scorer)
 
     def left_out(batches: Iterator) -> Iterator:
@@ -309,7 +300,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([pa.array([min(BINS - 1, int(s * BINS)) for s in shares], pa.int32()), b.column(1)], names=["bin", "y"])
 
     by_bin = {r[0]: (r[1], r[2]) for r in examples.select("id", "y", "text").mapInArrow(left_out, "bin int, y int").groupBy("bin").agg(F.sum("y"), F.count(F.lit(1))).collect()}
-    shared.unpersist()
+    scorer.shared = shared  # workers that have made the index go on with it
     return _with_levels(scorer, [by_bin.get(i, (0, 0))[0] for i in range(BINS)], [by_bin.get(i, (0, 0))[1] for i in range(BINS)])
 
 
@@ -336,7 +327,7 @@ def score(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str
         *kept, T.StructField(names["score"], T.DoubleType()), T.StructField(names["predicted"], T.IntegerType()),
         T.StructField(names["evidence"], T.ArrayType(T.StructType([T.StructField("id", T.StringType()), T.StructField("similarity", T.DoubleType()), T.StructField("label", T.IntegerType())]))),
     ])
-    shared = docs.sparkSession.sparkContext.broadcast(scorer)  # MAX_EXAMPLES vectors at most
+    shared, levels = scorer.shared or docs.sparkSession.sparkContext.broadcast(scorer), scorer.levels  # MAX_EXAMPLES texts at most
     text = fresh(docs, "text_to_score")
 
     def run(batches: Iterator) -> Iterator:
@@ -344,6 +335,7 @@ def score(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow, s = to_arrow_schema(schema), shared.value
+        s.levels = levels
         for b in batches:
             shares, found = [], []
             for share, at, sims in s.votes(b.column(b.num_columns - 1).cast(pa.binary()).to_pylist()):

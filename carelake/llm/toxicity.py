@@ -114,9 +114,10 @@ class NeighbourIndex:
         self.term = np.concatenate([np.zeros(0, np.int32), *[t for t, _ in vectors]], dtype=np.int32, casting="unsafe")
         self.value = np.concatenate([np.zeros(0, kind), *[w for _, w in vectors]], dtype=kind, casting="unsafe")
 
-    def hold(self, counts: list[tuple[np.ndarray, np.ndarray]], gain: np.ndarray) -> None:
-        most = max((int(n.max()) for _, n in counts if len(n)), default=0)
-        self._flat(counts, np.uint16 if most < 1 << 16 else np.int32)
+    def hold(self, counts: Iterator[tuple[np.ndarray, np.ndarray]], gain: np.ndarray) -> None:
+        found = [(t, n.astype(np.uint16) if len(n) and n.max() < 1 << 16 else n) for t, n in counts]
+        most = max((int(n.max()) for _, n in found if len(n)), default=0)
+        self._flat(found, np.uint16 if most < 1 << 16 else np.int32)
         self.table, self.gain = np.log(np.maximum(np.arange(most + 1), 1)) + 1.0, gain
 
     def _plain(self, lo: int, hi: int) -> np.ndarray:
@@ -129,9 +130,10 @@ class NeighbourIndex:
         df = np.bincount(self.term, minlength=self.n_terms)
         dense = df > DENSE * n
         self.place = np.where(dense, np.cumsum(dense) - 1, -1).astype(np.int32)
-        self.dense = np.zeros((n, int(dense.sum())), np.float32)
+        self.dense = np.zeros((int(dense.sum()), n), np.float32)
         self.first = np.concatenate([[0], np.cumsum(np.where(dense, 0, df))])
-        row, weight = np.zeros(self.first[-1], np.int32), np.zeros(self.first[-1], np.float32)
+        self.postings = np.zeros(self.first[-1], np.int64)  # row and weight of one in a number
+        row, weight = self.postings.view(np.int32)[::2], self.postings.view(np.float32)[1::2]
         self.length, self.same = np.ones(n), np.zeros(n, np.int64)
         fill, seen = self.first[:-1].copy(), {}
         for i in range(n):
@@ -143,12 +145,10 @@ class NeighbourIndex:
                 self.length[i] = np.sqrt(w @ w)
             w = w / self.length[i]
             p = self.place[t]
-            self.dense[i, p[p >= 0]] = w[p >= 0]
+            self.dense[p[p >= 0], i] = w[p >= 0]
             rare, w = t[p < 0], w[p < 0]
             row[fill[rare]], weight[fill[rare]] = i, w
             fill[rare] += 1
-        self.dense = np.ascontiguousarray(self.dense.T)
-        self.postings = np.stack([row, weight.view(np.int32)], axis=1).reshape(-1).view(np.int64)  # both of one in a number
         # what rounding to single precision can move a similarity by
         self.slack = 2 * (self.dense.shape[0] + 8) * float(np.finfo(np.float32).eps)
         self.query, self.ready = np.zeros(self.n_terms), True
@@ -209,7 +209,7 @@ class Scorer:
     def votes(self, texts: list[bytes], without: list | None = None) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
         """For each text the share of distance-weighted votes for label 1, and the voters with their similarities."""
         if self.texts is not None:  # the examples' vectors are made in each worker once: they are far larger than the texts
-            self.index.hold(list(self.vectors.counts(self.texts)), self.vectors.gain)
+            self.index.hold(self.vectors.counts(self.texts), self.vectors.gain)
             self.texts = None
         for lo in range(0, len(texts), BLOCK):
             queries = list(self.vectors.of_texts(texts[lo : lo + BLOCK]))

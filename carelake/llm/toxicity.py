@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -106,18 +107,19 @@ class NeighbourIndex:
 
     def __init__(self, ids: list, labels: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int) -> None:
         self.ids, self.labels, self.n_terms, self.ready = ids, np.array(labels, float), n_terms, False
-        self._flat(vectors, np.float64)
-        self.table, self.gain = None, np.ones(n_terms)
-
-    def _flat(self, vectors: list[tuple[np.ndarray, np.ndarray]], kind: type) -> None:
         self.starts = np.concatenate([[0], np.cumsum([len(t) for t, _ in vectors])]).astype(np.int64)
         self.term = np.concatenate([np.zeros(0, np.int32), *[t for t, _ in vectors]], dtype=np.int32, casting="unsafe")
-        self.value = np.concatenate([np.zeros(0, kind), *[w for _, w in vectors]], dtype=kind, casting="unsafe")
+        self.value, self.table, self.gain = np.concatenate([np.zeros(0), *[w for _, w in vectors]]), None, np.ones(n_terms)
 
     def hold(self, counts: Iterator[tuple[np.ndarray, np.ndarray]], gain: np.ndarray) -> None:
-        found = [(t, n.astype(np.uint16) if len(n) and n.max() < 1 << 16 else n) for t, n in counts]
-        most = max((int(n.max()) for _, n in found if len(n)), default=0)
-        self._flat(found, np.uint16 if most < 1 << 16 else np.int32)
+        term, value, starts = array("i"), array("i"), [0]  # grown in place: no small arrays stay behind
+        for t, n in counts:
+            term.frombytes(t.tobytes())
+            value.frombytes(n.tobytes())
+            starts.append(len(term))
+        self.starts, self.term, value = np.array(starts, np.int64), np.frombuffer(term, np.int32), np.frombuffer(value, np.int32)
+        most = int(value.max(initial=0))
+        self.value = value.astype(np.uint16) if most < 1 << 16 else value
         self.table, self.gain = np.log(np.maximum(np.arange(most + 1), 1)) + 1.0, gain
 
     def _plain(self, lo: int, hi: int) -> np.ndarray:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, lm_score, mixing, quality_rules, simhash, token_count, token_output, toxicity, url_filter, warc_revisit
+from . import decontaminate, hard_negatives, language_id, lm_score, mixing, quality_rules, simhash, token_count, token_output, toxicity, url_filter, warc_revisit
 from .common import fold, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -261,3 +261,39 @@ FROM z
 def op1(spark: SparkSession, d: str) -> DataFrame:
     prepare(spark)
     return lm_score.lm_scores(table(spark, d, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@register("op11_hard_negatives")
+def op11(spark: SparkSession, d: str) -> DataFrame:
+    prepare(spark)
+    rows = table(spark, d, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op11_hard_negatives"] = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS y,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+a AS (SELECT r AS ar, id AS anchor, y AS ay, q AS aq FROM v WHERE id % 50 = 0),
+s AS MATERIALIZED (SELECT ar, anchor, r, id, y = ay AS same, list_dot_product(aq, q)::BIGINT AS score FROM a, v),
+p AS (
+  SELECT * FROM (SELECT ar, anchor, r, id, score, row_number() OVER (PARTITION BY ar ORDER BY score DESC, id) AS k FROM s WHERE same AND r <> ar) WHERE k <= 5),
+n AS (
+  SELECT p.anchor, p.id AS positive, p.score AS positive_score, s.id AS negative, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.ar, p.r ORDER BY s.score DESC, s.id) AS rank
+  FROM p JOIN s ON s.ar = p.ar AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor AS anchor_id, positive AS positive_id, rank::INTEGER AS rank, negative AS negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+
+@register("op13_language_id")
+def op13(spark: SparkSession, d: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, d, "documents")
+    model = language_id.fit(docs.select("doc_id", "text", "lang"))
+    held_out = (fold(F.col("doc_id"), language_id.FOLDS) == language_id.HELD_OUT).alias("held_out")
+    return language_id.identify(docs.select("doc_id", held_out, "text"), model, keep=["doc_id", "held_out"])

@@ -45,7 +45,7 @@ def test_long_texts_are_cut_only_before_white_space(monkeypatch):
 
 def test_cache_keeps_pieces_in_use(monkeypatch):
     monkeypatch.setattr(encoding, "GENERATION", 10)
-    cache = encoding.PieceCache(public_tokenizers.path("word_bpe_49k.json"), len)
+    cache = encoding.length_cache.__wrapped__(public_tokenizers.path("word_bpe_49k.json"))
     for i in range(50):
         found = cache.lookup({b"the", f"w{i}".encode(), b"y" * 400})
         assert found[b"the"] == 1 and found[b"y" * 400] > 1

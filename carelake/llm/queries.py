@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, hard_negatives, language_id, lm_score, mixing, quality_rules, simhash, token_count, token_output, toxicity, url_filter, warc_revisit
+from . import alignment, decontaminate, hard_negatives, language_id, lm_score, mixing, quality_rules, simhash, token_count, token_output, toxicity, url_filter, warc_revisit
 from .common import fold, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -297,3 +297,9 @@ def op13(spark: SparkSession, d: str) -> DataFrame:
     model = language_id.fit(docs.select("doc_id", "text", "lang"))
     held_out = (fold(F.col("doc_id"), language_id.FOLDS) == language_id.HELD_OUT).alias("held_out")
     return language_id.identify(docs.select("doc_id", held_out, "text"), model, keep=["doc_id", "held_out"])
+
+
+@register("op12_alignment")
+def op12(spark: SparkSession, d: str) -> DataFrame:
+    prepare(spark)
+    return alignment.alignments(table(spark, d, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))

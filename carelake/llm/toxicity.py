@@ -1,18 +1,17 @@
-"""Toxicity from the nearest labelled examples by exact cosine of TF-IDF vectors with label-weighted terms.
-
-Texts are bags of byte n-grams (5, 7 and 9) of their words, with word boundaries.  A bounded sample of labelled rows gives
-the examples, and every n-gram that any of them holds is a term: none is left out by frequency or by label.  A term
-weighs (1 + log tf) * idf * relevance, where the relevance is ``FLOOR`` and more the surer and the stronger the term's frequency
-differs between the labels; by plain TF-IDF the neighbours of a long text are mostly those of its common words.
-Similarities to all examples are taken at once: frequent terms by a dense product, the others by postings; those
-that rounding could place among the nearest are summed again in double precision, so the neighbours are exact.
-Neighbours vote with weights that fall with distance, and the share of votes is calibrated on the examples
-themselves, each with itself left out.
+"""Toxicity from the nearest labelled examples by exact TF-IDF cosine over a block-max inverted index.
+
+Texts are bags of terms: their words, and the first 6 bytes of longer words.  A bounded sample of labelled rows gives
+the examples, and every term that any of them holds is indexed: none is left out by frequency or by label.  Weights are plain
+TF-IDF, (1 + log tf) * log((2 + n) / (1 + df)), normed to length 1; see :mod:`.block_max` for the exact search.
+
+The nearest examples vote.  A vote weighs by closeness, and only so much of it counts as comes from terms that tell the labels
+apart: the similarity is a sum over shared terms, and each term's part counts by its relevance, which grows with how surely and
+how strongly the term's frequency differs between the labels.  The share of votes is calibrated on the examples themselves, each
+with itself left out.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 from array import array
 from collections import Counter
@@ -23,24 +22,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .block_max import BlockMaxIndex
 from .common import fold, fresh, written
 
-GRAMS = (5, 7, 9)
-MAX_EXAMPLES = 12_000  # labelled training rows, by hash of the id, that the classifier is fitted on
-FLOOR, SURE_Z, MOST_LIFT = 0.1, 10.0, 3.0  # relevance of a term that tells nothing; where its growth with z and log lift ends
-NEIGHBOURS, BLOCK = 15, 64  # BLOCK texts are compared at once
-DENSE = 0.08  # share of the examples from which on a term is compared by the dense product
-SOFTEN, PRIOR_WEIGHT, BINS = 0.05, 1.0, 20
+STARTS = (6,)  # bytes of a word's beginnings that are terms
+MAX_EXAMPLES = 20_000  # labelled training rows, by hash of the id, that the classifier is fitted on
+FLOOR, SURE_Z, MOST_LIFT = 0.02, 10.0, 3.0  # relevance of a term that tells nothing; where its growth with z and log lift ends
+NEIGHBOURS, EVIDENCE, BATCH = 64, 5, 64
+PRIOR_WEIGHT, BINS = 1e-3, 20
 THRESHOLD, FOLDS, HELD_OUT = 0.3, 4, 2
-CACHE_WORDS, COUNTED = 400_000, 200_000
+CACHE_WORDS, COUNTED = 200_000, 400_000
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
-def grams(word: bytes) -> list[bytes]:
-    """Stretches of ``GRAMS`` bytes of the word with its boundaries; of a shorter one the whole."""
-    w = b"<" + word + b">"
-    return [w[i : i + n] for n in GRAMS if n <= len(w) or n == GRAMS[0] for i in range(max(1, len(w) - n + 1))]
+def terms_of(word: bytes) -> list[bytes]:
+    """The word and its beginnings, which are marked as such."""
+    return [word, *[b"<" + word[:n] for n in STARTS if n < len(word)]]
 
 
 def word_counts(text: bytes) -> Counter:
@@ -48,176 +46,82 @@ def word_counts(text: bytes) -> Counter:
 
 
 class Vectors:
-    """Texts as counts of all terms, and these weighted; the terms of each word are kept from text to text."""
+    """Texts as sorted term numbers with counts; the terms of each word are kept from text to text.
 
-    def __init__(self, terms: np.ndarray, number: np.ndarray, gain: np.ndarray) -> None:
-        # terms: sorted byte strings, which hold no zero byte; number: of each, the place of its gain
-        self.terms, self.number, self.gain, self.kept = terms, number, gain, {}
+    Terms are known by their 64-bit XXH64, sorted; the number of a term is its place.
+    """
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        self.hashes, self.kept = hashes, {}
 
     def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """The term numbers of each word, looked up together: sorted look-ups meet neighbouring terms."""
-        if not len(self.terms):
+        """The term numbers of each word, looked up together."""
+        import xxhash
+
+        if not len(self.hashes):
             return dict.fromkeys(words, b"")
-        found = [grams(w) for w in words]
-        g = np.array([x for f in found for x in f], "S")
-        order = np.argsort(g, kind="stable")
-        at = np.zeros(len(g), np.int32)
-        at[order] = np.minimum(np.searchsorted(self.terms, g[order]), len(self.terms) - 1)
-        hit = self.terms[at] == g
-        at = self.number[at]
+        found = [terms_of(w) for w in words]
+        h = np.array([xxhash.xxh64_intdigest(x) for f in found for x in f], np.uint64)
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1).astype(np.int32)
+        hit = self.hashes[at] == h
         ends = np.cumsum([len(f) for f in found]).tolist()
         return {w: at[i:j][hit[i:j]].tobytes() for w, i, j in zip(words, [0, *ends], ends, strict=False)}
 
     def counts(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Of each text the sorted term numbers and how often it holds each."""
-        for lo in range(0, len(texts), BLOCK):
-            held = [word_counts(x) for x in texts[lo : lo + BLOCK]]
+        for lo in range(0, len(texts), BATCH):
+            held = [word_counts(x) for x in texts[lo : lo + BATCH]]
             if len(self.kept) >= CACHE_WORDS:
                 self.kept = {}
-            fresh_words = self.learn(list({w for words in held for w in words if w not in self.kept}))
-            self.kept.update(fresh_words)
+            self.kept.update(self.learn(list({w for words in held for w in words if w not in self.kept})))
             for words in held:
                 found = [self.kept[w] for w in words]
                 t = np.frombuffer(b"".join(found), np.int32)
                 if not len(t):
                     yield np.zeros(0, np.int32), np.zeros(0, np.int32)
                     continue
-                n = np.repeat(np.fromiter(words.values(), np.int32, len(words)), [len(f) // 4 for f in found])
+                n = np.repeat(np.fromiter(words.values(), np.int32, len(words)), np.fromiter(map(len, found), np.int32, len(found)) >> 2)
                 at = np.argsort(t, kind="stable")
                 t, n = t[at], n[at]
                 first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
                 yield t[first], np.add.reduceat(n, first).astype(np.int32)
-            for w in fresh_words:
-                if len(w) > 64:
-                    del self.kept[w]
+            for w in [w for words in held for w in words if len(w) > 64]:
+                self.kept.pop(w, None)
 
-    def of_texts(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Of each text the sorted term numbers and weights (length 1, or no terms at all)."""
-        for t, n in self.counts(texts):
-            w = (1.0 + np.log(n)) * self.gain[t]
-            yield t, w / np.sqrt(w @ w) if len(t) else w
 
+class Scorer:
+    """All that a task needs: terms with weights and relevance, the examples' term counts, and the calibration.
 
-class NeighbourIndex:
-    """The examples' vectors, by example and by term, with the frequent terms as a dense matrix.
-
-    Instead of ``vectors`` come, by ``hold``, the term counts of the examples and the terms' gains, which take a third of
-    the memory.  The parts that searches use are made at the first one, in the task.
+    It travels as the term numbers and counts of the examples; the index is made of them once in each worker.
     """
 
-    def __init__(self, ids: list, labels: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int) -> None:
-        self.ids, self.labels, self.n_terms, self.ready = ids, np.array(labels, float), n_terms, False
-        self.starts = np.concatenate([[0], np.cumsum([len(t) for t, _ in vectors])]).astype(np.int64)
-        self.term = np.concatenate([np.zeros(0, np.int32), *[t for t, _ in vectors]], dtype=np.int32, casting="unsafe")
-        self.value, self.table, self.gain = np.concatenate([np.zeros(0), *[w for _, w in vectors]]), None, np.ones(n_terms)
-
-    def hold(self, counts: Iterator[tuple[np.ndarray, np.ndarray]], gain: np.ndarray) -> None:
-        term, value, starts = array("i"), array("i"), [0]  # grown in place: no small arrays stay behind
-        for t, n in counts:
-            term.frombytes(t.tobytes())
-            value.frombytes(n.tobytes())
-            starts.append(len(term))
-        self.starts, self.term, value = np.array(starts, np.int64), np.frombuffer(term, np.int32), np.frombuffer(value, np.int32)
-        most = int(value.max(initial=0))
-        self.value = value.astype(np.uint16) if most < 1 << 16 else value
-        self.table, self.gain = np.log(np.maximum(np.arange(most + 1), 1)) + 1.0, gain
-
-    def _plain(self, lo: int, hi: int) -> np.ndarray:
-        return self.value[lo:hi] if self.table is None else self.table.take(self.value[lo:hi])
-
-    def prepare(self) -> None:
-        n = len(self.ids)
-        texts = np.array([str(x) for x in self.ids], dtype=object)
-        self.rank = np.argsort(np.argsort(texts, kind="stable"), kind="stable")
-        df = np.bincount(self.term, minlength=self.n_terms)
-        dense = df > DENSE * n
-        self.place = np.where(dense, np.cumsum(dense) - 1, -1).astype(np.int32)
-        self.dense = np.zeros((int(dense.sum()), n), np.float32)
-        self.first = np.concatenate([[0], np.cumsum(np.where(dense, 0, df))])
-        self.postings = np.zeros(self.first[-1], np.int64)  # row and weight of one in a number
-        row, weight = self.postings.view(np.int32)[::2], self.postings.view(np.float32)[1::2]
-        self.length, self.same = np.ones(n), np.zeros(n, np.int64)
-        fill, seen = self.first[:-1].copy(), {}
-        for i in range(n):
-            lo, hi = self.starts[i], self.starts[i + 1]
-            t, v = self.term[lo:hi], self._plain(lo, hi)
-            self.same[i] = seen.setdefault(hashlib.blake2b(t.tobytes() + self.value[lo:hi].tobytes(), digest_size=16).digest(), i)
-            w = v * self.gain[t]
-            if self.table is not None and len(t):
-                self.length[i] = np.sqrt(w @ w)
-            w = w / self.length[i]
-            p = self.place[t]
-            self.dense[p[p >= 0], i] = w[p >= 0]
-            rare, w = t[p < 0], w[p < 0]
-            row[fill[rare]], weight[fill[rare]] = i, w
-            fill[rare] += 1
-        # what rounding to single precision can move a similarity by
-        self.slack = 2 * (self.dense.shape[0] + 8) * float(np.finfo(np.float32).eps)
-        self.query, self.ready = np.zeros(self.n_terms), True
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without=None) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of largest similarity above 0; ties by the text of the id."""
-        return self.nearest_of([(terms, weights)], k, [without])[0]
-
-    def nearest_of(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list) -> list[tuple[np.ndarray, np.ndarray]]:
-        if not self.ids:
-            return [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
-        if not self.ready:
-            self.prepare()
-        left = np.zeros((len(queries), self.dense.shape[0]), np.float32)
-        for q, (t, w) in enumerate(queries):
-            p = self.place[t]
-            left[q, p[p >= 0]] = w[p >= 0]
-        near = left @ self.dense
-        return [self._best(t, w, near[q], k, without[q]) for q, (t, w) in enumerate(queries)]
-
-    def _best(self, t: np.ndarray, w: np.ndarray, near: np.ndarray, k: int, without) -> tuple[np.ndarray, np.ndarray]:
-        first, end = self.first[t], self.first[t + 1]
-        some = np.flatnonzero(end > first)
-        if len(some):
-            parts = list(zip(first[some].tolist(), end[some].tolist(), strict=True))
-            met = np.concatenate([self.postings[i:j] for i, j in parts]).view(np.int32)
-            s = near + np.bincount(met[::2], met.view(np.float32)[1::2] * np.repeat(w[some].astype(np.float32), end[some] - first[some]), len(self.ids))
-        else:
-            s = near.astype(float)
-        # the (k+1)-th best, as one may be left out
-        least = np.partition(s, -k - 1)[-k - 1] - self.slack if len(s) > k else 0.0
-        a = np.flatnonzero((s > 0) & (s >= least))
-        self.query[t] = w * self.gain[t]
-        one, back = np.unique(self.same[a], return_inverse=True)
-        s = np.zeros(len(one))
-        for j, i in enumerate(one.tolist()):
-            lo, hi = self.starts[i], self.starts[i + 1]
-            s[j] = self.query.take(self.term[lo:hi]) @ self._plain(lo, hi) / self.length[i]
-        self.query[t] = 0.0
-        s = np.round(s, 9)[back]
-        if without is not None:
-            other = np.array([self.ids[i] != without for i in a.tolist()], bool)
-            a, s = a[other], s[other]
-        best = np.lexsort((self.rank[a], -s))[:k]
-        return a[best], s[best]
-
-
-BlockMaxIndex = NeighbourIndex  # the name from when bounds of blocks of examples were searched
+    def __init__(self, hashes: np.ndarray, idf: np.ndarray, relevance: np.ndarray, ids: list, labels: list[int], starts: np.ndarray, term: np.ndarray, count: np.ndarray, prior: float) -> None:
+        self.vectors, self.idf, self.relevance, self.ids, self.labels = Vectors(hashes), idf, relevance, ids, np.array(labels, float)
+        self.starts, self.term, self.count, self.prior, self.index, self.shared = starts, term, count, prior, None, None
+        self.levels = np.linspace(0, 1, 2)
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"index": None, "shared": None}
 
-class Scorer:
-    """All that a task needs: terms, index, the prior of texts that hold no term, and the calibration."""
-
-    def __init__(self, vectors: Vectors, index: NeighbourIndex, prior: float) -> None:
-        self.vectors, self.index, self.prior, self.texts, self.shared = vectors, index, prior, None, None
-        self.levels = np.linspace(0, 1, 2)
+    def ready(self) -> BlockMaxIndex:
+        if self.index is None:
+            self.index, self.place = BlockMaxIndex(self.starts, self.term, self.count, self.idf), {x: i for i, x in enumerate(self.ids)}
+        return self.index
 
     def votes(self, texts: list[bytes], without: list | None = None) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
-        """For each text the share of distance-weighted votes for label 1, and the voters with their similarities."""
-        if self.texts is not None:  # the examples' vectors are made in each worker once: they are far larger than the texts
-            self.index.hold(self.vectors.counts(self.texts), self.vectors.gain)
-            self.texts = None
-        for lo in range(0, len(texts), BLOCK):
-            queries = list(self.vectors.of_texts(texts[lo : lo + BLOCK]))
-            for at, sims in self.index.nearest_of(queries, NEIGHBOURS, without[lo : lo + BLOCK] if without else [None] * len(queries)):
-                w = sims * sims / (1.0 - np.minimum(sims, 1.0) + SOFTEN)
-                yield float((w @ self.index.labels[at] + PRIOR_WEIGHT * self.prior) / (w.sum() + PRIOR_WEIGHT)), at, sims
+        """For each text the share of votes for label 1, and the weightiest voters with their similarities."""
+        index = self.ready()
+        for lo in range(0, len(texts), BATCH):
+            queries = []
+            for t, n in self.vectors.counts(texts[lo : lo + BATCH]):
+                w = (1.0 + np.log(n)) * self.idf[t]
+                queries.append((t, w / np.sqrt(w @ w) if len(t) else w))
+            left_out = [-1] * len(queries) if without is None else [self.place.get(x, -1) for x in without[lo : lo + BATCH]]
+            for at, sims, of, shared, product in index.nearest_of(queries, NEIGHBOURS, left_out):
+                vote = np.bincount(of, product * self.relevance[shared], len(at))
+                share = float((vote @ self.labels[at] + PRIOR_WEIGHT * self.prior) / (vote.sum() + PRIOR_WEIGHT))
+                best = np.argsort(-vote, kind="stable")[:EVIDENCE]
+                yield share, at[best], sims[best]
 
     def calibrated(self, share: float) -> float:
         return float(np.interp(share, np.linspace(0, 1, len(self.levels)), self.levels))
@@ -249,60 +153,91 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     examples = written(examples, "examples")
     n1, n = examples.agg(F.sum("y"), F.count(F.lit(1))).first()
     n1, n0 = n1 or 0, n - (n1 or 0)
+    none = np.zeros(0)
     if not n1 or not n0:
-        return Scorer(Vectors(np.zeros(0, "S1"), np.zeros(0, np.int32), np.zeros(0)), NeighbourIndex([], [], [], 0), 0.0)
-    prior = (n1 + 0.5) / (n + 1)
+        return Scorer(none.astype(np.uint64), none, none, [], [], np.zeros(1, np.int64), none.astype(np.int32), none.astype(np.uint16), 0.0)
 
     def frequencies(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        import xxhash
 
-        seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
+        seen: dict[bytes, int] = {}  # examples with the term, those of label 1 in the upper half
 
         def out():
-            for y, c in seen.items():
-                if c:
-                    yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()), pa.array([y] * len(c), pa.int32()), pa.array(list(c.values()), pa.int64())], names=["term", "y", "n"])
-                    c.clear()
+            n = np.fromiter(seen.values(), np.int64, len(seen))
+            h = np.fromiter(map(xxhash.xxh64_intdigest, seen), np.uint64, len(seen)).view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(h), pa.array(n >> 32), pa.array(n & 0xFFFFFFFF)], names=["term", "h", "a", "b"])
 
         for b in batches:
             for y, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), strict=True):
-                seen[1 if y else 0].update({g for w in word_counts(text) for g in grams(w)})
-                if len(seen[0]) + len(seen[1]) > COUNTED:
-                    yield from out()
-        yield from out()
-
-    df = examples.select("y", "text").mapInArrow(frequencies, "term binary, y int, n long").groupBy("term").agg(
-        F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum("n").alias("df")
-    )
-    found = df.toArrow()  # terms of MAX_EXAMPLES texts at most
-    terms = np.array(found.column("term").to_pylist(), "S")
-    a, both = (found.column(c).to_numpy().astype(float) for c in ("a", "df"))
-    order = np.lexsort((terms, -both))  # frequent terms get neighbouring numbers
-    terms, a, both = terms[order], a[order], both[order]
-    number = np.argsort(terms).astype(np.int32)
+                one = 1 << 32 if y else 1
+                for x in {x for w in word_counts(text) for x in terms_of(w)}:
+                    seen[x] = seen.get(x, 0) + one
+                if len(seen) > COUNTED:
+                    yield out()
+                    seen.clear()
+        yield out()
+
+    counted = examples.select("y", "text").mapInArrow(frequencies, "term binary, h long, a long, b long")
+    counted = counted.groupBy("term").agg(F.first("h").alias("h"), F.sum("a").alias("a"), F.sum("b").alias("b"))
+    found = counted.groupBy("h").agg(F.sum("a").cast("int").alias("a"), F.sum("b").cast("int").alias("b"), F.count(F.lit(1)).alias("terms")).toArrow()  # terms of MAX_EXAMPLES texts at most
+    if (found.column("terms").to_numpy() > 1).any():
+        raise ValueError("two terms of the examples share a hash")
+    hashes = found.column("h").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    hashes, a, b = hashes[order], *(found.column(c).to_numpy()[order].astype(np.float32) for c in ("a", "b"))
+    del found, order
+    both = a + b
     p = both / n
-    z = np.abs(a / n1 - (both - a) / n0) / np.sqrt(np.maximum(p * (1 - p), 0.25 / n) * (1 / n1 + 1 / n0))
-    lift = np.abs(np.log((a + 0.5) / (n1 + 1) / ((both - a + 0.5) / (n0 + 1))))
-    gain = (np.log((1.0 + n) / (1.0 + both)) + 1.0) * (FLOOR + np.minimum(z / SURE_Z, 1.0) * np.minimum(lift, MOST_LIFT))
+    z = np.abs(a / n1 - b / n0) / np.sqrt(np.maximum(p * (1 - p), 0.25 / n) * (1 / n1 + 1 / n0))
+    lift = np.abs(np.log((a + 0.5) / (n1 + 1) / ((b + 0.5) / (n0 + 1))))
+    relevance = (FLOOR + np.minimum(z / SURE_Z, 1.0) * np.minimum(lift, MOST_LIFT)).astype(np.float32)
+    idf = np.log((2.0 + n) / (1.0 + both.astype(float)))
+    frequent = both > 0.05 * n
+    del a, b, p, z, lift
     spark = examples.sparkSession
-    rows = examples.orderBy("id").collect()  # MAX_EXAMPLES at most
-    own = [r for r in rows if _WORD.search(r["text"].encode().lower())]
-    bare = [r["y"] for r in rows if not _WORD.search(r["text"].encode().lower())]
-    index = NeighbourIndex([r["id"] for r in own], [r["y"] for r in own], [], len(terms))
-    scorer = Scorer(Vectors(terms[number], number, gain), index, (sum(bare) + 0.5 * prior) / (len(bare) + 0.5))
-    scorer.texts = [r["text"].encode() for r in own]
-    del rows, own
-    shared = spark.sparkContext.broadcast(scorer)
+    shared = spark.sparkContext.broadcast((hashes, frequent))  # terms of MAX_EXAMPLES texts at most
+
+    def numbered(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        hashes, frequent = shared.value
+        vectors = Vectors(hashes)
+        for b in batches:
+            found = list(vectors.counts(b.column(2).cast(pa.binary()).to_pylist()))
+            # like texts hold the same frequent term most often
+            key = [int(t[f][n[f].argmax()]) if (f := frequent[t]).any() else -1 for t, n in found]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(key, pa.int64()), pa.array([t.tobytes() for t, _ in found], pa.binary()), pa.array([np.minimum(n, 65535).astype(np.uint16).tobytes() for _, n in found], pa.binary())],
+                names=["id", "y", "key", "term", "n"],
+            )
+
+    kind = examples.schema["id"].dataType.simpleString()
+    rows = examples.select("id", "y", "text").mapInArrow(numbered, f"id {kind}, y int, key long, term binary, n binary")
+    rows = rows.withColumn("size", F.length("term")).orderBy("key", F.desc("size"), "id").toArrow()  # MAX_EXAMPLES at most
+    size = rows.column("size").to_numpy() // 4
+    own = size > 0
+    labels_of = rows.column("y").to_numpy()
+    bare = labels_of[~own]
+    ids = [x for x, k in zip(rows.column("id").to_pylist(), own.tolist(), strict=True) if k]
+    term, count = array("i"), array("H")
+    for chunk in rows.to_batches(max_chunksize=1024):  # examples without a term add nothing
+        for c, into in (("term", term), ("n", count)):
+            into.frombytes(b"".join(chunk.column(c).to_pylist()))
+    del rows
+    prior = (n1 + 0.5) / (n + 1)
+    starts = np.concatenate([[0], np.cumsum(size[own])]).astype(np.int64)
+    scorer = Scorer(hashes, idf, relevance, ids, labels_of[own].tolist(), starts, np.frombuffer(term, np.int32), np.frombuffer(count, np.uint16), (bare.sum() + 0.5 * prior) / (len(bare) + 0.5))
+    scorer.shared = held = spark.sparkContext.broadcast(scorer)
 
     def left_out(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for b in batches:
-            shares = [v[0] for v in shared.value.votes(b.column(2).cast(pa.binary()).to_pylist(), b.column(0).to_pylist())]
+            shares = [v[0] for v in held.value.votes(b.column(2).cast(pa.binary()).to_pylist(), b.column(0).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array([min(BINS - 1, int(s * BINS)) for s in shares], pa.int32()), b.column(1)], names=["bin", "y"])
 
     by_bin = {r[0]: (r[1], r[2]) for r in examples.select("id", "y", "text").mapInArrow(left_out, "bin int, y int").groupBy("bin").agg(F.sum("y"), F.count(F.lit(1))).collect()}
-    scorer.shared = shared  # workers that have made the index go on with it
     return _with_levels(scorer, [by_bin.get(i, (0, 0))[0] for i in range(BINS)], [by_bin.get(i, (0, 0))[1] for i in range(BINS)])
 
 
@@ -317,8 +252,8 @@ def score(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str
     """The columns ``keep`` (all) of every row with ``score, predicted, evidence``, and the names these columns got.
 
     ``score`` is the calibrated chance of label 1, ``predicted`` 1 if it is at least ``THRESHOLD``,
-    ``evidence`` the nearest examples with similarity and label, nearest first.  A null or empty text, like any without
-    a term of the space, has no evidence and scores by the prior of such examples.  Repeated rows score alike;
+    ``evidence`` those ``EVIDENCE`` of the nearest examples whose votes weigh most, with similarity and label.  A null or empty text,
+    like any without a term of the examples, has no evidence and scores by the prior of such examples.  Repeated rows score alike;
     an empty table gives none; a column of the input that has one of the three names stays, and the new one
     gets underscores before its name.
     """
@@ -329,7 +264,7 @@ def score(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str
         *kept, T.StructField(names["score"], T.DoubleType()), T.StructField(names["predicted"], T.IntegerType()),
         T.StructField(names["evidence"], T.ArrayType(T.StructType([T.StructField("id", T.StringType()), T.StructField("similarity", T.DoubleType()), T.StructField("label", T.IntegerType())]))),
     ])
-    shared, levels = scorer.shared or docs.sparkSession.sparkContext.broadcast(scorer), scorer.levels  # MAX_EXAMPLES texts at most
+    shared, levels = scorer.shared or docs.sparkSession.sparkContext.broadcast(scorer), scorer.levels  # MAX_EXAMPLES vectors at most
     text = fresh(docs, "text_to_score")
 
     def run(batches: Iterator) -> Iterator:
@@ -342,7 +277,7 @@ def score(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str
             shares, found = [], []
             for share, at, sims in s.votes(b.column(b.num_columns - 1).cast(pa.binary()).to_pylist()):
                 shares.append(s.calibrated(share))
-                found.append([{"id": str(s.index.ids[i]), "similarity": v, "label": int(s.index.labels[i])} for i, v in zip(at.tolist(), sims.tolist(), strict=True)])
+                found.append([{"id": str(s.ids[i]), "similarity": v, "label": int(s.labels[i])} for i, v in zip(at.tolist(), sims.tolist(), strict=True)])
             new = [pa.array(shares, pa.float64()), pa.array([int(v >= THRESHOLD) for v in shares], pa.int32()), pa.array(found, arrow.field(arrow.names[-1]).type)]
             old = [b.column(i).cast(arrow.field(i).type) for i in range(b.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*old, *new], names=arrow.names)

@@ -23,10 +23,11 @@ SLICE_BYTES = 1 << 20  # bytes of a text cut at once
 
 # Letters that every definition takes as such (ASCII and Latin-1), and ASCII marks without the apostrophe, which
 # may join the letters after it, and without "<", which may begin a special token.
-_LETTERS = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])++"
+_MORE = rb"(?:\xc3[\x80-\x96\x98-\xb6\xb8-\xbf][A-Za-z]*+)"
+_LETTERS = rb"(?:[A-Za-z]++" + _MORE + rb"*+|" + _MORE + rb"++)"
 _MARKS = rb"[!-&(-/:;=-@\[-`{-~]"
 _PIECE = re.compile(
-    rb"[\t-\r ]*+" + _LETTERS + rb"(?=[\t-\r ]|" + _MARKS + rb"|\Z)"  # a word before white space or a mark
+    rb"[\t-\r ]*+" + _LETTERS + rb"(?=[\t-\r -&(-/:;=-@\[-`{-~]|\Z)"  # a word before white space or a mark
     rb"|[\t-\r ]*+" + _MARKS + rb"++(?=[\t-\r A-Za-z]|\Z)"  # marks before white space or a letter
     rb"|[\t-\r ]*[^\t-\r ]+|[\t-\r ]+"  # anything else up to white space
 )

@@ -161,53 +161,9 @@ def ward_utilisation(wards: DataFrame, adm_facts: DataFrame, as_of: datetime) ->
     )
 
 
-def bed_occupancy(adm_facts: DataFrame, open_until: datetime | None = None) -> DataFrame:
-    """DOC-09: one row per admission and calendar day of its stay.
-
-    The day rows come from ``explode(sequence(...))`` on each stay, a narrow
-    per-row expansion bounded by the stay's length.  The row key is
-    ``xxhash64(admission_id, day)``: deterministic and cheap enough for the
-    fact's row volume (one row per stay-day).  Open stays are included
-    up to ``open_until`` when it is given, else left out until discharged.
-    The source data has no bed numbers, so the admission stands for the bed.
-    """
-    end = F.col("discharge_timestamp")
-    if open_until is not None:
-        end = F.coalesce(end, ts_lit(open_until))
-    stays = adm_facts.select("admission_id", "ward_id", F.col("admission_timestamp").alias("_s"), end.alias("_e"))
-    stays = stays.filter(F.col("_s").isNotNull() & F.col("_e").isNotNull() & (F.col("_e") >= F.col("_s")))
-    # partial first/last-day hours are computed once per stay; middle days are 24
-    d0, d1 = F.to_date("_s"), F.to_date("_e")
-    stays = stays.select(
-        "*",
-        d0.alias("_d0"),
-        d1.alias("_d1"),
-        elapsed_hours("_s", F.date_add(d0, 1).cast("timestamp_ntz")).alias("_h_first"),
-        elapsed_hours(d1.cast("timestamp_ntz"), "_e").alias("_h_last"),
-        elapsed_hours("_s", "_e").alias("_h_same"),
-    )
-    days = stays.select("*", F.explode(F.sequence("_d0", "_d1")).alias("day"))
-    day = F.col("day")
-    hours = (
-        F.when((day == F.col("_d0")) & (day == F.col("_d1")), F.col("_h_same"))
-        .when(day == F.col("_d0"), F.col("_h_first"))
-        .when(day == F.col("_d1"), F.col("_h_last"))
-        .otherwise(F.lit(24.0))
-    )
-    return days.select(
-        F.xxhash64("admission_id", "day").alias("occupancy_key"),
-        "admission_id",
-        "ward_id",
-        date_key("day").alias("occupancy_date_key"),
-        F.lit("Occupied").alias("status"),
-        hours.alias("occupancy_hours"),
-        F.lit(1).alias("is_occupied"),
-    )
-
-
 def stay_status(adm_facts: DataFrame) -> DataFrame:
-    """Which stays the bed-day fact holds: ``closed``; ``open`` ones wait for a discharge or an
-    ``open_until``; ``invalid`` ones (no admission time, or a discharge before it) have no days."""
+    """Which stays the bed-day fact (:mod:`.beds`) holds: ``closed`` and, up to its run date, ``open`` ones;
+    ``invalid`` ones (no admission time, or a discharge before it) have no days."""
     s, e = F.col("admission_timestamp"), F.col("discharge_timestamp")
     status = F.when(s.isNull() | (e < s), "invalid").when(e.isNull(), "open").otherwise("closed")
     return adm_facts.select("admission_id", "ward_id", status.alias("stay_status"))

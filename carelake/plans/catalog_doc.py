@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.parse import lenient_date, lenient_long
+from ..operators import beds
 from ..operators import extensions as ext
 from ..operators import kpi
 from ..sources import testviews as tv
@@ -82,16 +83,23 @@ def q_doc_08(spark, d):
 
 @register("doc_09_bed_occupancy")
 def q_doc_09(spark, d):
-    # every bed-day row is produced; the result rolls them up per stay and
-    # names the stays that have none
-    facts = _adm_facts(spark, d)
-    days = ext.bed_occupancy(facts).groupBy("admission_id").agg(
-        F.count(F.lit(1)).alias("bed_days"),
-        F.min("occupancy_date_key").alias("first_date_key"),
-        F.max("occupancy_date_key").alias("last_date_key"),
+    # every bed-day row is produced; the result adds them up by ward and day
+    days = beds.bed_days(beds.assign_beds(beds.stays_of(_adm_facts(spark, d), gb.ADM_AS_OF)))
+    return days.groupBy("ward_id", "occupancy_date_key").agg(
+        F.sum("is_occupied").alias("beds_occupied"),
+        F.count_if(F.col("status") == "Cleaning").alias("beds_cleaning"),
+        F.min("bed_number_clean").alias("first_bed"),
+        F.max("bed_number_clean").alias("last_bed"),
+        F.max("occupancy_key").alias("last_key"),
         F.round(F.sum("occupancy_hours"), 6).alias("occupancy_hours"),
     )
-    return ext.stay_status(facts).join(days, "admission_id", "left")
+
+
+@register("doc_09_bed_stays")
+def q_doc_09_stays(spark, d):
+    facts = _adm_facts(spark, d)
+    given = beds.assign_beds(beds.stays_of(facts, gb.ADM_AS_OF)).select("admission_id", "bed")
+    return ext.stay_status(facts).join(given, "admission_id", "left")
 
 
 @register("doc_10_daily_operations")

@@ -61,15 +61,24 @@ FROM admissions a LEFT JOIN (
   QUALIFY row_number() OVER (PARTITION BY admission_id ORDER BY discharge_time DESC NULLS LAST) = 1) d
   ON a.admission_id = d.admission_id"""
 
-VIEWS["occupancy"] = f"""
-SELECT admission_id, ward_id,
-       CAST(strftime(day, '%Y%m%d') AS INTEGER) AS occupancy_date_key, 'Occupied' AS status,
-       (floor(epoch(least(e, CAST(day + 1 AS TIMESTAMP)))) - floor(epoch(greatest(s, CAST(day AS TIMESTAMP))))) / 3600.0 AS occupancy_hours,
-       1 AS is_occupied
-FROM (SELECT admission_id, ward_id, s, e,
-             CAST(unnest(generate_series(CAST(s AS DATE), CAST(e AS DATE), INTERVAL 1 DAY)) AS DATE) AS day
-      FROM (SELECT admission_id, ward_id, admission_timestamp AS s, discharge_timestamp AS e FROM adm_facts)
-      WHERE s IS NOT NULL AND e IS NOT NULL AND e >= s)"""
+# beds: a stay opens a bed if more overlap than before, else the r-th reuse takes the bed of the r-th discharge
+VIEWS["bed_events"] = f"""
+WITH s AS (SELECT admission_id, ward_id, admission_timestamp AS s, coalesce(discharge_timestamp, {ADM_AS_OF}) AS e FROM adm_facts),
+v AS (SELECT admission_id, ward_id, s AS t, 1 AS kind FROM s WHERE e >= s
+      UNION ALL SELECT admission_id, ward_id, e, CASE WHEN s = e THEN 2 ELSE 0 END FROM s WHERE e >= s),
+c AS (SELECT *, sum(CASE kind WHEN 1 THEN 1 ELSE -1 END) OVER o AS n, count_if(kind = 1) OVER o AS starts, count_if(kind <> 1) OVER o AS ends
+      FROM v WINDOW o AS (PARTITION BY ward_id ORDER BY t, kind, admission_id))
+SELECT *, coalesce(max(n) OVER (PARTITION BY ward_id ORDER BY t, kind, admission_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS peak FROM c"""
+
+VIEWS["bed_links"] = """
+SELECT a.admission_id, CASE WHEN a.n > a.peak THEN a.n END AS bed, b.admission_id AS up
+FROM (SELECT * FROM bed_events WHERE kind = 1) a LEFT JOIN (SELECT * FROM bed_events WHERE kind <> 1) b
+  ON a.n <= a.peak AND a.ward_id IS NOT DISTINCT FROM b.ward_id AND b.ends = a.starts - a.peak"""
+
+VIEWS["beds"] = """
+SELECT admission_id, bed FROM (
+  WITH RECURSIVE r AS (SELECT admission_id, bed FROM bed_links WHERE bed IS NOT NULL
+    UNION ALL SELECT l.admission_id, r.bed FROM r JOIN bed_links l ON l.up = r.admission_id) SELECT * FROM r)"""
 
 VIEWS["lab_facts"] = f"""
 SELECT {skey('lab_result_id')} AS lab_result_key, lab_result_id, patient_id, sample_datetime AS sample_timestamp,
@@ -108,7 +117,9 @@ DEPENDS.update(
     {
         "vital_facts": ["vital_signs"],
         "adm_facts": ["admissions", "discharges"],
-        "occupancy": ["adm_facts"],
+        "bed_events": ["adm_facts"],
+        "bed_links": ["bed_events"],
+        "beds": ["bed_links"],
         "lab_facts": ["lab_results"],
         "pharm_facts": ["pharmacy_inventory"],
         "dim_std": ["patients"],
@@ -182,16 +193,28 @@ FROM vital_facts WHERE is_critical GROUP BY 1, 2, 3""",
 ORACLE["doc_06_lab_flags"] = with_views(["lab_facts"], "SELECT * FROM lab_facts")
 ORACLE["doc_07_pharmacy_flags"] = with_views(["pharm_facts"], "SELECT * FROM pharm_facts")
 ORACLE["doc_08_admission_facts"] = with_views(["adm_facts"], "SELECT * FROM adm_facts")
-ORACLE["doc_09_bed_occupancy"] = with_views(
-    ["adm_facts", "occupancy"],
+ORACLE["doc_09_bed_stays"] = with_views(
+    ["adm_facts", "beds"],
     """SELECT f.admission_id, f.ward_id,
        CASE WHEN admission_timestamp IS NULL OR discharge_timestamp < admission_timestamp THEN 'invalid'
             WHEN discharge_timestamp IS NULL THEN 'open' ELSE 'closed' END AS stay_status,
-       bed_days, first_date_key, last_date_key, o.occupancy_hours
-FROM adm_facts f LEFT JOIN (
-  SELECT admission_id, CAST(count(*) AS BIGINT) AS bed_days, min(occupancy_date_key) AS first_date_key,
-         max(occupancy_date_key) AS last_date_key, round(sum(occupancy_hours), 6) AS occupancy_hours
-  FROM occupancy GROUP BY 1) o ON f.admission_id = o.admission_id""",
+       CAST(bed AS BIGINT) AS bed
+FROM adm_facts f LEFT JOIN beds USING (admission_id)""",
+)
+
+# every stay is laid out day by day, and what falls on one bed and day is added up
+ORACLE["doc_09_bed_occupancy"] = with_views(
+    ["adm_facts", "beds"],
+    f"""SELECT ward_id, CAST(strftime(day, '%Y%m%d') AS INTEGER) AS occupancy_date_key, CAST(count(*) AS BIGINT) AS beds_occupied,
+       CAST(count_if(last < CAST(day + 1 AS TIMESTAMP)) AS BIGINT) AS beds_cleaning, min(bed) AS first_bed, max(bed) AS last_bed,
+       max((ward_id * 1048576 + CAST(bed[2:] AS BIGINT)) * 131072 + date_diff('day', DATE '1900-01-01', day)) AS last_key,
+       round(sum(h), 6) AS occupancy_hours
+FROM (SELECT ward_id, bed, day, max(e) AS last,
+             sum((floor(epoch(least(e, CAST(day + 1 AS TIMESTAMP)))) - floor(epoch(greatest(s, CAST(day AS TIMESTAMP))))) / 3600.0) AS h
+      FROM (SELECT ward_id, 'B' || lpad(CAST(CAST(bed AS BIGINT) AS VARCHAR), 6, '0') AS bed, s, e,
+                   CAST(unnest(generate_series(CAST(s AS DATE), CAST(e AS DATE), INTERVAL 1 DAY)) AS DATE) AS day
+            FROM (SELECT ward_id, bed, admission_timestamp AS s, coalesce(discharge_timestamp, {ADM_AS_OF}) AS e
+                  FROM adm_facts JOIN beds USING (admission_id))) GROUP BY ALL) GROUP BY 1, 2""",
 )
 
 # every bed-day, open stays up to the run date, added up by day and ward

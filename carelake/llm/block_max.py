@@ -17,7 +17,8 @@ from collections.abc import Iterator
 import numpy as np
 
 BLOCK = 128  # examples of a block
-RARE, MIDDLE = 0.004, 0.04  # shares of the examples up to which a term is of the first and of the second tier
+MOST = 0.6  # share of the blocks from which on the matrix is read as a whole
+RARE, MIDDLE = 0.004, 0.1  # shares of the examples up to which a term is of the first and of the second tier
 LEAST = 32  # and up to so many examples it always is of the first
 
 
@@ -97,17 +98,24 @@ class BlockMaxIndex:
             if self.n and len(t):
                 live[q] = self._walk(t, w, k, without[q], near[q], left[q], read[q])
         needed = np.flatnonzero(live.any(axis=0))
+        if len(needed) > MOST * self.blocks:  # then a copy of the blocks needed costs more than the others
+            needed = np.arange(self.blocks)
         rows = (needed[:, None] * BLOCK + np.arange(BLOCK)).ravel()
         rows = rows[rows < self.n]
-        last = left @ self.dense[rows].T
+        every = len(rows) == self.n
+        last = left @ (self.dense if every else self.dense[rows]).T
         for q, (t, w) in enumerate(queries):
-            if not live[q].any():
+            own = live[q][needed]
+            if not own.any():
                 yield np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
                 continue
-            s = near[q][rows] + last[q]
-            s[~np.repeat(live[q][needed], BLOCK)[: len(rows)]] = -9.0
-            least = np.partition(s, -k)[-k] - self.slack if len(s) > k else 0.0
-            yield self._exact(t, w, rows[(s >= least) & (s > 0)], k, read[q])
+            s = last[q]
+            s += near[q] if every else near[q][rows]
+            if not own.all():
+                s[~np.repeat(own, BLOCK)[: len(s)]] = -9.0
+            least = max(np.partition(s, -k)[-k] - self.slack if len(s) > k else 0.0, 1e-9)
+            a = np.flatnonzero(s >= least)
+            yield self._exact(t, w, a if every else rows[a], k, read[q])
 
     def _walk(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int, near: np.ndarray, left: np.ndarray, read: list) -> np.ndarray:
         """Read the rare and the middle terms into ``near``, put the frequent ones into ``left``; the blocks still needed."""

@@ -1,6 +1,6 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine over a block-max inverted index.
 
-Texts are bags of terms: their words, and the first 6 bytes of longer words.  A bounded sample of labelled rows gives
+Texts are bags of terms: the first ``STEM`` bytes of their words, so that the forms of a word meet.  A bounded sample of labelled rows gives
 the examples, and every term that any of them holds is indexed: none is left out by frequency or by label.  Weights are plain
 TF-IDF, (1 + log tf) * log((2 + n) / (1 + df)), normed to length 1; see :mod:`.block_max` for the exact search.
 
@@ -25,68 +25,42 @@ from pyspark.sql import types as T
 from .block_max import BlockMaxIndex
 from .common import fold, fresh, written
 
-STARTS = (6,)  # bytes of a word's beginnings that are terms
+STEM = 6  # bytes of a word that make its term
 MAX_EXAMPLES = 20_000  # labelled training rows, by hash of the id, that the classifier is fitted on
 FLOOR, SURE_Z, MOST_LIFT = 0.02, 10.0, 3.0  # relevance of a term that tells nothing; where its growth with z and log lift ends
-NEIGHBOURS, EVIDENCE, BATCH = 64, 5, 64
+NEIGHBOURS, EVIDENCE, BATCH = 64, 5, 128
 PRIOR_WEIGHT, BINS = 1e-3, 20
 THRESHOLD, FOLDS, HELD_OUT = 0.3, 4, 2
-CACHE_WORDS, COUNTED = 200_000, 400_000
+COUNTED = 400_000
 
-_WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+_TERM = re.compile(rb"([0-9a-z\x80-\xff]{1,%d})[0-9a-z\x80-\xff]*+" % STEM)
 
 
-def terms_of(word: bytes) -> list[bytes]:
-    """The word and its beginnings, which are marked as such."""
-    return [word, *[b"<" + word[:n] for n in STARTS if n < len(word)]]
-
-
-def word_counts(text: bytes) -> Counter:
-    return Counter(_WORD.findall(text.lower()))
+def term_counts(text: bytes) -> Counter:
+    return Counter(_TERM.findall(text.lower()))
 
 
 class Vectors:
-    """Texts as sorted term numbers with counts; the terms of each word are kept from text to text.
-
-    Terms are known by their 64-bit XXH64, sorted; the number of a term is its place.
-    """
+    """Texts as sorted term numbers with counts; ``terms`` are sorted byte strings, a term's number is its place."""
 
-    def __init__(self, hashes: np.ndarray) -> None:
-        self.hashes, self.kept = hashes, {}
+    def __init__(self, terms: np.ndarray) -> None:
+        self.terms, self.number = terms, None
 
-    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """The term numbers of each word, looked up together."""
-        import xxhash
-
-        if not len(self.hashes):
-            return dict.fromkeys(words, b"")
-        found = [terms_of(w) for w in words]
-        h = np.array([xxhash.xxh64_intdigest(x) for f in found for x in f], np.uint64)
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1).astype(np.int32)
-        hit = self.hashes[at] == h
-        ends = np.cumsum([len(f) for f in found]).tolist()
-        return {w: at[i:j][hit[i:j]].tobytes() for w, i, j in zip(words, [0, *ends], ends, strict=False)}
+    def __getstate__(self) -> dict:
+        return {"terms": self.terms, "number": None}
 
     def counts(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Of each text the sorted term numbers and how often it holds each."""
-        for lo in range(0, len(texts), BATCH):
-            held = [word_counts(x) for x in texts[lo : lo + BATCH]]
-            if len(self.kept) >= CACHE_WORDS:
-                self.kept = {}
-            self.kept.update(self.learn(list({w for words in held for w in words if w not in self.kept})))
-            for words in held:
-                found = [self.kept[w] for w in words]
-                t = np.frombuffer(b"".join(found), np.int32)
-                if not len(t):
-                    yield np.zeros(0, np.int32), np.zeros(0, np.int32)
-                    continue
-                n = np.repeat(np.fromiter(words.values(), np.int32, len(words)), np.fromiter(map(len, found), np.int32, len(found)) >> 2)
-                at = np.argsort(t, kind="stable")
-                t, n = t[at], n[at]
-                first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
-                yield t[first], np.add.reduceat(n, first).astype(np.int32)
-            for w in [w for words in held for w in words if len(w) > 64]:
-                self.kept.pop(w, None)
+        if self.number is None:
+            self.number = {x: i for i, x in enumerate(self.terms.tolist())}
+        number = self.number.get
+        for text in texts:
+            found = term_counts(text)
+            t = np.fromiter([number(x, -1) for x in found], np.int32, len(found))
+            n = np.fromiter(found.values(), np.int32, len(found))
+            at = np.argsort(t)
+            at = at[np.searchsorted(t, 0, sorter=at) :]
+            yield t[at], n[at]
 
 
 class Scorer:
@@ -95,8 +69,8 @@ class Scorer:
     It travels as the term numbers and counts of the examples; the index is made of them once in each worker.
     """
 
-    def __init__(self, hashes: np.ndarray, idf: np.ndarray, relevance: np.ndarray, ids: list, labels: list[int], starts: np.ndarray, term: np.ndarray, count: np.ndarray, prior: float) -> None:
-        self.vectors, self.idf, self.relevance, self.ids, self.labels = Vectors(hashes), idf, relevance, ids, np.array(labels, float)
+    def __init__(self, terms: np.ndarray, idf: np.ndarray, relevance: np.ndarray, ids: list, labels: list[int], starts: np.ndarray, term: np.ndarray, count: np.ndarray, prior: float) -> None:
+        self.vectors, self.idf, self.relevance, self.ids, self.labels = Vectors(terms), idf, relevance, ids, np.array(labels, float)
         self.starts, self.term, self.count, self.prior, self.index, self.shared = starts, term, count, prior, None, None
         self.levels = np.linspace(0, 1, 2)
 
@@ -155,54 +129,49 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     n1, n0 = n1 or 0, n - (n1 or 0)
     none = np.zeros(0)
     if not n1 or not n0:
-        return Scorer(none.astype(np.uint64), none, none, [], [], np.zeros(1, np.int64), none.astype(np.int32), none.astype(np.uint16), 0.0)
+        return Scorer(none.astype("S1"), none, none, [], [], np.zeros(1, np.int64), none.astype(np.int32), none.astype(np.uint16), 0.0)
 
     def frequencies(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        import xxhash
 
-        seen: dict[bytes, int] = {}  # examples with the term, those of label 1 in the upper half
+        seen: Counter = Counter()  # examples with the term, those of label 1 in the upper half
 
         def out():
             n = np.fromiter(seen.values(), np.int64, len(seen))
-            h = np.fromiter(map(xxhash.xxh64_intdigest, seen), np.uint64, len(seen)).view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(h), pa.array(n >> 32), pa.array(n & 0xFFFFFFFF)], names=["term", "h", "a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(n >> 32), pa.array(n & 0xFFFFFFFF)], names=["term", "a", "b"])
 
         for b in batches:
             for y, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), strict=True):
                 one = 1 << 32 if y else 1
-                for x in {x for w in word_counts(text) for x in terms_of(w)}:
-                    seen[x] = seen.get(x, 0) + one
+                for x in term_counts(text):
+                    seen[x] += one
                 if len(seen) > COUNTED:
                     yield out()
                     seen.clear()
         yield out()
 
-    counted = examples.select("y", "text").mapInArrow(frequencies, "term binary, h long, a long, b long")
-    counted = counted.groupBy("term").agg(F.first("h").alias("h"), F.sum("a").alias("a"), F.sum("b").alias("b"))
-    found = counted.groupBy("h").agg(F.sum("a").cast("int").alias("a"), F.sum("b").cast("int").alias("b"), F.count(F.lit(1)).alias("terms")).toArrow()  # terms of MAX_EXAMPLES texts at most
-    if (found.column("terms").to_numpy() > 1).any():
-        raise ValueError("two terms of the examples share a hash")
-    hashes = found.column("h").to_numpy().view(np.uint64)
-    order = np.argsort(hashes)
-    hashes, a, b = hashes[order], *(found.column(c).to_numpy()[order].astype(np.float32) for c in ("a", "b"))
+    counted = examples.select("y", "text").mapInArrow(frequencies, "term binary, a long, b long").groupBy("term")
+    found = counted.agg(F.sum("a").alias("a"), F.sum("b").alias("b")).toArrow()  # terms of MAX_EXAMPLES texts at most
+    terms = np.array(found.column("term").to_pylist(), f"S{STEM}")
+    order = np.argsort(terms)
+    terms, a, b = terms[order], *(found.column(c).to_numpy()[order].astype(float) for c in ("a", "b"))
     del found, order
     both = a + b
     p = both / n
     z = np.abs(a / n1 - b / n0) / np.sqrt(np.maximum(p * (1 - p), 0.25 / n) * (1 / n1 + 1 / n0))
     lift = np.abs(np.log((a + 0.5) / (n1 + 1) / ((b + 0.5) / (n0 + 1))))
     relevance = (FLOOR + np.minimum(z / SURE_Z, 1.0) * np.minimum(lift, MOST_LIFT)).astype(np.float32)
-    idf = np.log((2.0 + n) / (1.0 + both.astype(float)))
+    idf = np.log((2.0 + n) / (1.0 + both))
     frequent = both > 0.05 * n
     del a, b, p, z, lift
     spark = examples.sparkSession
-    shared = spark.sparkContext.broadcast((hashes, frequent))  # terms of MAX_EXAMPLES texts at most
+    shared = spark.sparkContext.broadcast((terms, frequent))  # terms of MAX_EXAMPLES texts at most
 
     def numbered(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        hashes, frequent = shared.value
-        vectors = Vectors(hashes)
+        terms, frequent = shared.value
+        vectors = Vectors(terms)
         for b in batches:
             found = list(vectors.counts(b.column(2).cast(pa.binary()).to_pylist()))
             # like texts hold the same frequent term most often
@@ -227,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     del rows
     prior = (n1 + 0.5) / (n + 1)
     starts = np.concatenate([[0], np.cumsum(size[own])]).astype(np.int64)
-    scorer = Scorer(hashes, idf, relevance, ids, labels_of[own].tolist(), starts, np.frombuffer(term, np.int32), np.frombuffer(count, np.uint16), (bare.sum() + 0.5 * prior) / (len(bare) + 0.5))
+    scorer = Scorer(terms, idf, relevance, ids, labels_of[own].tolist(), starts, np.frombuffer(term, np.int32), np.frombuffer(count, np.uint16), (bare.sum() + 0.5 * prior) / (len(bare) + 0.5))
     scorer.shared = held = spark.sparkContext.broadcast(scorer)
 
     def left_out(batches: Iterator) -> Iterator:

@@ -34,10 +34,35 @@ def lenient_int(c: Column | str) -> Column:
     return lenient_long(c).try_cast("int")
 
 
+def canonical_id(c: Column | str) -> Column:
+    """An identifier as text: digits for numeric forms ('012', '12.0' are '12'), anything else as it stands, without
+    the white space around it; blank is NULL.  Nothing that identifies a row is lost to a cast."""
+    s = F.trim(_c(c).cast("string"))
+    return F.coalesce(lenient_long(c).cast("string"), F.when(s != "", s))
+
+
+# Forms other than ISO that sources send, tried in this order (with the length that tells them apart).
+DATE_FORMS = [("yyyy/MM/dd", 10), ("yyyy/MM/dd HH:mm:ss", 19), ("dd MMM yyyy", 11), ("yyyyMMdd", 8)]
+
+
 def lenient_timestamp(c: Column | str) -> Column:
-    """Timestamp parse of ISO text (date, date-time, 'T' separator, fractions)."""
+    """Timestamp parse of ISO text (date, date-time, 'T' separator, fractions) and of ``DATE_FORMS``.
+
+    Eight digits are a date, not a year; text of no known form is NULL."""
+    s = F.trim(_c(c).cast("string"))
+    digits = s.rlike("^[0-9]{8}$")
+    iso = F.when(~digits, F.try_to_timestamp(s))
+    others = [F.when(F.length(s) == n, F.try_to_timestamp(s, F.lit(form))) for form, n in DATE_FORMS]
+    return F.coalesce(iso, *others).cast("timestamp_ntz")
+
+
+def date_form(c: Column | str) -> Column:
+    """Which form a text has: ``iso``, one of ``DATE_FORMS``, ``blank`` or ``unknown``; one pass over a column so votes on its form."""
     s = F.trim(_c(c).cast("string"))
-    return F.try_to_timestamp(s).cast("timestamp_ntz")
+    found = F.when(s.isNull() | (s == ""), "blank").when(~s.rlike("^[0-9]{8}$") & F.try_to_timestamp(s).isNotNull(), "iso")
+    for form, n in DATE_FORMS:
+        found = found.when((F.length(s) == n) & F.try_to_timestamp(s, F.lit(form)).isNotNull(), form)
+    return found.otherwise("unknown")
 
 
 def lenient_date(c: Column | str) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from ..functions.dates import elapsed_hours, ts_lit
-from ..functions.parse import first_available, lenient_date, lenient_int, lenient_long, lenient_timestamp
+from ..functions.parse import canonical_id, first_available, lenient_date, lenient_int, lenient_long, lenient_timestamp
 from .dedupe import latest_per_key
 
 # Candidate source names (G16), in preference order.
@@ -49,6 +49,11 @@ def as_long(df: DataFrame, name: str) -> Column:
     return F.col(name).try_cast("bigint") if isinstance(_dtype(df, name), NumericType) else lenient_long(name)
 
 
+def as_id(df: DataFrame, name: str) -> Column:
+    """An identifier that need not be a number: numbers stay numbers, text becomes canonical text."""
+    return F.col(name) if isinstance(_dtype(df, name), NumericType) else canonical_id(name)
+
+
 def as_int(df: DataFrame, name: str) -> Column:
     return F.col(name).try_cast("int") if isinstance(_dtype(df, name), NumericType) else lenient_int(name)
 
@@ -65,12 +70,13 @@ def silver_lab_results(bronze: DataFrame, as_of: datetime) -> DataFrame:
 
     The sample time falls back over ``sample_datetime, sample_time,
     collected_time`` so that files carrying only ``collected_time`` still get
-    a turnaround and a test date (G1).
+    a turnaround and a test date (G1).  Identifiers need not be numbers here;
+    only tables whose contract says so cast them.
     """
     df = bronze
     for name in ("lab_result_id", "patient_id", "admission_id"):
         if name in df.columns:
-            df = df.withColumn(name, as_long(df, name))
+            df = df.withColumn(name, as_id(df, name))
     sample = _first_ts(df, SAMPLE_TIME_CANDIDATES)
     completed = _first_ts(df, COMPLETED_TIME_CANDIDATES)
     df = df.withColumn("sample_datetime", sample if sample is not None else F.lit(None).cast("timestamp_ntz"))
@@ -90,7 +96,7 @@ def silver_pharmacy(bronze: DataFrame, as_of: datetime) -> DataFrame:
     """TB-02: typed stock columns, parsed expiry, alias back-fill (PRJ-04)."""
     df = bronze
     if "drug_id" in df.columns:
-        df = df.withColumn("drug_id", as_long(df, "drug_id"))
+        df = df.withColumn("drug_id", as_id(df, "drug_id"))
     for name in ("stock_on_hand", "reorder_level", "current_stock", "threshold"):
         if name in df.columns:
             df = df.withColumn(name, as_int(df, name))

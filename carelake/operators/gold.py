@@ -17,7 +17,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 from ..functions.dates import calendar_age, calendar_frame, date_key, elapsed_minutes, iso_day, ts_lit
 from ..functions.keys import surrogate_key
 from ..functions.parse import col_or_null
-from .conditioning import as_timestamp
+from .conditioning import as_long, as_timestamp
 
 ICU_ALERT_SCHEMA = StructType(
     [
@@ -122,7 +122,7 @@ def fact_labs(labs: DataFrame, as_of: datetime, fill_missing_times: bool = True)
     """TB-11: one row per test; tests drawn together differ in their own id."""
     t = as_timestamp(labs, "collected_time") if "collected_time" in labs.columns else F.lit(None).cast("timestamp_ntz")
     ids = _own_ids(labs, LAB_GRAIN)
-    rows = labs.select(*ids, "patient_id", _fill(t, as_of, fill_missing_times).alias("sample_time"))
+    rows = labs.select(*ids, as_long(labs, "patient_id").alias("patient_id"), _fill(t, as_of, fill_missing_times).alias("sample_time"))
     return rows.select(
         surrogate_key(*ids, "patient_id", "sample_time").alias("lab_key"),
         "patient_id",
@@ -142,7 +142,7 @@ def fact_lab_turnaround(labs: DataFrame, as_of: datetime, fill_missing_times: bo
     ids = _own_ids(labs, LAB_GRAIN)
     rows = labs.select(
         *ids,
-        "patient_id",
+        as_long(labs, "patient_id").alias("patient_id"),
         sample.alias("sample_time"),
         completed.alias("completed_time"),
     )

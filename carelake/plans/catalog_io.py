@@ -15,6 +15,9 @@ from ..sinks import publish
 from ..sources import files
 from ..sources import testviews as tv
 from . import gold_build as gb
+from ..functions.parse import canonical_id, lenient_long
+from ..operators import quarantine
+from ..sinks.bucketed import BucketedTable
 from .catalog import register
 
 CSV_OPTS = publish.CSV_WRITE_OPTIONS
@@ -168,3 +171,42 @@ def q_str_01(spark, d):
     raw.filter(~(day <= 15)).write.parquet(f"{root}/landing/2024/01/31")
     ingest_labs_to_silver(spark, f"{root}/landing/*/*/*", raw.schema, silver, ck, gb.LAB_AS_OF).awaitTermination()
     return spark.read.parquet(silver)
+
+
+@register("prj_05_quarantine")
+def q_prj_05(spark, d):
+    """Every raw row of three tables on its side, with the reasons of the rejected ones."""
+    sides = None
+    for name, view, key, rules in (
+        ("labs", tv.bronze_lab_results, "lab_result_id", quarantine.lab_rules()),
+        ("pharmacy", tv.bronze_pharmacy, "drug_id", quarantine.pharmacy_rules()),
+        ("admissions", tv.bronze_admissions, "admission_id", quarantine.admission_rules()),
+    ):
+        routed = quarantine.route(view(spark, d), rules, scratch_path(spark, f"quarantine-{name}"))
+        kept = routed.accepted.select(F.lit(name).alias("source"), F.lit("accepted").alias("side"), canonical_id(key).alias("row_id"), F.lit("").alias("reasons"))
+        out = routed.rejected.select(F.lit(name).alias("source"), F.lit("rejected").alias("side"), canonical_id(key).alias("row_id"), F.array_join("reject_reasons", ",").alias("reasons"))
+        both = kept.unionByName(out)
+        sides = both if sides is None else sides.unionByName(both)
+    return sides
+
+
+#: (name, snapshots): what arrives in turn at the patients' table, a late snapshot and deletions included
+def _patient_changes(spark, d):
+    raw = tv.bronze_patients(spark, d).select(lenient_long("patient_id").alias("patient_id"), "first_name", "last_name", "dt")
+    late = raw.filter((F.col("dt") == "2001-07-01") & (F.col("patient_id") % 25 == 0)).withColumn("last_name", F.lit("late")).withColumn("dt", F.lit("2001-07-15"))
+    gone = raw.filter((F.col("dt") == "2001-07-01") & (F.col("patient_id") % 40 == 0)).withColumn("dt", F.lit("2001-07-20"))
+    return [
+        (raw.filter(F.col("dt") == "2001-08-01"), None),
+        (raw.filter(F.col("dt") == "2001-07-01"), None),
+        (gone, F.lit(True)),
+        (late, None),
+    ]
+
+
+@register("src_04_incremental_silver")
+def q_src_04_incremental(spark, d):
+    """Snapshots merged one after another, out of order, into bucketed silver; the table as it then stands."""
+    table = BucketedTable(spark, scratch_path(spark, "silver-patients"), ["patient_id"], ["dt"], buckets=16)
+    for changes, deleted in _patient_changes(spark, d):
+        table.merge(changes, deleted)
+    return table.read()

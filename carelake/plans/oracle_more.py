@@ -23,12 +23,20 @@ def llong(e: str) -> str:
     return f"(CASE WHEN regexp_full_match({s}, '[+-]?[0-9]+') THEN TRY_CAST({s} AS BIGINT) ELSE TRY_CAST(trunc(TRY_CAST({s} AS DECIMAL(38, 10))) AS BIGINT) END)"
 
 
+def lid(e: str) -> str:
+    """An identifier as text: digits of numeric forms, else the trimmed text, blank as NULL."""
+    return f"coalesce(CAST({llong(e)} AS VARCHAR), nullif(trim(CAST({e} AS VARCHAR)), ''))"
+
+
 def lint(e: str) -> str:
     return f"TRY_CAST({llong(e)} AS INTEGER)"
 
 
 def lts(e: str) -> str:
-    return f"TRY_CAST(trim(CAST({e} AS VARCHAR)) AS TIMESTAMP)"
+    """ISO text and four other forms; eight digits are a date, not a year."""
+    s = f"trim(CAST({e} AS VARCHAR))"
+    forms = "['%Y/%m/%d', '%Y/%m/%d %H:%M:%S', '%d %b %Y', '%Y%m%d']"
+    return f"(CASE WHEN regexp_full_match({s}, '[0-9]{{8}}') THEN try_strptime({s}, '%Y%m%d') ELSE coalesce(TRY_CAST({s} AS TIMESTAMP), try_strptime({s}, {forms})) END)"
 
 
 def ldate(e: str) -> str:
@@ -40,6 +48,8 @@ SELECT CASE WHEN c_custkey % 101 = 7 THEN NULL ELSE CAST(c_custkey AS VARCHAR) E
        CASE WHEN c_custkey % 97 = 5 THEN ' ' ELSE split_part(c_name, '#', 1) END AS first_name,
        CASE WHEN c_custkey % 89 = 3 THEN NULL ELSE split_part(c_name, '#', 2) END AS last_name,
        CASE WHEN c_custkey % 83 = 2 THEN 'not-a-date'
+            WHEN c_custkey % 113 = 5 THEN strftime(DATE '1930-01-01' + CAST((c_custkey * 37) % 36500 AS INTEGER), '%Y/%m/%d')
+            WHEN c_custkey % 131 = 7 THEN strftime(DATE '1930-01-01' + CAST((c_custkey * 37) % 36500 AS INTEGER), '%Y%m%d')
             ELSE strftime(DATE '1930-01-01' + CAST((c_custkey * 37) % 36500 AS INTEGER), '%Y-%m-%d') END AS date_of_birth,
        {GENDER_CASE} AS gender, '2001-07-01' AS dt, c_custkey AS _k
 FROM customer"""
@@ -53,7 +63,8 @@ FROM ({_BRONZE_PATIENT_BASE}) WHERE _k % 50 = 0"""
 _BRONZE_ADM_BASE = f"""
 SELECT CASE WHEN admission_id % 107 = 9 THEN NULL ELSE CAST(admission_id AS VARCHAR) END AS admission_id,
        CASE WHEN admission_id % 101 = 1 THEN NULL ELSE CAST(patient_id AS VARCHAR) END AS patient_id,
-       CASE WHEN admission_id % 83 = 4 THEN 'n/a' ELSE strftime(admission_time, {ISO_TS}) END AS admission_date,
+       CASE WHEN admission_id % 83 = 4 THEN 'n/a' WHEN admission_id % 113 = 5 THEN strftime(admission_time, '%Y/%m/%d %H:%M:%S')
+            WHEN admission_id % 127 = 6 THEN strftime(admission_time, '%d %b %Y') ELSE strftime(admission_time, {ISO_TS}) END AS admission_date,
        CAST(ward_id AS VARCHAR) AS ward_id, '2001-08-01' AS dt, admission_id AS _k
 FROM admissions"""
 
@@ -69,7 +80,9 @@ SELECT CASE WHEN event_id % 103 = 7 THEN CAST(event_id + 9007199254740993 AS VAR
             ELSE CAST(user_id AS VARCHAR) END AS patient_id,
        CASE WHEN event_id % 89 = 2 THEN NULL WHEN event_id % 83 = 5 THEN '  ' ELSE {TEST_CASE} END AS test_type,
        CASE WHEN event_id % 79 = 4 THEN 'tbd' WHEN event_id % 71 = 1 THEN '2024-02-05 10:00:00'
-            WHEN event_id % 67 = 2 THEN '2024-03-15 10:00:00' ELSE strftime(ts, {ISO_TS}) END AS test_date,
+            WHEN event_id % 67 = 2 THEN '2024-03-15 10:00:00' WHEN event_id % 113 = 5 THEN strftime(ts, '%Y/%m/%d')
+            WHEN event_id % 127 = 6 THEN strftime(ts, '%d %b %Y') WHEN event_id % 131 = 7 THEN strftime(ts, '%Y%m%d')
+            ELSE strftime(ts, {ISO_TS}) END AS test_date,
        CASE WHEN event_id % 61 = 3 THEN 'positive' WHEN event_id % 59 = 4 THEN NULL
             WHEN event_id % 53 = 5 AND event_type = 'click' THEN '-' || CAST(value AS VARCHAR)
             ELSE CAST(value AS VARCHAR) END AS result_value,
@@ -78,7 +91,7 @@ SELECT CASE WHEN event_id % 103 = 7 THEN CAST(event_id + 9007199254740993 AS VAR
 FROM events"""
 
 _BRONZE_PHARM_BASE = """
-SELECT CAST(p_partkey AS VARCHAR) AS drug_id,
+SELECT CASE WHEN p_partkey % 109 = 8 THEN ' D-' || CAST(p_partkey AS VARCHAR) ELSE CAST(p_partkey AS VARCHAR) END AS drug_id,
        CASE WHEN p_partkey % 101 = 1 THEN NULL WHEN p_partkey % 97 = 2 THEN '' WHEN p_partkey % 89 = 3 THEN 'X'
             WHEN p_partkey % 83 = 4 THEN '12345' ELSE p_name END AS drug_name,
        CASE WHEN p_partkey % 79 = 5 THEN 'n/a' WHEN p_partkey % 73 = 6 THEN '-1' WHEN p_partkey % 71 = 0 THEN '0'
@@ -86,6 +99,7 @@ SELECT CAST(p_partkey AS VARCHAR) AS drug_id,
             ELSE CAST(p_size AS VARCHAR) END AS quantity,
        CASE WHEN p_partkey % 59 = 3 THEN 'bad' WHEN p_partkey % 53 = 4 THEN '1999-05-01'
             WHEN p_partkey % 47 = 5 THEN '2031-01-01'
+            WHEN p_partkey % 113 = 5 THEN strftime(DATE '2024-02-01' + CAST(p_partkey % 800 - 100 AS INTEGER), '%d %b %Y')
             ELSE strftime(DATE '2024-02-01' + CAST(p_partkey % 800 - 100 AS INTEGER), '%Y-%m-%d') END AS expiry_date,
        CASE WHEN p_partkey % 43 = 6 THEN NULL WHEN p_partkey % 41 = 0 THEN 'antibiotic' ELSE p_type END AS category,
        p_brand AS supplier, CAST(p_size AS VARCHAR) AS stock_on_hand, CAST(p_partkey % 20 AS VARCHAR) AS reorder_level,
@@ -110,7 +124,7 @@ FROM discharges"""
 # ---- silver (conditioning of the bronze views)
 
 VIEWS["silver_labs_dirty"] = f"""
-SELECT {llong('lab_result_id')} AS lab_result_id, {llong('patient_id')} AS patient_id, test_type,
+SELECT {lid('lab_result_id')} AS lab_result_id, {lid('patient_id')} AS patient_id, test_type,
        CAST({lts('collected_time')} AS DATE) AS test_date, result_value, {lts('collected_time')} AS collected_time, {lts('completed_time')} AS completed_time,
        {lts('collected_time')} AS sample_datetime, {lts('completed_time')} AS completed_datetime,
        (floor(epoch({lts('completed_time')})) - floor(epoch({lts('collected_time')}))) / 3600.0 AS turnaround_hours,
@@ -118,7 +132,7 @@ SELECT {llong('lab_result_id')} AS lab_result_id, {llong('patient_id')} AS patie
 FROM bronze_lab_results"""
 
 VIEWS["silver_pharmacy_dirty"] = f"""
-SELECT {llong('drug_id')} AS drug_id, drug_name, quantity, {ldate('expiry_date')} AS expiry_date, category, supplier,
+SELECT {lid('drug_id')} AS drug_id, drug_name, quantity, {ldate('expiry_date')} AS expiry_date, category, supplier,
        {lint('stock_on_hand')} AS stock_on_hand, {lint('reorder_level')} AS reorder_level,
        {lint('stock_on_hand')} AS current_stock, {lint('reorder_level')} AS threshold,
        {LAB_AS_OF} AS silver_load_timestamp
@@ -225,3 +239,46 @@ LEFT JOIN silver_patients_dirty p ON a.patient_id = p.patient_id""",
 )
 
 from . import oracle_profile  # noqa: E402,F401
+
+
+# ---------------------------------------------------------------- quarantine and incremental silver
+
+def _broken(e: str, read: str) -> str:
+    return f"({e} IS NOT NULL AND trim({e}) <> '' AND {read} IS NULL)"
+
+
+def _sides(source: str, key: str, view: str, rules: list[tuple[str, str]]) -> str:
+    codes = ", ".join(f"CASE WHEN {cond} THEN '{code}' END" for code, cond in rules)
+    return f"""SELECT '{source}' AS source, CASE WHEN len(r) = 0 THEN 'accepted' ELSE 'rejected' END AS side, {lid(key)} AS row_id, array_to_string(r, ',') AS reasons
+FROM (SELECT {key}, list_filter([{codes}], lambda x: x IS NOT NULL) AS r FROM {view})"""
+
+
+ORACLE["prj_05_quarantine"] = with_views(
+    ["bronze_lab_results", "bronze_pharmacy", "bronze_admissions"],
+    "\nUNION ALL ".join([
+        _sides("labs", "lab_result_id", "bronze_lab_results", [
+            ("no_result_id", f"{lid('lab_result_id')} IS NULL"), ("no_patient", f"{lid('patient_id')} IS NULL"), ("no_test", "coalesce(trim(test_type), '') = ''"),
+            ("bad_test_date", _broken("test_date", lts("test_date"))), ("bad_result", _broken("result_value", ldouble("result_value"))),
+        ]),
+        _sides("pharmacy", "drug_id", "bronze_pharmacy", [
+            ("no_drug_id", f"{lid('drug_id')} IS NULL"), ("no_drug_name", "coalesce(trim(drug_name), '') = ''"),
+            ("bad_quantity", _broken("quantity", ldouble("quantity"))), ("bad_expiry", _broken("expiry_date", lts("expiry_date"))),
+        ]),
+        _sides("admissions", "admission_id", "bronze_admissions", [
+            ("no_admission_id", f"{lid('admission_id')} IS NULL"), ("no_patient", f"{lid('patient_id')} IS NULL"),
+            ("bad_admission_date", _broken("admission_date", lts("admission_date"))),
+        ]),
+    ]),
+)
+
+# all snapshots at once: the latest of each key, unless that is its deletion
+ORACLE["src_04_incremental_silver"] = with_views(
+    ["bronze_patients"],
+    f"""SELECT patient_id, first_name, last_name, dt FROM (
+  SELECT * FROM (
+    SELECT {llong('patient_id')} AS patient_id, first_name, last_name, dt, false AS gone FROM bronze_patients
+    UNION ALL SELECT {llong('patient_id')}, first_name, 'late', '2001-07-15', false FROM bronze_patients WHERE dt = '2001-07-01' AND {llong('patient_id')} % 25 = 0
+    UNION ALL SELECT {llong('patient_id')}, first_name, last_name, '2001-07-20', true FROM bronze_patients WHERE dt = '2001-07-01' AND {llong('patient_id')} % 40 = 0)
+  QUALIFY patient_id IS NULL OR row_number() OVER (PARTITION BY patient_id ORDER BY dt DESC, first_name DESC NULLS LAST, last_name DESC NULLS LAST) = 1)
+WHERE NOT gone""",
+)

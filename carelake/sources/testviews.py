@@ -166,7 +166,10 @@ def bronze_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_mod("c_custkey", 101) == 7, F.lit(None)).otherwise(key.cast("string")).alias("patient_id"),
         F.when(_mod("c_custkey", 97) == 5, F.lit(" ")).otherwise(F.split_part("c_name", F.lit("#"), F.lit(1))).alias("first_name"),
         F.when(_mod("c_custkey", 89) == 3, F.lit(None)).otherwise(F.split_part("c_name", F.lit("#"), F.lit(2))).alias("last_name"),
-        F.when(_mod("c_custkey", 83) == 2, F.lit("not-a-date")).otherwise(F.date_format(dob, "yyyy-MM-dd")).alias("date_of_birth"),
+        F.when(_mod("c_custkey", 83) == 2, F.lit("not-a-date"))
+        .when(_mod("c_custkey", 113) == 5, F.date_format(dob, "yyyy/MM/dd"))
+        .when(_mod("c_custkey", 131) == 7, F.date_format(dob, "yyyyMMdd"))
+        .otherwise(F.date_format(dob, "yyyy-MM-dd")).alias("date_of_birth"),
         _case(F.col("c_mktsegment"), GENDER_BY_SEGMENT).alias("gender"),
         F.lit("2001-07-01").alias("dt"),
         key.alias("_k"),
@@ -180,7 +183,10 @@ def bronze_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = a.select(
         F.when(_mod("admission_id", 107) == 9, F.lit(None)).otherwise(F.col("admission_id").cast("string")).alias("admission_id"),
         F.when(_mod("admission_id", 101) == 1, F.lit(None)).otherwise(F.col("patient_id").cast("string")).alias("patient_id"),
-        F.when(_mod("admission_id", 83) == 4, F.lit("n/a")).otherwise(_iso_ts(F.col("admission_time"))).alias("admission_date"),
+        F.when(_mod("admission_id", 83) == 4, F.lit("n/a"))
+        .when(_mod("admission_id", 113) == 5, F.date_format("admission_time", "yyyy/MM/dd HH:mm:ss"))
+        .when(_mod("admission_id", 127) == 6, F.date_format("admission_time", "dd MMM yyyy"))
+        .otherwise(_iso_ts(F.col("admission_time"))).alias("admission_date"),
         F.col("ward_id").cast("string").alias("ward_id"),
         F.lit("2001-08-01").alias("dt"),
         F.col("admission_id").alias("_k"),
@@ -204,6 +210,9 @@ def bronze_lab_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_mod(k, 79) == 4, F.lit("tbd"))
         .when(_mod(k, 71) == 1, F.lit("2024-02-05 10:00:00"))
         .when(_mod(k, 67) == 2, F.lit("2024-03-15 10:00:00"))
+        .when(_mod(k, 113) == 5, F.date_format("ts", "yyyy/MM/dd"))
+        .when(_mod(k, 127) == 6, F.date_format("ts", "dd MMM yyyy"))
+        .when(_mod(k, 131) == 7, F.date_format("ts", "yyyyMMdd"))
         .otherwise(_iso_ts(F.col("ts"))).alias("test_date"),
         F.when(_mod(k, 61) == 3, F.lit("positive"))
         .when(_mod(k, 59) == 4, F.lit(None))
@@ -219,7 +228,7 @@ def bronze_pharmacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = "p_partkey"
     expiry = F.date_add(F.lit("2024-02-01").cast("date"), (F.pmod(F.col(k), F.lit(800)) - 100).cast("int"))
     raw = p.select(
-        F.col(k).cast("string").alias("drug_id"),
+        F.when(_mod(k, 109) == 8, F.concat(F.lit(" D-"), F.col(k).cast("string"))).otherwise(F.col(k).cast("string")).alias("drug_id"),
         F.when(_mod(k, 101) == 1, F.lit(None))
         .when(_mod(k, 97) == 2, F.lit(""))
         .when(_mod(k, 89) == 3, F.lit("X"))
@@ -234,6 +243,7 @@ def bronze_pharmacy(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_mod(k, 59) == 3, F.lit("bad"))
         .when(_mod(k, 53) == 4, F.lit("1999-05-01"))
         .when(_mod(k, 47) == 5, F.lit("2031-01-01"))
+        .when(_mod(k, 113) == 5, F.date_format(expiry, "dd MMM yyyy"))
         .otherwise(F.date_format(expiry, "yyyy-MM-dd")).alias("expiry_date"),
         F.when(_mod(k, 43) == 6, F.lit(None)).when(_mod(k, 41) == 0, F.lit("antibiotic")).otherwise(F.col("p_type")).alias("category"),
         F.col("p_brand").alias("supplier"),

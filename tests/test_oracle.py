@@ -10,6 +10,8 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry
+from carelake.plans.catalog import all_queries
+from carelake.plans.oracle_sql import all_oracles
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
@@ -38,12 +40,12 @@ def con():
     return c
 
 
-ORACLES = entry.oracle_sql()
+ORACLES = all_oracles()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = entry.queries()[name](spark, SF_SMALL)
+    df = all_queries()[name](spark, SF_SMALL)
     cols = df.columns
     got = sorted((tuple(_norm(r[c]) for c in cols) for r in df.collect()), key=_key)
     if name not in ORACLES:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii
+from .common import fresh, lower_ascii
 
 WINDOW = 10  # words
 SHINGLE = 2  # words of a joined shingle; a window of fewer words is one shingle
@@ -32,7 +32,7 @@ def n_words_of(text: Column) -> Column:
 
 def windows_of(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
     """Distinct ``(item, words)`` windows of the items; an item of fewer words is one, an item of none has none."""
-    items = benchmark.select(F.col(id_col).cast("string").alias("item"), words_of(F.col(text_col)).alias("w"))
+    items = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"), words_of(F.col(text_col)).alias("w"))
     long = F.greatest(F.size("w") - window, F.lit(0))
     at = items.filter(F.size("w") > 0).select("item", "w", F.explode(F.sequence(F.lit(0), long)).alias("i"))
     return at.select("item", F.slice("w", F.col("i") + 1, F.lit(window)).alias("words")).distinct()
@@ -91,7 +91,7 @@ def contamination(
     Words are runs of digits, letters (A-Z lower-cased) and characters beyond ASCII.  A document word is
     hit if it lies inside an occurrence of ``window`` consecutive words of an item; an item of fewer words,
     but not none, is one window.  ``items`` are the ids (as text, sorted as text) of the items with an
-    occurring window.  Null texts have no words and are clean, as are all documents against an empty
+    occurring window; items without an id share the id of the empty string.  Null texts have no words and are clean, as are all documents against an empty
     benchmark; null ids are an id like any other; rows that repeat an id are judged by their own text, and
     exact repeats alike; of the columns only those named are read.  An empty table gives no rows.
     """
@@ -139,7 +139,6 @@ def contamination(
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that hold no window of the benchmark, with all their columns."""
     bad = contamination(docs, benchmark, id_col, text_col).filter("contaminated")
-    bad = bad.select(F.col(id_col).alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("_bad_id")) & (F.xxhash64(docs[text_col]) == F.col("_bad_hash")), "left_anti")
-
-
+    bad_id, bad_hash = fresh(docs, "bad_id"), fresh(docs, "bad_hash")
+    bad = bad.select(F.col(id_col).alias(bad_id), F.col("text_hash").alias(bad_hash)).distinct()
+    return docs.join(bad, docs[id_col].eqNullSafe(bad[bad_id]) & (F.xxhash64(docs[text_col]) == bad[bad_hash]), "left_anti")

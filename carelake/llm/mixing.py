@@ -9,6 +9,7 @@ over the cells that returns the mass by language and topic; sources, however man
 from __future__ import annotations
 
 import json
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 from .common import fresh, written
 from .quality_rules import SPACE, SYMBOLS
 
-SWEEPS, TOLERANCE = 25, 1e-10
+SWEEPS, TOLERANCE, WANTED = 100, 1e-10, 1e-6  # sweeps at most; gap at which they end, and above which a warning says so
 ALPHA = {"source": 0.7, "lang": 0.9, "topic": 0.9}  # a target share is the own share to this power, normed
 BUDGET = 0.8  # share of all tokens that the sample should hold
 SEED = "mix-1"
@@ -34,9 +35,10 @@ def topic_of(text: Column, tokens: Column) -> Column:
     return F.when(F.coalesce(symbols, F.lit(0)) * 10 >= F.greatest(tokens, F.lit(1)), "marked").when(tokens < 100, "brief").when(tokens < 1000, "prose").otherwise("long")
 
 
-def uniform(doc_id: Column, seed: str) -> Column:
-    """A number in [0, 1) fixed by the id: the first 52 bits of a digest."""
-    text = F.concat(F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":" + seed))
+def uniform(doc_id: Column, text: Column, seed: str) -> Column:
+    """A number in [0, 1) fixed by the id, or by the text of a row without one: the first 52 bits of a digest."""
+    by_text = F.concat(F.lit("null:"), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+    text = F.concat(F.coalesce(doc_id.cast("string"), by_text), F.lit(":" + seed))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
@@ -90,6 +92,9 @@ def rake(cells: DataFrame, alpha: dict[str, float] = ALPHA, budget: float = BUDG
         f_t = {k: f * want_t[k] / got_t[k] for k, f in f_t.items()}
         if gap < TOLERANCE:
             break
+    if gap > WANTED:
+        # a language or topic that is confined to some sources cannot always have its share
+        warnings.warn(f"raking ended after {done} sweeps with a marginal {gap:.2g} off its target", stacklevel=2)
     out = written(fitted().select("source", "lang", "topic", "tokens", "weight"), "weights")
     # The scale that gives the budget: cells whose probability would pass 1 are certain, the others share the rest.
     scale, before = 0.0, -1
@@ -121,7 +126,8 @@ def mix(
     Targets: each marginal's own token shares to the power ``alpha``, normed.  ``weight`` is the target share
     per token of the row's cell, ``probability`` is min(1, scale x weight) with the scale that makes the
     expected tokens ``budget`` of all, and a row is sampled if the number in [0, 1) that its id fixes lies
-    below it: the same rows on every run, and repeated rows alike.  Null sources, languages and topics are
+    below it: the same rows on every run, and repeated rows alike; rows without an id are drawn by their texts.  If the
+    targets cannot be met together, or not in ``SWEEPS`` sweeps, a warning gives the largest relative gap that is left.  Null sources, languages and topics are
     the cell of the empty string; a text without words has weight 0, probability 1 and is always kept, as it
     weighs nothing.  An empty table gives none.  Columns of the input that have one of the new names stay, and the
     new one gets underscores before its name.
@@ -147,4 +153,4 @@ def mix(
     out = joined.select(
         *[F.col(f"d.`{c}`") for c in [*docs.columns, names["topic"], names["tokens"]]], weight.alias(names["weight"]), p.alias(names["probability"])
     )
-    return out.withColumn(names["sampled"], uniform(F.col(id_col), seed) < F.col(names["probability"]))
+    return out.withColumn(names["sampled"], uniform(F.col(id_col), F.col(text_col), seed) < F.col(names["probability"]))

@@ -130,13 +130,16 @@ def op5(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", "source", "lang", "topic", "tokens", F.round(F.col("probability"), 6).alias("probability"), "sampled")
 
 
+SQL_SWEEPS = 25  # written out; the given tables need fewer
+
+
 def _mixing_sql() -> str:
     """The raking written out: every sweep three small tables, then the scale of the budget."""
     a = mixing.ALPHA
     ctes = [
         r"""x AS (SELECT doc_id, source, lang, coalesce(source, '') AS s, coalesce(lang, '') AS l, coalesce(text, '') AS text,
-  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens FROM documents)""",
-        r"""d AS MATERIALIZED (SELECT doc_id, source, lang, s, l, tokens,
+  coalesce(doc_id::VARCHAR, 'null:' || md5(coalesce(text, ''))) AS draw, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens FROM documents)""",
+        r"""d AS MATERIALIZED (SELECT doc_id, source, lang, s, l, tokens, draw,
   CASE WHEN (length(text) - length(translate(text, '#*$%&|<>', ''))) * 10 >= greatest(tokens, 1) THEN 'marked'
     WHEN tokens < 100 THEN 'brief' WHEN tokens < 1000 THEN 'prose' ELSE 'long' END AS topic FROM x)""",
         "c0 AS MATERIALIZED (SELECT s, l, topic AS t, sum(tokens)::DOUBLE AS m FROM d GROUP BY ALL HAVING sum(tokens) > 0)",
@@ -146,14 +149,14 @@ def _mixing_sql() -> str:
         ctes.append(f"w{k} AS MATERIALIZED (SELECT {k}, w / (SELECT sum(w) FROM p{k}) AS w FROM p{k})")
     ctes += ["fl0 AS (SELECT l, 1.0::DOUBLE AS f FROM wl)", "ft0 AS (SELECT t, 1.0::DOUBLE AS f FROM wt)"]
     fit = "SELECT s, l, t, m, ws.w * fl.f * ft.f / sum(m * fl.f * ft.f) OVER (PARTITION BY s) AS w FROM c0 JOIN ws USING (s) JOIN fl{i} fl USING (l) JOIN ft{i} ft USING (t)"
-    for i in range(mixing.SWEEPS):
+    for i in range(SQL_SWEEPS):
         ctes += [
             f"j{i} AS MATERIALIZED (SELECT l, t, sum(m * w) AS m FROM ({fit.format(i=i)}) GROUP BY l, t)",
             f"u{i} AS MATERIALIZED (SELECT l, any_value(wl.w) / sum(m) AS u FROM j{i} JOIN wl USING (l) GROUP BY l)",
             f"fl{i + 1} AS MATERIALIZED (SELECT l, f * u AS f FROM fl{i} JOIN u{i} USING (l))",
             f"ft{i + 1} AS MATERIALIZED (SELECT t, any_value(f) * any_value(wt.w) / sum(m * u) AS f FROM j{i} JOIN u{i} USING (l) JOIN wt USING (t) JOIN ft{i} USING (t) GROUP BY t)",
         ]
-    ctes.append(f"c AS MATERIALIZED ({fit.format(i=mixing.SWEEPS)})")
+    ctes.append(f"c AS MATERIALIZED ({fit.format(i=SQL_SWEEPS)})")
     ctes.append(
         f"""r AS (SELECT w, ({mixing.BUDGET} * sum(m) OVER () - coalesce(sum(m) OVER (ORDER BY w DESC, s, l, t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
   / sum(m * w) OVER (ORDER BY w DESC, s, l, t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS scale FROM c)"""
@@ -165,7 +168,7 @@ def _mixing_sql() -> str:
     )
     return "WITH " + ",\n".join(ctes) + f"""
 SELECT doc_id, source, lang, topic, tokens::BIGINT AS tokens, round(p, 6) AS probability,
-  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':{mixing.SEED}'), 1, 13))::BIGINT / 4503599627370496.0 < p AS sampled FROM o"""
+  ('0x' || substr(md5(draw || ':{mixing.SEED}'), 1, 13))::BIGINT / 4503599627370496.0 < p AS sampled FROM o"""
 
 
 ORACLES["op5_mixing"] = _mixing_sql()

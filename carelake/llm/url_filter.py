@@ -131,7 +131,7 @@ def filter_urls(pages: DataFrame, rules: list[Rule], url_col: str = "url", defau
     """``pages`` with ``host, path, rule, verdict`` of each row's url.
 
     A rule (host, path prefix, allow or block) fits its host and all subdomains if the url's path starts
-    with its path; of those that fit, the longest string wins; of rules given twice the last counts.  Without
+    with its path; of those that fit, the one of most bytes wins, of equal ones that of the longer host; of rules given twice the last counts.  Without
     one, ``rule`` is null and ``verdict`` is ``default``: a url that the list does not name passes.  A null
     url, or one without ``://``, has empty host and path and fits no rule.  A column of the input that
     has one of the four names is kept and the new one gets underscores before its name.
@@ -140,7 +140,8 @@ def filter_urls(pages: DataFrame, rules: list[Rule], url_col: str = "url", defau
     """
     spark = pages.sparkSession
     if len(rules) > MAX_ENTRIES:
-        return rules_by_join(pages, spark.createDataFrame(rules, "host string, prefix string, verdict string"), url_col, default)
+        numbered = [(n, *r) for n, r in enumerate(rules)]
+        return rules_by_join(pages, spark.createDataFrame(numbered, "n long, host string, prefix string, verdict string"), url_col, default)
     name = f"urls-{uuid.uuid4().hex}.digests"
     # The driver's own file: Spark serves it from here and copies it to where each executor works.
     own = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="carelake-urls-")), name)
@@ -165,28 +166,25 @@ def filter_urls(pages: DataFrame, rules: list[Rule], url_col: str = "url", defau
 
 
 def rules_by_join(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str = "allow") -> DataFrame:
-    """The same verdicts for a list too long for one file: candidate strings are joined with it by equality."""
-    host, path, rule, verdict = (fresh(pages, c) for c in ("host", "path", "rule", "verdict"))
+    """The same verdicts for a list too long for one file, a table ``n, host, prefix, verdict`` that may come from anywhere:
+    candidate strings are joined with it by equality.  ``n`` orders the rules, so that of one given twice the last counts."""
+    host, path, rule, verdict, own_host, own_path, found_verdict = (fresh(pages, c) for c in ("host", "path", "rule", "verdict", "url_host", "url_path", "found_verdict"))
     sizes = [r[0] for r in rules.select(F.length("prefix")).distinct().collect()] or [0]
     full = pages.withColumns({host: host_of(F.col(url_col)), path: path_of(F.col(url_col))})
     # distinct urls are matched once: a url on a third of the pages is one row here
-    urls = full.select(F.col(host).alias("_h"), F.col(path).alias("_p")).distinct()
-    prefixes = F.array_compact(F.array(*[F.when(F.length("_p") >= n, F.substring("_p", 1, n)) for n in sizes]))
-    wanted = urls.withColumn("parent", F.explode(parents_of("_h"))).withColumn("prefix", F.explode(prefixes))
-    listed = rules.groupBy(F.concat("host", "prefix").alias("rule")).agg(F.max("verdict").alias("verdict"))
+    urls = full.select(F.col(host).alias("h"), F.col(path).alias("p")).distinct()
+    prefixes = F.array_compact(F.array(*[F.when(F.length("p") >= n, F.substring("p", 1, n)) for n in sizes]))
+    wanted = urls.withColumn("parent", F.explode(parents_of("h"))).withColumn("prefix", F.explode(prefixes))
+    listed = rules.groupBy(F.concat("host", "prefix").alias("rule")).agg(F.max_by("verdict", "n").alias("verdict"))
     found = (
         wanted.withColumn("rule", F.concat("parent", "prefix"))
         .join(listed, "rule")
-        .groupBy("_h", "_p")
-        .agg(F.max(F.struct(F.length("rule").alias("n"), "rule", "verdict")).alias("best"))
-        .select("_h", "_p", F.col("best.rule").alias(rule), F.col("best.verdict").alias("_v"))
-    )
-    return (
-        full.join(found, (full[host] == found["_h"]) & (full[path] == found["_p"]), "left")
-        .drop("_h", "_p")
-        .withColumn(verdict, F.coalesce("_v", F.lit(default)))
-        .drop("_v")
+        .groupBy("h", "p")
+        .agg(F.max(F.struct(F.octet_length("rule").alias("n"), F.octet_length("parent").alias("of"), "rule", "verdict")).alias("best"))
+        .select(F.col("h").alias(own_host), F.col("p").alias(own_path), F.col("best.rule").alias(rule), F.col("best.verdict").alias(found_verdict))
     )
+    joined = full.join(found, (full[host] == found[own_host]) & (full[path] == found[own_path]), "left")
+    return joined.select(*[full[c] for c in full.columns], found[rule], F.coalesce(found[found_verdict], F.lit(default)).alias(verdict))
 
 
 def parents_of(host: str) -> Column:

@@ -33,19 +33,24 @@ class BlockMaxIndex:
         n, n_terms = len(starts) - 1, len(idf)
         self.n, self.idf = n, idf.astype(float)
         self.log = np.log(np.arange(int(count.max(initial=0)) + 1).clip(1)) + 1.0
-        value = self.log[count] * self.idf[term]
-        self.length = np.sqrt(np.add.reduceat(value * value, starts[:-1])) if n else np.zeros(0)
-        value = (value / np.repeat(self.length, np.diff(starts))).astype(np.float32)
+        value, self.length = np.zeros(len(term), np.float32), np.zeros(n)
+        for lo in range(0, n, 1024):  # stretch by stretch, as the whole in double precision is far larger than the index
+            a, b = int(starts[lo]), int(starts[min(lo + 1024, n)])
+            if b > a:
+                v, first = self.log[count[a:b]] * self.idf[term[a:b]], starts[lo : lo + 1024][: n - lo] - a
+                self.length[lo : lo + 1024] = np.sqrt(np.add.reduceat(v * v, first))
+                value[a:b] = v / np.repeat(self.length[lo : lo + 1024], np.diff(starts[lo : min(lo + 1024, n) + 1]))
         self.blocks = -(-n // BLOCK)
         df = np.bincount(term, minlength=n_terms)
         self.first = np.concatenate([[0], np.cumsum(df)])
-        row = np.repeat(np.arange(n, dtype=np.int32), np.diff(starts))
-        order = np.argsort(term, kind="stable")
+        order = np.argsort(term, kind="stable").astype(np.int32 if len(term) < 1 << 31 else np.int64)
+        self.counts = count[order]
         self.postings = np.zeros(len(term), np.int64)  # example and weight of one in a number, so that a stretch is copied at once
         self.row, self.weight = self.postings.view(np.int32)[::2], self.postings.view(np.float32)[1::2]
-        self.row[:], self.weight[:] = row[order], value[order]
-        self.counts = count[order]
-        del row, order, value
+        self.weight[:] = value[order]
+        del value
+        self.row[:] = np.repeat(np.arange(n, dtype=np.int32), np.diff(starts))[order]
+        del order
         # 0: rare, 1: middle, 2: frequent
         rare = np.maximum(RARE * n, LEAST)
         self.tier = ((df > rare).astype(np.int8) + (df > max(MIDDLE * n, rare))).astype(np.int8)
@@ -68,7 +73,7 @@ class BlockMaxIndex:
                 self.dense[rows, self.dense_place[t]], self.dense_counts[rows, self.dense_place[t]] = weights, self.counts[lo:hi]
         # what rounding to single precision can move a similarity by
         self.slack = 1e-5
-        self.mark = np.full(n, -1, np.int32)
+        self.mark = np.full(n, -1, np.int16 if n < 1 << 15 else np.int32)
         self.met = self.skipped = 0
 
     def _read(self, begin: list[int], end: list[int], weight: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
@@ -76,7 +81,7 @@ class BlockMaxIndex:
         beginning of each stretch."""
         found = np.concatenate([self.postings[i:j] for i, j in zip(begin, end, strict=True)])
         size = np.array(end) - np.array(begin)
-        rows = found.view(np.int32)[::2]
+        rows = found.view(np.int32)[::2].astype(np.intp)
         near += np.bincount(rows, found.view(np.float32)[1::2] * np.repeat(weight.astype(np.float32), size), self.n)
         return rows, size, begin
 
@@ -160,13 +165,13 @@ class BlockMaxIndex:
 
     def _exact(self, terms: np.ndarray, weights: np.ndarray, a: np.ndarray, k: int, read: list) -> tuple[np.ndarray, ...]:
         """The k best of ``a`` by sums in double precision, and what they share with the query."""
-        self.mark[a] = np.arange(len(a))
         parts = []
+        self.mark[a] = np.arange(len(a))
         for at, rows, size, begin in read:
             place = self.mark.take(rows)
             hit = np.flatnonzero(place >= 0)
-            which = np.searchsorted(np.cumsum(size), hit, "right")
-            posting = hit - (np.cumsum(size) - size)[which] + np.array(begin)[which]
+            which = np.repeat(np.arange(len(size), dtype=np.int32), size)[hit]
+            posting = hit + (np.array(begin) - np.cumsum(size) + size)[which]
             parts.append((place[hit], at[which], self.counts[posting]))
         self.mark[a] = -1
         frequent = np.flatnonzero(self.tier[terms] == 2)

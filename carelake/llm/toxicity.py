@@ -28,7 +28,7 @@ from .common import fold, fresh, written
 STEM = 6  # bytes of a word that make its term
 MAX_EXAMPLES = 20_000  # labelled training rows, by hash of the id, that the classifier is fitted on
 FLOOR, SURE_Z, MOST_LIFT = 0.02, 10.0, 3.0  # relevance of a term that tells nothing; where its growth with z and log lift ends
-NEIGHBOURS, EVIDENCE, BATCH = 64, 5, 128
+NEIGHBOURS, EVIDENCE, BATCH = 64, 5, 32
 PRIOR_WEIGHT, BINS = 1e-3, 20
 THRESHOLD, FOLDS, HELD_OUT = 0.3, 4, 2
 COUNTED = 400_000

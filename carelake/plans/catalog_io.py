@@ -17,6 +17,7 @@ from ..sources import testviews as tv
 from . import gold_build as gb
 from ..functions.parse import canonical_id, lenient_long
 from ..operators import quarantine
+from ..operators.registry import KeyRegistry
 from ..sinks.bucketed import BucketedTable
 from .catalog import register
 
@@ -210,3 +211,14 @@ def q_src_04_incremental(spark, d):
     for changes, deleted in _patient_changes(spark, d):
         table.merge(changes, deleted)
     return table.read()
+
+
+@register("prj_12_key_registry")
+def q_prj_12(spark, d):
+    """Numbers of (ward, patient): those of the critical admissions first, then of all; every key keeps its number."""
+    stays = tv.admissions(spark, d).select("ward_id", "patient_id", "triage_level")
+    keys = KeyRegistry(spark, scratch_path(spark, "ward-patients"), ["ward_id", "patient_id"])
+    keys.register(stays.filter("triage_level = 1"))
+    keys.register(stays)
+    keys.register(stays)
+    return keys.numbers()

@@ -282,3 +282,9 @@ ORACLE["src_04_incremental_silver"] = with_views(
   QUALIFY patient_id IS NULL OR row_number() OVER (PARTITION BY patient_id ORDER BY dt DESC, first_name DESC NULLS LAST, last_name DESC NULLS LAST) = 1)
 WHERE NOT gone""",
 )
+
+ORACLE["prj_12_key_registry"] = with_views(
+    ["admissions"],
+    """SELECT ward_id, patient_id, CAST(row_number() OVER (ORDER BY later, ward_id, patient_id) AS BIGINT) AS key_number
+FROM (SELECT ward_id, patient_id, min(CASE WHEN triage_level = 1 THEN 0 ELSE 1 END) AS later FROM admissions GROUP BY 1, 2)""",
+)

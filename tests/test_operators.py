@@ -1,4 +1,5 @@
-from datetime import date, datetime
+from collections import Counter
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ def test_silver_labs_uses_collected_time_when_no_sample_time(spark):
     r = cond.silver_lab_results(df, AS_OF).collect()[0]
     assert r.turnaround_hours == 5.0
     assert r.test_date == date(2025, 11, 23)
-    assert r.patient_id == 87
+    assert r.patient_id == "87"
 
 
 def test_silver_pharmacy_backfills_aliases(spark):
@@ -133,3 +134,21 @@ def test_class_statistics_bounds_exclusive(spark):
     df = spark.createDataFrame([("Glucose", 70.0), ("glucose", 140.0), ("GLUCOSE", 141.0), ("glucose", 10.0)], "t string, x double")
     r = profile.class_statistics(df, "t", "x").collect()[0]
     assert (r.range_name, r.below_range, r.above_range, r.total_abnormal, r.severity) == ("glucose", 1, 1, 2, "warning")
+
+
+def test_intervals_of_one_hot_patient_spread_over_tasks(spark):
+    start = datetime(2024, 1, 1)
+    rows = [("hot" if i % 2 else f"p{i % 40}", start + timedelta(seconds=(i * 7919) % 3600)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "p string, t timestamp_ntz").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = profile.test_intervals(df, "p", "t")
+        parts = profile.RangeParts(df, ["p"], ["t"]).rows.filter("p = 'hot'").select("_part").distinct().count()
+        found = Counter((r.p, r.t, r.previous_test_time) for r in got.collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    want, last = Counter(), {}
+    for p, t in sorted(rows):
+        want[p, t, last.get(p)] += 1
+        last[p] = t
+    assert found == want and parts >= 2

@@ -23,6 +23,7 @@ from .common import fresh, written
 SHINGLE, DISTANCE, SEED = 3, 3, 42
 SHARD = 20_000  # fingerprints that a shard should hold
 SAMPLE_PER_SHARD = 16  # fingerprints of the sample that shapes the tree, for each shard
+SAMPLE = 1 << 18  # fingerprints of the sample at most, however many shards there should be
 BLOCK = 1 << 16  # shingles of a text hashed at once
 
 
@@ -70,7 +71,7 @@ def near_links(distinct: DataFrame, count: int, distance: int = DISTANCE) -> Dat
 
     near = distance // 2
     shards = max(1, count // SHARD)
-    sample = distinct.orderBy(F.xxhash64("fp"), "fp").limit(shards * SAMPLE_PER_SHARD + 1)
+    sample = distinct.orderBy(F.xxhash64("fp"), "fp").limit(min(shards * SAMPLE_PER_SHARD + 1, SAMPLE))
     picked = np.array([r[0] for r in sample.collect()], np.int64).view(np.uint64)
     trees = [vptree.build(_half(picked, h), SAMPLE_PER_SHARD) for h in (0, 1)]
 
@@ -83,16 +84,35 @@ def near_links(distinct: DataFrame, count: int, distance: int = DISTANCE) -> Dat
                 row, leaf, home = vptree.route(tree, _half(fp.view(np.uint64), h), near)
                 yield pa.RecordBatch.from_arrays([pa.array(leaf * 2 + h, pa.int64()), pa.array(fp[row], pa.int64()), pa.array(home)], names=["shard", "fp", "home"])
 
+    def deal_again(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for b in batches:
+            shard, fp, home = (b.column(c).to_numpy(zero_copy_only=False) for c in (0, 1, 2))
+            for h, tree in enumerate(trees):  # shards of half h by the other one
+                own = np.flatnonzero(shard % 2 == h)
+                row, leaf, inner = vptree.route(trees[1 - h], _half(fp[own].view(np.uint64), 1 - h), distance)
+                at = own[row]
+                yield pa.RecordBatch.from_arrays([pa.array(shard[at]), pa.array(leaf, pa.int64()), pa.array(fp[at], pa.int64()), pa.array(home[at].astype(bool) & inner)], names=["shard", "sub", "fp", "home"])
+
     def search(key, own):
         import pyarrow as pa
 
+        h, within = (key[0].as_py() % 2, near) if key[1].as_py() < 0 else (1 - key[0].as_py() % 2, distance)
         fp = own.column("fp").to_numpy().copy()
         full = fp.view(np.uint64)
-        a, b = vptree.links(full, _half(full, key[0].as_py() % 2), own.column("home").to_numpy(), near, distance)
+        a, b = vptree.links(full, _half(full, h), own.column("home").to_numpy(), within, distance)
         return pa.table({"a": pa.array(fp[a], pa.int64()), "b": pa.array(fp[b], pa.int64())})
 
-    dealt = distinct.select("fp").mapInArrow(deal, "shard long, fp long, home boolean")
-    return dealt.groupBy("shard").applyInArrow(search, "a long, b long")
+    dealt = written(distinct.select("fp").mapInArrow(deal, "shard long, fp long, home boolean"), "shards")
+    # A half that very many fingerprints share cannot be split by a tree over that half.  But the other halves of linked
+    # pairs there differ in ``distance`` bits at most, and fingerprints are distinct, so such a shard is dealt again by these.
+    large = [r[0] for r in dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 4 * SHARD).select("shard").collect()]
+    parts = dealt.select("shard", F.lit(-1).cast("long").alias("sub"), "fp", "home")
+    if large:
+        again = dealt.filter(F.col("shard").isin(large)).mapInArrow(deal_again, "shard long, sub long, fp long, home boolean")
+        parts = parts.filter(~F.col("shard").isin(large)).unionByName(again)
+    return parts.groupBy("shard", "sub").applyInArrow(search, "a long, b long")
 
 
 def _half(fp, h: int):

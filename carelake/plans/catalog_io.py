@@ -222,3 +222,24 @@ def q_prj_12(spark, d):
     keys.register(stays)
     keys.register(stays)
     return keys.numbers()
+
+
+@register("snk_03_fallback")
+def q_snk_03(spark, d):
+    """A table whose first place cannot be written, read from where it went instead."""
+    root = scratch_path(spark, "fallback")
+    used = publish.write_with_fallback(gb.gold_fact_pharmacy(spark, d), "nowhere://unknown/fact_pharmacy", f"{root}/fact_pharmacy")
+    return spark.read.parquet(used)
+
+
+@register("vs_20_guarded")
+def q_vs_20(spark, d):
+    """The stock suite under guard, and one that fails only while Spark runs its checks."""
+    raw = tv.bronze_pharmacy(spark, d)
+    broken = raw.withColumn("quantity", F.when(F.length("drug_id") > 0, F.raise_error(F.lit("lost"))).otherwise(F.col("quantity")).cast("string"))
+
+    def suite(df, name):
+        return lambda: results.suite_result(suites.validate_pharmacy(df, gb.LAB_AS_OF), df, name, gb.LAB_AS_OF, "pharmacy", 0.01, 0)
+
+    out = results.guarded(suite(raw, "pharmacy"), "pharmacy", spark, gb.LAB_AS_OF).unionByName(results.guarded(suite(broken, "broken"), "broken", spark, gb.LAB_AS_OF))
+    return out.select("table_name", "row_count", "issue_count", "warning_count", "passed", "quality_score")

@@ -528,6 +528,9 @@ FROM silver_labs_dirty""",
 ORACLE["src_07_nested_json"] = ORACLE["tb_02_silver_pharmacy"]
 ORACLE["snk_04_results_json"] = ORACLE["vs_09_suite_results"] + "\nWHERE table_name = 'pharmacy'"
 ORACLE["snk_07_publish_twice"] = ORACLE["tb_13_fact_pharmacy"]
+ORACLE["snk_03_fallback"] = ORACLE["tb_13_fact_pharmacy"]
+ORACLE["vs_20_guarded"] = f"""SELECT * FROM ({ORACLE["snk_04_results_json"]})
+UNION ALL SELECT 'broken', CAST(0 AS BIGINT), CAST(1 AS INTEGER), CAST(0 AS INTEGER), false, CAST(0 AS DOUBLE)"""
 ORACLE["snk_06_named_objects"] = with_views(
     ["fact_admissions", "fact_lab_turnaround", "fact_pharmacy", "fact_icu_alerts", "dim_ward", "dim_patient", "pharmacy_inventory"],
     """SELECT 'table' AS kind, 'dim_patient' AS object, count(*) AS rows FROM dim_patient

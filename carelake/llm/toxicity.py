@@ -63,6 +63,9 @@ class Vectors:
             yield t[at], n[at]
 
 
+_HELD: list[Scorer] = []  # whose index this process holds
+
+
 class Scorer:
     """All that a task needs: terms with weights and relevance, the examples' term counts, and the calibration.
 
@@ -79,6 +82,9 @@ class Scorer:
 
     def ready(self) -> BlockMaxIndex:
         if self.index is None:
+            for other in _HELD:  # one index a process: workers outlive the queries that they serve
+                other.index = None
+            _HELD[:] = [self]
             self.index, self.place = BlockMaxIndex(self.starts, self.term, self.count, self.idf), {x: i for i, x in enumerate(self.ids)}
         return self.index
 

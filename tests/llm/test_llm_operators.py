@@ -506,6 +506,19 @@ def test_toxicity_votes_by_plain_tf_idf_neighbours(spark):
     assert lonely.evidence[0].id == str(lone) and max(e.similarity for e in long.evidence) < 0.99
 
 
+def test_a_process_holds_one_index():
+    def scorer(n):
+        starts, term = np.arange(n + 1), np.zeros(n, np.int32)
+        return toxicity.Scorer(np.array([b"a"]), np.ones(1), np.ones(1), list(range(n)), [i % 2 for i in range(n)], starts, term, np.ones(n, np.uint16), 0.5)
+
+    one, two = scorer(4), scorer(6)
+    first = list(one.votes([b"a", b""]))
+    list(two.votes([b"a"]))
+    assert one.index is None and two.index is not None
+    again = list(one.votes([b"a", b""]))  # made anew where it is needed again
+    assert two.index is None and [v[0] for v in again] == [v[0] for v in first]
+
+
 def test_calibration_is_monotone():
     got = toxicity.monotone([0, 3, 1, 5, 5], [5, 5, 5, 5, 5])
     assert (np.diff(got) >= 0).all() and np.allclose(got, [0, 0.4, 0.4, 1, 1])

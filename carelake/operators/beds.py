@@ -11,12 +11,14 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_key, elapsed_hours, ts_lit
 from .ranges import RangeParts, written
 
+BED_DIGITS = 6  # of a bed's name
+
 
 def assign_beds(stays: DataFrame, name: str = "beds") -> DataFrame:
     """``admission_id, ward_id, start, end`` with ``bed`` (from 1 in each ward).
@@ -69,12 +71,18 @@ def bed_days(beds: DataFrame) -> DataFrame:
 
     ``status`` is that at the end of the day: ``Occupied``, or ``Cleaning`` after the last stay of the day has left.  The key packs
     ward, bed and day (20 bits for the bed, 17 for the day), so no two rows share one.  Days inside a stay are its own; only its
-    first and last day can be shared with other stays of the bed, so only these are grouped.
+    first and last day can be shared with other stays of the bed, so only these are grouped.  ``day`` and ``bed_code`` follow, the
+    date and the digits of the bed's name as a number, for sums over many rows: they are compared without making a text of each.
     """
+    # a stay becomes thousands of rows: stays are worked out once and dealt out evenly before that, however few files hold them;
+    # in their order, so that what adds up their days by ward stays within the days of one ward for long
+    parts = int(beds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = written(beds.select("ward_id", "bed", "start", "end").repartition(parts, "ward_id", "bed", "start").sortWithinPartitions("ward_id", "start"), "bed-stays")
     d0, d1 = F.to_date("start"), F.to_date("end")
-    own = beds.select("ward_id", "bed", "start", "end", d0.alias("d0"), d1.alias("d1"))
-    inside = own.filter(F.datediff("d1", "d0") > 1).select("ward_id", "bed", F.explode(F.sequence(F.date_add("d0", 1), F.date_sub("d1", 1))).alias("day"))
-    inside = inside.select("ward_id", "bed", "day", F.lit(24.0).alias("hours"), F.lit(False).alias("left"))
+    own = dealt.select("ward_id", "bed", "start", "end", d0.alias("d0"), d1.alias("d1"))
+    nights = F.datediff("d1", "d0")
+    inside = own.filter(nights > 1).select("ward_id", "bed", "d0", F.explode(F.sequence(F.lit(1), nights - 1)).alias("_n"))
+    inside = inside.select("ward_id", "bed", F.date_add("d0", F.col("_n")).alias("day"), F.lit(24.0).alias("hours"), F.lit(False).alias("left"))
     edge = own.select("ward_id", "bed", "start", "end", F.explode(F.array_distinct(F.array("d0", "d1"))).alias("day"))
     midnight = F.date_add("day", 1).cast("timestamp_ntz")
     hours = elapsed_hours(F.greatest("start", F.col("day").cast("timestamp_ntz")), F.least("end", midnight))
@@ -84,12 +92,43 @@ def bed_days(beds: DataFrame) -> DataFrame:
     every = inside.unionByName(edge)
     day = F.datediff("day", F.lit("1900-01-01").cast("date")).cast("long")
     key = (F.coalesce(F.col("ward_id"), F.lit(-1)) * (1 << 20) + F.col("bed")) * (1 << 17) + day
+    digits = F.lpad(F.col("bed").cast("string"), BED_DIGITS, "0")
+    # a bed of more digits has its first ones in its name
+    code = F.when(F.col("bed") < 10**BED_DIGITS, F.col("bed")).otherwise(digits.cast("long"))
     return every.select(
         key.alias("occupancy_key"),
         "ward_id",
         date_key("day").alias("occupancy_date_key"),
-        F.concat(F.lit("B"), F.lpad(F.col("bed").cast("string"), 6, "0")).alias("bed_number_clean"),
+        F.concat(F.lit("B"), digits).alias("bed_number_clean"),
         F.when(F.col("left"), "Cleaning").otherwise("Occupied").alias("status"),
         F.col("hours").alias("occupancy_hours"),
         F.lit(1).alias("is_occupied"),
+        "day",
+        code.alias("bed_code"),
+    )
+
+
+def bed_name(code: Column) -> Column:
+    """``bed_number_clean`` of a ``bed_code``."""
+    return F.concat(F.lit("B"), F.lpad(code.cast("string"), BED_DIGITS, "0"))
+
+
+def occupancy(days: DataFrame) -> DataFrame:
+    """Bed-days added up by ward and day.
+
+    All that is kept while rows are added up is of fixed width (the smallest and largest bed as numbers, named afterwards; the date
+    instead of its key), so that Spark adds up in a hash table of one entry per ward and day; a text among the
+    values would have every bed-day sorted first, and spilled.
+    """
+    found = days.groupBy("ward_id", "day").agg(
+        F.sum("is_occupied").alias("beds_occupied"),
+        F.count_if(F.col("status") == "Cleaning").alias("beds_cleaning"),
+        F.min("bed_code").alias("_first"),
+        F.max("bed_code").alias("_last"),
+        F.max("occupancy_key").alias("last_key"),
+        F.round(F.sum("occupancy_hours"), 6).alias("occupancy_hours"),
+    )
+    return found.select(
+        "ward_id", date_key("day").alias("occupancy_date_key"), "beds_occupied", "beds_cleaning",
+        bed_name(F.col("_first")).alias("first_bed"), bed_name(F.col("_last")).alias("last_bed"), "last_key", "occupancy_hours",
     )

@@ -84,15 +84,7 @@ def q_doc_08(spark, d):
 @register("doc_09_bed_occupancy")
 def q_doc_09(spark, d):
     # every bed-day row is produced; the result adds them up by ward and day
-    days = beds.bed_days(beds.assign_beds(beds.stays_of(_adm_facts(spark, d), gb.ADM_AS_OF)))
-    return days.groupBy("ward_id", "occupancy_date_key").agg(
-        F.sum("is_occupied").alias("beds_occupied"),
-        F.count_if(F.col("status") == "Cleaning").alias("beds_cleaning"),
-        F.min("bed_number_clean").alias("first_bed"),
-        F.max("bed_number_clean").alias("last_bed"),
-        F.max("occupancy_key").alias("last_key"),
-        F.round(F.sum("occupancy_hours"), 6).alias("occupancy_hours"),
-    )
+    return beds.occupancy(beds.bed_days(beds.assign_beds(beds.stays_of(_adm_facts(spark, d), gb.ADM_AS_OF))))
 
 
 @register("doc_09_bed_stays")

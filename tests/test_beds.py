@@ -88,6 +88,26 @@ def test_bed_days_add_up(spark, given):
         assert abs(hours - d.occupancy_hours) < 1e-9 and d.status == ("Cleaning" if last < midnight else "Occupied")
 
 
+def test_bed_days_are_added_up_without_a_sort(spark, given):
+    rows, got = given
+    more = got.unionByName(got.limit(1).select(F.lit(-1).cast("long").alias("admission_id"), F.lit(9).cast("long").alias("ward_id"), "start", "end", F.lit(1_000_042).cast("long").alias("bed")))
+    days = beds.bed_days(more)
+    found = beds.occupancy(days)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan  # a sort would spill every bed-day
+    want = defaultdict(list)
+    for d in days.collect():
+        want[d.ward_id, d.occupancy_date_key].append(d)
+    found = found.collect()
+    assert len(found) == len(want)
+    for r in found:
+        own = want[r.ward_id, r.occupancy_date_key]
+        names = [d.bed_number_clean for d in own]
+        assert (r.beds_occupied, r.beds_cleaning) == (len(own), sum(d.status == "Cleaning" for d in own))
+        assert (r.first_bed, r.last_bed, r.last_key) == (min(names), max(names), max(d.occupancy_key for d in own))
+        assert abs(r.occupancy_hours - sum(d.occupancy_hours for d in own)) < 1e-5
+
+
 def test_hot_ward_is_split(spark):
     rows = [(i, 1, DAY0 + timedelta(minutes=i), DAY0 + timedelta(minutes=i + 90)) for i in range(4000)]
     df = spark.createDataFrame(rows, "admission_id long, ward_id long, start timestamp_ntz, end timestamp_ntz")

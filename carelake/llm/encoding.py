@@ -13,9 +13,12 @@ import functools
 import os
 import re
 import sys
+import weakref
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 
+from .common import hold_alone
+
 GENERATION = 350_000  # pieces kept per worker process in each of two generations
 CACHED_BYTES = 256  # a longer piece is encoded, but not kept
 BATCH_BYTES = 1 << 18  # bytes of text handed to the encoder at once
@@ -98,6 +101,14 @@ def balanced(items: Iterable[bytes], target: int = BATCH_BYTES) -> Iterator[list
         yield batch
 
 
+_HELD: weakref.WeakSet[PieceCache] = weakref.WeakSet()  # caches of this process
+
+
+def _drop_pieces() -> None:
+    for cache in _HELD:
+        cache.young, cache.old = {}, {}
+
+
 class PieceCache:
     """What ``encode`` makes of each piece, for the texts of one batch after another.
 
@@ -110,6 +121,8 @@ class PieceCache:
 
     def lookup(self, wanted: set[bytes]) -> dict[bytes, object]:
         """Values of the wanted distinct pieces, the unknown ones encoded in batches balanced by bytes."""
+        hold_alone("pieces", _drop_pieces)
+        _HELD.add(self)
         if len(self.young) > GENERATION:
             self.young, self.old = {}, self.young
         young, old, new, extra = self.young, self.old, [], {}

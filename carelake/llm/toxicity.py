@@ -13,6 +13,7 @@ with itself left out.
 from __future__ import annotations
 
 import re
+import weakref
 from array import array
 from collections import Counter
 from collections.abc import Iterator
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .block_max import BlockMaxIndex
-from .common import fold, fresh, written
+from .common import fold, fresh, hold_alone, written
 
 STEM = 6  # bytes of a word that make its term
 MAX_EXAMPLES = 20_000  # labelled training rows, by hash of the id, that the classifier is fitted on
@@ -63,7 +64,13 @@ class Vectors:
             yield t[at], n[at]
 
 
-_HELD: list[Scorer] = []  # whose index this process holds
+_HELD: weakref.WeakSet[Scorer] = weakref.WeakSet()  # whose index this process holds; a scorer goes with the broadcast that brought it
+
+
+def _drop_indexes(but: Scorer | None = None) -> None:
+    for other in [s for s in _HELD if s is not but]:
+        other.index = other.vectors.number = None
+        _HELD.discard(other)
 
 
 class Scorer:
@@ -81,10 +88,10 @@ class Scorer:
         return self.__dict__ | {"index": None, "shared": None}
 
     def ready(self) -> BlockMaxIndex:
+        hold_alone("index of examples", _drop_indexes)
         if self.index is None:
-            for other in _HELD:  # one index a process: workers outlive the queries that they serve
-                other.index = None
-            _HELD[:] = [self]
+            _drop_indexes(but=self)  # one index a process: workers outlive the queries that they serve
+            _HELD.add(self)
             self.index, self.place = BlockMaxIndex(self.starts, self.term, self.count, self.idf), {x: i for i, x in enumerate(self.ids)}
         return self.index
 

@@ -1,6 +1,7 @@
 """Operators against brute force on small inputs, with nulls, blanks, ties, repeats, empty tables and clashing columns."""
 
 import math
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from carelake.llm import common, decontaminate, lm_score, mixing, quality_rules, simhash, simple8b, token_count, token_output, toxicity, url_filter, vptree, warc_revisit
+from carelake.llm import common, decontaminate, encoding, lm_score, mixing, quality_rules, simhash, simple8b, token_count, token_output, toxicity, url_filter, vptree, warc_revisit
 from carelake.llm.block_max import BlockMaxIndex
 from carelake.llm.lattice import END, PieceLattice, load_pieces
 
@@ -519,6 +520,24 @@ def test_a_process_holds_one_index():
     assert two.index is None and [v[0] for v in again] == [v[0] for v in first]
 
 
+def test_a_process_lets_an_index_go():
+    """With the scorer that a broadcast brought, and when the process turns to other work that holds much."""
+    def scorer():
+        return toxicity.Scorer(np.array([b"a"]), np.ones(1), np.ones(1), [0, 1], [0, 1], np.arange(3), np.zeros(2, np.int32), np.ones(2, np.uint16), 0.5)
+
+    one = scorer()
+    first = list(one.votes([b"a"]))
+    index = weakref.ref(one.index)
+    del one
+    assert index() is None
+    two, cache = scorer(), encoding.PieceCache(lambda batch: [len(x) for x in batch])
+    list(two.votes([b"a"]))
+    assert cache.lookup({b"abc"}) == {b"abc": 3}
+    assert two.index is None and two.vectors.number is None and cache.lookup({b"d"}) == {b"abc": 3, b"d": 1}
+    assert [v[0] for v in two.votes([b"a"])] == [v[0] for v in first] and not cache.young and not cache.old
+    assert cache.lookup({b"abc"}) == {b"abc": 3}
+
+
 def test_calibration_is_monotone():
     got = toxicity.monotone([0, 3, 1, 5, 5], [5, 5, 5, 5, 5])
     assert (np.diff(got) >= 0).all() and np.allclose(got, [0, 0.4, 0.4, 1, 1])

@@ -167,7 +167,8 @@ def filter_urls(pages: DataFrame, rules: list[Rule], url_col: str = "url", defau
 
 def rules_by_join(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str = "allow") -> DataFrame:
     """The same verdicts for a list too long for one file, a table ``n, host, prefix, verdict`` that may come from anywhere:
-    candidate strings are joined with it by equality.  ``n`` orders the rules, so that of one given twice the last counts."""
+    candidate strings are joined with it by equality.  ``n`` orders the rules, so that of one given twice the last counts; a table
+    without it has no order, so there a block counts before an allow."""
     host, path, rule, verdict, own_host, own_path, found_verdict = (fresh(pages, c) for c in ("host", "path", "rule", "verdict", "url_host", "url_path", "found_verdict"))
     sizes = [r[0] for r in rules.select(F.length("prefix")).distinct().collect()] or [0]
     full = pages.withColumns({host: host_of(F.col(url_col)), path: path_of(F.col(url_col))})
@@ -175,7 +176,8 @@ def rules_by_join(pages: DataFrame, rules: DataFrame, url_col: str = "url", defa
     urls = full.select(F.col(host).alias("h"), F.col(path).alias("p")).distinct()
     prefixes = F.array_compact(F.array(*[F.when(F.length("p") >= n, F.substring("p", 1, n)) for n in sizes]))
     wanted = urls.withColumn("parent", F.explode(parents_of("h"))).withColumn("prefix", F.explode(prefixes))
-    listed = rules.groupBy(F.concat("host", "prefix").alias("rule")).agg(F.max_by("verdict", "n").alias("verdict"))
+    last = F.max_by("verdict", "n") if "n" in rules.columns else F.max("verdict")
+    listed = rules.groupBy(F.concat("host", "prefix").alias("rule")).agg(last.alias("verdict"))
     found = (
         wanted.withColumn("rule", F.concat("parent", "prefix"))
         .join(listed, "rule")

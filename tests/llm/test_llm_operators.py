@@ -126,6 +126,15 @@ def test_url_filter(spark):
     assert {r.verdict for r in url_filter.filter_urls(pages, []).collect()} == {"allow"}
 
 
+def test_rules_without_an_order(spark):
+    common.prepare(spark)
+    pages = spark.createDataFrame([(1, "http://a.com/x"), (2, "http://b.com/x")], "page_id long, url string")
+    rules = spark.createDataFrame([("a.com", "/", "block"), ("a.com", "/", "allow"), ("b.com", "/", "allow")], "host string, prefix string, verdict string")
+    assert sorted((r.page_id, r.verdict) for r in url_filter.rules_by_join(pages, rules).collect()) == [(1, "block"), (2, "allow")]
+    numbered = rules.withColumn("n", F.when(F.col("verdict") == "allow", 1).otherwise(0))
+    assert sorted((r.page_id, r.verdict) for r in url_filter.rules_by_join(pages, numbered).collect()) == [(1, "allow"), (2, "allow")]
+
+
 def test_digest_array_survives_collisions(tmp_path):
     file = str(tmp_path / "list")
     weak = lambda x: len(x) % 3  # noqa: E731  nearly all digests collide

@@ -12,7 +12,6 @@ with itself left out.
 
 from __future__ import annotations
 
-import re
 import weakref
 from array import array
 from collections import Counter
@@ -29,16 +28,40 @@ from .common import fold, fresh, hold_alone, written
 STEM = 6  # bytes of a word that make its term
 MAX_EXAMPLES = 20_000  # labelled training rows, by hash of the id, that the classifier is fitted on
 FLOOR, SURE_Z, MOST_LIFT = 0.02, 10.0, 3.0  # relevance of a term that tells nothing; where its growth with z and log lift ends
-NEIGHBOURS, EVIDENCE, BATCH = 64, 5, 32
+NEIGHBOURS, EVIDENCE = 64, 5
+BATCH, STRETCH = 64, 1024  # texts searched for together, out of so many put in order
+FREQUENT = 0.05  # share of the examples from which on a term may be the main one of a text
 PRIOR_WEIGHT, BINS = 1e-3, 20
 THRESHOLD, FOLDS, HELD_OUT = 0.3, 4, 2
-COUNTED = 400_000
+COUNTED, WORDS_KEPT = 400_000, 100_000
 
-_TERM = re.compile(rb"([0-9a-z\x80-\xff]{1,%d})[0-9a-z\x80-\xff]*+" % STEM)
+# A-Z to a-z; what belongs to no word to a blank
+_WORDS = bytes(c if 48 <= c < 58 or 97 <= c < 123 or c >= 128 else c + 32 if 65 <= c < 91 else 32 for c in range(256))
 
 
 def term_counts(text: bytes) -> Counter:
-    return Counter(_TERM.findall(text.lower()))
+    found: Counter = Counter()
+    for word, n in Counter(text.translate(_WORDS).split()).items():
+        found[word[:STEM]] += n
+    return found
+
+
+def main_term(term: np.ndarray, count: np.ndarray, frequent: np.ndarray) -> int:
+    """The one of the frequent terms that a text holds most often; -1 without any.  Like texts have the same."""
+    own = np.flatnonzero(frequent[term])
+    return int(term[own[count[own].argmax()]]) if len(own) else -1
+
+
+class Numbers(dict):
+    """Number of each term, and of words met, as long as there are at most ``most``; -1 without one."""
+
+    most = 0
+
+    def __missing__(self, word: bytes) -> int:
+        number = self.get(word[:STEM], -1)
+        if len(self) < self.most:
+            self[word] = number
+        return number
 
 
 class Vectors:
@@ -53,15 +76,18 @@ class Vectors:
     def counts(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Of each text the sorted term numbers and how often it holds each."""
         if self.number is None:
-            self.number = {x: i for i, x in enumerate(self.terms.tolist())}
-        number = self.number.get
+            self.number = Numbers((x, i) for i, x in enumerate(self.terms.tolist()))
+            self.number.most = len(self.number) + WORDS_KEPT
+        number = self.number.__getitem__
         for text in texts:
-            found = term_counts(text)
-            t = np.fromiter([number(x, -1) for x in found], np.int32, len(found))
+            found = Counter(text.translate(_WORDS).split())
+            t = np.fromiter(map(number, found), np.int32, len(found))
             n = np.fromiter(found.values(), np.int32, len(found))
             at = np.argsort(t)
             at = at[np.searchsorted(t, 0, sorter=at) :]
-            yield t[at], n[at]
+            t, n = t[at], n[at]
+            first = np.flatnonzero(np.diff(t, prepend=-1))  # words of one term are added up
+            yield t[first], np.add.reduceat(n, first) if len(first) else n
 
 
 _HELD: weakref.WeakSet[Scorer] = weakref.WeakSet()  # whose index this process holds; a scorer goes with the broadcast that brought it
@@ -81,11 +107,11 @@ class Scorer:
 
     def __init__(self, terms: np.ndarray, idf: np.ndarray, relevance: np.ndarray, ids: list, labels: list[int], starts: np.ndarray, term: np.ndarray, count: np.ndarray, prior: float) -> None:
         self.vectors, self.idf, self.relevance, self.ids, self.labels = Vectors(terms), idf, relevance, ids, np.array(labels, float)
-        self.starts, self.term, self.count, self.prior, self.index, self.shared = starts, term, count, prior, None, None
+        self.starts, self.term, self.count, self.prior, self.index, self.frequent, self.shared = starts, term, count, prior, None, None, None
         self.levels = np.linspace(0, 1, 2)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"index": None, "shared": None}
+        return self.__dict__ | {"index": None, "frequent": None, "shared": None}
 
     def ready(self) -> BlockMaxIndex:
         hold_alone("index of examples", _drop_indexes)
@@ -93,22 +119,29 @@ class Scorer:
             _drop_indexes(but=self)  # one index a process: workers outlive the queries that they serve
             _HELD.add(self)
             self.index, self.place = BlockMaxIndex(self.starts, self.term, self.count, self.idf), {x: i for i, x in enumerate(self.ids)}
+            self.frequent = np.bincount(self.term, minlength=len(self.idf)) > FREQUENT * len(self.ids)
         return self.index
 
     def votes(self, texts: list[bytes], without: list | None = None) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
         """For each text the share of votes for label 1, and the weightiest voters with their similarities."""
         index = self.ready()
-        for lo in range(0, len(texts), BATCH):
-            queries = []
-            for t, n in self.vectors.counts(texts[lo : lo + BATCH]):
+        for lo in range(0, len(texts), STRETCH):
+            queries, main = [], []
+            for t, n in self.vectors.counts(texts[lo : lo + STRETCH]):
                 w = (1.0 + np.log(n)) * self.idf[t]
                 queries.append((t, w / np.sqrt(w @ w) if len(t) else w))
-            left_out = [-1] * len(queries) if without is None else [self.place.get(x, -1) for x in without[lo : lo + BATCH]]
-            for at, sims, of, shared, product in index.nearest_of(queries, NEIGHBOURS, left_out):
-                vote = np.bincount(of, product * self.relevance[shared], len(at))
-                share = float((vote @ self.labels[at] + PRIOR_WEIGHT * self.prior) / (vote.sum() + PRIOR_WEIGHT))
-                best = np.argsort(-vote, kind="stable")[:EVIDENCE]
-                yield share, at[best], sims[best]
+                main.append(main_term(t, n, self.frequent))
+            left_out = [-1] * len(queries) if without is None else [self.place.get(x, -1) for x in without[lo : lo + STRETCH]]
+            found: list = [None] * len(queries)
+            order = np.argsort(main, kind="stable").tolist()  # texts that share many terms are searched for together
+            for own in (order[i : i + BATCH] for i in range(0, len(order), BATCH)):
+                nearest = index.search([queries[q] for q in own], NEIGHBOURS, [left_out[q] for q in own])
+                for q, (at, sims, parts) in zip(own, nearest, strict=True):
+                    vote = (parts * self.relevance[queries[q][0]]).sum(axis=1)
+                    share = float((vote @ self.labels[at] + PRIOR_WEIGHT * self.prior) / (vote.sum() + PRIOR_WEIGHT))
+                    best = np.argsort(-vote, kind="stable")[:EVIDENCE]
+                    found[q] = share, at[best], sims[best]
+            yield from found
 
     def calibrated(self, share: float) -> float:
         return float(np.interp(share, np.linspace(0, 1, len(self.levels)), self.levels))
@@ -175,7 +208,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     lift = np.abs(np.log((a + 0.5) / (n1 + 1) / ((b + 0.5) / (n0 + 1))))
     relevance = (FLOOR + np.minimum(z / SURE_Z, 1.0) * np.minimum(lift, MOST_LIFT)).astype(np.float32)
     idf = np.log((2.0 + n) / (1.0 + both))
-    frequent = both > 0.05 * n
+    frequent = both > FREQUENT * n
     del a, b, p, z, lift
     spark = examples.sparkSession
     shared = spark.sparkContext.broadcast((terms, frequent))  # terms of MAX_EXAMPLES texts at most
@@ -187,8 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         vectors = Vectors(terms)
         for b in batches:
             found = list(vectors.counts(b.column(2).cast(pa.binary()).to_pylist()))
-            # like texts hold the same frequent term most often
-            key = [int(t[f][n[f].argmax()]) if (f := frequent[t]).any() else -1 for t, n in found]
+            key = [main_term(t, n, frequent) for t, n in found]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(key, pa.int64()), pa.array([t.tobytes() for t, _ in found], pa.binary()), pa.array([np.minimum(n, 65535).astype(np.uint16).tobytes() for _, n in found], pa.binary())],
                 names=["id", "y", "key", "term", "n"],

@@ -30,7 +30,7 @@ def _widths(v: np.ndarray) -> np.ndarray:
 def _selectors(width: np.ndarray) -> np.ndarray:
     """For each position (rows: blocks) the lowest selector that fits the values from there on; past the end nothing needs bits.
 
-    If a selector fits nowhere, no lower one does: it would hold more values of fewer bits.
+    Where a selector does not fit, no lower one does: it would hold more values of fewer bits.
     """
     rows, size = width.shape
     best = np.full((rows, size), 15, dtype=np.uint8)
@@ -42,12 +42,13 @@ def _selectors(width: np.ndarray) -> np.ndarray:
             np.maximum(most[:, : size - power], most[:, power:], out=x[:, : size - power])
             most, power = x, power * 2
         rest = c - power  # the window of c values is two overlapping ones of ``power``
-        fits = most <= BITS[sel]
+        bits = np.uint8(BITS[sel])  # of the widths' own type, so that they are compared as they are
+        fits = most <= bits
         if rest:
-            fits[:, : size - rest] &= most[:, rest:] <= BITS[sel]
+            fits[:, : size - rest] &= most[:, rest:] <= bits
         if not fits.any():
             break
-        best[fits] = sel
+        best -= fits.view(np.uint8)
     return best
 
 
@@ -64,24 +65,24 @@ def pack(values: np.ndarray) -> bytes:
     grid = np.zeros(blocks * BLOCK, dtype=np.uint64)
     grid[:n] = v
     sel = _selectors(_widths(grid).reshape(blocks, BLOCK)) if blocks else np.zeros((0, BLOCK), np.uint8)
-    end = np.minimum(np.arange(1, blocks + 1) * BLOCK, n) - np.arange(blocks) * BLOCK
-    cursor, live = np.zeros(blocks, dtype=np.int64), np.arange(blocks)
-    firsts, chosen, step = np.zeros((blocks, BLOCK), np.int64), np.full((blocks, BLOCK), 255, np.uint8), 0
-    while len(live):  # one word of each block that is not at its end
-        own = sel[live, cursor[live]]
-        firsts[live, step], chosen[live, step] = cursor[live], own
-        cursor[live] += COUNTS[own]
-        live, step = live[cursor[live] < end[live]], step + 1
-    used = chosen[:, :step] != 255
-    in_block = used.sum(axis=1)
-    s = chosen[:, :step][used].astype(np.int64)
-    block = np.repeat(np.arange(blocks), in_block)
+    flat, begins = sel.reshape(-1), []
+    at_word = np.arange(blocks) * BLOCK
+    stop = np.minimum(at_word + BLOCK, n)
+    while len(at_word):  # the next word of each block that is not at its end
+        begins.append(at_word)
+        at_word = at_word + COUNTS[flat[at_word]]
+        live = at_word < stop
+        if not live.all():
+            at_word, stop = at_word[live], stop[live]
+    firsts = np.sort(np.concatenate(begins)) if begins else np.zeros(0, np.int64)
+    s, block = flat[firsts].astype(np.int64), firsts // BLOCK
+    in_block = np.bincount(block, minlength=blocks)
     words = s.astype(np.uint64) << np.uint64(60)
     kinds = np.flatnonzero(np.bincount(s, minlength=16))
     pad = int(COUNTS[kinds].max()) if len(kinds) else 0  # a block's last word may reach past its end, into zeros
     wide = np.zeros((blocks, BLOCK + pad), np.uint64)
     wide[:, :BLOCK] = grid.reshape(blocks, BLOCK)
-    wide, start = wide.reshape(-1), firsts[:, :step][used] + block * (BLOCK + pad)
+    wide, start = wide.reshape(-1), firsts + block * pad
     for k in kinds:
         if BITS[k]:
             own = np.flatnonzero(s == k)

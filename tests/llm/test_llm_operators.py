@@ -441,6 +441,53 @@ def test_block_max_neighbours_are_exact(kinds):
     assert index.met == len(asked) * index.blocks and (index.skipped > 0.3 * index.met if kinds > 1 else True)
 
 
+def test_terms_of_many_examples_are_read_as_matrices():
+    """No posting of a term that most examples of a segment hold is left to be read one by one; counts come back exactly, also the largest."""
+    rng = np.random.default_rng(5)
+    n = 2500  # two whole segments and a part of one
+    vectors = []
+    for i in range(n):
+        t = np.unique(np.concatenate([np.flatnonzero(rng.random(30) < 0.6) + 30 * (i // 1300), rng.integers(60, 900, 12)]))
+        vectors.append((t, rng.choice([1, 2, 3, 50, 65535], len(t)).astype(np.uint16)))
+    starts = np.concatenate([[0], np.cumsum([len(t) for t, _ in vectors])])
+    terms, counts = (np.concatenate([v[i] for v in vectors]) for i in (0, 1))
+    df = np.bincount(terms, minlength=900)
+    idf = np.log((2 + n) / (1 + df))
+    index = BlockMaxIndex(starts, terms, counts, idf)
+    left = np.diff(index.first)
+    assert left[:60].sum() < 0.05 * df[:60].sum() and (left[60:] == df[60:]).all()
+    dense = np.zeros((n, 900))
+    for i, (t, c) in enumerate(vectors):
+        dense[i, t] = (1 + np.log(c.astype(float))) * idf[t]
+    dense /= np.sqrt((dense**2).sum(axis=1))[:, None]
+    asked = list(range(0, n, 61))
+    queries = [(vectors[q][0], dense[q, vectors[q][0]]) for q in asked]
+    for q, (t, _), (at, sims, parts) in zip(asked, queries, index.search(queries, 9, asked), strict=True):
+        want = np.round(dense @ dense[q], 9)
+        want[q] = -1
+        best = np.lexsort((np.arange(n), -want))[:9]
+        assert np.allclose(sims, want[best], atol=2e-9) and np.allclose(want[at], sims, atol=2e-9)
+        assert np.allclose(parts, dense[at][:, t] * dense[q, t], atol=1e-12)
+
+
+def test_a_text_scores_alike_in_any_company():
+    """Texts are put in another order for the search: each gets its own votes, whatever is asked with it."""
+    rng = np.random.default_rng(9)
+    words = [b"w%03d" % i for i in range(300)]
+    own = [np.unique(rng.integers(0, 300, 20)) for _ in range(150)]
+    starts = np.concatenate([[0], np.cumsum([len(t) for t in own])])
+    term = np.concatenate(own).astype(np.int32)
+    idf = np.log(152 / (1 + np.bincount(term, minlength=300)))
+    scorer = toxicity.Scorer(np.array(words), idf, np.ones(300), list(range(150)), [i % 2 for i in range(150)], starts, term, np.ones(len(term), np.uint16), 0.5)
+    texts = [b" ".join(words[t] for t in own[i % 150][i % 7 :]).upper() + b"-nothing" for i in range(1100)] + [b"", b"w000w000 W000x"]
+    together = list(scorer.votes(texts))
+    assert len(together) == len(texts)
+    for i in [0, 1, 63, 64, 700, 1023, 1024, 1099, 1100, 1101]:
+        share, at, sims = next(scorer.votes([texts[i]]))
+        assert math.isclose(share, together[i][0], abs_tol=1e-12) and at.tolist() == together[i][1].tolist() and sims.tolist() == together[i][2].tolist()
+    assert toxicity.term_counts(b"Abcdefgh ABCDEFxx, ab\xc3\xa9 a_b 12-34\x85") == {b"abcdef": 2, b"ab\xc3\xa9": 1, b"a": 1, b"b": 1, b"12": 1, b"34\x85": 1}
+
+
 def test_toxicity(spark, docs):
     d = "/root/testdata/sf0.1"
     given, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
